@@ -16,8 +16,18 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _export_package_path() -> None:
+    """Local Python workers inherit the driver's environment; make this
+    package importable there (a cluster ships it with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "clickwave") -> SparkSession:
+    _export_package_path()
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
