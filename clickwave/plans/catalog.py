@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwave.operators.timeutil import plus_seconds
-from clickwave.plans import ads, hot_items, hot_pages, marketing, traffic
+from clickwave.plans import ads, hot_items, hot_pages, marketing, streamed, traffic
 from clickwave.sources.events import (
     ad_clicks_from_events, marketing_from_events, read_table, user_behavior_from_events,
     web_log_from_events,
@@ -112,6 +112,22 @@ def q_late_split(spark, sf_dir):
                          "watermark", "is_late")
 
 
+def q_hot_items_stream(spark, sf_dir):
+    return streamed.hot_items_streamed(spark, sf_dir, PAGE_VIEW)
+
+
+def q_ad_click_capped_stream(spark, sf_dir):
+    return streamed.ad_click_capped_streamed(spark, sf_dir, AD_CAP)
+
+
+def q_uv_running_stream(spark, sf_dir):
+    return streamed.uv_running_streamed(spark, sf_dir, PAGE_VIEW)
+
+
+def q_late_split_stream(spark, sf_dir):
+    return streamed.late_split_streamed(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_topn": q_hot_items_topn,
     "hot_items_sql": q_hot_items_sql,
@@ -128,6 +144,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_alerts": q_ad_click_alerts,
     "ads_by_province": q_ads_by_province,
     "late_split": q_late_split,
+    "hot_items_stream": q_hot_items_stream,
+    "ad_click_capped_stream": q_ad_click_capped_stream,
+    "uv_running_stream": q_uv_running_stream,
+    "late_split_stream": q_late_split_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -253,3 +273,12 @@ SELECT event_id, source, url, ts, arrival, watermark,
                 - INTERVAL 1 MILLISECOND <= watermark, false) AS is_late
 FROM m""",
 }
+
+# Streams emit a window once the watermark (largest view time; Spark pushes the
+# filter below it) has passed its end; per-row streams equal the batch form.
+ORACLES["hot_items_stream"] = (
+    _ITEM_TOP5 + "SELECT item_id, window_end, cnt, rnk AS rank FROM r WHERE rnk <= 5 "
+    "AND window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view')")
+ORACLES["ad_click_capped_stream"] = ORACLES["ad_click_capped"]
+ORACLES["uv_running_stream"] = ORACLES["uv_running"]
+ORACLES["late_split_stream"] = ORACLES["late_split"]

@@ -11,8 +11,8 @@ from clickwave.functions.hashing import bitmap_offset
 from clickwave.functions.predicates import equals, not_equal_keep_null, not_static_resource
 from clickwave.operators.fraud import RESET_OFFSET_HOURS
 from clickwave.operators.ranking import top_n_collected
-from clickwave.operators.timeutil import seconds
-from clickwave.streaming.processors import DAY_MS, ClickCapProcessor
+from clickwave.operators.timeutil import plus_seconds, seconds
+from clickwave.streaming.processors import DAY_MS, ClickCapProcessor, LateSplitProcessor
 from clickwave.streaming.sources import with_event_time
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -81,17 +81,13 @@ def unique_visitors_stream(behavior: DataFrame, size="1 hour", page_view: str =
             .select(F.lit("uv").alias("key"), F.col("window.end").alias("window_end"), "uv"))
 
 
-def first_sightings_stream(behavior: DataFrame, size="1 hour", page_view: str = "pv",
-                           delay: str = "0 seconds") -> DataFrame:
-    """A8 input: the first row of each bitmap offset per window (state store
-    dedup), carrying its event time and arrival offset."""
-    views = with_event_time(behavior, delay).where(equals("behavior", page_view))
-    cols = [F.col("offset")] if "offset" in views.columns else [F.lit(0).cast("bigint").alias("offset")]
-    # ``ts`` is re-derived so that only ``window`` carries the event-time mark
-    plain_ts = F.timestamp_micros(F.unix_micros(F.col("ts"))).alias("ts")
-    return (views.select(_win("ts", size).alias("window"), bitmap_offset(F.col("userId")).alias("_off"),
-                         plain_ts, *cols)
-            .dropDuplicates(["window", "_off"]))
+def bitmap_views_stream(behavior: DataFrame, size="1 hour", page_view: str = "pv") -> DataFrame:
+    """A8 input: page views with their window end and bitmap offset (stateless;
+    :class:`clickwave.streaming.sinks.RunningUvWriter` keeps the seen set)."""
+    views = behavior.where(equals("behavior", page_view))
+    off = F.col("offset") if "offset" in views.columns else F.lit(0).cast("bigint")
+    return views.select(_win("ts", size).end.alias("window_end"), bitmap_offset(F.col("userId")).alias("_off"),
+                        "ts", off.alias("offset"))
 
 
 def marketing_stream(events: DataFrame, by_channel: bool = True, size="1 hour", slide="5 seconds",
@@ -130,7 +126,7 @@ def capped_click_stream(clicks: DataFrame, cap: int = 100, keys=("userId", "adId
     rows = (src.withColumn("_day_end", day_end.cast("bigint"))
             .select(*[f.name for f in CAPPED_FIELDS[:7]]))
     return (rows.groupBy(*keys)
-            .transformWithStateInPandas(ClickCapProcessor(cap), T.StructType(CAPPED_FIELDS),
+            .transformWithStateInPandas(ClickCapProcessor(cap, columns=rows.columns), T.StructType(CAPPED_FIELDS),
                                         "Append", "EventTime", eventTimeColumnName="ts"))
 
 
@@ -156,3 +152,24 @@ def page_count_updates(log: DataFrame, size="10 minutes", slide="5 seconds",
     return (req.groupBy("url", _win("ts", size, slide).alias("window"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
             .select("url", F.col("window.end").alias("window_end"), "cnt", "max_ts"))
+
+
+def late_split_stream(log: DataFrame, source: str = "source", size="10 minutes", slide="5 seconds",
+                      lateness="1 minute", out_of_orderness="1 second") -> DataFrame:
+    """R2 + R4 on a stream of page requests with ``source``, ``arrival`` and
+    ``offset`` columns -> the input columns plus ``watermark`` and ``is_late``."""
+    spark = log.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    size_s, slide_s = seconds(size), seconds(slide)
+    req = log.where(equals("method", "GET") & not_static_resource("url"))
+    last_end = plus_seconds(F.window(F.col("ts"), f"{slide_s} seconds").end, size_s - slide_s)
+    cleanup = F.unix_micros(plus_seconds(last_end, seconds(lateness)).cast("timestamp")) - F.lit(1000)
+    cols = [c for c in req.columns if c not in ("_ts_us", "_cleanup_us")]
+    rows = req.select(*cols, F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"),
+                      cleanup.alias("_cleanup_us"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_wm_us", T.LongType()),
+                           T.StructField("is_late", T.BooleanType())])
+    tagged = rows.groupBy(source).transformWithStateInPandas(
+        LateSplitProcessor(seconds(out_of_orderness) * 1_000_000, columns=rows.columns), schema, "Append", "None")
+    return tagged.withColumn("watermark", F.timestamp_micros("_wm_us")).drop("_ts_us", "_cleanup_us", "_wm_us")

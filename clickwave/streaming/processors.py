@@ -11,6 +11,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 DAY_MS = 86_400_000
 
 
+def _named(pdf: pd.DataFrame, columns: list[str] | None) -> pd.DataFrame:
+    """Input batches may carry computed columns without their names; the
+    columns arrive in the order of the input DataFrame."""
+    if columns and list(pdf.columns) != list(columns) and len(pdf.columns) == len(columns):
+        pdf = pdf.set_axis(list(columns), axis=1)
+    return pdf
+
+
 class ClickCapProcessor(StatefulProcessor):
     """Per (user, ad): pass the first ``cap`` clicks of each reset day, emit
     one ``alert`` row on the first click over the cap, drop the rest.
@@ -22,9 +30,11 @@ class ClickCapProcessor(StatefulProcessor):
     time, then arrival offset) before counting.
     """
 
-    def __init__(self, cap: int, order: tuple[str, ...] = ("ts", "offset")):
+    def __init__(self, cap: int, order: tuple[str, ...] = ("ts", "offset"),
+                 columns: list[str] | None = None):
         self.cap = int(cap)
         self.order = list(order)
+        self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -34,8 +44,7 @@ class ClickCapProcessor(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
-        if "_day_end" not in pdf.columns:  # computed input columns may arrive unnamed
-            pdf = pdf.rename(columns={pdf.columns[-1]: "_day_end"})
+        pdf = _named(pdf, self.columns)
         pdf = pdf.sort_values([c for c in self.order if c in pdf.columns], kind="stable")
         clicks, sent, day_end = (self.state.get() if self.state.exists() else (0, False, -1))
         kinds = np.full(len(pdf), "", dtype=object)
@@ -70,3 +79,42 @@ class ClickCapProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LateSplitProcessor(StatefulProcessor):
+    """R4 on a stream, keyed by source partition: rows are taken in arrival
+    order (``arrival``, ``offset``); each meets the watermark built from the
+    largest event time seen before it in its partition, and is tagged late
+    when its last window is past ``end - 1 ms + lateness``.
+
+    Input columns ``_ts_us`` (event time) and ``_cleanup_us`` (end of the
+    row's last window plus lateness, minus 1 ms) are precomputed in Spark.
+    """
+
+    def __init__(self, out_of_orderness_us: int, columns: list[str] | None = None):
+        self.ooo_us = int(out_of_orderness_us)
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "max_ts_us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        if pdf.empty:
+            return
+        pdf = _named(pdf, self.columns)
+        pdf = pdf.sort_values(["arrival", "offset"], kind="stable").reset_index(drop=True)
+        prior = self.seen.get()[0] if self.seen.exists() else None
+        ts = pdf["_ts_us"].astype("int64")
+        before = ts.cummax().shift(1)
+        if prior is not None:
+            before = before.fillna(prior).clip(lower=prior)
+        wm = before - self.ooo_us
+        pdf["_wm_us"] = wm.astype("Int64")
+        pdf["is_late"] = (pdf["_cleanup_us"] <= wm).fillna(False).astype(bool)
+        top = int(ts.max()) if prior is None else max(prior, int(ts.max()))
+        self.seen.update((top,))
+        yield pdf
+
+    def close(self) -> None:
+        pass

@@ -34,36 +34,50 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
 
 
 class RunningUvWriter:
-    """A8 + S7 on a stream of first sightings (see ``first_sightings_stream``).
-
-    Per micro-batch: rank the new sightings of each window in arrival order
-    (bucketed scan), add the count stored for the window so far, append one
-    row per new visitor, and store the latest count per window -- the table
-    stands in for the reference's external ``uv_count`` hash.
+    """A8 + S7 on a stream of page views (``bitmap_views_stream``).
+
+    Per micro-batch: the first view of each (window, bitmap offset) in the
+    batch, minus offsets already emitted for that window, are the new
+    visitors; they are ranked in arrival order (bucketed scan) on top of the
+    count stored for the window, one row each.  The emitted rows, partitioned
+    by window end, are the seen set; the latest count per window is kept in a
+    small table standing in for the reference's external ``uv_count`` hash.
     """
 
     def __init__(self, spark: SparkSession, base: str, bucket_seconds: int = 60):
+        self.spark = spark
+        self.base = base.rstrip("/")
         self.counts = VersionedTable(spark, f"{base}/uv_count", "window_end timestamp, uv bigint")
-        self.rows = AppendLog(spark, f"{base}/rows")
+        self.rows = AppendLog(spark, f"{base}/rows", partition_by=["window_end"])
         self.bucket_seconds = bucket_seconds
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        batch = batch.select(F.col("window.end").alias("window_end"), "ts", "offset").persist()
+        batch = batch.persist()
         try:
+            firsts = (batch.groupBy("window_end", "_off")
+                      .agg(F.min(F.struct("ts", "offset")).alias("_f"))
+                      .select("window_end", "_off", "_f.ts", "_f.offset"))
+            touched = firsts.select("window_end").distinct()
+            seen = self.rows.read(before_epoch=epoch)
+            if seen is not None:
+                seen = seen.join(touched, "window_end", "left_semi").select("window_end", "_off")
+                firsts = firsts.join(seen, ["window_end", "_off"], "left_anti")
             prev = self.counts.read(before_epoch=epoch)
-            ranked = running_aggregate(batch, ["window_end"], ["ts", "offset"], "count", "_n",
+            ranked = running_aggregate(firsts, ["window_end"], ["ts", "offset"], "count", "_n",
                                        bucket_seconds=self.bucket_seconds)
             rows = (ranked.join(prev, "window_end", "left")
-                    .select(F.lit("uv").alias("key"), "window_end", "ts",
+                    .select(F.lit("uv").alias("key"), "window_end", "ts", "_off",
                             (F.coalesce(F.col("uv"), F.lit(0)) + F.col("_n")).alias("uv_count")))
             self.rows.write(rows, epoch)
-            latest = self.rows.read().where(F.col("epoch") == epoch).groupBy("window_end").agg(
-                F.max("uv_count").alias("uv"))
-            merged = prev.join(latest, "window_end", "left_anti").unionByName(latest)
-            self.counts.write(merged, epoch)
+            latest = (self.rows.read_epoch(epoch).groupBy("window_end")
+                      .agg(F.max("uv_count").alias("uv")))
+            self.counts.write(prev.join(latest, "window_end", "left_anti").unionByName(latest), epoch)
         finally:
             batch.unpersist()
 
+    def result(self) -> DataFrame:
+        return self.rows.read().select("key", "window_end", "ts", "uv_count")
+
 
 class HotPagesWriter:
     """T2 + R3 + R10: page rankings issued when the watermark passes a window's

@@ -53,13 +53,41 @@ class VersionedTable:
 
 
 class AppendLog:
-    """Per-epoch output partitions ``epoch=<n>``; a rerun replaces its own epoch."""
+    """Per-epoch output folders ``epoch=<n>``; a rerun replaces its own epoch.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    Readers see only epochs whose write committed (``_SUCCESS``).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
+        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by or []
 
     def write(self, df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
+        w = df.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(f"{self.path}/epoch={epoch}")
+
+    def epochs(self) -> list[int]:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len("epoch="):]))
+        return sorted(out)
+
+    def read_epoch(self, epoch: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/epoch={epoch}")
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def read(self, before_epoch: int | None = None) -> DataFrame | None:
+        eps = [e for e in self.epochs() if before_epoch is None or e < before_epoch]
+        if not eps:
+            return None
+        paths = [f"{self.path}/epoch={e}" for e in eps]
+        df = self.spark.read.option("basePath", self.path).parquet(*paths)
+        return df

@@ -106,16 +106,16 @@ def test_pv_and_uv_streams_equal_batch(spark, behavior_dir):
 
 
 def test_running_uv_stream_equals_batch(spark, behavior_dir, tmpdir_fresh):
-    batch = read_user_behavior(spark, behavior_dir)
-    firsts = jobs.first_sightings_stream(user_behavior_stream(spark, behavior_dir))
+    batch = read_user_behavior(spark, behavior_dir).withColumn("offset", F.lit(0).cast("bigint"))
+    views = jobs.bitmap_views_stream(user_behavior_stream(spark, behavior_dir))
     writer = RunningUvWriter(spark, tmpdir_fresh)
-    q = start_query(firsts, "uvrun", "append", foreach_batch=writer)
+    q = start_query(views, "uvrun", "append", foreach_batch=writer)
     q.awaitTermination(300)
-    got = writer.rows.read().select("key", F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                                    F.col("ts").cast("timestamp_ntz").alias("ts"), "uv_count")
-    exp = traffic.unique_visitors_running(batch.withColumn("offset", F.lit(0).cast("bigint")))
+    got = writer.result().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                 F.col("ts").cast("timestamp_ntz").alias("ts"), "uv_count")
+    exp = traffic.unique_visitors_running(batch)
     assert got.count() == exp.count()
-    assert _rows(got, "window_end", "uv_count") == _rows(exp, "window_end", "uv_count")
+    assert _rows(got, "window_end", "ts", "uv_count") == _rows(exp, "window_end", "ts", "uv_count")
     counts = writer.counts.read().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
     assert _rows(counts, "window_end", "uv") == _rows(traffic.unique_visitors(batch), "window_end", "uv")
 
