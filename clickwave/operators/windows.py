@@ -43,15 +43,31 @@ def tumbling_counts(df: DataFrame, keys: list[str], ts: str, size: int | str,
 def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: int | str, slide: int | str,
                    method: str = "pane", count_col: str | None = None,
                    out: str = "cnt") -> DataFrame:
-    """Count per key and sliding window (A1 on W2/W4/W5) -> keys, window_end, out."""
+    """Count per key and sliding window (A1 on W2/W4/W5) -> keys, window_end, out.
+
+    ``method``: ``pane`` (default) collapses rows per (key, pane) before
+    copying them into windows, so a hot key costs one row per pane however
+    many rows it has -- one extra shuffle of pane counts.  ``expand`` copies
+    raw rows map-side and shuffles once; it wins when keys are sparse (about
+    one row per key and pane) and loses by the density factor on hot keys.
+    ``native`` is Spark's ``window(ts, size, slide)``.
+    """
     size_s, slide_s = seconds(size), seconds(slide)
     if method == "native" or size_s % slide_s:
         w = F.window(F.col(ts), f"{size_s} seconds", f"{slide_s} seconds")
         return (df.groupBy(*keys, w.end.alias("window_end"))
                 .agg(_counter(count_col).alias(out)))
+    n = size_s // slide_s
+    if method == "expand":
+        # sparse keys: copy raw rows to their window ends map-side, one shuffle
+        extra = [count_col] if count_col and count_col not in keys else []
+        rows = (df.select(*keys, *extra, window_end(ts, slide_s).alias("_pane_end"),
+                          F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
+                .select(*keys, *extra, plus_seconds(F.col("_pane_end"), F.col("_i") * F.lit(slide_s))
+                        .alias("window_end")))
+        return rows.groupBy(*keys, "window_end").agg(_counter(count_col).alias(out))
     if method != "pane":
         raise ValueError(f"unknown method {method}")
-    n = size_s // slide_s
     panes = (df.groupBy(*keys, window_end(ts, slide_s).alias("_pane_end"))
              .agg(_counter(count_col).alias("_c")))
     if n == 1:

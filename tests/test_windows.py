@@ -21,7 +21,15 @@ def test_pane_equals_native(spark):
     for size, slide in [("1 hour", "5 minutes"), ("10 minutes", "5 seconds"), ("30 minutes", "30 minutes")]:
         a = sliding_counts(df, ["itemId"], "ts", size, slide, method="pane")
         b = sliding_counts(df, ["itemId"], "ts", size, slide, method="native")
+        c = sliding_counts(df, ["itemId"], "ts", size, slide, method="expand")
         assert sorted_rows(a, "itemId", "window_end", "cnt") == sorted_rows(b, "itemId", "window_end", "cnt")
+        assert sorted_rows(c, "itemId", "window_end", "cnt") == sorted_rows(b, "itemId", "window_end", "cnt")
+    # count(col) counts non-null keys only (A2)
+    nulls = df.withColumn("itemId", F.when(F.col("offset") % 3 == 0, None).otherwise(F.col("itemId")))
+    for m in ("pane", "native", "expand"):
+        got = sliding_counts(nulls, [], "ts", "1 hour", "5 minutes", method=m, count_col="itemId")
+        ref = sliding_counts(nulls.where("itemId is not null"), [], "ts", "1 hour", "5 minutes", method="native")
+        assert sorted_rows(got, "window_end", "cnt") == sorted_rows(ref, "window_end", "cnt")
 
 
 def test_window_edges_half_open(spark):
