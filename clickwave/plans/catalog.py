@@ -52,6 +52,15 @@ def q_hot_pages_topn(spark, sf_dir):
     return hot_pages.hot_pages(_web_log(spark, sf_dir)).select("url", "window_end", "cnt", "rank")
 
 
+def q_hot_items_table_api(spark, sf_dir):
+    r = hot_items.hot_items_table_api(_behavior(spark, sf_dir), page_view=PAGE_VIEW)
+    return r.select(F.col("itemId").alias("item_id"), F.col("windowEnd").alias("window_end"), "cnt")
+
+
+def q_hot_pages_report(spark, sf_dir):
+    return hot_pages.hot_pages_report(_web_log(spark, sf_dir))
+
+
 def q_ranking_report(spark, sf_dir):
     return hot_items.hot_items_report(_behavior(spark, sf_dir), page_view=PAGE_VIEW)
 
@@ -133,6 +142,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_sql": q_hot_items_sql,
     "hot_pages_topn": q_hot_pages_topn,
     "ranking_report": q_ranking_report,
+    "hot_items_table_api": q_hot_items_table_api,
+    "hot_pages_report": q_hot_pages_report,
     "pv_hourly": q_pv_hourly,
     "pv_hourly_salted": q_pv_hourly_salted,
     "uv_hourly_exact": q_uv_hourly_exact,
@@ -209,6 +220,21 @@ SELECT window_end,
                      || '热门度=' || CAST(cnt AS VARCHAR) || chr(10), '' ORDER BY rnk)
        || '=====================' || chr(10) || chr(10) AS report
 FROM r WHERE rnk <= 5 GROUP BY window_end""",
+    "hot_items_table_api": _ITEM_TOP5 + "SELECT item_id, window_end, cnt FROM c",
+    "hot_pages_report": f"""
+WITH {_WEB},
+p AS (SELECT url, time_bucket(INTERVAL 5 SECOND, ts) + INTERVAL 5 SECOND AS pane_end, count(*) AS c FROM f GROUP BY ALL),
+w AS (SELECT url, unnest(generate_series(pane_end, pane_end + INTERVAL 595 SECOND, INTERVAL 5 SECOND)) AS window_end, c
+      FROM p),
+c AS (SELECT url, window_end, CAST(sum(c) AS BIGINT) AS cnt FROM w GROUP BY ALL),
+r AS (SELECT url, window_end, cnt,
+             row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rnk FROM c)
+SELECT window_end,
+       '=====================窗口结束时间：' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+       || string_agg('NO ' || CAST(rnk AS VARCHAR) || ': 页面URL=' || url
+                     || '浏览量=' || CAST(cnt AS VARCHAR) || chr(10), '' ORDER BY rnk)
+       || '=====================' || chr(10) || chr(10) AS report
+FROM r WHERE rnk <= 3 GROUP BY window_end""",
     "pv_hourly": """
 SELECT 'pv' AS key, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS cnt
 FROM events WHERE event_type = 'view' GROUP BY ALL""",
