@@ -46,7 +46,8 @@ class ClickCapProcessor(StatefulProcessor):
             return
         pdf = _named(pdf, self.columns)
         pdf = pdf.sort_values([c for c in self.order if c in pdf.columns], kind="stable")
-        clicks, sent, day_end = (self.state.get() if self.state.exists() else (0, False, -1))
+        st = self.state.get()
+        clicks, sent, day_end = st if st is not None else (0, False, -1)
         kinds = np.full(len(pdf), "", dtype=object)
         ends = pdf["_day_end"].to_numpy()
         start = 0
@@ -118,3 +119,50 @@ class LateSplitProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class ClickCapRowProcessor(StatefulProcessor):
+    """Row form of :class:`ClickCapProcessor` for ``transformWithState``.
+
+    Keys usually have a handful of clicks per micro-batch; a loop over Rows
+    avoids building a pandas frame per key.  Same state, timer and output.
+    """
+
+    def __init__(self, cap: int, order: tuple[str, ...] = ("ts", "offset")):
+        self.cap = int(cap)
+        self.order = list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("cap", "clicks long, sent boolean, day_end long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        from pyspark.sql import Row
+        batch = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
+        if not batch:
+            return
+        st = self.state.get()
+        clicks, sent, day_end = st if st is not None else (0, False, -1)
+        out = []
+        for r in batch:
+            de = r["_day_end"]
+            if de != day_end:
+                clicks, sent, day_end = 0, False, de
+                self.handle.registerTimer(int(de))
+            if clicks < self.cap:
+                clicks += 1
+                out.append(Row(**r.asDict(), kind="ok"))
+            elif not sent:
+                sent = True
+                out.append(Row(**r.asDict(), kind="alert"))
+        self.state.update((int(clicks), bool(sent), int(day_end)))
+        yield from out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        st = self.state.get()
+        if st is not None and st[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass

@@ -149,9 +149,10 @@ def click_dir():
     return d
 
 
-def test_click_cap_stream_matches_batch(spark, click_dir):
+@pytest.mark.parametrize("form", ["rows", "pandas"])
+def test_click_cap_stream_matches_batch(spark, click_dir, form):
     batch = read_ad_clicks(spark, click_dir)
-    tagged = jobs.capped_click_stream(ad_click_stream(spark, click_dir), cap=2)
+    tagged = jobs.capped_click_stream(ad_click_stream(spark, click_dir), cap=2, form=form)
     q = start_query(tagged, "cap", "append", sink="memory")
     q.awaitTermination(300)
     got = spark.sql(f"select * from {q.name}")
