@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY_MS = 86_400_000
 
+# Processors are shipped to Python workers -- including the driver-side
+# worker that sets up state schemas -- by value, so no worker needs this
+# package on its path.
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _named(pdf: pd.DataFrame, columns: list[str] | None) -> pd.DataFrame:
     """Input batches may carry computed columns without their names; the
