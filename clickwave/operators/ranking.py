@@ -27,19 +27,6 @@ def top_n_by_count(df: DataFrame, window_col: str, key: str, cnt: str, n: int,
     return top_n(df, [window_col], [F.desc(cnt), F.asc(key)], n, rank_col)
 
 
-def top_n_collected(df: DataFrame, window_col: str, key: str, cnt: str, n: int,
-                    rank_col: str = "rank") -> DataFrame:
-    """Streaming-safe top ``n``: ``row_number`` is refused on streams, a sorted
-    array is not.  Sorting ``struct(-cnt, key)`` ascending gives count
-    descending, key ascending."""
-    top = (df.groupBy(window_col)
-           .agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col(cnt)).alias("neg"), F.col(key).alias("key")))),
-                        1, n).alias("_top")))
-    return top.select(window_col, F.posexplode("_top").alias("_pos", "_e")).select(
-        window_col, F.col("_e.key").alias(key), (-F.col("_e.neg")).alias(cnt),
-        (F.col("_pos") + 1).alias(rank_col))
-
-
 def ranking_reports(ranked: DataFrame, window_col: str, key: str, cnt: str,
                     rank_col: str = "rank", labels: tuple[str, str] = ITEM_LABELS,
                     out: str = "report") -> DataFrame:

@@ -21,7 +21,7 @@ from clickwave.sources.events import (
 )
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
-from clickwave.streaming.sinks import RunningUvWriter, start_query
+from clickwave.streaming.sinks import RunningUvWriter, TopNWriter, start_query
 from clickwave.streaming.sources import event_table_stream
 
 
@@ -47,10 +47,14 @@ def _ntz(c: str):
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-def hot_items_streamed(spark: SparkSession, sf_dir: str, page_view: str) -> DataFrame:
+def hot_items_streamed(spark: SparkSession, sf_dir: str, page_view: str, top: int = 5) -> DataFrame:
     behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
-    out = run_to_parquet(jobs.hot_items_stream(behavior, page_view=page_view), "hot_items")
-    return out.select(F.col("itemId").alias("item_id"), _ntz("window_end"), "cnt", "rank")
+    base = _workdir(spark, "hot_items")
+    writer = TopNWriter(spark, f"{base}/out", "window_end", "itemId", "cnt", top)
+    q = start_query(jobs.hot_item_counts_stream(behavior, page_view=page_view), "hot_items", "append",
+                    checkpoint=f"{base}/ck", foreach_batch=writer)
+    _await(q)
+    return writer.result().select(F.col("itemId").alias("item_id"), _ntz("window_end"), "cnt", "rank")
 
 
 def ad_click_capped_streamed(spark: SparkSession, sf_dir: str, cap: int) -> DataFrame:

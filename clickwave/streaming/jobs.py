@@ -10,7 +10,6 @@ from clickwave.functions.formatting import alert_message, java_timestamp_text
 from clickwave.functions.hashing import bitmap_offset
 from clickwave.functions.predicates import equals, not_equal_keep_null, not_static_resource
 from clickwave.operators.fraud import RESET_OFFSET_HOURS
-from clickwave.operators.ranking import top_n_collected
 from clickwave.operators.timeutil import plus_seconds, seconds
 from clickwave.streaming.processors import (
     DAY_MS, ClickCapProcessor, ClickCapRowProcessor, LateSplitProcessor,
@@ -41,26 +40,34 @@ def stream_sliding_counts(df: DataFrame, keys: list[str], ts: str, size, slide,
             .agg(F.sum("_c").alias(out)))
 
 
-def hot_items_stream(behavior: DataFrame, top: int = 5, size="1 hour", slide="5 minutes",
-                     page_view: str = "pv", delay: str = "0 seconds") -> DataFrame:
-    """HotItems on a stream -> window_end, itemId, cnt, rank (append: final rankings)."""
+def hot_item_counts_stream(behavior: DataFrame, size="1 hour", slide="5 minutes",
+                           page_view: str = "pv", delay: str = "0 seconds") -> DataFrame:
+    """HotItems window counts on a stream -> itemId, window_end, cnt (append).
+
+    In append mode a window's rows leave the state store together, in the
+    micro-batch whose watermark passes its end, so ranking each micro-batch
+    (:class:`clickwave.streaming.sinks.TopNWriter`) gives final rankings
+    with bounded work per window.
+    """
     views = with_event_time(behavior, delay).where(equals("behavior", page_view)).select("itemId", "ts")
     counts = stream_sliding_counts(views, ["itemId"], "ts", size, slide)
-    ranked = top_n_collected(counts, "window", "itemId", "cnt", top)
-    return ranked.select(F.col("window.end").alias("window_end"), "itemId", "cnt", "rank")
+    return counts.select("itemId", F.col("window.end").alias("window_end"), "cnt")
+
+
+HOT_ITEMS_WINDOW_SQL = (
+    "SELECT itemId, count(itemId) AS cnt, window.end AS windowEnd FROM {view} "
+    "WHERE behavior = '{page_view}' GROUP BY itemId, window(ts, '{size} seconds', '{slide} seconds')")
 
 
-def hot_items_sql_stream(spark: SparkSession, behavior: DataFrame, top: int = 5,
-                         size="1 hour", slide="5 minutes", page_view: str = "pv",
-                         delay: str = "0 seconds", view: str = "data_table_stream") -> DataFrame:
-    """A stream registered as a view and aggregated in SQL; the per-window
-    ranking (``ROW_NUMBER`` is refused on streams) uses the sorted-array form."""
+def hot_items_sql_stream(spark: SparkSession, behavior: DataFrame, size="1 hour", slide="5 minutes",
+                         page_view: str = "pv", delay: str = "0 seconds",
+                         view: str = "data_table_stream") -> DataFrame:
+    """A stream registered as a view and aggregated with SQL (append).
+    ``ROW_NUMBER`` is refused on streams; rank each micro-batch with
+    :class:`clickwave.streaming.sinks.SqlTopNWriter`."""
     with_event_time(behavior, delay).select("itemId", "behavior", "ts").createOrReplaceTempView(view)
-    agg = spark.sql(
-        f"SELECT itemId, count(itemId) AS cnt, window(ts, '{seconds(size)} seconds', "
-        f"'{seconds(slide)} seconds') AS w FROM {view} WHERE behavior = '{page_view}' GROUP BY itemId, w")
-    ranked = top_n_collected(agg, "w", "itemId", "cnt", top, rank_col="row_num")
-    return ranked.select("itemId", "cnt", F.col("w.end").alias("windowEnd"), "row_num")
+    return spark.sql(HOT_ITEMS_WINDOW_SQL.format(view=view, page_view=page_view, size=seconds(size),
+                                                 slide=seconds(slide)))
 
 
 def page_views_stream(behavior: DataFrame, size="1 hour", salts: int = 10, page_view: str = "pv",

@@ -33,6 +33,49 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+class TopNWriter:
+    """Final per-window rankings from an append-mode count stream (T1 on streams).
+
+    Each micro-batch holds whole windows, so ``row_number`` over the batch is
+    final; its partial window-group limit keeps the work per window bounded.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, window_col: str, key: str, cnt: str,
+                 n: int, rank_col: str = "rank"):
+        self.out = AppendLog(spark, base)
+        self.args = (window_col, key, cnt, n, rank_col)
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        window_col, key, cnt, n, rank_col = self.args
+        self.out.write(top_n_by_count(batch, window_col, key, cnt, n, rank_col), epoch)
+
+    def result(self) -> DataFrame:
+        return self.out.read().drop("epoch")
+
+
+class SqlTopNWriter:
+    """R9 + T3: the reference's ``ROW_NUMBER`` SQL run on each micro-batch of an
+    append-mode window aggregate registered as a view."""
+
+    SQL = ("SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY windowEnd "
+           "ORDER BY cnt DESC, itemId) AS row_num FROM {view}) WHERE row_num <= {top}")
+
+    def __init__(self, spark: SparkSession, base: str, top: int = 5, view: str = "agg"):
+        self.out = AppendLog(spark, base)
+        self.top, self.view = top, view
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        view = f"{self.view}_{epoch}"
+        batch.createOrReplaceTempView(view)
+        try:
+            self.out.write(batch.sparkSession.sql(self.SQL.format(view=view, top=int(self.top))), epoch)
+        finally:
+            batch.sparkSession.catalog.dropTempView(view)
+
+    def result(self) -> DataFrame:
+        return self.out.read().drop("epoch")
+
+
 class RunningUvWriter:
     """A8 + S7 on a stream of page views (``bitmap_views_stream``).
 

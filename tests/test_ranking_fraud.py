@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from clickwave.operators import (
-    blacklist_alerts, cap_clicks, passed_clicks, ranking_reports, top_n_by_count, top_n_collected,
+    blacklist_alerts, cap_clicks, passed_clicks, ranking_reports, top_n_by_count,
 )
 from clickwave.plans import ads
 from clickwave.sources.text import read_ad_clicks
@@ -15,8 +15,6 @@ def test_ties_break_by_key_ascending(spark):
         .withColumn("window_end", F.lit("w"))
     top = top_n_by_count(df, "window_end", "itemId", "cnt", 3)
     assert sorted_rows(top, "rank", "itemId") == [(1, 2), (2, 3), (3, 1)]
-    coll = top_n_collected(df, "window_end", "itemId", "cnt", 3)
-    assert sorted_rows(coll, "rank", "itemId", "cnt") == sorted_rows(top, "rank", "itemId", "cnt")
 
 
 def test_fewer_rows_than_n_and_report_text(spark):

@@ -11,7 +11,7 @@ from clickwave.operators import cap_clicks, passed_clicks
 from clickwave.plans import ads, hot_items, marketing, traffic
 from clickwave.sources.text import read_ad_clicks, read_user_behavior
 from clickwave.streaming import jobs
-from clickwave.streaming.sinks import HotPagesWriter, RunningUvWriter, start_query
+from clickwave.streaming.sinks import HotPagesWriter, RunningUvWriter, SqlTopNWriter, TopNWriter, start_query
 from clickwave.streaming.sources import ad_click_stream, user_behavior_stream, web_log_stream
 from tests.conftest import SF_SMALL
 
@@ -74,21 +74,28 @@ def _max_ts(batch):
     return batch.agg(F.max("ts")).collect()[0][0]
 
 
-def test_hot_items_stream_equals_batch(spark, behavior_dir):
+def test_hot_items_stream_equals_batch(spark, behavior_dir, tmpdir_fresh):
     batch = read_user_behavior(spark, behavior_dir)
     wm = _max_ts(batch)
-    out = _run(jobs.hot_items_stream(user_behavior_stream(spark, behavior_dir)))
-    got = out.select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "itemId", "cnt", "rank")
+    writer = TopNWriter(spark, tmpdir_fresh, "window_end", "itemId", "cnt", 5)
+    q = start_query(jobs.hot_item_counts_stream(user_behavior_stream(spark, behavior_dir)), "items",
+                    "append", foreach_batch=writer)
+    q.awaitTermination(300)
+    got = writer.result().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                 "itemId", "cnt", "rank")
     exp = _closed(hot_items.hot_items(batch), wm)
     assert got.count() > 0
     assert _rows(got, "window_end", "itemId", "cnt", "rank") == _rows(exp, "window_end", "itemId", "cnt", "rank")
 
 
-def test_sql_view_on_stream(spark, behavior_dir):
+def test_sql_view_on_stream(spark, behavior_dir, tmpdir_fresh):
     batch = read_user_behavior(spark, behavior_dir)
     wm = _max_ts(batch)
-    out = _run(jobs.hot_items_sql_stream(spark, user_behavior_stream(spark, behavior_dir)))
-    got = out.select("itemId", "cnt", F.col("windowEnd").cast("timestamp_ntz").alias("w"), "row_num")
+    writer = SqlTopNWriter(spark, tmpdir_fresh, top=5)
+    q = start_query(jobs.hot_items_sql_stream(spark, user_behavior_stream(spark, behavior_dir)), "sqlv",
+                    "append", foreach_batch=writer)
+    q.awaitTermination(300)
+    got = writer.result().select("itemId", "cnt", F.col("windowEnd").cast("timestamp_ntz").alias("w"), "row_num")
     exp = hot_items.hot_items_sql(spark, batch).where(F.col("windowEnd") <= F.lit(wm))
     assert _rows(got, "itemId", "cnt", "w", "row_num") == _rows(exp, "itemId", "cnt", "windowEnd", "row_num")
 
