@@ -91,32 +91,39 @@ class RunningUvWriter:
         self.spark = spark
         self.base = base.rstrip("/")
         self.counts = VersionedTable(spark, f"{base}/uv_count", "window_end timestamp, uv bigint")
-        self.rows = AppendLog(spark, f"{base}/rows", partition_by=["window_end"])
+        # daily partitions: a batch of an in-order stream touches one or two
+        self.rows = AppendLog(spark, f"{base}/rows", partition_by=["window_day"])
         self.bucket_seconds = bucket_seconds
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
+        rows = None
         try:
             firsts = (batch.groupBy("window_end", "_off")
                       .agg(F.min(F.struct("ts", "offset")).alias("_f"))
                       .select("window_end", "_off", "_f.ts", "_f.offset"))
-            touched = firsts.select("window_end").distinct()
             seen = self.rows.read(before_epoch=epoch)
             if seen is not None:
-                seen = seen.join(touched, "window_end", "left_semi").select("window_end", "_off")
+                days = batch.select(F.to_date("window_end").alias("window_day")).distinct()
+                touched = firsts.select("window_end").distinct()
+                seen = (seen.join(days, "window_day", "left_semi")
+                        .join(touched, "window_end", "left_semi").select("window_end", "_off"))
                 firsts = firsts.join(seen, ["window_end", "_off"], "left_anti")
             prev = self.counts.read(before_epoch=epoch)
             ranked = running_aggregate(firsts, ["window_end"], ["ts", "offset"], "count", "_n",
                                        bucket_seconds=self.bucket_seconds)
             rows = (ranked.join(prev, "window_end", "left")
                     .select(F.lit("uv").alias("key"), "window_end", "ts", "_off",
-                            (F.coalesce(F.col("uv"), F.lit(0)) + F.col("_n")).alias("uv_count")))
+                            (F.coalesce(F.col("uv"), F.lit(0)) + F.col("_n")).alias("uv_count"),
+                            F.to_date("window_end").alias("window_day"))
+                    .persist())
             self.rows.write(rows, epoch)
-            latest = (self.rows.read_epoch(epoch).groupBy("window_end")
-                      .agg(F.max("uv_count").alias("uv")))
+            latest = rows.groupBy("window_end").agg(F.max("uv_count").alias("uv"))
             self.counts.write(prev.join(latest, "window_end", "left_anti").unionByName(latest), epoch)
         finally:
             batch.unpersist()
+            if rows is not None:
+                rows.unpersist()
 
     def result(self) -> DataFrame:
         return self.rows.read().select("key", "window_end", "ts", "uv_count")

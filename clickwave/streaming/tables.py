@@ -62,9 +62,11 @@ class AppendLog:
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by or []
 
     def write(self, df: DataFrame, epoch: int) -> None:
-        w = df.write.mode("overwrite")
         if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
+            # one file per partition value and epoch, not one per task and value
+            w = df.repartition(*self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by)
+        else:
+            w = df.write.mode("overwrite")
         w.parquet(f"{self.path}/epoch={epoch}")
 
     def epochs(self) -> list[int]:
