@@ -137,6 +137,18 @@ def q_late_split_stream(spark, sf_dir):
     return streamed.late_split_streamed(spark, sf_dir)
 
 
+def q_pv_hourly_stream(spark, sf_dir):
+    return streamed.pv_hourly_streamed(spark, sf_dir, PAGE_VIEW)
+
+
+def q_uv_hourly_stream(spark, sf_dir):
+    return streamed.uv_hourly_streamed(spark, sf_dir, PAGE_VIEW)
+
+
+def q_ads_by_province_stream(spark, sf_dir):
+    return streamed.ads_by_province_streamed(spark, sf_dir, AD_CAP)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_topn": q_hot_items_topn,
     "hot_items_sql": q_hot_items_sql,
@@ -159,6 +171,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_capped_stream": q_ad_click_capped_stream,
     "uv_running_stream": q_uv_running_stream,
     "late_split_stream": q_late_split_stream,
+    "pv_hourly_stream": q_pv_hourly_stream,
+    "uv_hourly_stream": q_uv_hourly_stream,
+    "ads_by_province_stream": q_ads_by_province_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -308,3 +323,9 @@ ORACLES["hot_items_stream"] = (
 ORACLES["ad_click_capped_stream"] = ORACLES["ad_click_capped"]
 ORACLES["uv_running_stream"] = ORACLES["uv_running"]
 ORACLES["late_split_stream"] = ORACLES["late_split"]
+_VIEW_WM = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+ORACLES["pv_hourly_stream"] = f"SELECT * FROM ({ORACLES['pv_hourly']}) WHERE window_end <= {_VIEW_WM}"
+ORACLES["uv_hourly_stream"] = f"SELECT * FROM ({ORACLES['uv_hourly_exact']}) WHERE window_end <= {_VIEW_WM}"
+# the cap's output (passed clicks and alerts) carries the watermark downstream
+ORACLES["ads_by_province_stream"] = f"""SELECT * FROM ({ORACLES['ads_by_province']})
+WHERE window_end <= (WITH {_CAPPED} SELECT max(ts) FROM r WHERE click_rank <= {AD_CAP + 1})"""

@@ -84,3 +84,22 @@ def late_split_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_to_parquet(jobs.late_split_stream(log), "late_split")
     return out.select(F.col("offset").alias("event_id"), "source", "url", _ntz("ts"), _ntz("arrival"),
                       _ntz("watermark"), "is_late")
+
+
+def pv_hourly_streamed(spark: SparkSession, sf_dir: str, page_view: str) -> DataFrame:
+    behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
+    out = run_to_parquet(jobs.page_views_stream(behavior, page_view=page_view), "pv_hourly")
+    return out.select("key", _ntz("window_end"), "cnt")
+
+
+def uv_hourly_streamed(spark: SparkSession, sf_dir: str, page_view: str) -> DataFrame:
+    behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
+    out = run_to_parquet(jobs.unique_visitors_stream(behavior, page_view=page_view), "uv_hourly")
+    return out.select("key", _ntz("window_end"), "uv")
+
+
+def ads_by_province_streamed(spark: SparkSession, sf_dir: str, cap: int) -> DataFrame:
+    clicks = ad_clicks_from_events(event_table_stream(spark, sf_dir))
+    tagged = jobs.capped_click_stream(clicks, cap)
+    out = run_to_parquet(jobs.ads_by_province_stream(tagged), "ads_by_province")
+    return out.select("province", _ntz("window_end"), "cnt")
