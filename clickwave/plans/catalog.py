@@ -145,6 +145,10 @@ def q_uv_hourly_stream(spark, sf_dir):
     return streamed.uv_hourly_streamed(spark, sf_dir, PAGE_VIEW)
 
 
+def q_hot_pages_stream(spark, sf_dir):
+    return streamed.hot_pages_streamed(spark, sf_dir)
+
+
 def q_ads_by_province_stream(spark, sf_dir):
     return streamed.ads_by_province_streamed(spark, sf_dir, AD_CAP)
 
@@ -174,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pv_hourly_stream": q_pv_hourly_stream,
     "uv_hourly_stream": q_uv_hourly_stream,
     "ads_by_province_stream": q_ads_by_province_stream,
+    "hot_pages_stream": q_hot_pages_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -329,3 +334,6 @@ ORACLES["uv_hourly_stream"] = f"SELECT * FROM ({ORACLES['uv_hourly_exact']}) WHE
 # the cap's output (passed clicks and alerts) carries the watermark downstream
 ORACLES["ads_by_province_stream"] = f"""SELECT * FROM ({ORACLES['ads_by_province']})
 WHERE window_end <= (WITH {_CAPPED} SELECT max(ts) FROM r WHERE click_rank <= {AD_CAP + 1})"""
+# rankings are issued once the watermark (largest request time - 1 s) is past a window's end
+ORACLES["hot_pages_stream"] = f"""SELECT * FROM ({ORACLES['hot_pages_topn']})
+WHERE window_end < (WITH {_WEB} SELECT max(ts) - INTERVAL 1 SECOND FROM f)"""

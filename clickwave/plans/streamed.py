@@ -17,11 +17,11 @@ from clickwave.operators.fraud import reset_day
 from clickwave.operators.timeutil import plus_seconds
 from clickwave.session import checkpoint_dir
 from clickwave.sources.events import (
-    ad_clicks_from_events, user_behavior_from_events, web_log_lines_from_events,
+    ad_clicks_from_events, marketing_from_events, user_behavior_from_events, web_log_lines_from_events,
 )
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
-from clickwave.streaming.sinks import RunningUvWriter, TopNWriter, start_query
+from clickwave.streaming.sinks import HotPagesWriter, RunningUvWriter, TopNWriter, final_rankings, start_query
 from clickwave.streaming.sources import event_table_stream
 
 
@@ -103,3 +103,20 @@ def ads_by_province_streamed(spark: SparkSession, sf_dir: str, cap: int) -> Data
     tagged = jobs.capped_click_stream(clicks, cap)
     out = run_to_parquet(jobs.ads_by_province_stream(tagged), "ads_by_province")
     return out.select("province", _ntz("window_end"), "cnt")
+
+
+def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rankings issued by the revising writer; the last issue of each window."""
+    log = web_log_from_lines(web_log_lines_from_events(event_table_stream(spark, sf_dir)), ntz=False)
+    base = _workdir(spark, "hot_pages")
+    writer = HotPagesWriter(spark, f"{base}/tables")
+    q = start_query(jobs.page_count_updates(log), "hot_pages", "update", checkpoint=f"{base}/ck",
+                    foreach_batch=writer)
+    _await(q)
+    return final_rankings(writer.rankings.read()).select("url", _ntz("window_end"), "cnt", "rank")
+
+
+def marketing_total_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -> DataFrame:
+    events = marketing_from_events(event_table_stream(spark, sf_dir))
+    out = run_to_parquet(jobs.marketing_stream(events, by_channel=False, uninstall=uninstall), "marketing_total")
+    return out.select("channel", "behavior", _ntz("window_end"), "cnt")

@@ -187,6 +187,12 @@ class HotPagesWriter:
             upd.unpersist()
 
 
+def final_rankings(rankings: DataFrame) -> DataFrame:
+    """The last issue of every window from a ``HotPagesWriter.rankings`` log."""
+    last = rankings.groupBy("window_end").agg(F.max("epoch").alias("epoch"))
+    return rankings.join(last, ["window_end", "epoch"], "left_semi").drop("epoch")
+
+
 def _td(secs: int):
     import datetime as dt
     return dt.timedelta(seconds=secs)
