@@ -90,10 +90,19 @@ def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,
     size_s, slide_s = seconds(size), seconds(slide)
     if size_s % slide_s:
         raise ValueError("window size must be a multiple of the slide")
-    panes = (df.groupBy(*keys, window_end(ts, slide_s).alias("_e"))
-             .agg(F.count(F.lit(1)).alias("_d")))
-    expire = panes.select(*keys, plus_seconds(F.col("_e"), size_s).alias("_e"), (-F.col("_d")).alias("_d"))
-    changes = (panes.unionByName(expire).groupBy(*keys, "_e").agg(F.sum("_d").alias("_d"))
+    panes = (df.groupBy(*keys, window_end(ts, slide_s).alias("pane_end"))
+             .agg(F.count(F.lit(1)).alias("cnt")))
+    return runs_from_panes(panes, keys, size_s, out=out, bucket_seconds=bucket_seconds)
+
+
+def runs_from_panes(panes: DataFrame, keys: list[str], size: int | str, pane_col: str = "pane_end",
+                    cnt_col: str = "cnt", out: str = "cnt", bucket_seconds: int = 86400) -> DataFrame:
+    """Runs of window ends from pane counts (``keys, pane_end, cnt``): a pane
+    adds its count at its own end and removes it one window length later."""
+    size_s = seconds(size)
+    p = panes.select(*keys, F.col(pane_col).alias("_e"), F.col(cnt_col).cast("bigint").alias("_d"))
+    expire = p.select(*keys, plus_seconds(F.col("_e"), size_s).alias("_e"), (-F.col("_d")).alias("_d"))
+    changes = (p.unionByName(expire).groupBy(*keys, "_e").agg(F.sum("_d").alias("_d"))
                .where(F.col("_d") != 0))
     runs = running_aggregate(changes, keys, ["_e"], how="sum", value="_d", out=out,
                              next_of="_e", next_out="window_end_until",
@@ -102,10 +111,19 @@ def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,
             .select(*keys, F.col("_e").alias("window_end_from"), "window_end_until", out))
 
 
-def expand_runs(runs: DataFrame, slide: int | str) -> DataFrame:
-    """Runs -> one row per window end."""
+def expand_runs(runs: DataFrame, slide: int | str, after=None, upto=None) -> DataFrame:
+    """Runs -> one row per window end; optionally only ends in ``(after, upto]``
+    (bounds on the slide grid, as literals or columns)."""
     slide_s = seconds(slide)
-    stop = plus_seconds(F.col("window_end_until"), -slide_s)
+    start, stop = F.col("window_end_from"), plus_seconds(F.col("window_end_until"), -slide_s)
+    if after is not None:
+        start = F.greatest(start, plus_seconds(_as_col(after), slide_s))
+    if upto is not None:
+        stop = F.least(stop, _as_col(upto))
     keep = [c for c in runs.columns if c not in ("window_end_from", "window_end_until")]
-    return runs.select(*keep, F.explode(F.sequence(F.col("window_end_from"), stop, interval(slide_s)))
-                       .alias("window_end"))
+    return (runs.where(start <= stop)
+            .select(*keep, F.explode(F.sequence(start, stop, interval(slide_s))).alias("window_end")))
+
+
+def _as_col(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)

@@ -149,6 +149,10 @@ def q_hot_pages_stream(spark, sf_dir):
     return streamed.hot_pages_streamed(spark, sf_dir)
 
 
+def q_marketing_total_stream(spark, sf_dir):
+    return streamed.marketing_total_streamed(spark, sf_dir, UNINSTALL)
+
+
 def q_ads_by_province_stream(spark, sf_dir):
     return streamed.ads_by_province_streamed(spark, sf_dir, AD_CAP)
 
@@ -179,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uv_hourly_stream": q_uv_hourly_stream,
     "ads_by_province_stream": q_ads_by_province_stream,
     "hot_pages_stream": q_hot_pages_stream,
+    "marketing_total_stream": q_marketing_total_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -337,3 +342,5 @@ WHERE window_end <= (WITH {_CAPPED} SELECT max(ts) FROM r WHERE click_rank <= {A
 # rankings are issued once the watermark (largest request time - 1 s) is past a window's end
 ORACLES["hot_pages_stream"] = f"""SELECT * FROM ({ORACLES['hot_pages_topn']})
 WHERE window_end < (WITH {_WEB} SELECT max(ts) - INTERVAL 1 SECOND FROM f)"""
+ORACLES["marketing_total_stream"] = f"""SELECT * FROM ({ORACLES['marketing_total']})
+WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'signup')"""

@@ -21,7 +21,9 @@ from clickwave.sources.events import (
 )
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
-from clickwave.streaming.sinks import HotPagesWriter, RunningUvWriter, TopNWriter, final_rankings, start_query
+from clickwave.streaming.sinks import (
+    HotPagesWriter, RunningUvWriter, SlidingWindowWriter, TopNWriter, final_rankings, start_query,
+)
 from clickwave.streaming.sources import event_table_stream
 
 
@@ -117,6 +119,12 @@ def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marketing_total_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -> DataFrame:
+    """AppMarketingStatistics on a stream: pane updates + ``SlidingWindowWriter``."""
     events = marketing_from_events(event_table_stream(spark, sf_dir))
-    out = run_to_parquet(jobs.marketing_stream(events, by_channel=False, uninstall=uninstall), "marketing_total")
-    return out.select("channel", "behavior", _ntz("window_end"), "cnt")
+    base = _workdir(spark, "marketing_total")
+    writer = SlidingWindowWriter(spark, f"{base}/tables", [], "1 hour", "5 seconds")
+    q = start_query(jobs.marketing_pane_updates(events, by_channel=False, uninstall=uninstall),
+                    "marketing_total", "update", checkpoint=f"{base}/ck", foreach_batch=writer)
+    _await(q)
+    return writer.result().select(F.lit("total").alias("channel"), F.lit("total").alias("behavior"),
+                                  _ntz("window_end"), "cnt")

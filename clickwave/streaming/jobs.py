@@ -192,3 +192,22 @@ def late_split_stream(log: DataFrame, source: str = "source", size="10 minutes",
     tagged = rows.groupBy(source).transformWithStateInPandas(
         LateSplitProcessor(seconds(out_of_orderness) * 1_000_000, columns=rows.columns), schema, "Append", "None")
     return tagged.withColumn("watermark", F.timestamp_micros("_wm_us")).drop("_ts_us", "_cleanup_us", "_wm_us")
+
+
+def pane_count_updates(df: DataFrame, keys: list[str], ts: str = "ts", slide="5 seconds",
+                       delay: str = "0 seconds") -> DataFrame:
+    """Counts per (keys, pane) in update mode, with the largest event time of
+    each pane: one stateful aggregation, one state row per live pane.
+    :class:`clickwave.streaming.sinks.SlidingWindowWriter` turns them into
+    final sliding-window counts."""
+    src = with_event_time(df, delay)
+    return (src.groupBy(*keys, _win(ts, slide).alias("pane"))
+            .agg(F.count(F.lit(1)).alias("cnt"), F.max(ts).alias("max_ts"))
+            .select(*keys, F.col("pane.end").alias("pane_end"), "cnt", "max_ts"))
+
+
+def marketing_pane_updates(events: DataFrame, by_channel: bool = True, slide="5 seconds",
+                           uninstall: str = "UNINSTALL", delay: str = "0 seconds") -> DataFrame:
+    kept = events.where(not_equal_keep_null("behavior", uninstall))
+    keys = ["channel", "behavior"] if by_channel else []
+    return pane_count_updates(kept.select(*keys, "ts"), keys, "ts", slide, delay)

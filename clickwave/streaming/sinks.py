@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickwave.operators.ranking import top_n_by_count
+from clickwave.operators.windows import expand_runs, runs_from_panes
 from clickwave.operators.scan import running_aggregate
 from clickwave.operators.timeutil import plus_seconds, seconds
 from clickwave.session import streaming_checkpoint
@@ -33,6 +34,65 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+class SlidingWindowWriter:
+    """Final sliding-window counts from pane-count updates (W2 + A1 on streams).
+
+    Spark's streaming ``window(ts, size, slide)`` copies every row (or pane)
+    into ``size/slide`` windows of state; here the state is one row per live
+    pane.  Per micro-batch: upsert the updated panes, move the watermark to
+    the largest event time minus ``delay``, and emit every window end that
+    became final -- ``(previous watermark, watermark]`` on the slide grid --
+    from the run-length form of the stored panes.  Panes that can no longer
+    reach an unemitted window are dropped.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, keys: list[str], size, slide,
+                 delay="0 seconds"):
+        self.spark, self.base, self.keys = spark, base.rstrip("/"), list(keys)
+        self.size_s, self.slide_s, self.delay_s = seconds(size), seconds(slide), seconds(delay)
+        self.progress = VersionedTable(spark, f"{self.base}/progress", "emitted_upto_us bigint")
+        self.out = AppendLog(spark, f"{self.base}/windows")
+        self.panes: VersionedTable | None = None
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        if self.panes is None:
+            fields = [f.simpleString() for f in batch.select(*self.keys, "pane_end", "cnt").schema.fields]
+            self.panes = VersionedTable(self.spark, f"{self.base}/panes", ", ".join(
+                f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields))
+        upd = batch.select(*self.keys, "pane_end", "cnt", "max_ts").persist()
+        try:
+            prev = self.progress.read(epoch).collect()
+            after_us = prev[0][0] if prev else None
+            top_us = upd.agg(F.unix_micros(F.max("max_ts"))).collect()[0][0]
+            step = self.slide_s * 1_000_000
+            upto_us = after_us
+            if top_us is not None:
+                cand = ((top_us - self.delay_s * 1_000_000) // step) * step
+                upto_us = cand if after_us is None else max(after_us, cand)
+            stored = self.panes.read(epoch)
+            panes = (stored.join(upd.select(*self.keys, "pane_end"), [*self.keys, "pane_end"], "left_anti")
+                     if self.keys else stored.join(upd.select("pane_end"), ["pane_end"], "left_anti"))
+            panes = panes.unionByName(upd.select(*self.keys, "pane_end", "cnt")).persist()
+            if upto_us is not None and (after_us is None or upto_us > after_us):
+                runs = runs_from_panes(panes, self.keys, self.size_s)
+                after = F.timestamp_micros(F.lit(after_us)) if after_us is not None else None
+                final = expand_runs(runs, self.slide_s, after=after, upto=F.timestamp_micros(F.lit(upto_us)))
+                self.out.write(final.select(*self.keys, "window_end", "cnt"), epoch)
+            if upto_us is not None:
+                alive = F.unix_micros(F.col("pane_end")) + F.lit((self.size_s - self.slide_s) * 1_000_000) > F.lit(upto_us)
+                self.panes.write(panes.where(alive), epoch)
+                self.progress.write(self.spark.createDataFrame([(int(upto_us),)], "emitted_upto_us bigint"), epoch)
+            else:
+                self.panes.write(panes, epoch)
+            panes.unpersist()
+        finally:
+            upd.unpersist()
+
+    def result(self) -> DataFrame:
+        got = self.out.read()
+        return got.drop("epoch") if got is not None else None
+
+
 class TopNWriter:
     """Final per-window rankings from an append-mode count stream (T1 on streams).
 

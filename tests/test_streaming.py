@@ -11,7 +11,9 @@ from clickwave.operators import cap_clicks, passed_clicks
 from clickwave.plans import ads, hot_items, marketing, traffic
 from clickwave.sources.text import read_ad_clicks, read_user_behavior
 from clickwave.streaming import jobs
-from clickwave.streaming.sinks import HotPagesWriter, RunningUvWriter, SqlTopNWriter, TopNWriter, start_query
+from clickwave.streaming.sinks import (
+    HotPagesWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, start_query,
+)
 from clickwave.streaming.sources import ad_click_stream, user_behavior_stream, web_log_stream
 from tests.conftest import SF_SMALL
 
@@ -140,6 +142,24 @@ def test_marketing_total_stream(spark, behavior_dir):
     assert _rows(got, "window_end", "cnt") == _rows(exp, "window_end", "cnt")
 
 
+def test_sliding_window_writer_equals_batch(spark, behavior_dir, tmpdir_fresh):
+    batch = read_user_behavior(spark, behavior_dir).select(
+        "userId", "behavior", F.col("categoryId").cast("string").alias("channel"), "ts")
+    wm = _max_ts(batch)
+    stream = user_behavior_stream(spark, behavior_dir).select(
+        "userId", "behavior", F.col("categoryId").cast("string").alias("channel"), "ts")
+    writer = SlidingWindowWriter(spark, tmpdir_fresh, ["channel", "behavior"], "10 minutes", "30 seconds")
+    q = start_query(jobs.marketing_pane_updates(stream, slide="30 seconds", uninstall="cart"), "panes",
+                    "update", foreach_batch=writer)
+    q.awaitTermination(300)
+    got = writer.result().select("channel", "behavior",
+                                 F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
+    exp = _closed(marketing.by_channel(batch, "cart", "10 minutes", "30 seconds"), wm)
+    assert got.count() > 100
+    assert _rows(got, "channel", "behavior", "window_end", "cnt") == \
+        _rows(exp, "channel", "behavior", "window_end", "cnt")
+
+
 @pytest.fixture(scope="module")
 def click_dir():
     # (user, ad, province, city, epoch s): user 1 clicks ad 7 five times on one UTC+8 day,
