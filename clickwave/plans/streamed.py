@@ -112,7 +112,7 @@ def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = web_log_from_lines(web_log_lines_from_events(event_table_stream(spark, sf_dir)), ntz=False)
     base = _workdir(spark, "hot_pages")
     writer = HotPagesWriter(spark, f"{base}/tables")
-    q = start_query(jobs.page_count_updates(log), "hot_pages", "update", checkpoint=f"{base}/ck",
+    q = start_query(jobs.page_pane_updates(log), "hot_pages", "update", checkpoint=f"{base}/ck",
                     foreach_batch=writer)
     _await(q)
     return final_rankings(writer.rankings.read()).select("url", _ntz("window_end"), "cnt", "rank")

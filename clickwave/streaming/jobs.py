@@ -160,18 +160,15 @@ def alert_stream(tagged: DataFrame, cap: int = 100) -> DataFrame:
     return tagged.where(F.col("kind") == "alert").select("userId", "adId", "ts", alert_message(cap).alias("warning_msg"))
 
 
-def page_count_updates(log: DataFrame, size="10 minutes", slide="5 seconds",
-                       lateness="1 minute", out_of_orderness="1 second") -> DataFrame:
-    """HotPages counts in update mode: the watermark delay is out-of-orderness
-    plus allowed lateness, so windows accept late rows for one more minute and
-    every change of a count is emitted (R2, R3)."""
+def page_pane_updates(log: DataFrame, slide="5 seconds", lateness="1 minute",
+                      out_of_orderness="1 second") -> DataFrame:
+    """HotPages pane counts in update mode: the watermark delay is
+    out-of-orderness plus allowed lateness, so panes accept late rows for one
+    more minute and every change of a count is emitted (R2, R3).  One state
+    row per (url, pane); ``HotPagesWriter`` sums panes into windows."""
     delay = f"{seconds(lateness) + seconds(out_of_orderness)} seconds"
-    req = (with_event_time(log, delay)
-           .where(equals("method", "GET") & not_static_resource("url")))
-    return (req.groupBy("url", _win("ts", size, slide).alias("window"))
-            .agg(F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
-            .select("url", F.col("window.end").alias("window_end"), "cnt", "max_ts"))
-
+    req = log.where(equals("method", "GET") & not_static_resource("url")).select("url", "ts")
+    return pane_count_updates(req, ["url"], "ts", slide, delay)
 
 def late_split_stream(log: DataFrame, source: str = "source", size="10 minutes", slide="5 seconds",
                       lateness="1 minute", out_of_orderness="1 second") -> DataFrame:

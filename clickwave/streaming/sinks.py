@@ -194,55 +194,78 @@ class HotPagesWriter:
     end and issued again when late rows change its counts, until the window
     is ``lateness`` past its end.
 
-    Input: count updates (``page_count_updates``, update mode).  Kept tables:
-    live counts, the last issued ranking per window and the watermark
-    (largest event time minus out-of-orderness).  Output: every issued
+    Input: pane-count updates (``page_pane_updates``, update mode), so the
+    stream keeps one state row per (url, pane) rather than one per (url,
+    window).  Kept tables: live panes, the last issued ranking per window and
+    the watermark (largest event time minus out-of-orderness).  Per batch the
+    windows to rank are those already past the watermark that either contain
+    an updated pane or were passed by the watermark just now; their counts
+    come from the run-length form of the live panes.  Output: every issued
     ranking (``rankings``) and its difference from the previous issue of the
     same window (``changes``, op ``+``/``-``).
     """
 
-    def __init__(self, spark: SparkSession, base: str, top: int = 3, lateness="1 minute",
-                 out_of_orderness="1 second"):
-        self.top = top
+    def __init__(self, spark: SparkSession, base: str, top: int = 3, size="10 minutes",
+                 slide="5 seconds", lateness="1 minute", out_of_orderness="1 second"):
+        self.spark, self.top = spark, top
+        self.size_s, self.slide_s = seconds(size), seconds(slide)
         self.lateness_s, self.ooo_s = seconds(lateness), seconds(out_of_orderness)
-        self.counts = VersionedTable(spark, f"{base}/counts", "url string, window_end timestamp, cnt bigint")
+        self.panes = VersionedTable(spark, f"{base}/panes", "url string, pane_end timestamp, cnt bigint")
         self.issued = VersionedTable(spark, f"{base}/issued",
                                      "url string, window_end timestamp, cnt bigint, rank int")
-        self.progress = VersionedTable(spark, f"{base}/progress", "watermark timestamp")
+        self.progress = VersionedTable(spark, f"{base}/progress", "watermark_us bigint")
         self.rankings = AppendLog(spark, f"{base}/rankings")
         self.changes = AppendLog(spark, f"{base}/changes")
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        upd = batch.select("url", "window_end", "cnt", "max_ts").persist()
+        step = self.slide_s * 1_000_000
+        upd = batch.select("url", "pane_end", "cnt", "max_ts").persist()
         try:
-            prev_wm_row = self.progress.read(epoch).collect()
-            prev_wm = prev_wm_row[0]["watermark"] if prev_wm_row else None
-            batch_max = upd.agg(F.max("max_ts")).collect()[0][0]
-            cands = [w for w in (prev_wm, batch_max and batch_max - _td(self.ooo_s)) if w is not None]
-            wm = max(cands) if cands else None
-            counts = (self.counts.read(epoch).join(upd.select("url", "window_end"), ["url", "window_end"], "left_anti")
-                      .unionByName(upd.select("url", "window_end", "cnt")))
-            if wm is not None:
-                touched = upd.select("window_end").distinct()
-                fire = counts.where(F.col("window_end") < F.lit(wm))
-                newly = fire.where(F.col("window_end") >= F.lit(prev_wm)) if prev_wm is not None else fire
-                fire = (fire.join(touched, "window_end", "left_semi").unionByName(newly).distinct())
-                ranked = top_n_by_count(fire, "window_end", "url", "cnt", self.top).persist()
+            prev = self.progress.read(epoch).collect()
+            prev_wm = prev[0][0] if prev else None
+            top_us, low_pane_us = upd.agg(F.unix_micros(F.max("max_ts")),
+                                          F.unix_micros(F.min("pane_end"))).collect()[0]
+            wm = prev_wm
+            if top_us is not None:
+                cand = top_us - self.ooo_s * 1_000_000
+                wm = cand if wm is None else max(wm, cand)
+            panes = (self.panes.read(epoch).join(upd.select("url", "pane_end"), ["url", "pane_end"], "left_anti")
+                     .unionByName(upd.select("url", "pane_end", "cnt"))).persist()
+            if wm is None:
+                self.panes.write(panes, epoch)
+                return
+            upto = ((wm - 1) // step) * step                      # last window end before the watermark
+            starts = [v for v in (low_pane_us, None if prev_wm is None else -(-prev_wm // step) * step) if v is not None]
+            lo = min(starts) if starts else None
+            if lo is not None and upto >= lo:
+                counts = expand_runs(runs_from_panes(panes, ["url"], self.size_s), self.slide_s,
+                                     after=F.timestamp_micros(F.lit(lo - step)),
+                                     upto=F.timestamp_micros(F.lit(upto)))
+                touched = upd.select(F.explode(F.sequence(
+                    F.col("pane_end"), plus_seconds(F.col("pane_end"), self.size_s - self.slide_s),
+                    F.expr(f"INTERVAL '{self.slide_s}' SECOND"))).alias("window_end"))
+                fresh = (counts.where(F.unix_micros("window_end") >= F.lit(prev_wm)).select("window_end")
+                         if prev_wm is not None else counts.select("window_end"))
+                due = touched.unionByName(fresh).distinct()
+                ranked = top_n_by_count(counts.join(due, "window_end", "left_semi"),
+                                        "window_end", "url", "cnt", self.top).persist()
                 self.rankings.write(ranked, epoch)
                 old = self.issued.read(epoch)
-                old_fired = old.join(ranked.select("window_end").distinct(), "window_end", "left_semi")
-                changes = (ranked.exceptAll(old_fired).withColumn("op", F.lit("+"))
-                           .unionByName(old_fired.exceptAll(ranked).withColumn("op", F.lit("-"))))
-                self.changes.write(changes, epoch)
-                keep_issued = old.join(ranked.select("window_end").distinct(), "window_end", "left_anti").unionByName(ranked)
-                # a window is final once end - 1 ms + lateness <= watermark
-                alive = plus_seconds(F.col("window_end"), self.lateness_s) - F.expr("INTERVAL '0.001' SECOND") > F.lit(wm)
-                self.issued.write(keep_issued.where(alive), epoch)
-                self.counts.write(counts.where(alive), epoch)
-                self.progress.write(upd.sparkSession.createDataFrame([(wm,)], "watermark timestamp"), epoch)
+                fired = ranked.select("window_end").distinct()
+                old_fired = old.join(fired, "window_end", "left_semi")
+                self.changes.write(ranked.exceptAll(old_fired).withColumn("op", F.lit("+"))
+                                   .unionByName(old_fired.exceptAll(ranked).withColumn("op", F.lit("-"))), epoch)
+                issued = old.join(fired, "window_end", "left_anti").unionByName(ranked)
                 ranked.unpersist()
             else:
-                self.counts.write(counts, epoch)
+                issued = self.issued.read(epoch)
+            # a window is final once end - 1 ms + lateness <= watermark
+            keep_us = wm - self.lateness_s * 1_000_000 + 1000
+            self.issued.write(issued.where(F.unix_micros("window_end") > F.lit(keep_us)), epoch)
+            reach = F.unix_micros("pane_end") + F.lit((self.size_s - self.slide_s) * 1_000_000)
+            self.panes.write(panes.where(reach > F.lit(keep_us)), epoch)
+            self.progress.write(self.spark.createDataFrame([(int(wm),)], "watermark_us bigint"), epoch)
+            panes.unpersist()
         finally:
             upd.unpersist()
 
@@ -253,11 +276,6 @@ def final_rankings(rankings: DataFrame) -> DataFrame:
     return rankings.join(last, ["window_end", "epoch"], "left_semi").drop("epoch")
 
 
-def _td(secs: int):
-    import datetime as dt
-    return dt.timedelta(seconds=secs)
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Keep the newest row per key (upsert semantics over an append log)."""
     w = Window.partitionBy(*keys).orderBy(F.desc(order))

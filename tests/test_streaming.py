@@ -219,7 +219,7 @@ def test_hot_pages_revisions(spark, tmpdir_fresh):
         p = f"{d}/f{i:03d}.log"
         open(p, "w").write("\n".join(batch_lines) + "\n")
         os.utime(p, (1_000_000_000 + i * 10,) * 2)
-    counts = jobs.page_count_updates(web_log_stream(spark, d))
+    counts = jobs.page_pane_updates(web_log_stream(spark, d))
     writer = HotPagesWriter(spark, tmpdir_fresh, top=3)
     q = start_query(counts, "pages", "update", foreach_batch=writer)
     q.awaitTermination(300)
