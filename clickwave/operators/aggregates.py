@@ -59,7 +59,7 @@ def bitmap_distinct_count(df: DataFrame, ts: str, size, col: str, out: str = "uv
 
 
 def running_distinct_count(df: DataFrame, ts: str, size, col: str, order: list[str],
-                           out: str = "uv_count", bucket_seconds: int = 60) -> DataFrame:
+                           out: str = "uv_count", bucket_seconds: int | None = None) -> DataFrame:
     """One row each time a window sees a new bitmap offset of ``col``,
     carrying the number of offsets seen so far in that window.
 

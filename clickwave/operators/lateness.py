@@ -20,7 +20,7 @@ from clickwave.operators.windows import window_end
 
 def split_late(df: DataFrame, source: str, arrival: str, tiebreak: str, ts: str,
                size, slide, lateness, out_of_orderness,
-               bucket_seconds: int = 60) -> DataFrame:
+               bucket_seconds: int | None = None) -> DataFrame:
     """Add ``watermark`` and ``is_late`` to every row."""
     size_s, slide_s = seconds(size), seconds(slide)
     lateness_s, ooo_s = seconds(lateness), seconds(out_of_orderness)

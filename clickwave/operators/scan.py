@@ -22,31 +22,55 @@ _AGG = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 _CARRY = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
 
 
-def _bucket(df: DataFrame, col: str, width: int) -> Column:
+def _position(df: DataFrame, col: str) -> Column:
+    """The order column as a number: microseconds for timestamps."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(epoch_micros(F.col(col)) / F.lit(width * 1_000_000))
-    return F.floor(F.col(col) / F.lit(width))
+        return epoch_micros(F.col(col))
+    return F.col(col)
+
+
+def _unit(df: DataFrame, col: str) -> int:
+    dtype = df.schema[col].dataType
+    return 1_000_000 if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else 1
+
+
+def _bucket(df: DataFrame, col: str, width: int | None, rows_per_bucket: int) -> Column:
+    """``floor(position / width)``.  Without a width it adapts to the data:
+    ``span x rows_per_bucket / rows`` from a scalar subquery planned with the
+    query (partial min/max/count, no driver round trip), so on average no
+    group's bucket exceeds ``rows_per_bucket`` rows however fast data arrives."""
+    pos = _position(df, col)
+    if width is not None:
+        return F.floor(pos / F.lit(width * _unit(df, col)))
+    stats = df.select(
+        F.coalesce(
+            F.greatest(F.lit(1), F.ceil((F.max(pos) - F.min(pos) + F.lit(1)) * F.lit(rows_per_bucket)
+                                        / F.greatest(F.count(F.lit(1)), F.lit(1)))),
+            F.lit(1)).cast("bigint").alias("w"))
+    return F.floor(pos / stats.scalar())
 
 
 def running_aggregate(df: DataFrame, partition_by: list[str], order_by: list[str],
                       how: str, out: str, value: str | None = None,
                       inclusive: bool = True, next_of: str | None = None,
-                      next_out: str | None = None, bucket_seconds: int = 60) -> DataFrame:
+                      next_out: str | None = None, bucket_seconds: int | None = None,
+                      rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Add ``out`` = running ``how`` of ``value`` within ``partition_by`` in
     ``order_by`` order (inclusive of the current row, or up to the preceding
     row), and optionally ``next_out`` = ``next_of`` of the following row.
 
     ``order_by[0]`` must be a timestamp or number: buckets are
-    ``floor(order_by[0] / bucket_seconds)`` (timestamps in seconds), so the
-    bucket order agrees with the row order.  ``order_by`` should make the
-    order total (append a unique id) for a deterministic result.
+    ``floor(order_by[0] / width)``, so the bucket order agrees with the row
+    order.  ``bucket_seconds`` fixes the width (timestamps in seconds);
+    by default it adapts to ``rows_per_bucket``.  ``order_by`` should make
+    the order total (append a unique id) for a deterministic result.
     """
     if how not in _AGG:
         raise ValueError(f"unsupported running aggregate: {how}")
     if how != "count" and value is None:
         raise ValueError("value is required")
-    keyed = df.withColumn("_bkt", _bucket(df, order_by[0], bucket_seconds))
+    keyed = df.withColumn("_bkt", _bucket(df, order_by[0], bucket_seconds, rows_per_bucket))
     row_agg = (lambda: F.count(F.lit(1))) if how == "count" else (lambda: _AGG[how](value))
 
     summary_aggs = [row_agg().alias("_bagg")]

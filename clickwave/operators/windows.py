@@ -79,7 +79,7 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: int | str, sli
 
 def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,
                        slide: int | str, out: str = "cnt",
-                       bucket_seconds: int = 86400) -> DataFrame:
+                       bucket_seconds: int | None = None) -> DataFrame:
     """Sliding-window counts as runs of window ends with the same count.
 
     Returns ``keys, window_end_from, window_end_until, out``: every window end
@@ -96,7 +96,7 @@ def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,
 
 
 def runs_from_panes(panes: DataFrame, keys: list[str], size: int | str, pane_col: str = "pane_end",
-                    cnt_col: str = "cnt", out: str = "cnt", bucket_seconds: int = 86400) -> DataFrame:
+                    cnt_col: str = "cnt", out: str = "cnt", bucket_seconds: int | None = None) -> DataFrame:
     """Runs of window ends from pane counts (``keys, pane_end, cnt``): a pane
     adds its count at its own end and removes it one window length later."""
     size_s = seconds(size)

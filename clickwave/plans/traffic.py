@@ -44,7 +44,7 @@ def unique_visitors_bitmap(behavior: DataFrame, page_view: str = PAGE_VIEW, size
 
 
 def unique_visitors_running(behavior: DataFrame, page_view: str = PAGE_VIEW, size=HOUR,
-                            bucket_seconds: int = 60) -> DataFrame:
+                            bucket_seconds: int | None = None) -> DataFrame:
     """The running UV of each hour, one row per newly seen visitor
     -> key, window_end, ts, uv_count."""
     rows = _views(behavior, page_view).select("userId", "ts", "offset")

@@ -147,7 +147,7 @@ class RunningUvWriter:
     small table standing in for the reference's external ``uv_count`` hash.
     """
 
-    def __init__(self, spark: SparkSession, base: str, bucket_seconds: int = 60):
+    def __init__(self, spark: SparkSession, base: str, bucket_seconds: int | None = None):
         self.spark = spark
         self.base = base.rstrip("/")
         self.counts = VersionedTable(spark, f"{base}/uv_count", "window_end timestamp, uv bigint")

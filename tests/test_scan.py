@@ -53,3 +53,18 @@ def test_null_group_key(spark):
     w = Window.partitionBy("g").orderBy("ts", "offset")
     expect = df.select("offset", F.row_number().over(w).cast("bigint").alias("n"))
     assert sorted_rows(got, "offset", "n") == sorted_rows(expect, "offset", "n")
+
+
+def test_adaptive_buckets_match_window_functions(spark):
+    df = _df(spark, 400)
+    w = Window.partitionBy("userId").orderBy("ts", "offset")
+    expect = df.select("offset", F.row_number().over(w).cast("bigint").alias("n"),
+                       F.max("itemId").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("m"))
+    # about 20 rows per bucket: every group spans several buckets
+    got_n = running_aggregate(df, ["userId"], ["ts", "offset"], "count", "n", rows_per_bucket=20)
+    got_m = running_aggregate(df, ["userId"], ["ts", "offset"], "max", "m", value="itemId",
+                              inclusive=False, rows_per_bucket=20)
+    got = got_n.select("offset", "n").join(got_m.select("offset", "m"), "offset")
+    assert sorted_rows(got, "offset", "n", "m") == sorted_rows(expect, "offset", "n", "m")
+    buckets = df.select(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)).distinct().count()
+    assert buckets > 20
