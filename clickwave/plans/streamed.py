@@ -22,7 +22,7 @@ from clickwave.sources.events import (
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
 from clickwave.streaming.sinks import (
-    HotPagesWriter, RunningUvWriter, SlidingWindowWriter, TopNWriter, final_rankings, start_query,
+    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, TopNWriter, final_rankings, start_query,
 )
 from clickwave.streaming.sources import event_table_stream
 
@@ -111,7 +111,7 @@ def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rankings issued by the revising writer; the last issue of each window."""
     log = web_log_from_lines(web_log_lines_from_events(event_table_stream(spark, sf_dir)), ntz=False)
     base = _workdir(spark, "hot_pages")
-    writer = HotPagesWriter(spark, f"{base}/tables")
+    writer = PageRankingWriter(spark, f"{base}/tables")
     q = start_query(jobs.page_pane_updates(log), "hot_pages", "update", checkpoint=f"{base}/ck",
                     foreach_batch=writer)
     _await(q)
@@ -119,7 +119,7 @@ def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marketing_total_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -> DataFrame:
-    """AppMarketingStatistics on a stream: pane updates + ``SlidingWindowWriter``."""
+    """Marketing total on a stream: pane updates + ``SlidingWindowWriter``."""
     events = marketing_from_events(event_table_stream(spark, sf_dir))
     base = _workdir(spark, "marketing_total")
     writer = SlidingWindowWriter(spark, f"{base}/tables", [], "1 hour", "5 seconds")

@@ -42,7 +42,7 @@ def stream_sliding_counts(df: DataFrame, keys: list[str], ts: str, size, slide,
 
 def hot_item_counts_stream(behavior: DataFrame, size="1 hour", slide="5 minutes",
                            page_view: str = "pv", delay: str = "0 seconds") -> DataFrame:
-    """HotItems window counts on a stream -> itemId, window_end, cnt (append).
+    """Item view counts per sliding window on a stream -> itemId, window_end, cnt (append).
 
     In append mode a window's rows leave the state store together, in the
     micro-batch whose watermark passes its end, so ranking each micro-batch
@@ -72,7 +72,7 @@ def hot_items_sql_stream(spark: SparkSession, behavior: DataFrame, size="1 hour"
 
 def page_views_stream(behavior: DataFrame, size="1 hour", salts: int = 10, page_view: str = "pv",
                       delay: str = "0 seconds") -> DataFrame:
-    """PageView on a stream, salted two-phase count -> key, window_end, cnt."""
+    """Page views per hour on a stream, salted two-phase count -> key, window_end, cnt."""
     views = with_event_time(behavior, delay).where(equals("behavior", page_view))
     cols = [c for c in ("userId", "itemId", "ts", "offset") if c in views.columns]
     salted = views.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)))
@@ -83,7 +83,7 @@ def page_views_stream(behavior: DataFrame, size="1 hour", salts: int = 10, page_
 
 def unique_visitors_stream(behavior: DataFrame, size="1 hour", page_view: str = "pv",
                            delay: str = "0 seconds") -> DataFrame:
-    """UniqueVisitor on a stream: dedup (window, user) in the state store, then count."""
+    """Unique visitors per hour on a stream: dedup (window, user) in the state store, then count."""
     views = with_event_time(behavior, delay).where(equals("behavior", page_view))
     firsts = views.select(_win("ts", size).alias("window"), "userId").dropDuplicates(["window", "userId"])
     return (firsts.groupBy("window").agg(F.count(F.lit(1)).alias("uv"))
@@ -101,7 +101,7 @@ def bitmap_views_stream(behavior: DataFrame, size="1 hour", page_view: str = "pv
 
 def marketing_stream(events: DataFrame, by_channel: bool = True, size="1 hour", slide="5 seconds",
                      uninstall: str = "UNINSTALL", delay: str = "0 seconds") -> DataFrame:
-    """AppMarketingByChannel / AppMarketingStatistics on a stream
+    """Marketing counts per channel and behaviour, or in total, on a stream
     -> channel, behavior, window_end, window_end_text, cnt."""
     kept = with_event_time(events, delay).where(not_equal_keep_null("behavior", uninstall))
     keys = ["channel", "behavior"] if by_channel else []
@@ -123,7 +123,7 @@ CAPPED_FIELDS = [
 def capped_click_stream(clicks: DataFrame, cap: int = 100, keys=("userId", "adId"),
                         delay: str = "0 seconds", offset_hours: int = RESET_OFFSET_HOURS,
                         form: str = "rows") -> DataFrame:
-    """FilterBlackListUser on a stream: rows tagged ``ok`` / ``alert`` by a keyed
+    """The click cap on a stream: rows tagged ``ok`` / ``alert`` by a keyed
     stateful processor with an event-time daily reset.
 
     ``form="rows"`` (``transformWithState``) suits the usual handful of clicks
@@ -162,10 +162,10 @@ def alert_stream(tagged: DataFrame, cap: int = 100) -> DataFrame:
 
 def page_pane_updates(log: DataFrame, slide="5 seconds", lateness="1 minute",
                       out_of_orderness="1 second") -> DataFrame:
-    """HotPages pane counts in update mode: the watermark delay is
+    """Page request counts per pane in update mode: the watermark delay is
     out-of-orderness plus allowed lateness, so panes accept late rows for one
     more minute and every change of a count is emitted (R2, R3).  One state
-    row per (url, pane); ``HotPagesWriter`` sums panes into windows."""
+    row per (url, pane); ``PageRankingWriter`` sums panes into windows."""
     delay = f"{seconds(lateness) + seconds(out_of_orderness)} seconds"
     req = log.where(equals("method", "GET") & not_static_resource("url")).select("url", "ts")
     return pane_count_updates(req, ["url"], "ts", slide, delay)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -189,7 +189,7 @@ class RunningUvWriter:
         return self.rows.read().select("key", "window_end", "ts", "uv_count")
 
 
-class HotPagesWriter:
+class PageRankingWriter:
     """T2 + R3 + R10: page rankings issued when the watermark passes a window's
     end and issued again when late rows change its counts, until the window
     is ``lateness`` past its end.
@@ -271,12 +271,6 @@ class HotPagesWriter:
 
 
 def final_rankings(rankings: DataFrame) -> DataFrame:
-    """The last issue of every window from a ``HotPagesWriter.rankings`` log."""
+    """The last issue of every window from a ``PageRankingWriter.rankings`` log."""
     last = rankings.groupBy("window_end").agg(F.max("epoch").alias("epoch"))
     return rankings.join(last, ["window_end", "epoch"], "left_semi").drop("epoch")
-
-
-def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Keep the newest row per key (upsert semantics over an append log)."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return df.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")

@@ -12,7 +12,7 @@ from clickwave.plans import ads, hot_items, marketing, traffic
 from clickwave.sources.text import read_ad_clicks, read_user_behavior
 from clickwave.streaming import jobs
 from clickwave.streaming.sinks import (
-    HotPagesWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, start_query,
+    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, start_query,
 )
 from clickwave.streaming.sources import ad_click_stream, user_behavior_stream, web_log_stream
 from tests.conftest import SF_SMALL
@@ -220,7 +220,7 @@ def test_hot_pages_revisions(spark, tmpdir_fresh):
         open(p, "w").write("\n".join(batch_lines) + "\n")
         os.utime(p, (1_000_000_000 + i * 10,) * 2)
     counts = jobs.page_pane_updates(web_log_stream(spark, d))
-    writer = HotPagesWriter(spark, tmpdir_fresh, top=3)
+    writer = PageRankingWriter(spark, tmpdir_fresh, top=3)
     q = start_query(counts, "pages", "update", foreach_batch=writer)
     q.awaitTermination(300)
     ranks = writer.rankings.read()
