@@ -43,13 +43,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     configure_session(spark)
+    checkpoint_dir(spark)
     return spark
 
 
 def configure_session(spark: SparkSession) -> SparkSession:
-    """Settings every job in this package assumes; safe to call repeatedly."""
+    """Settings every job in this package assumes; safe to call repeatedly.
+
+    The checkpoint folder is resolved lazily, by the jobs that write state
+    (:func:`checkpoint_dir`), so batch jobs run on any session.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    checkpoint_dir(spark)
     return spark
 
 
