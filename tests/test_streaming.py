@@ -235,3 +235,34 @@ def test_hot_pages_revisions(spark, tmpdir_fresh):
     assert ch.where((F.col("window_end") == F.lit(w5)) & (F.col("op") == "-")).count() > 0
     # nothing ever ranks the static resource
     assert ranks.where(F.col("url") == "/a.css").count() == 0
+
+
+def test_late_split_stream_equals_batch(spark, tmpdir_fresh):
+    from clickwave.operators import split_late
+    from clickwave.sources.text import web_log_from_lines
+    # page requests arriving out of order in two source partitions, over several files
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    arrivals = [(0, 0), (1, 5), (0, 700), (1, 30), (0, 40), (1, 900), (0, 100), (1, 60),
+                (0, 1500), (0, 820), (1, 200), (1, 2000), (0, 1000), (1, 1300)]
+    lines = []
+    for i, (src, sec) in enumerate(arrivals):
+        ts = t0 + dt.timedelta(seconds=sec)
+        lines.append((f"10.0.0.{src} {src} - {ts:%d/%m/%Y:%H:%M:%S} +0000 GET /p/{i % 3}", src, i))
+    d = tempfile.mkdtemp(prefix="clickwave-late-")
+    for f in range(4):
+        p = f"{d}/f{f:03d}.csv"
+        with open(p, "w") as fh:
+            for line, src, i in lines[f * 4:(f + 1) * 4]:
+                fh.write(f"{line},{src},{i}\n")
+        os.utime(p, (1_000_000_000 + f * 10,) * 2)
+    schema = "value string, source bigint, offset bigint"
+    def prepared(df):
+        return web_log_from_lines(df, ntz=False).withColumn("arrival", F.timestamp_micros(F.col("offset") * 1_000_000))
+    stream = prepared(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).csv(d))
+    q = start_query(jobs.late_split_stream(stream), "late", "append")
+    q.awaitTermination(300)
+    got = spark.sql(f"select offset, is_late, watermark from {q.name}")
+    batch = prepared(spark.read.schema(schema).csv(d)).where(F.col("method") == "GET")
+    exp = split_late(batch, "source", "arrival", "offset", "ts", "10 minutes", "5 seconds", "1 minute", "1 second")
+    assert _rows(got, "offset", "is_late") == _rows(exp, "offset", "is_late")
+    assert _rows(got, "offset", "is_late").count((9, True)) == 1  # 10:13:40 after 10:25:00 in source 0
