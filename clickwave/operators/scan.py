@@ -71,35 +71,39 @@ def running_aggregate(df: DataFrame, partition_by: list[str], order_by: list[str
     if how != "count" and value is None:
         raise ValueError("value is required")
     keyed = df.withColumn("_bkt", _bucket(df, order_by[0], bucket_seconds, rows_per_bucket))
-    row_agg = (lambda: F.count(F.lit(1))) if how == "count" else (lambda: _AGG[how](value))
 
-    summary_aggs = [row_agg().alias("_bagg")]
+    # 1. rank inside each (group, bucket): the one shuffle of the data
+    in_bucket = Window.partitionBy(*partition_by, "_bkt").orderBy(*order_by)
+    frame = in_bucket.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local = keyed.withColumn("_local", (F.count(F.lit(1)) if how == "count" else _AGG[how](value)).over(frame))
+    if next_of is not None:
+        local = local.withColumn("_local_next", F.lead(next_of).over(in_bucket))
+
+    # 2. per-bucket summary from the same partitioned output (no new shuffle of
+    #    the data, and the exchange above is shared), carried across buckets
+    summary_aggs = [(F.count(F.lit(1)) if how == "count" else _AGG[how](value)).alias("_bagg")]
     if next_of is not None:
         summary_aggs.append(F.min(next_of).alias("_bmin"))
-    summary = keyed.groupBy(*partition_by, "_bkt").agg(*summary_aggs)
+    summary = local.groupBy(*partition_by, "_bkt").agg(*summary_aggs)
     over_buckets = Window.partitionBy(*partition_by).orderBy("_bkt")
     carry_cols = [_CARRY[how]("_bagg").over(over_buckets.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")]
     if next_of is not None:
         carry_cols.append(F.lead("_bmin").over(over_buckets).alias("_next_bmin"))
     carry = summary.select(*partition_by, "_bkt", *carry_cols)
 
-    cond = [keyed[k].eqNullSafe(carry[k]) for k in partition_by] + [keyed["_bkt"] == carry["_bkt"]]
-    joined = keyed.join(carry, cond, "inner").select(keyed["*"], *[carry[c] for c in carry.columns
+    # 3. join the carry back; the data side is already partitioned by (group, bucket)
+    cond = [local[k].eqNullSafe(carry[k]) for k in partition_by] + [local["_bkt"] == carry["_bkt"]]
+    joined = local.join(carry, cond, "inner").select(local["*"], *[carry[c] for c in carry.columns
                                                                  if c not in partition_by and c != "_bkt"])
-
-    in_bucket = Window.partitionBy(*partition_by, "_bkt").orderBy(*order_by)
-    frame = in_bucket.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = (F.count(F.lit(1)) if how == "count" else _AGG[how](value)).over(frame)
     if how in ("count", "sum"):
-        total = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(local, F.lit(0))
+        total = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(F.col("_local"), F.lit(0))
     elif how == "max":
-        total = F.greatest(F.col("_carry"), local)
+        total = F.greatest(F.col("_carry"), F.col("_local"))
     else:
-        total = F.least(F.col("_carry"), local)
+        total = F.least(F.col("_carry"), F.col("_local"))
     res = joined.withColumn(out, total)
-    drop = ["_bkt", "_carry"]
+    drop = ["_bkt", "_carry", "_local"]
     if next_of is not None:
-        res = res.withColumn(next_out or f"next_{next_of}",
-                             F.coalesce(F.lead(next_of).over(in_bucket), F.col("_next_bmin")))
-        drop.append("_next_bmin")
+        res = res.withColumn(next_out or f"next_{next_of}", F.coalesce(F.col("_local_next"), F.col("_next_bmin")))
+        drop += ["_local_next", "_next_bmin"]
     return res.drop(*drop)
