@@ -153,6 +153,10 @@ def q_marketing_total_stream(spark, sf_dir):
     return streamed.marketing_total_streamed(spark, sf_dir, UNINSTALL)
 
 
+def q_marketing_by_channel_stream(spark, sf_dir):
+    return streamed.marketing_by_channel_streamed(spark, sf_dir, UNINSTALL)
+
+
 def q_ads_by_province_stream(spark, sf_dir):
     return streamed.ads_by_province_streamed(spark, sf_dir, AD_CAP)
 
@@ -184,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ads_by_province_stream": q_ads_by_province_stream,
     "hot_pages_stream": q_hot_pages_stream,
     "marketing_total_stream": q_marketing_total_stream,
+    "marketing_by_channel_stream": q_marketing_by_channel_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -344,3 +349,11 @@ ORACLES["hot_pages_stream"] = f"""SELECT * FROM ({ORACLES['hot_pages_topn']})
 WHERE window_end < (WITH {_WEB} SELECT max(ts) - INTERVAL 1 SECOND FROM f)"""
 ORACLES["marketing_total_stream"] = f"""SELECT * FROM ({ORACLES['marketing_total']})
 WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'signup')"""
+# runs clipped to the window ends the watermark has passed
+ORACLES["marketing_by_channel_stream"] = f"""
+WITH u AS (SELECT time_bucket(INTERVAL 5 SECOND, max(ts)) AS upto FROM events
+           WHERE event_type IS DISTINCT FROM 'signup')
+SELECT channel, behavior, window_end_from,
+       least(window_end_until, upto + INTERVAL 5 SECOND) AS window_end_until, cnt
+FROM ({ORACLES['marketing_by_channel']}) AS runs, u
+WHERE window_end_from <= upto"""

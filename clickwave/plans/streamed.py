@@ -128,3 +128,16 @@ def marketing_total_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -
     _await(q)
     return writer.result().select(F.lit("total").alias("channel"), F.lit("total").alias("behavior"),
                                   _ntz("window_end"), "cnt")
+
+
+def marketing_by_channel_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -> DataFrame:
+    """Per (channel, behaviour) on a stream, as runs of window ends (one run
+    may be split where micro-batches meet)."""
+    events = marketing_from_events(event_table_stream(spark, sf_dir))
+    base = _workdir(spark, "marketing_by_channel")
+    keys = ["channel", "behavior"]
+    writer = SlidingWindowWriter(spark, f"{base}/tables", keys, "1 hour", "5 seconds", output="runs")
+    q = start_query(jobs.marketing_pane_updates(events, by_channel=True, uninstall=uninstall),
+                    "marketing_by_channel", "update", checkpoint=f"{base}/ck", foreach_batch=writer)
+    _await(q)
+    return writer.result().select(*keys, _ntz("window_end_from"), _ntz("window_end_until"), "cnt")

@@ -47,7 +47,10 @@ class SlidingWindowWriter:
     """
 
     def __init__(self, spark: SparkSession, base: str, keys: list[str], size, slide,
-                 delay="0 seconds"):
+                 delay="0 seconds", output: str = "dense"):
+        if output not in ("dense", "runs"):
+            raise ValueError("output is 'dense' or 'runs'")
+        self.output = output
         self.spark, self.base, self.keys = spark, base.rstrip("/"), list(keys)
         self.size_s, self.slide_s, self.delay_s = seconds(size), seconds(slide), seconds(delay)
         self.progress = VersionedTable(spark, f"{self.base}/progress", "emitted_upto_us bigint")
@@ -76,8 +79,17 @@ class SlidingWindowWriter:
             if upto_us is not None and (after_us is None or upto_us > after_us):
                 runs = runs_from_panes(panes, self.keys, self.size_s)
                 after = F.timestamp_micros(F.lit(after_us)) if after_us is not None else None
-                final = expand_runs(runs, self.slide_s, after=after, upto=F.timestamp_micros(F.lit(upto_us)))
-                self.out.write(final.select(*self.keys, "window_end", "cnt"), epoch)
+                upto = F.timestamp_micros(F.lit(upto_us))
+                if self.output == "dense":
+                    final = expand_runs(runs, self.slide_s, after=after, upto=upto)
+                    self.out.write(final.select(*self.keys, "window_end", "cnt"), epoch)
+                else:
+                    # runs clipped to the window ends that became final in this batch
+                    lo = F.col("window_end_from") if after is None else \
+                        F.greatest(F.col("window_end_from"), plus_seconds(after, self.slide_s))
+                    hi = F.least(F.col("window_end_until"), plus_seconds(upto, self.slide_s))
+                    clipped = runs.select(*self.keys, lo.alias("window_end_from"), hi.alias("window_end_until"), "cnt")
+                    self.out.write(clipped.where(F.col("window_end_from") < F.col("window_end_until")), epoch)
             if upto_us is not None:
                 alive = F.unix_micros(F.col("pane_end")) + F.lit((self.size_s - self.slide_s) * 1_000_000) > F.lit(upto_us)
                 self.panes.write(panes.where(alive), epoch)

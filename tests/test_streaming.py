@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from clickwave.operators import cap_clicks, passed_clicks
+from clickwave.operators import cap_clicks, expand_runs, passed_clicks
 from clickwave.plans import ads, hot_items, marketing, traffic
 from clickwave.sources.text import read_ad_clicks, read_user_behavior
 from clickwave.streaming import jobs
@@ -158,6 +158,16 @@ def test_sliding_window_writer_equals_batch(spark, behavior_dir, tmpdir_fresh):
     assert got.count() > 100
     assert _rows(got, "channel", "behavior", "window_end", "cnt") == \
         _rows(exp, "channel", "behavior", "window_end", "cnt")
+    # the same as runs, split where micro-batches meet
+    runs_writer = SlidingWindowWriter(spark, tmpdir_fresh + "/runs", ["channel", "behavior"], "10 minutes",
+                                      "30 seconds", output="runs")
+    q = start_query(jobs.marketing_pane_updates(stream, slide="30 seconds", uninstall="cart"), "runs",
+                    "update", foreach_batch=runs_writer)
+    q.awaitTermination(300)
+    dense = expand_runs(runs_writer.result(), "30 seconds").select(
+        "channel", "behavior", F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
+    assert _rows(dense, "channel", "behavior", "window_end", "cnt") == \
+        _rows(exp, "channel", "behavior", "window_end", "cnt")
 
 
 @pytest.fixture(scope="module")
