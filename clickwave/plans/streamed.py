@@ -50,6 +50,9 @@ def _ntz(c: str):
 
 
 def hot_items_streamed(spark: SparkSession, sf_dir: str, page_view: str, top: int = 5) -> DataFrame:
+    """Hot items on a stream: chained pane -> window counts (12 windows per
+    pane, small enough to keep in state), ranked per micro-batch.  For long
+    windows over short slides use pane state and ``SlidingWindowWriter(top=n)``."""
     behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
     base = _workdir(spark, "hot_items")
     writer = TopNWriter(spark, f"{base}/out", "window_end", "itemId", "cnt", top)

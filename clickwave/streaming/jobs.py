@@ -208,3 +208,10 @@ def marketing_pane_updates(events: DataFrame, by_channel: bool = True, slide="5
     kept = events.where(not_equal_keep_null("behavior", uninstall))
     keys = ["channel", "behavior"] if by_channel else []
     return pane_count_updates(kept.select(*keys, "ts"), keys, "ts", slide, delay)
+
+
+def item_view_pane_updates(behavior: DataFrame, slide="5 minutes", page_view: str = "pv",
+                           delay: str = "0 seconds") -> DataFrame:
+    """Item views per (item, pane) in update mode, for ``SlidingWindowWriter(top=n)``."""
+    views = behavior.where(equals("behavior", page_view)).select("itemId", "ts")
+    return pane_count_updates(views, ["itemId"], "ts", slide, delay)

@@ -35,7 +35,8 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
 
 
 class SlidingWindowWriter:
-    """Final sliding-window counts from pane-count updates (W2 + A1 on streams).
+    """Final sliding-window counts from pane-count updates (W2 + A1 on streams),
+    optionally ranked per window (T1 on streams).
 
     Spark's streaming ``window(ts, size, slide)`` copies every row (or pane)
     into ``size/slide`` windows of state; here the state is one row per live
@@ -47,10 +48,13 @@ class SlidingWindowWriter:
     """
 
     def __init__(self, spark: SparkSession, base: str, keys: list[str], size, slide,
-                 delay="0 seconds", output: str = "dense"):
+                 delay="0 seconds", output: str = "dense", top: int | None = None,
+                 rank_col: str = "rank"):
         if output not in ("dense", "runs"):
             raise ValueError("output is 'dense' or 'runs'")
-        self.output = output
+        if top is not None and (output != "dense" or len(keys) != 1):
+            raise ValueError("ranking needs dense output over one key")
+        self.output, self.top, self.rank_col = output, top, rank_col
         self.spark, self.base, self.keys = spark, base.rstrip("/"), list(keys)
         self.size_s, self.slide_s, self.delay_s = seconds(size), seconds(slide), seconds(delay)
         self.progress = VersionedTable(spark, f"{self.base}/progress", "emitted_upto_us bigint")
@@ -81,8 +85,12 @@ class SlidingWindowWriter:
                 after = F.timestamp_micros(F.lit(after_us)) if after_us is not None else None
                 upto = F.timestamp_micros(F.lit(upto_us))
                 if self.output == "dense":
-                    final = expand_runs(runs, self.slide_s, after=after, upto=upto)
-                    self.out.write(final.select(*self.keys, "window_end", "cnt"), epoch)
+                    final = expand_runs(runs, self.slide_s, after=after, upto=upto).select(
+                        *self.keys, "window_end", "cnt")
+                    if self.top is not None:
+                        # final windows are complete here, so their ranking is final too
+                        final = top_n_by_count(final, "window_end", self.keys[0], "cnt", self.top, self.rank_col)
+                    self.out.write(final, epoch)
                 else:
                     # runs clipped to the window ends that became final in this batch
                     lo = F.col("window_end_from") if after is None else \

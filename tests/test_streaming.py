@@ -90,6 +90,19 @@ def test_hot_items_stream_equals_batch(spark, behavior_dir, tmpdir_fresh):
     assert _rows(got, "window_end", "itemId", "cnt", "rank") == _rows(exp, "window_end", "itemId", "cnt", "rank")
 
 
+def test_ranked_pane_writer_equals_batch(spark, behavior_dir, tmpdir_fresh):
+    batch = read_user_behavior(spark, behavior_dir)
+    wm = _max_ts(batch)
+    writer = SlidingWindowWriter(spark, tmpdir_fresh, ["itemId"], "1 hour", "5 minutes", top=5)
+    q = start_query(jobs.item_view_pane_updates(user_behavior_stream(spark, behavior_dir)), "ranked",
+                    "update", foreach_batch=writer)
+    q.awaitTermination(300)
+    got = writer.result().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                 "itemId", "cnt", "rank")
+    exp = _closed(hot_items.hot_items(batch), wm)
+    assert _rows(got, "window_end", "itemId", "cnt", "rank") == _rows(exp, "window_end", "itemId", "cnt", "rank")
+
+
 def test_sql_view_on_stream(spark, behavior_dir, tmpdir_fresh):
     batch = read_user_behavior(spark, behavior_dir)
     wm = _max_ts(batch)
