@@ -61,10 +61,7 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: int | str, sli
     if method == "expand":
         # sparse keys: copy raw rows to their window ends map-side, one shuffle
         extra = [count_col] if count_col and count_col not in keys else []
-        rows = (df.select(*keys, *extra, window_end(ts, slide_s).alias("_pane_end"),
-                          F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
-                .select(*keys, *extra, plus_seconds(F.col("_pane_end"), F.col("_i") * F.lit(slide_s))
-                        .alias("window_end")))
+        rows = df.select(*keys, *extra, _window_ends(window_end(ts, slide_s), n, slide_s).alias("window_end"))
         return rows.groupBy(*keys, "window_end").agg(_counter(count_col).alias(out))
     if method != "pane":
         raise ValueError(f"unknown method {method}")
@@ -72,11 +69,15 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: int | str, sli
              .agg(_counter(count_col).alias("_c")))
     if n == 1:
         return panes.select(*keys, F.col("_pane_end").alias("window_end"), F.col("_c").alias(out))
-    spread = (panes.select(*keys, "_c", "_pane_end", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_i"))
-              .select(*keys, "_c", plus_seconds(F.col("_pane_end"), F.col("_i") * F.lit(slide_s)).alias("window_end")))
+    spread = panes.select(*keys, "_c", _window_ends(F.col("_pane_end"), n, slide_s).alias("window_end"))
     return spread.groupBy(*keys, "window_end").agg(F.sum("_c").alias(out))
 
 
+def _window_ends(pane_end: Column, n: int, slide_s: int) -> Column:
+    """The ``n`` window ends containing a pane: ``pane_end + i * slide``."""
+    return F.explode(F.sequence(pane_end, plus_seconds(pane_end, (n - 1) * slide_s), interval(slide_s)))
+
+
 def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,
                        slide: int | str, out: str = "cnt",
                        bucket_seconds: int | None = None) -> DataFrame:
