@@ -264,6 +264,11 @@ class PageRankingWriter:
                 touched = upd.select(F.explode(F.sequence(
                     F.col("pane_end"), plus_seconds(F.col("pane_end"), self.size_s - self.slide_s),
                     F.expr(f"INTERVAL '{self.slide_s}' SECOND"))).alias("window_end"))
+                if prev_wm is not None:
+                    # rows of this batch arrived under prev_wm: windows already past
+                    # end - 1 ms + lateness then are final and are not revised
+                    open_after = prev_wm - self.lateness_s * 1_000_000 + 1000
+                    touched = touched.where(F.unix_micros("window_end") > F.lit(open_after))
                 fresh = (counts.where(F.unix_micros("window_end") >= F.lit(prev_wm)).select("window_end")
                          if prev_wm is not None else counts.select("window_end"))
                 due = touched.unionByName(fresh).distinct()
