@@ -157,6 +157,10 @@ def q_marketing_by_channel_stream(spark, sf_dir):
     return streamed.marketing_by_channel_streamed(spark, sf_dir, UNINSTALL)
 
 
+def q_hot_items_sql_stream(spark, sf_dir):
+    return streamed.hot_items_sql_streamed(spark, sf_dir, PAGE_VIEW)
+
+
 def q_ads_by_province_stream(spark, sf_dir):
     return streamed.ads_by_province_streamed(spark, sf_dir, AD_CAP)
 
@@ -189,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_pages_stream": q_hot_pages_stream,
     "marketing_total_stream": q_marketing_total_stream,
     "marketing_by_channel_stream": q_marketing_by_channel_stream,
+    "hot_items_sql_stream": q_hot_items_sql_stream,
 }
 
 # ---------------------------------------------------------------- oracles
@@ -357,3 +362,6 @@ SELECT channel, behavior, window_end_from,
        least(window_end_until, upto + INTERVAL 5 SECOND) AS window_end_until, cnt
 FROM ({ORACLES['marketing_by_channel']}) AS runs, u
 WHERE window_end_from <= upto"""
+ORACLES["hot_items_sql_stream"] = (
+    _ITEM_TOP5 + "SELECT item_id, cnt, window_end, rnk AS row_num FROM r WHERE rnk <= 5 "
+    "AND window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view')")

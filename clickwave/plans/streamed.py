@@ -22,7 +22,8 @@ from clickwave.sources.events import (
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
 from clickwave.streaming.sinks import (
-    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, TopNWriter, final_rankings, start_query,
+    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, final_rankings,
+    start_query,
 )
 from clickwave.streaming.sources import event_table_stream
 
@@ -144,3 +145,16 @@ def marketing_by_channel_streamed(spark: SparkSession, sf_dir: str, uninstall: s
                     "marketing_by_channel", "update", checkpoint=f"{base}/ck", foreach_batch=writer)
     _await(q)
     return writer.result().select(*keys, _ntz("window_end_from"), _ntz("window_end_until"), "cnt")
+
+
+def hot_items_sql_streamed(spark: SparkSession, sf_dir: str, page_view: str, top: int = 5) -> DataFrame:
+    """R9 + T3 on a stream: the stream as a SQL view, window counts in SQL,
+    and the reference's ROW_NUMBER statement on every micro-batch."""
+    behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
+    base = _workdir(spark, "hot_items_sql")
+    writer = SqlTopNWriter(spark, f"{base}/out", top=top)
+    agg = jobs.hot_items_sql_stream(spark, behavior, page_view=page_view)
+    q = start_query(agg, "hot_items_sql", "append", checkpoint=f"{base}/ck", foreach_batch=writer)
+    _await(q)
+    return writer.result().select(F.col("itemId").alias("item_id"), "cnt", _ntz("windowEnd").alias("window_end"),
+                                  "row_num")
