@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,10 @@ def run_to_parquet(df: DataFrame, name: str) -> DataFrame:
     base = _workdir(df.sparkSession, name)
     q = start_query(df, name, "append", sink="parquet", path=f"{base}/out", checkpoint=f"{base}/ck")
     _await(q)
-    return df.sparkSession.read.parquet(f"{base}/out")
+    try:
+        return df.sparkSession.read.schema(df.schema).parquet(f"{base}/out")
+    except AnalysisException:  # no micro-batch ran: nothing was written
+        return df.sparkSession.createDataFrame([], df.schema)
 
 
 def _ntz(c: str):
@@ -119,7 +123,10 @@ def hot_pages_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_query(jobs.page_pane_updates(log), "hot_pages", "update", checkpoint=f"{base}/ck",
                     foreach_batch=writer)
     _await(q)
-    return final_rankings(writer.rankings.read()).select("url", _ntz("window_end"), "cnt", "rank")
+    ranks = writer.rankings.read()
+    if ranks is None:
+        return spark.createDataFrame([], "url string, window_end timestamp_ntz, cnt bigint, rank int")
+    return final_rankings(ranks).select("url", _ntz("window_end"), "cnt", "rank")
 
 
 def marketing_total_streamed(spark: SparkSession, sf_dir: str, uninstall: str) -> DataFrame:

@@ -66,6 +66,11 @@ class SlidingWindowWriter:
             fields = [f.simpleString() for f in batch.select(*self.keys, "pane_end", "cnt").schema.fields]
             self.panes = VersionedTable(self.spark, f"{self.base}/panes", ", ".join(
                 f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields))
+            key_ddl = [f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields[:len(self.keys)]]
+            tail = (["window_end_from timestamp", "window_end_until timestamp", "cnt bigint"]
+                    if self.output == "runs" else
+                    ["window_end timestamp", "cnt bigint"] + ([f"`{self.rank_col}` int"] if self.top else []))
+            self.out.schema = self.spark.createDataFrame([], ", ".join(key_ddl + tail)).schema
         upd = batch.select(*self.keys, "pane_end", "cnt", "max_ts").persist()
         try:
             prev = self.progress.read(epoch).collect()
@@ -109,8 +114,7 @@ class SlidingWindowWriter:
             upd.unpersist()
 
     def result(self) -> DataFrame:
-        got = self.out.read()
-        return got.drop("epoch") if got is not None else None
+        return self.out.read_all()
 
 
 class TopNWriter:
@@ -130,7 +134,7 @@ class TopNWriter:
         self.out.write(top_n_by_count(batch, window_col, key, cnt, n, rank_col), epoch)
 
     def result(self) -> DataFrame:
-        return self.out.read().drop("epoch")
+        return self.out.read_all()
 
 
 class SqlTopNWriter:
@@ -153,7 +157,7 @@ class SqlTopNWriter:
             batch.sparkSession.catalog.dropTempView(view)
 
     def result(self) -> DataFrame:
-        return self.out.read().drop("epoch")
+        return self.out.read_all()
 
 
 class RunningUvWriter:
@@ -206,7 +210,10 @@ class RunningUvWriter:
                 rows.unpersist()
 
     def result(self) -> DataFrame:
-        return self.rows.read().select("key", "window_end", "ts", "uv_count")
+        got = self.rows.read()
+        if got is None:
+            return self.spark.createDataFrame([], "key string, window_end timestamp, ts timestamp, uv_count bigint")
+        return got.select("key", "window_end", "ts", "uv_count")
 
 
 class PageRankingWriter:

@@ -9,6 +9,7 @@ Hadoop FileSystem API and work on any shared store.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _PREFIX = "v="
@@ -60,8 +61,18 @@ class AppendLog:
 
     def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by or []
+        self.schema = None
+
+    def read_all(self) -> DataFrame:
+        """Every committed epoch without the ``epoch`` column; empty (with the
+        written schema, when known) before the first write."""
+        got = self.read()
+        if got is not None:
+            return got.drop("epoch")
+        return self.spark.createDataFrame([], self.schema or "epoch int").drop("epoch")
 
     def write(self, df: DataFrame, epoch: int) -> None:
+        self.schema = df.schema
         if self.partition_by:
             # one file per partition value and epoch, not one per task and value
             w = df.repartition(*self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by)
@@ -91,5 +102,8 @@ class AppendLog:
         if not eps:
             return None
         paths = [f"{self.path}/epoch={e}" for e in eps]
-        df = self.spark.read.option("basePath", self.path).parquet(*paths)
-        return df
+        reader = self.spark.read.option("basePath", self.path)
+        try:
+            return reader.parquet(*paths)
+        except AnalysisException:  # only empty epochs: no file to take a schema from
+            return None

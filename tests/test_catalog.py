@@ -49,3 +49,25 @@ def test_query_matches_oracle(spark, duck, name):
     o_cols, o_rows = _norm([d[0] for d in res.description], res.fetchall())
     assert s_cols == o_cols
     assert s_rows == o_rows
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark):
+    import shutil
+    import tempfile
+    d = tempfile.mkdtemp(prefix="clickwave-empty-")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).coalesce(1).write.parquet(f"{d}/_w")
+    part = [f for f in os.listdir(f"{d}/_w") if f.endswith(".parquet")][0]
+    shutil.copy(f"{d}/_w/{part}", f"{d}/events.parquet")
+    return d
+
+
+def test_queries_on_an_empty_table(spark, empty_dir):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{empty_dir}/events.parquet')")
+    for name, fn in entry.queries().items():
+        df = fn(spark, empty_dir)
+        res = con.execute(entry.oracle_sql()[name])
+        assert sorted(df.columns) == sorted(d[0] for d in res.description), name
+        assert df.count() == 0 == len(res.fetchall()), name
