@@ -285,8 +285,13 @@ class PageRankingWriter:
                 old = self.issued.read(epoch)
                 fired = ranked.select("window_end").distinct()
                 old_fired = old.join(fired, "window_end", "left_semi")
-                self.changes.write(ranked.exceptAll(old_fired).withColumn("op", F.lit("+"))
-                                   .unionByName(old_fired.exceptAll(ranked).withColumn("op", F.lit("-"))), epoch)
+                # first issues are plain inserts; only re-issued windows need a diff
+                issued_before = old.select("window_end").distinct()
+                first = ranked.join(issued_before, "window_end", "left_anti")
+                again = ranked.join(issued_before, "window_end", "left_semi")
+                self.changes.write(first.withColumn("op", F.lit("+"))
+                                   .unionByName(again.exceptAll(old_fired).withColumn("op", F.lit("+")))
+                                   .unionByName(old_fired.exceptAll(again).withColumn("op", F.lit("-"))), epoch)
                 issued = old.join(fired, "window_end", "left_anti").unionByName(ranked)
                 ranked.unpersist()
             else:
