@@ -71,6 +71,7 @@ def running_distinct_count(df: DataFrame, ts: str, size, col: str, order: list[s
                         F.struct(F.col(ts).alias("ts"), *[F.col(c) for c in order]).alias("_first"))
               .groupBy("window_end", "_off").agg(F.min("_first").alias("_first"))
               .select("window_end", "_first.*"))
+    # bucket widths from the raw rows: no second pass over the first-sightings aggregate
     ranked = running_aggregate(firsts, ["window_end"], ["ts", *order], how="count", out=out,
-                               bucket_seconds=bucket_seconds)
+                               bucket_seconds=bucket_seconds, width_source=df.select(F.col(ts).alias("ts")))
     return ranked.select("window_end", "ts", out)

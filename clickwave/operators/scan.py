@@ -35,7 +35,8 @@ def _unit(df: DataFrame, col: str) -> int:
     return 1_000_000 if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else 1
 
 
-def _bucket(df: DataFrame, col: str, width: int | None, rows_per_bucket: int) -> Column:
+def _bucket(df: DataFrame, col: str, width: int | None, rows_per_bucket: int,
+            source: DataFrame | None = None) -> Column:
     """``floor(position / width)``.  Without a width it adapts to the data:
     ``span x rows_per_bucket / rows`` from a scalar subquery planned with the
     query (partial min/max/count, no driver round trip), so on average no
@@ -43,9 +44,11 @@ def _bucket(df: DataFrame, col: str, width: int | None, rows_per_bucket: int) ->
     pos = _position(df, col)
     if width is not None:
         return F.floor(pos / F.lit(width * _unit(df, col)))
-    stats = df.select(
+    src = source if source is not None else df
+    spos = _position(src, col)
+    stats = src.select(
         F.coalesce(
-            F.greatest(F.lit(1), F.ceil((F.max(pos) - F.min(pos) + F.lit(1)) * F.lit(rows_per_bucket)
+            F.greatest(F.lit(1), F.ceil((F.max(spos) - F.min(spos) + F.lit(1)) * F.lit(rows_per_bucket)
                                         / F.greatest(F.count(F.lit(1)), F.lit(1)))),
             F.lit(1)).cast("bigint").alias("w"))
     return F.floor(pos / stats.scalar())
@@ -55,7 +58,8 @@ def running_aggregate(df: DataFrame, partition_by: list[str], order_by: list[str
                       how: str, out: str, value: str | None = None,
                       inclusive: bool = True, next_of: str | None = None,
                       next_out: str | None = None, bucket_seconds: int | None = None,
-                      rows_per_bucket: int = 1_000_000) -> DataFrame:
+                      rows_per_bucket: int = 1_000_000,
+                      width_source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running ``how`` of ``value`` within ``partition_by`` in
     ``order_by`` order (inclusive of the current row, or up to the preceding
     row), and optionally ``next_out`` = ``next_of`` of the following row.
@@ -63,14 +67,16 @@ def running_aggregate(df: DataFrame, partition_by: list[str], order_by: list[str
     ``order_by[0]`` must be a timestamp or number: buckets are
     ``floor(order_by[0] / width)``, so the bucket order agrees with the row
     order.  ``bucket_seconds`` fixes the width (timestamps in seconds);
-    by default it adapts to ``rows_per_bucket``.  ``order_by`` should make
+    by default it adapts to ``rows_per_bucket``, measured on ``width_source``
+    when given: a cheaper frame with the same order column whose rows are a
+    superset in time (its density bounds ``df``'s).  ``order_by`` should make
     the order total (append a unique id) for a deterministic result.
     """
     if how not in _AGG:
         raise ValueError(f"unsupported running aggregate: {how}")
     if how != "count" and value is None:
         raise ValueError("value is required")
-    keyed = df.withColumn("_bkt", _bucket(df, order_by[0], bucket_seconds, rows_per_bucket))
+    keyed = df.withColumn("_bkt", _bucket(df, order_by[0], bucket_seconds, rows_per_bucket, width_source))
 
     # 1. rank inside each (group, bucket): the one shuffle of the data
     in_bucket = Window.partitionBy(*partition_by, "_bkt").orderBy(*order_by)

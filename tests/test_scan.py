@@ -68,3 +68,13 @@ def test_adaptive_buckets_match_window_functions(spark):
     assert sorted_rows(got, "offset", "n", "m") == sorted_rows(expect, "offset", "n", "m")
     buckets = df.select(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)).distinct().count()
     assert buckets > 20
+
+
+def test_width_from_a_cheaper_superset(spark):
+    df = _df(spark, 300)
+    subset = df.where(F.col("itemId") % 2 == 0)
+    w = Window.partitionBy("userId").orderBy("ts", "offset")
+    expect = subset.select("offset", F.row_number().over(w).cast("bigint").alias("n"))
+    got = running_aggregate(subset, ["userId"], ["ts", "offset"], "count", "n", rows_per_bucket=15,
+                            width_source=df.select("ts"))
+    assert sorted_rows(got, "offset", "n") == sorted_rows(expect, "offset", "n")
