@@ -337,13 +337,15 @@ FROM m""",
 
 # Streams emit a window once the watermark (largest view time; Spark pushes the
 # filter below it) has passed its end; per-row streams equal the batch form.
+_VIEW_WM = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+_KEPT_WM = "(SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'signup')"
 ORACLES["hot_items_stream"] = (
-    _ITEM_TOP5 + "SELECT item_id, window_end, cnt, rnk AS rank FROM r WHERE rnk <= 5 "
-    "AND window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view')")
+    _ITEM_TOP5 + f"SELECT item_id, window_end, cnt, rnk AS rank FROM r WHERE rnk <= 5 AND window_end <= {_VIEW_WM}")
+ORACLES["hot_items_sql_stream"] = (
+    _ITEM_TOP5 + f"SELECT item_id, cnt, window_end, rnk AS row_num FROM r WHERE rnk <= 5 AND window_end <= {_VIEW_WM}")
 ORACLES["ad_click_capped_stream"] = ORACLES["ad_click_capped"]
 ORACLES["uv_running_stream"] = ORACLES["uv_running"]
 ORACLES["late_split_stream"] = ORACLES["late_split"]
-_VIEW_WM = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 ORACLES["pv_hourly_stream"] = f"SELECT * FROM ({ORACLES['pv_hourly']}) WHERE window_end <= {_VIEW_WM}"
 ORACLES["uv_hourly_stream"] = f"SELECT * FROM ({ORACLES['uv_hourly_exact']}) WHERE window_end <= {_VIEW_WM}"
 # the cap's output (passed clicks and alerts) carries the watermark downstream
@@ -352,16 +354,11 @@ WHERE window_end <= (WITH {_CAPPED} SELECT max(ts) FROM r WHERE click_rank <= {A
 # rankings are issued once the watermark (largest request time - 1 s) is past a window's end
 ORACLES["hot_pages_stream"] = f"""SELECT * FROM ({ORACLES['hot_pages_topn']})
 WHERE window_end < (WITH {_WEB} SELECT max(ts) - INTERVAL 1 SECOND FROM f)"""
-ORACLES["marketing_total_stream"] = f"""SELECT * FROM ({ORACLES['marketing_total']})
-WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'signup')"""
-# runs clipped to the window ends the watermark has passed
+ORACLES["marketing_total_stream"] = f"SELECT * FROM ({ORACLES['marketing_total']}) WHERE window_end <= {_KEPT_WM}"
+# runs clipped to the window ends the watermark has passed (the last on the 5 s grid)
+_KEPT_UPTO = f"time_bucket(INTERVAL 5 SECOND, {_KEPT_WM})"
 ORACLES["marketing_by_channel_stream"] = f"""
-WITH u AS (SELECT time_bucket(INTERVAL 5 SECOND, max(ts)) AS upto FROM events
-           WHERE event_type IS DISTINCT FROM 'signup')
 SELECT channel, behavior, window_end_from,
-       least(window_end_until, upto + INTERVAL 5 SECOND) AS window_end_until, cnt
-FROM ({ORACLES['marketing_by_channel']}) AS runs, u
-WHERE window_end_from <= upto"""
-ORACLES["hot_items_sql_stream"] = (
-    _ITEM_TOP5 + "SELECT item_id, cnt, window_end, rnk AS row_num FROM r WHERE rnk <= 5 "
-    "AND window_end <= (SELECT max(ts) FROM events WHERE event_type = 'view')")
+       least(window_end_until, {_KEPT_UPTO} + INTERVAL 5 SECOND) AS window_end_until, cnt
+FROM ({ORACLES['marketing_by_channel']})
+WHERE window_end_from <= {_KEPT_UPTO}"""
