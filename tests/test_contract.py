@@ -1,0 +1,25 @@
+"""The driver contract: bench.py prints one JSON line with the agreed keys."""
+
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+
+from tests.conftest import SF_SMALL
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_REPEAT="1",
+               BENCH_QUERIES="pv_hourly,hot_items_topn", BENCH_COMPARE="0")
+    out = subprocess.run([sys.executable, "bench.py"], cwd=ROOT, env=env, capture_output=True,
+                         text=True, timeout=600, check=True).stdout.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
+    assert d["unit"] == "sec" and set(d["queries"]) == {"pv_hourly", "hot_items_topn"}
+    assert d["sf"] == 0.001
