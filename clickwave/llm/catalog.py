@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickwave.llm.common import bounded_batches
+from clickwave.llm.html_extract import main_text
 from clickwave.llm.mixing import mix_sources
 from clickwave.llm.packing import pack_documents
 from clickwave.llm.token_counts import token_counts
 from clickwave.llm.token_output import packed_matrices
+from clickwave.llm.toxicity import score_documents, train
 from clickwave.sources.events import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +25,17 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(bounded_batches(spark), sf_dir, "documents")
+    return score_documents(docs, train(docs, read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": _over("documents", token_counts),
+    "op4_html_extraction": _over("pages", main_text),
     "op5_packing": _over("documents", pack_documents),
     "op8_token_output": _over("documents", packed_matrices),
+    "op9_toxicity": _toxicity,
     "op10_mixing": _over("documents", mix_sources),
 }
 
