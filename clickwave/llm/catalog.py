@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickwave.llm.common import bounded_batches
+from clickwave.llm.embedding_dedup import near_embeddings
 from clickwave.llm.html_extract import main_text
 from clickwave.llm.mixing import mix_sources
 from clickwave.llm.packing import pack_documents
 from clickwave.llm.token_counts import token_counts
 from clickwave.llm.token_output import packed_matrices
+from clickwave.llm.topk_search import top_k
 from clickwave.llm.toxicity import score_documents, train
 from clickwave.sources.events import read_table
 
@@ -30,8 +33,14 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def _topk(vectors: DataFrame) -> DataFrame:
+    return top_k(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": _over("documents", token_counts),
+    "op2_embedding_dedup": _over("embeddings", near_embeddings),
+    "op3_topk_search": _over("embeddings", _topk),
     "op4_html_extraction": _over("pages", main_text),
     "op5_packing": _over("documents", pack_documents),
     "op8_token_output": _over("documents", packed_matrices),

@@ -247,6 +247,7 @@ def tag(texts: list[str | None], field: Field | None, cache: _Emissions | None =
     p = forward * backward
     p = np.minimum(p / (1 + p), 1 - 1e-9)
     score = 1 - np.exp(np.add.reduceat(np.where(p >= floor, np.log1p(-p), 0.0), at))
+    score = np.maximum(score, np.maximum.reduceat(p, at))
     for k, i in enumerate(some):
         spans = []
         mine = p[at[k]:at[k] + sizes[k]]
