@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from clickwave.llm.common import bounded_batches
 from clickwave.llm.embedding_dedup import near_embeddings
 from clickwave.llm.html_extract import main_text
+from clickwave.llm.line_dedup import deduplicated_lines
+from clickwave.llm.minhash_dedup import near_documents
 from clickwave.llm.mixing import mix_sources
 from clickwave.llm.packing import pack_documents
 from clickwave.llm.token_counts import token_counts
@@ -43,6 +45,8 @@ QUERIES: dict[str, Query] = {
     "op3_topk_search": _over("embeddings", _topk),
     "op4_html_extraction": _over("pages", main_text),
     "op5_packing": _over("documents", pack_documents),
+    "op6_minhash_dedup": _over("documents", near_documents),
+    "op7_line_dedup": _over("documents", deduplicated_lines),
     "op8_token_output": _over("documents", packed_matrices),
     "op9_toxicity": _toxicity,
     "op10_mixing": _over("documents", mix_sources),
