@@ -332,3 +332,19 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, words: int, similarit
     return (named.join(final, F.col("rep") == F.col("node"), "left")
             .select("id", "fp", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")))
 
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                      similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
+    """The row of each component's smallest id (one row if it repeats), with
+    the columns of ``docs``.  Rows without an id go if a row with an id has an
+    equal text, and stay otherwise."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    kept = (_assigned(docs, id_col, text_col, words, similarity, block)
+            .where(F.col("id") == F.col("component_id")).groupBy(F.col("id").alias("_id")).agg(F.min("fp").alias("_fp")))
+    rows = docs.select(row, F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("fp"))
+    named = (rows.join(kept, (F.col("id") == F.col("_id")) & (F.col("fp") == F.col("_fp")))
+             .dropDuplicates(["id"]).select("row"))
+    known = rows.where(F.col("id").isNotNull()).select(F.col("fp").alias("_known")).distinct()
+    nameless = rows.where(F.col("id").isNull()).join(known, F.col("fp") == F.col("_known"), "left_anti").select("row")
+    return named.unionByName(nameless).select("row.*")
