@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickwave.llm import oracles
 from clickwave.llm.common import bounded_batches
 from clickwave.llm.embedding_dedup import near_embeddings
 from clickwave.llm.html_extract import main_text
@@ -52,4 +53,9 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": _over("documents", mix_sources),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op3_topk_search": oracles.TOPK_SEARCH,
+    "op6_minhash_dedup": oracles.MINHASH_DEDUP,
+    "op10_mixing": oracles.MIXING,
+}

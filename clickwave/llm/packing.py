@@ -92,15 +92,13 @@ def fill_windows(counts: dict[int, int], capacity: int, leave: int, max_slack: i
             pieces -= more * len(lengths)
             times += more
         elif counts:
-            if leave:  # more pieces will come: wait for a better fit
-                for length in lengths:
-                    counts[length] = counts.get(length, 0) + 1
-                return
             cut = max(counts)  # longer than the slack, else it would be in the window
             _take(counts, cut, 1)
             counts[cut - slack] = counts.get(cut - slack, 0) + 1
             yield lengths, 1, cut, slack
             continue
+        elif leave:  # all that is left does not fill a window, and more will come
+            return
         yield lengths, times, 0, 0
 
 
@@ -175,7 +173,7 @@ def _packer(capacity: int, end_id: int, buffer_pieces: int, max_slack: int, voca
                     start = total - total % capacity
                     waiting.add((doc, start, total, ids[start:].copy()))
                 if waiting.n >= buffer_pieces:
-                    flush(buffer_pieces // 10)
+                    flush(max(1, buffer_pieces // 10))
             if rows:
                 yield table()
         flush(0)
