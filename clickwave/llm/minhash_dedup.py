@@ -59,7 +59,8 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # rows of 16 bits: a band is a 64-bit key
 BLOCK = 500
-SLICE = 256
+LEAD_BITS = 8
+SLICE = 1 << LEAD_BITS
 CACHED_WORDS = 300_000
 _GOLD, _A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _PRIME = np.uint64(0x100000001B3)
@@ -96,16 +97,18 @@ def bag_minhash(bags: list[np.ndarray], registers: int = BANDS * ROWS) -> np.nda
     docs = len(bags)
     if not sum(map(len, bags)):
         return np.zeros((docs, registers), np.uint16)
-    # distinct elements of each document with their counts: one sort of hashes led by the document's number
-    lead = max(1, (docs - 1).bit_length())
-    key = np.concatenate(bags) >> np.uint64(lead)
-    key |= np.repeat(np.arange(docs, dtype=np.uint64) << np.uint64(64 - lead), [len(b) for b in bags])
+    # distinct elements of each document with their counts: one sort of hashes led by the document's
+    # number, for which every call, whatever its size, leaves the same bits
+    if docs > 1 << LEAD_BITS:
+        raise ValueError(f"at most {1 << LEAD_BITS} documents at a time")
+    key = np.concatenate(bags) >> np.uint64(LEAD_BITS)
+    key |= np.repeat(np.arange(docs, dtype=np.uint64) << np.uint64(64 - LEAD_BITS), [len(b) for b in bags])
     key.sort()
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     weight = np.diff(np.append(start, len(key)))
     key = key[start]
-    doc = (key >> np.uint64(64 - lead)).astype(np.int64)
-    element = key & np.uint64((1 << (64 - lead)) - 1)
+    doc = (key >> np.uint64(64 - LEAD_BITS)).astype(np.int64)
+    element = key & np.uint64((1 << (64 - LEAD_BITS)) - 1)
     # one process for each element and dyadic interval up to its weight
     parts = [(np.arange(len(key)), 0)]
     level = 1

@@ -26,6 +26,13 @@ def test_registers_agree_as_often_as_multisets_overlap():
         assert not sig[2].any()
 
 
+def test_signatures_do_not_depend_on_the_batch():
+    rng, hashes = random.Random(8), minhash_dedup._Hashes()
+    bags = [minhash_dedup.shingles(prose(rng, rng.randint(0, 60)).split(), hashes) for _ in range(200)]
+    whole = minhash_dedup.bag_minhash(bags)
+    assert all((minhash_dedup.bag_minhash(bags[k:k + n]) == whole[k:k + n]).all() for k, n in ((0, 1), (3, 2), (50, 100)))
+
+
 def edited(rng, words, n):
     out = list(words)
     for _ in range(n):
