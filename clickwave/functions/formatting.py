@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The text layout of a ranking report, one block per window.
-#   "=====================" + "窗口结束时间：" + <window end> + "\n"
-#   "NO " + i + ": " + "商品ID=" + <key> + "热门度=" + <count> + "\n"   (items)
-#   "NO " + i + ": " + "页面URL=" + <key> + "浏览量=" + <count> + "\n"  (pages)
-#   "=====================\n\n"
+# Labels of a ranking report.  A block reads
+#   =====================窗口结束时间：2017-11-26 09:05:00.0
+#   NO 1: 商品ID=7热门度=3
+#   =====================
 REPORT_RULE = "====================="
 REPORT_WINDOW_LABEL = "窗口结束时间："
 ITEM_LABELS = ("商品ID=", "热门度=")

@@ -58,20 +58,20 @@ def bitmap_distinct_count(df: DataFrame, ts: str, size, col: str, out: str = "uv
     return chunks.groupBy("window_end").agg(F.sum("_n").cast("bigint").alias(out))
 
 
-def running_distinct_count(df: DataFrame, ts: str, size, col: str, order: list[str],
+def running_distinct_count(df: DataFrame, ts: str, size, col: str,
                            out: str = "uv_count", bucket_seconds: int | None = None) -> DataFrame:
     """One row each time a window sees a new bitmap offset of ``col``,
     carrying the number of offsets seen so far in that window.
 
-    Rows arrive in ``(ts, *order)`` order.  First sightings are found with an
-    aggregation; their running count uses the bucketed scan, so no window is
-    ranked in a single task.
+    Rows arrive in ``ts`` order.  First sightings are found with a hash
+    aggregation of the smallest time; their running count uses the bucketed
+    scan, so no window is ranked in a single task.  Which of two visitors with
+    the same first time is counted first does not show in the result.
     """
     firsts = (df.select(window_end(ts, size).alias("window_end"), bitmap_offset(F.col(col)).alias("_off"),
-                        F.struct(F.col(ts).alias("ts"), *[F.col(c) for c in order]).alias("_first"))
-              .groupBy("window_end", "_off").agg(F.min("_first").alias("_first"))
-              .select("window_end", "_first.*"))
+                        F.col(ts).alias("ts"))
+              .groupBy("window_end", "_off").agg(F.min("ts").alias("ts")))
     # bucket widths from the raw rows: no second pass over the first-sightings aggregate
-    ranked = running_aggregate(firsts, ["window_end"], ["ts", *order], how="count", out=out,
+    ranked = running_aggregate(firsts, ["window_end"], ["ts", "_off"], how="count", out=out,
                                bucket_seconds=bucket_seconds, width_source=df.select(F.col(ts).alias("ts")))
     return ranked.select("window_end", "ts", out)

@@ -26,9 +26,11 @@ def cap_clicks(df: DataFrame, keys: list[str], cap: int, ts: str = "ts",
 
     Only ``cap + 1`` rows per group are ever needed, so the rank filter is a
     window-group limit: each map task forwards at most ``cap + 1`` rows of a
-    group, however many clicks one bot makes.
+    group, however many clicks one bot makes.  Clicks without a time are
+    rejects: they belong to no day and are left out.
     """
     order = order or []
+    df = df.where(F.col(ts).isNotNull())
     groups = list(keys)
     if daily_reset:
         df = df.withColumn("day", reset_day(F.col(ts), offset_hours))

@@ -39,17 +39,20 @@ def _bucket(df: DataFrame, col: str, width: int | None, rows_per_bucket: int,
             source: DataFrame | None = None) -> Column:
     """``floor(position / width)``.  Without a width it adapts to the data:
     ``span x rows_per_bucket / rows`` from a scalar subquery planned with the
-    query (partial min/max/count, no driver round trip), so on average no
-    group's bucket exceeds ``rows_per_bucket`` rows however fast data arrives."""
+    query (mergeable sketches, no driver round trip), so on average no
+    group's bucket exceeds ``rows_per_bucket`` rows however fast data arrives.
+    The span is that between the 1st and the 99th percentile: single rows far
+    outside get buckets of their own instead of widening all others."""
     pos = _position(df, col)
     if width is not None:
         return F.floor(pos / F.lit(width * _unit(df, col)))
     src = source if source is not None else df
     spos = _position(src, col)
+    inner = F.percentile_approx(spos, [0.01, 0.99], 1000)
     stats = src.select(
         F.coalesce(
-            F.greatest(F.lit(1), F.ceil((F.max(spos) - F.min(spos) + F.lit(1)) * F.lit(rows_per_bucket)
-                                        / F.greatest(F.count(F.lit(1)), F.lit(1)))),
+            F.greatest(F.lit(1), F.ceil((inner[1] - inner[0] + F.lit(1)) * F.lit(rows_per_bucket)
+                                        / F.greatest(F.count(F.lit(1)) * F.lit(0.98), F.lit(1)))),
             F.lit(1)).cast("bigint").alias("w"))
     return F.floor(pos / stats.scalar())
 

@@ -22,8 +22,8 @@ from clickwave.sources.events import (
 # Fixed roles of the event types in the reference's records (see sources.events).
 PAGE_VIEW = "view"        # plays "pv"
 UNINSTALL = "signup"      # plays "UNINSTALL"
-# Cap of the registered ad query: one click per (user, ad) and UTC+8 day.
-AD_CAP = 1
+# Cap of the registered ad query: two clicks per (user, ad) and UTC+8 day.
+AD_CAP = 2
 
 
 def _behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,15 +324,15 @@ w AS (SELECT province, unnest(generate_series(pane_end, pane_end + INTERVAL 55 M
 SELECT province, window_end, CAST(sum(c) AS BIGINT) AS cnt FROM w GROUP BY ALL""",
     "late_split": f"""
 WITH {_WEB},
-a AS (SELECT event_id, user_id % 4 AS source, url, ts,
-             ts + to_seconds((event_id * 7919) % 1800) AS arrival FROM f),
+a AS (SELECT event_id, user_id % 4 AS source, ts,
+             ts + to_seconds((event_id * 7919) % 1800) AS arrival FROM l),
 m AS (SELECT *, max(ts) OVER (PARTITION BY source ORDER BY arrival, event_id
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 SECOND AS watermark
       FROM a)
-SELECT event_id, source, url, ts, arrival, watermark,
-       coalesce(time_bucket(INTERVAL 5 SECOND, ts) + INTERVAL 600 SECOND + INTERVAL 60 SECOND
+SELECT event_id, source, url, m.ts, arrival, watermark,
+       coalesce(time_bucket(INTERVAL 5 SECOND, m.ts) + INTERVAL 600 SECOND + INTERVAL 60 SECOND
                 - INTERVAL 1 MILLISECOND <= watermark, false) AS is_late
-FROM m""",
+FROM m JOIN f USING (event_id)""",
 }
 
 # Streams emit a window once the watermark (largest view time; Spark pushes the

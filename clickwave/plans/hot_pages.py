@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickwave.functions.formatting import PAGE_LABELS
 from clickwave.functions.predicates import equals, not_static_resource
@@ -38,10 +37,7 @@ def hot_pages_report(log: DataFrame, top: int = TOP, size=SIZE, slide=SLIDE) ->
 def late_rows(log: DataFrame, source: str, arrival: str, tiebreak: str, size=SIZE, slide=SLIDE,
               lateness=ALLOWED_LATENESS, out_of_orderness=OUT_OF_ORDERNESS) -> DataFrame:
     """R2 + R4: page requests tagged ``is_late`` as they meet the watermark in
-    arrival order per source partition."""
-    return split_late(page_requests(log), source, arrival, tiebreak, "ts", size, slide,
-                      lateness, out_of_orderness)
-
-
-def on_time_and_late(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return tagged.where(~F.col("is_late")), tagged.where(F.col("is_late"))
+    arrival order per source partition.  Every row of the log moves the
+    watermark; requests are picked afterwards."""
+    return page_requests(split_late(log, source, arrival, tiebreak, "ts", size, slide,
+                                    lateness, out_of_orderness))

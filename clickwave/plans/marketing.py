@@ -37,7 +37,3 @@ def total(events: DataFrame, uninstall: str = UNINSTALL, size=SIZE, slide=SLIDE)
     return dense.select(F.lit("total").alias("channel"), F.lit("total").alias("behavior"),
                         "window_end", "cnt")
 
-
-def total_windows(events: DataFrame, uninstall: str = UNINSTALL, size=SIZE, slide=SLIDE) -> DataFrame:
-    """The same through per-window counts (pane form), for comparison."""
-    return sliding_counts(_kept(events, uninstall).select("ts"), [], "ts", size, slide)

@@ -3,7 +3,8 @@
 Each runs a Structured Streaming query over the driver's table (file source,
 ``availableNow``) into a parquet sink or ``foreachBatch`` tables under the
 shared checkpoint folder, then returns the committed result as a DataFrame.
-The driver table is one file, so it is one micro-batch; the tests feed many.
+The table may be a file or a folder of part files; without a limit per trigger
+it is one micro-batch.  The tests feed many.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def uv_hourly_streamed(spark: SparkSession, sf_dir: str, page_view: str) -> Data
 
 def ads_by_province_streamed(spark: SparkSession, sf_dir: str, cap: int) -> DataFrame:
     clicks = ad_clicks_from_events(event_table_stream(spark, sf_dir))
-    tagged = jobs.capped_click_stream(clicks, cap)
+    tagged = jobs.capped_click_stream(clicks, cap, delay="0 seconds")
     out = run_to_parquet(jobs.ads_by_province_stream(tagged), "ads_by_province")
     return out.select("province", _ntz("window_end"), "cnt")
 

@@ -27,8 +27,9 @@ def page_views(behavior: DataFrame, page_view: str = PAGE_VIEW, size=HOUR) -> Da
 def page_views_salted(behavior: DataFrame, page_view: str = PAGE_VIEW, size=HOUR,
                       salts: int = 10) -> DataFrame:
     """P7 + A4: count per (salt, hour), then total per hour."""
-    rows = _views(behavior, page_view).select("userId", "itemId", "ts", "offset")
-    return salted_count(rows, "ts", size, salts).select(F.lit("pv").alias("key"), "window_end", "cnt")
+    salt = ["offset"] if "offset" in behavior.columns else ["ts", "userId"]
+    rows = _views(behavior, page_view).select(*dict.fromkeys(["ts", *salt]))
+    return salted_count(rows, "ts", size, salts, salt).select(F.lit("pv").alias("key"), "window_end", "cnt")
 
 
 def unique_visitors(behavior: DataFrame, page_view: str = PAGE_VIEW, size=HOUR) -> DataFrame:
@@ -47,7 +48,6 @@ def unique_visitors_running(behavior: DataFrame, page_view: str = PAGE_VIEW, siz
                             bucket_seconds: int | None = None) -> DataFrame:
     """The running UV of each hour, one row per newly seen visitor
     -> key, window_end, ts, uv_count."""
-    rows = _views(behavior, page_view).select("userId", "ts", "offset")
-    return running_distinct_count(rows, "ts", size, "userId", ["offset"],
-                                  bucket_seconds=bucket_seconds).select(
+    rows = _views(behavior, page_view).select("userId", "ts")
+    return running_distinct_count(rows, "ts", size, "userId", bucket_seconds=bucket_seconds).select(
         F.lit("uv").alias("key"), "window_end", "ts", "uv_count")

@@ -19,7 +19,6 @@ def kafka_source_options(bootstrap_servers: str, topic: str,
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
     }
     opts.update(extra)
     return opts

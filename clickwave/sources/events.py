@@ -32,15 +32,23 @@ CHANNELS = ["apps store", "wechat", "weibo"]
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False,
                **options) -> DataFrame:
-    """One driver table (one parquet file per table)."""
+    """One driver table: a parquet file or a folder of part files.
+
+    A file stream watches a folder.  If the table is one, the stream reads all
+    of it; if it is a file, the stream picks that file by name.  A table
+    without any file is an error, not an empty stream.
+    """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if not streaming:
         return spark.read.parquet(path)
     from clickwave import schemas
-    # a file stream watches a folder; pick the table's file by name
-    return (spark.readStream.schema(schemas.EVENTS)
-            .option("pathGlobFilter", f"{name}.parquet").options(**options)
-            .parquet(sf_dir))
+    files = spark.read.schema(schemas.EVENTS).parquet(path).inputFiles()
+    if not files:
+        raise FileNotFoundError(f"no file in {path}")
+    reader = spark.readStream.schema(schemas.EVENTS).options(**options)
+    if f"/{name}.parquet/" in files[0]:
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def item_key(props: Column) -> Column:

@@ -20,19 +20,30 @@ def _with_seconds_time(df: DataFrame, ntz: bool) -> DataFrame:
     return df.withColumn("ts", seconds_to_event_time(F.col("timestamp"), ntz))
 
 
+#: Fields without which a record is a reject.
+USER_BEHAVIOR_REQUIRED = ["userId", "itemId", "behavior", "timestamp"]
+AD_CLICK_REQUIRED = ["userId", "adId", "province", "timestamp"]
+
+
 def read_user_behavior(spark: SparkSession, path: str, streaming: bool = False,
-                       ntz: bool | None = None, **options) -> DataFrame:
-    """Comma-separated user-behaviour files, no header."""
+                       ntz: bool | None = None, strict: bool = False, **options) -> DataFrame:
+    """Comma-separated user-behaviour files, no header.  Bad fields become
+    null; with ``strict`` a record without its required fields fails the job."""
     reader = spark.readStream if streaming else spark.read
     df = reader.schema(schemas.USER_BEHAVIOR).options(header="false", **options).csv(path)
+    if strict:
+        df = fail_on_rejects(df, USER_BEHAVIOR_REQUIRED)
     return _with_seconds_time(df, ntz=not streaming if ntz is None else ntz)
 
 
 def read_ad_clicks(spark: SparkSession, path: str, streaming: bool = False,
-                   ntz: bool | None = None, **options) -> DataFrame:
-    """Comma-separated ad-click files, no header."""
+                   ntz: bool | None = None, strict: bool = False, **options) -> DataFrame:
+    """Comma-separated ad-click files, no header; ``strict`` as in
+    :func:`read_user_behavior`."""
     reader = spark.readStream if streaming else spark.read
     df = reader.schema(schemas.AD_CLICK).options(header="false", **options).csv(path)
+    if strict:
+        df = fail_on_rejects(df, AD_CLICK_REQUIRED)
     return _with_seconds_time(df, ntz=not streaming if ntz is None else ntz)
 
 
@@ -58,12 +69,29 @@ def web_log_from_lines(lines: DataFrame, col: str = "value", ntz: bool = True) -
 
 
 def split_rejects(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with every required field present, and the rest.
+    """Rows with every required field present, and the rest."""
+    ok = _present(required)
+    return df.where(ok), df.where(~ok)
 
-    The reference fails the job on the first bad field; a strict caller can
-    assert that the reject frame is empty.
-    """
+
+def _present(required: list[str]):
     ok = F.lit(True)
     for c in required:
         ok = ok & F.col(c).isNotNull()
-    return df.where(ok), df.where(~ok)
+    return ok
+
+
+def fail_on_rejects(df: DataFrame, required: list[str]) -> DataFrame:
+    """Strict reading, batch or stream: the job fails on the first row that
+    lacks a required field."""
+    message = F.concat(F.lit("bad record: "), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return df.where(F.when(_present(required), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def count_rejects(df: DataFrame, required: list[str], observation) -> DataFrame:
+    """``df`` as it is, with the number of rejects observed as ``rejects``.
+
+    ``observation``: an ``Observation`` for a batch job, or a name, under which
+    every micro-batch reports it in its progress.
+    """
+    return df.observe(observation, F.count_if(~_present(required)).alias("rejects"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +30,14 @@ def _win(ts: str | Column, size, slide=None) -> Column:
 
 def stream_sliding_counts(df: DataFrame, keys: list[str], ts: str, size, slide,
                           out: str = "cnt") -> DataFrame:
-    """Pane form on a stream: tumbling pane counts, then panes summed into
-    sliding windows; two chained aggregations, append mode.  -> keys, window, out."""
-    size_s, slide_s = seconds(size), seconds(slide)
-    if size_s % slide_s:
-        return df.groupBy(*keys, _win(ts, size_s, slide_s)).agg(F.count(F.lit(1)).alias(out))
-    panes = df.groupBy(*keys, _win(ts, slide_s).alias("pane")).agg(F.count(F.lit(1)).alias("_c"))
-    if size_s == slide_s:
-        return panes.select(*keys, F.col("pane").alias("window"), F.col("_c").alias(out))
-    return (panes.groupBy(*keys, _win(F.window_time("pane"), size_s, slide_s))
-            .agg(F.sum("_c").alias(out)))
+    """Sliding-window counts on a stream, append mode.  -> keys, window, out.
+
+    Spark keeps ``size/slide`` rows of state per key and pane and checks every
+    window of a row against the watermark, so a late row counts in the windows
+    that are still open.  Where ``size/slide`` is large, keep panes instead
+    (:func:`pane_count_updates`).
+    """
+    return df.groupBy(*keys, _win(ts, size, slide)).agg(F.count(F.lit(1)).alias(out))
 
 
 def hot_item_counts_stream(behavior: DataFrame, size="1 hour", slide="5 minutes",
@@ -54,27 +54,33 @@ def hot_item_counts_stream(behavior: DataFrame, size="1 hour", slide="5 minutes"
     return counts.select("itemId", F.col("window.end").alias("window_end"), "cnt")
 
 
-HOT_ITEMS_WINDOW_SQL = (
-    "SELECT itemId, count(itemId) AS cnt, window.end AS windowEnd FROM {view} "
-    "WHERE behavior = '{page_view}' GROUP BY itemId, window(ts, '{size} seconds', '{slide} seconds')")
+VIEWS_PER_WINDOW_SQL = """
+SELECT item AS itemId, count(*) AS cnt, hop.end AS windowEnd
+FROM (SELECT itemId AS item, window(ts, '{size} seconds', '{slide} seconds') AS hop
+      FROM {view} WHERE behavior = '{page_view}')
+GROUP BY hop, item
+"""
 
 
 def hot_items_sql_stream(spark: SparkSession, behavior: DataFrame, size="1 hour", slide="5 minutes",
-                         page_view: str = "pv", delay: str = "0 seconds",
-                         view: str = "data_table_stream") -> DataFrame:
+                         page_view: str = "pv", delay: str = "0 seconds") -> DataFrame:
     """A stream registered as a view and aggregated with SQL (append).
     ``ROW_NUMBER`` is refused on streams; rank each micro-batch with
     :class:`clickwave.streaming.sinks.SqlTopNWriter`."""
+    view = f"clickwave_stream_{uuid.uuid4().hex}"
     with_event_time(behavior, delay).select("itemId", "behavior", "ts").createOrReplaceTempView(view)
-    return spark.sql(HOT_ITEMS_WINDOW_SQL.format(view=view, page_view=page_view, size=seconds(size),
-                                                 slide=seconds(slide)))
+    try:
+        return spark.sql(VIEWS_PER_WINDOW_SQL.format(view=view, page_view=page_view, size=seconds(size),
+                                                     slide=seconds(slide)))
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def page_views_stream(behavior: DataFrame, size="1 hour", salts: int = 10, page_view: str = "pv",
                       delay: str = "0 seconds") -> DataFrame:
     """Page views per hour on a stream, salted two-phase count -> key, window_end, cnt."""
     views = with_event_time(behavior, delay).where(equals("behavior", page_view))
-    cols = [c for c in ("userId", "itemId", "ts", "offset") if c in views.columns]
+    cols = ["offset"] if "offset" in views.columns else ["ts", "userId"]
     salted = views.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salts)))
     part = salted.groupBy("_salt", _win("ts", size).alias("window")).agg(F.count(F.lit(1)).alias("_c"))
     total = part.groupBy("window").agg(F.sum("_c").alias("cnt"))
@@ -121,10 +127,13 @@ CAPPED_FIELDS = [
 
 
 def capped_click_stream(clicks: DataFrame, cap: int = 100, keys=("userId", "adId"),
-                        delay: str = "0 seconds", offset_hours: int = RESET_OFFSET_HOURS,
+                        delay: str = "1 day", offset_hours: int = RESET_OFFSET_HOURS,
                         form: str = "rows") -> DataFrame:
-    """The click cap on a stream: rows tagged ``ok`` / ``alert`` by a keyed
-    stateful processor with an event-time daily reset.
+    """The click cap on a stream: rows tagged ``ok`` / ``alert`` by a stateful
+    processor keyed by ``keys`` and reset day, so that a late click counts in
+    its own day, whatever day came meanwhile.  A day's state goes when the
+    watermark passes its end; a click later than ``delay`` is dropped.  Clicks
+    without a time are rejects, not part of any day: see ``split_rejects``.
 
     ``form="rows"`` (``transformWithState``) suits the usual handful of clicks
     per key and micro-batch -- about twice as fast as ``form="pandas"``
@@ -138,9 +147,9 @@ def capped_click_stream(clicks: DataFrame, cap: int = 100, keys=("userId", "adId
     if "offset" not in src.columns:
         src = src.withColumn("offset", F.lit(0).cast("bigint"))
     day_end = (F.floor((F.unix_millis(F.col("ts")) + F.lit(off)) / F.lit(DAY_MS)) + 1) * F.lit(DAY_MS) - F.lit(off)
-    rows = (src.withColumn("_day_end", day_end.cast("bigint"))
+    rows = (src.where(F.col("ts").isNotNull()).withColumn("_day_end", day_end.cast("bigint"))
             .select(*[f.name for f in CAPPED_FIELDS[:7]]))
-    grouped = rows.groupBy(*keys)
+    grouped = rows.groupBy(*keys, "_day_end")
     if form == "pandas":
         return grouped.transformWithStateInPandas(
             ClickCapProcessor(cap, columns=rows.columns), T.StructType(CAPPED_FIELDS),
@@ -160,58 +169,68 @@ def alert_stream(tagged: DataFrame, cap: int = 100) -> DataFrame:
     return tagged.where(F.col("kind") == "alert").select("userId", "adId", "ts", alert_message(cap).alias("warning_msg"))
 
 
-def page_pane_updates(log: DataFrame, slide="5 seconds", lateness="1 minute",
+def page_pane_updates(log: DataFrame, size="10 minutes", slide="5 seconds", lateness="1 minute",
                       out_of_orderness="1 second") -> DataFrame:
-    """Page request counts per pane in update mode: the watermark delay is
-    out-of-orderness plus allowed lateness, so panes accept late rows for one
-    more minute and every change of a count is emitted (R2, R3).  One state
-    row per (url, pane); ``PageRankingWriter`` sums panes into windows."""
+    """Page request counts per pane in update mode: the delay is
+    out-of-orderness plus allowed lateness, and every change of a count is
+    emitted (R2, R3).  One state row per (url, pane); ``PageRankingWriter``
+    sums panes into windows."""
     delay = f"{seconds(lateness) + seconds(out_of_orderness)} seconds"
     req = log.where(equals("method", "GET") & not_static_resource("url")).select("url", "ts")
-    return pane_count_updates(req, ["url"], "ts", slide, delay)
+    return pane_count_updates(req, ["url"], "ts", size, slide, delay)
+
 
 def late_split_stream(log: DataFrame, source: str = "source", size="10 minutes", slide="5 seconds",
                       lateness="1 minute", out_of_orderness="1 second") -> DataFrame:
-    """R2 + R4 on a stream of page requests with ``source``, ``arrival`` and
-    ``offset`` columns -> the input columns plus ``watermark`` and ``is_late``."""
+    """R2 + R4 on a stream of log rows with ``source``, ``arrival`` and
+    ``offset`` columns -> the page requests among them plus ``watermark`` and
+    ``is_late``.  All rows move the watermark, also those that are no page
+    requests."""
     spark = log.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     size_s, slide_s = seconds(size), seconds(slide)
-    req = log.where(equals("method", "GET") & not_static_resource("url"))
     last_end = plus_seconds(F.window(F.col("ts"), f"{slide_s} seconds").end, size_s - slide_s)
     cleanup = F.unix_micros(plus_seconds(last_end, seconds(lateness)).cast("timestamp")) - F.lit(1000)
-    cols = [c for c in req.columns if c not in ("_ts_us", "_cleanup_us")]
-    rows = req.select(*cols, F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"),
+    cols = [c for c in log.columns if c not in ("_ts_us", "_cleanup_us")]
+    rows = log.where(F.col("ts").isNotNull()).select(*cols, F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"),
                       cleanup.alias("_cleanup_us"))
     schema = T.StructType([*rows.schema.fields, T.StructField("_wm_us", T.LongType()),
                            T.StructField("is_late", T.BooleanType())])
     tagged = rows.groupBy(source).transformWithStateInPandas(
         LateSplitProcessor(seconds(out_of_orderness) * 1_000_000, columns=rows.columns), schema, "Append", "None")
+    tagged = tagged.where(equals("method", "GET") & not_static_resource("url"))
     return tagged.withColumn("watermark", F.timestamp_micros("_wm_us")).drop("_ts_us", "_cleanup_us", "_wm_us")
 
 
-def pane_count_updates(df: DataFrame, keys: list[str], ts: str = "ts", slide="5 seconds",
+def pane_count_updates(df: DataFrame, keys: list[str], ts: str = "ts", size="1 hour", slide="5 seconds",
                        delay: str = "0 seconds") -> DataFrame:
     """Counts per (keys, pane) in update mode, with the largest event time of
     each pane: one stateful aggregation, one state row per live pane.
     :class:`clickwave.streaming.sinks.SlidingWindowWriter` turns them into
-    final sliding-window counts."""
-    src = with_event_time(df, delay)
+    final sliding-window counts.
+
+    A pane lives until its *last* window is final (``size - slide`` after its
+    first one), so a row that is late for some windows still reaches the
+    others; the writers keep windows that are final as they are.
+    """
+    if seconds(size) % seconds(slide):
+        raise ValueError("panes need a size that is a multiple of the slide")
+    src = with_event_time(df, f"{seconds(delay) + seconds(size) - seconds(slide)} seconds", ts)
     return (src.groupBy(*keys, _win(ts, slide).alias("pane"))
             .agg(F.count(F.lit(1)).alias("cnt"), F.max(ts).alias("max_ts"))
             .select(*keys, F.col("pane.end").alias("pane_end"), "cnt", "max_ts"))
 
 
-def marketing_pane_updates(events: DataFrame, by_channel: bool = True, slide="5 seconds",
+def marketing_pane_updates(events: DataFrame, by_channel: bool = True, size="1 hour", slide="5 seconds",
                            uninstall: str = "UNINSTALL", delay: str = "0 seconds") -> DataFrame:
     kept = events.where(not_equal_keep_null("behavior", uninstall))
     keys = ["channel", "behavior"] if by_channel else []
-    return pane_count_updates(kept.select(*keys, "ts"), keys, "ts", slide, delay)
+    return pane_count_updates(kept.select(*keys, "ts"), keys, "ts", size, slide, delay)
 
 
-def item_view_pane_updates(behavior: DataFrame, slide="5 minutes", page_view: str = "pv",
+def item_view_pane_updates(behavior: DataFrame, size="1 hour", slide="5 minutes", page_view: str = "pv",
                            delay: str = "0 seconds") -> DataFrame:
     """Item views per (item, pane) in update mode, for ``SlidingWindowWriter(top=n)``."""
     views = behavior.where(equals("behavior", page_view)).select("itemId", "ts")
-    return pane_count_updates(views, ["itemId"], "ts", slide, delay)
+    return pane_count_updates(views, ["itemId"], "ts", size, slide, delay)

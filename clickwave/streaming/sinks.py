@@ -138,18 +138,23 @@ class TopNWriter:
 
 
 class SqlTopNWriter:
-    """R9 + T3: the reference's ``ROW_NUMBER`` SQL run on each micro-batch of an
-    append-mode window aggregate registered as a view."""
-
-    SQL = ("SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY windowEnd "
-           "ORDER BY cnt DESC, itemId) AS row_num FROM {view}) WHERE row_num <= {top}")
+    """R9 + T3: each micro-batch of an append-mode window aggregate is ranked
+    in SQL, through a view of its own."""
+
+    SQL = """
+    WITH places AS (
+      SELECT counted.*, row_number() OVER (PARTITION BY windowEnd ORDER BY cnt DESC, itemId) AS row_num
+      FROM {view} AS counted
+    )
+    SELECT * FROM places WHERE row_num <= {top}
+    """
 
-    def __init__(self, spark: SparkSession, base: str, top: int = 5, view: str = "agg"):
+    def __init__(self, spark: SparkSession, base: str, top: int = 5):
         self.out = AppendLog(spark, base)
-        self.top, self.view = top, view
+        self.top = top
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        view = f"{self.view}_{epoch}"
+        view = f"clickwave_counts_{uuid.uuid4().hex}"
         batch.createOrReplaceTempView(view)
         try:
             self.out.write(batch.sparkSession.sql(self.SQL.format(view=view, top=int(self.top))), epoch)

@@ -20,8 +20,12 @@ def with_event_time(df: DataFrame, delay: str = "0 seconds", col: str = "ts") ->
 
 
 def event_table_stream(spark: SparkSession, sf_dir: str, name: str = "events",
-                       max_files: int | None = None) -> DataFrame:
+                       max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+    """A driver table as a stream; a micro-batch takes at most ``max_files``
+    files or ``max_bytes`` (as ``"4g"``)."""
     opts = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    if max_bytes:
+        opts["maxBytesPerTrigger"] = max_bytes
     return as_stream_time(read_table(spark, sf_dir, name, streaming=True, **opts))
 
 

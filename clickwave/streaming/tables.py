@@ -94,9 +94,6 @@ class AppendLog:
                 out.append(int(name[len("epoch="):]))
         return sorted(out)
 
-    def read_epoch(self, epoch: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/epoch={epoch}")
-
     def read(self, before_epoch: int | None = None) -> DataFrame | None:
         eps = [e for e in self.epochs() if before_epoch is None or e < before_epoch]
         if not eps:

@@ -85,7 +85,7 @@ def test_running_uv_matches_bitmap_process(spark):
             expect.append((end, ts, count[end]))
     df = behavior_df(spark, rows)
     # 10-minute buckets: each hour's ranking spans six buckets
-    got = running_distinct_count(df, "ts", "1 hour", "userId", ["offset"], bucket_seconds=600)
+    got = running_distinct_count(df, "ts", "1 hour", "userId", bucket_seconds=600)
     assert sorted_rows(got, "window_end", "ts", "uv_count") == sorted(expect)
 
 

@@ -73,3 +73,11 @@ def test_texts(spark):
     r = df.select(java_timestamp_text(F.col("t")).alias("s"), alert_message(100).alias("m")).collect()[0]
     assert r["s"] == "2017-11-26 09:05:00.0"
     assert r["m"] == "click over100 times"
+
+
+def test_window_ends_as_epoch_milliseconds(spark):
+    import datetime as dt
+
+    from clickwave.functions import epoch_millis
+    df = spark.createDataFrame([(dt.datetime(2017, 11, 26, 1, 5),)], "w timestamp_ntz")
+    assert df.select(epoch_millis(F.col("w"))).first()[0] == 1511658300000

@@ -17,7 +17,7 @@ from tests.helpers import behavior_df, sorted_rows
 def test_connector_options():
     assert kafka_source_options("localhost:9092", "hotitems") == {
         "kafka.bootstrap.servers": "localhost:9092", "subscribe": "hotitems",
-        "startingOffsets": "latest", "failOnDataLoss": "false"}
+        "startingOffsets": "latest"}
     assert kafka_source_options("b:1", "t", "earliest", **{"kafka.group.id": "consumer"})["kafka.group.id"] == "consumer"
     assert kafka_sink_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
     assert socket_source_options("localhost", 7777) == {"host": "localhost", "port": "7777"}
