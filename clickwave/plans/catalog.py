@@ -129,6 +129,10 @@ def q_ad_click_capped_stream(spark, sf_dir):
     return streamed.ad_click_capped_streamed(spark, sf_dir, AD_CAP)
 
 
+def q_ad_click_alerts_stream(spark, sf_dir):
+    return streamed.ad_click_alerts_streamed(spark, sf_dir, AD_CAP)
+
+
 def q_uv_running_stream(spark, sf_dir):
     return streamed.uv_running_streamed(spark, sf_dir, PAGE_VIEW)
 
@@ -185,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_split": q_late_split,
     "hot_items_stream": q_hot_items_stream,
     "ad_click_capped_stream": q_ad_click_capped_stream,
+    "ad_click_alerts_stream": q_ad_click_alerts_stream,
     "uv_running_stream": q_uv_running_stream,
     "late_split_stream": q_late_split_stream,
     "pv_hourly_stream": q_pv_hourly_stream,
@@ -344,6 +349,7 @@ ORACLES["hot_items_stream"] = (
 ORACLES["hot_items_sql_stream"] = (
     _ITEM_TOP5 + f"SELECT item_id, cnt, window_end, rnk AS row_num FROM r WHERE rnk <= 5 AND window_end <= {_VIEW_WM}")
 ORACLES["ad_click_capped_stream"] = ORACLES["ad_click_capped"]
+ORACLES["ad_click_alerts_stream"] = ORACLES["ad_click_alerts"]
 ORACLES["uv_running_stream"] = ORACLES["uv_running"]
 ORACLES["late_split_stream"] = ORACLES["late_split"]
 ORACLES["pv_hourly_stream"] = f"SELECT * FROM ({ORACLES['pv_hourly']}) WHERE window_end <= {_VIEW_WM}"

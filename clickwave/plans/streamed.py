@@ -24,7 +24,7 @@ from clickwave.sources.events import (
 from clickwave.sources.text import web_log_from_lines
 from clickwave.streaming import jobs
 from clickwave.streaming.sinks import (
-    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, final_rankings,
+    LateSplitWriter, PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, final_rankings,
     start_query,
 )
 from clickwave.streaming.sources import event_table_stream
@@ -76,6 +76,14 @@ def ad_click_capped_streamed(spark: SparkSession, sf_dir: str, cap: int) -> Data
                      _ntz("ts"), F.col("offset").alias("event_id"), reset_day(F.col("ts")).alias("day"))
 
 
+def ad_click_alerts_streamed(spark: SparkSession, sf_dir: str, cap: int) -> DataFrame:
+    """R6 on a stream: one alert for each pair and day that goes over the cap."""
+    clicks = ad_clicks_from_events(event_table_stream(spark, sf_dir))
+    out = run_to_parquet(jobs.alert_stream(jobs.capped_click_stream(clicks, cap), cap), "ad_alerts")
+    return out.select(F.col("userId").alias("user_id"), F.col("adId").alias("ad_id"),
+                      reset_day(F.col("ts")).alias("day"), _ntz("ts"), "warning_msg")
+
+
 def uv_running_streamed(spark: SparkSession, sf_dir: str, page_view: str) -> DataFrame:
     behavior = user_behavior_from_events(event_table_stream(spark, sf_dir))
     base = _workdir(spark, "uv_running")
@@ -92,8 +100,10 @@ def late_split_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.pmod(F.col("offset") * F.lit(7919), F.lit(1800))
     log = (log.withColumn("source", F.pmod(F.col("user_id"), F.lit(4)))
            .withColumn("arrival", plus_seconds(F.col("ts"), delay)))
-    out = run_to_parquet(jobs.late_split_stream(log), "late_split")
-    return out.select(F.col("offset").alias("event_id"), "source", "url", _ntz("ts"), _ntz("arrival"),
+    base = _workdir(spark, "late_split")
+    writer = LateSplitWriter(spark, base)
+    _await(start_query(log, "late_split", "append", checkpoint=f"{base}/ck", foreach_batch=writer))
+    return writer.result().select(F.col("offset").alias("event_id"), "source", "url", _ntz("ts"), _ntz("arrival"),
                       _ntz("watermark"), "is_late")
 
 

@@ -14,7 +14,7 @@ from clickwave.functions.predicates import equals, not_equal_keep_null, not_stat
 from clickwave.operators.fraud import RESET_OFFSET_HOURS
 from clickwave.operators.timeutil import plus_seconds, seconds
 from clickwave.streaming.processors import (
-    DAY_MS, ClickCapProcessor, ClickCapRowProcessor, LateSplitProcessor,
+    DAY_MS, ClickCapProcessor, ClickCapRowProcessor,
 )
 from clickwave.streaming.sources import with_event_time
 
@@ -180,29 +180,6 @@ def page_pane_updates(log: DataFrame, size="10 minutes", slide="5 seconds", late
     return pane_count_updates(req, ["url"], "ts", size, slide, delay)
 
 
-def late_split_stream(log: DataFrame, source: str = "source", size="10 minutes", slide="5 seconds",
-                      lateness="1 minute", out_of_orderness="1 second") -> DataFrame:
-    """R2 + R4 on a stream of log rows with ``source``, ``arrival`` and
-    ``offset`` columns -> the page requests among them plus ``watermark`` and
-    ``is_late``.  All rows move the watermark, also those that are no page
-    requests."""
-    spark = log.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    size_s, slide_s = seconds(size), seconds(slide)
-    last_end = plus_seconds(F.window(F.col("ts"), f"{slide_s} seconds").end, size_s - slide_s)
-    cleanup = F.unix_micros(plus_seconds(last_end, seconds(lateness)).cast("timestamp")) - F.lit(1000)
-    cols = [c for c in log.columns if c not in ("_ts_us", "_cleanup_us")]
-    rows = log.where(F.col("ts").isNotNull()).select(*cols, F.unix_micros(F.col("ts").cast("timestamp")).alias("_ts_us"),
-                      cleanup.alias("_cleanup_us"))
-    schema = T.StructType([*rows.schema.fields, T.StructField("_wm_us", T.LongType()),
-                           T.StructField("is_late", T.BooleanType())])
-    tagged = rows.groupBy(source).transformWithStateInPandas(
-        LateSplitProcessor(seconds(out_of_orderness) * 1_000_000, columns=rows.columns), schema, "Append", "None")
-    tagged = tagged.where(equals("method", "GET") & not_static_resource("url"))
-    return tagged.withColumn("watermark", F.timestamp_micros("_wm_us")).drop("_ts_us", "_cleanup_us", "_wm_us")
-
-
 def pane_count_updates(df: DataFrame, keys: list[str], ts: str = "ts", size="1 hour", slide="5 seconds",
                        delay: str = "0 seconds") -> DataFrame:
     """Counts per (keys, pane) in update mode, with the largest event time of

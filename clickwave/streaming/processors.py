@@ -90,45 +90,6 @@ class ClickCapProcessor(StatefulProcessor):
         pass
 
 
-class LateSplitProcessor(StatefulProcessor):
-    """R4 on a stream, keyed by source partition: rows are taken in arrival
-    order (``arrival``, ``offset``); each meets the watermark built from the
-    largest event time seen before it in its partition, and is tagged late
-    when its last window is past ``end - 1 ms + lateness``.
-
-    Input columns ``_ts_us`` (event time) and ``_cleanup_us`` (end of the
-    row's last window plus lateness, minus 1 ms) are precomputed in Spark.
-    """
-
-    def __init__(self, out_of_orderness_us: int, columns: list[str] | None = None):
-        self.ooo_us = int(out_of_orderness_us)
-        self.columns = columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "max_ts_us long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = _named(pdf, self.columns)
-        pdf = pdf.sort_values(["arrival", "offset"], kind="stable").reset_index(drop=True)
-        prior = self.seen.get()[0] if self.seen.exists() else None
-        ts = pdf["_ts_us"].astype("int64")
-        before = ts.cummax().shift(1)
-        if prior is not None:
-            before = before.fillna(prior).clip(lower=prior)
-        wm = before - self.ooo_us
-        pdf["_wm_us"] = wm.astype("Int64")
-        pdf["is_late"] = (pdf["_cleanup_us"] <= wm).fillna(False).astype(bool)
-        top = int(ts.max()) if prior is None else max(prior, int(ts.max()))
-        self.seen.update((top,))
-        yield pdf
-
-    def close(self) -> None:
-        pass
-
-
 class ClickCapRowProcessor(StatefulProcessor):
     """Row form of :class:`ClickCapProcessor` for ``transformWithState``.
 

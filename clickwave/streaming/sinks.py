@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickwave.functions.predicates import equals, not_static_resource
 from clickwave.operators.ranking import top_n_by_count
 from clickwave.operators.windows import expand_runs, runs_from_panes
 from clickwave.operators.scan import running_aggregate
@@ -221,6 +222,49 @@ class RunningUvWriter:
         return got.select("key", "window_end", "ts", "uv_count")
 
 
+class LateSplitWriter:
+    """R2 + R4 on a stream of log rows with ``source``, ``arrival`` and
+    ``offset`` columns: the page requests among them with ``watermark`` and
+    ``is_late``.
+
+    Per micro-batch the running maximum of the event time is the bucketed
+    scan of the batch job, so a source is never gathered in one task; the
+    largest time of each source goes into the next micro-batch as a table of
+    one row per source.  Every row moves the watermark, requests are picked
+    afterwards; rows without a time are rejects.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, source: str = "source", size="10 minutes",
+                 slide="5 seconds", lateness="1 minute", out_of_orderness="1 second",
+                 rows_per_bucket: int = 1_000_000):
+        self.spark, self.base, self.source = spark, base.rstrip("/"), source
+        self.times = (seconds(size), seconds(slide), seconds(lateness), seconds(out_of_orderness))
+        self.rows_per_bucket = rows_per_bucket
+        self.out = AppendLog(spark, f"{self.base}/rows")
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
+        size_s, slide_s, lateness_s, ooo_s = self.times
+        batch = batch.where(F.col("ts").isNotNull())
+        kind = batch.schema[self.source].dataType.simpleString()
+        before = (self.spark.read.parquet(f"{self.base}/seen/epoch={epoch - 1}") if epoch
+                  else self.spark.createDataFrame([], f"_source {kind}, _top timestamp"))
+        seen = running_aggregate(batch, [self.source], ["arrival", "offset"], how="max", value="ts", out="_seen",
+                                 inclusive=False, rows_per_bucket=self.rows_per_bucket)
+        last_end = plus_seconds(F.window("ts", f"{slide_s} seconds").end, size_s - slide_s)
+        cleanup = plus_seconds(last_end, lateness_s) - F.expr("INTERVAL '0.001' SECOND")
+        tagged = (seen.join(before, F.col(self.source).eqNullSafe(F.col("_source")), "left")
+                  .withColumn("watermark", plus_seconds(F.greatest("_seen", "_top"), -ooo_s))
+                  .withColumn("is_late", F.coalesce(cleanup <= F.col("watermark"), F.lit(False))))
+        self.out.write(tagged.where(equals("method", "GET") & not_static_resource("url"))
+                       .drop("_seen", "_source", "_top"), epoch)
+        now = batch.select(F.col(self.source).alias("_source"), F.col("ts").alias("_top")).unionByName(before)
+        now.groupBy("_source").agg(F.max("_top").alias("_top")).write.mode("overwrite").parquet(
+            f"{self.base}/seen/epoch={epoch}")
+
+    def result(self) -> DataFrame:
+        return self.out.read_all()
+
+
 class PageRankingWriter:
     """T2 + R3 + R10: page rankings issued when the watermark passes a window's
     end and issued again when late rows change its counts, until the window

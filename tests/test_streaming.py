@@ -12,7 +12,7 @@ from clickwave.plans import ads, hot_items, marketing, traffic
 from clickwave.sources.text import read_ad_clicks, read_user_behavior
 from clickwave.streaming import jobs
 from clickwave.streaming.sinks import (
-    PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, start_query,
+    LateSplitWriter, PageRankingWriter, RunningUvWriter, SlidingWindowWriter, SqlTopNWriter, TopNWriter, start_query,
 )
 from clickwave.streaming.sources import ad_click_stream, user_behavior_stream, web_log_stream
 from tests.conftest import SF_SMALL
@@ -142,7 +142,7 @@ def test_running_uv_stream_equals_batch(spark, behavior_dir, tmpdir_fresh):
     assert _rows(counts, "window_end", "uv") == _rows(traffic.unique_visitors(batch), "window_end", "uv")
 
 
-def test_marketing_total_stream(spark, behavior_dir):
+def test_marketing_windows_in_state_equal_batch(spark, behavior_dir):
     batch = read_user_behavior(spark, behavior_dir).select(
         "userId", "behavior", F.lit("c").alias("channel"), "ts")
     wm = _max_ts(batch)
@@ -217,7 +217,7 @@ def test_click_cap_stream_matches_batch(spark, click_dir, form):
 def test_ads_by_province_stream(spark, click_dir):
     batch = read_ad_clicks(spark, click_dir)
     wm = _max_ts(batch)
-    tagged = jobs.capped_click_stream(ad_click_stream(spark, click_dir), cap=2)
+    tagged = jobs.capped_click_stream(ad_click_stream(spark, click_dir), cap=2, delay="0 seconds")
     got = _run(jobs.ads_by_province_stream(tagged))
     got = got.select("province", F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt")
     exp = _closed(ads.by_province(batch, cap=2), wm)
@@ -235,7 +235,8 @@ def test_hot_pages_revisions(spark, tmpdir_fresh):
         [line(t0 + 20 * s, "/a"), line(t0 + 21 * s, "/a.css")],   # watermark -> 10:00:19
         [line(t0 + 4 * s, "/a"), line(t0 + 5 * s, "/a")],          # late, within one minute: revise
         [line(t0 + 300 * s, "/c")],                                 # watermark -> 10:04:59
-        [line(t0 + 1 * s, "/c")],                                   # past every window's lateness for 10:00:05 .. ?
+        [line(t0 + 301 * s, "/c")],                                 # lets the watermark take effect
+        [line(t0 + 1 * s, "/c")],                                   # past the lateness of its first windows only
     ]
     d = tempfile.mkdtemp(prefix="clickwave-log-")
     for i, batch_lines in enumerate(lines):
@@ -288,9 +289,10 @@ def test_late_split_stream_equals_batch(spark, tmpdir_fresh):
     def prepared(df):
         return web_log_from_lines(df, ntz=False).withColumn("arrival", F.timestamp_micros(F.col("offset") * 1_000_000))
     stream = prepared(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).csv(d))
-    q = start_query(jobs.late_split_stream(stream), "late", "append")
+    writer = LateSplitWriter(spark, tmpdir_fresh, rows_per_bucket=2)
+    q = start_query(stream, "late", "append", foreach_batch=writer)
     q.awaitTermination(300)
-    got = spark.sql(f"select offset, is_late, watermark from {q.name}")
+    got = writer.result()
     batch = prepared(spark.read.schema(schema).csv(d)).where(F.col("method") == "GET")
     exp = split_late(batch, "source", "arrival", "offset", "ts", "10 minutes", "5 seconds", "1 minute", "1 second")
     assert _rows(got, "offset", "is_late") == _rows(exp, "offset", "is_late")
