@@ -57,5 +57,6 @@ ORACLES: dict[str, str] = {
     "op2_embedding_dedup": oracles.EMBEDDING_DEDUP,
     "op3_topk_search": oracles.TOPK_SEARCH,
     "op6_minhash_dedup": oracles.MINHASH_DEDUP,
+    "op7_line_dedup": oracles.LINE_DEDUP,
     "op10_mixing": oracles.MIXING,
 }

@@ -117,3 +117,47 @@ SELECT t.doc_id, c.rep AS class_id, coalesce(m.component, c.rep) AS component_id
        coalesce(t.doc_id = coalesce(m.component, c.rep), coalesce(m.component, c.rep) IS NULL) AS kept
 FROM t JOIN c ON c.text = t.text LEFT JOIN m ON m.a = c.rep
 """
+
+#: Two rounds of templates, then lines that recur as they are.  (Texts of the
+#: same or of no id are told apart by a hash that SQL lacks: the tables must
+#: have distinct ids.)
+LINE_DEDUP = r"""
+WITH x AS MATERIALIZED (SELECT text, min(doc_id) AS id FROM documents WHERE length(text) > 0 GROUP BY text),
+a AS (SELECT text, id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM x),
+b AS (
+  SELECT text, id, pos, list_transform(string_split(trim(regexp_replace(line, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' '), ' '),
+                                       lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS tokens
+  FROM a),
+l AS MATERIALIZED (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM b WHERE len(tokens) >= 4),
+leaf AS (SELECT n, lead FROM l GROUP BY n, lead HAVING count(DISTINCT text) >= 5),
+seen AS MATERIALIZED (SELECT l.* FROM l JOIN leaf ON l.n = leaf.n AND l.lead = leaf.lead),
+d0 AS MATERIALIZED (SELECT n, lead, tokens, count(DISTINCT text) AS docs FROM seen GROUP BY ALL),
+p0 AS (SELECT n, lead, unnest(range(1, n + 1)) AS ix, unnest(tokens) AS token, docs FROM d0),
+v0 AS (SELECT n, lead, ix, token, sum(docs) AS docs FROM p0 GROUP BY ALL),
+m0 AS (SELECT n, lead, ix, token FROM v0 QUALIFY row_number() OVER (PARTITION BY n, lead, ix ORDER BY docs DESC, token DESC) = 1),
+t0 AS (SELECT n, lead, list(token ORDER BY ix) AS template FROM m0 GROUP BY n, lead),
+f0 AS MATERIALIZED (
+  SELECT d0.*, len(list_filter(range(4, d0.n + 1), lambda i: d0.tokens[i] = t0.template[i])) >= ceil((d0.n - 3)::DOUBLE * 0.7::DOUBLE) AS fits
+  FROM d0 JOIN t0 ON d0.n = t0.n AND d0.lead = t0.lead),
+d1 AS MATERIALIZED (SELECT n, lead, tokens, docs FROM f0 WHERE NOT fits),
+p1 AS (SELECT n, lead, unnest(range(1, n + 1)) AS ix, unnest(tokens) AS token, docs FROM d1),
+v1 AS (SELECT n, lead, ix, token, sum(docs) AS docs FROM p1 GROUP BY ALL),
+m1 AS (SELECT n, lead, ix, token FROM v1 QUALIFY row_number() OVER (PARTITION BY n, lead, ix ORDER BY docs DESC, token DESC) = 1),
+t1 AS (SELECT n, lead, list(token ORDER BY ix) AS template FROM m1 GROUP BY n, lead),
+f1 AS MATERIALIZED (
+  SELECT d1.*, len(list_filter(range(4, d1.n + 1), lambda i: d1.tokens[i] = t1.template[i])) >= ceil((d1.n - 3)::DOUBLE * 0.7::DOUBLE) AS fits
+  FROM d1 JOIN t1 ON d1.n = t1.n AND d1.lead = t1.lead),
+kinds AS (
+  SELECT n, lead, tokens, ['0'] AS kind FROM f0 WHERE fits
+  UNION ALL SELECT n, lead, tokens, ['1'] FROM f1 WHERE fits
+  UNION ALL SELECT n, lead, tokens, tokens FROM f1 WHERE NOT fits AND docs >= 5),
+o AS MATERIALIZED (SELECT seen.text, seen.id, seen.pos, kinds.n, kinds.lead, kinds.kind FROM seen JOIN kinds ON seen.tokens = kinds.tokens),
+r AS (SELECT n, lead, kind, arg_min(text, id) AS kept FROM o GROUP BY n, lead, kind HAVING count(DISTINCT text) >= 5),
+g AS (
+  SELECT o.text, list(DISTINCT o.pos) AS gone FROM o JOIN r ON o.n = r.n AND o.lead = r.lead AND o.kind = r.kind
+  WHERE o.text <> r.kept GROUP BY o.text)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(len(g.gone), 0)::BIGINT AS n_dropped,
+       CASE WHEN g.gone IS NULL THEN d.text
+            ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda w, i: NOT list_contains(g.gone, i - 1)), chr(10)) END AS text
+FROM documents d LEFT JOIN g ON d.text = g.text
+"""
