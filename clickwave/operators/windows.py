@@ -112,6 +112,10 @@ def runs_from_panes(panes: DataFrame, keys: list[str], size: int | str, pane_col
             .select(*keys, F.col("_e").alias("window_end_from"), "window_end_until", out))
 
 
+#: Window ends that one row of a long run is spread into at a time.
+ENDS_PER_STEP = 10_000
+
+
 def expand_runs(runs: DataFrame, slide: int | str, after=None, upto=None) -> DataFrame:
     """Runs -> one row per window end; optionally only ends in ``(after, upto]``
     (bounds on the slide grid, as literals or columns)."""
@@ -122,8 +126,12 @@ def expand_runs(runs: DataFrame, slide: int | str, after=None, upto=None) -> Dat
     if upto is not None:
         stop = F.least(stop, _as_col(upto))
     keep = [c for c in runs.columns if c not in ("window_end_from", "window_end_until")]
-    return (runs.where(start <= stop)
-            .select(*keep, F.explode(F.sequence(start, stop, interval(slide_s))).alias("window_end")))
+    # a steady key has one run over its whole history: spread it in two steps
+    step = slide_s * ENDS_PER_STEP
+    parts = (runs.where(start <= stop).select(*keep, stop.alias("_stop"),
+                                              F.explode(F.sequence(start, stop, interval(step))).alias("_start")))
+    last = F.least(F.col("_stop"), plus_seconds(F.col("_start"), step - slide_s))
+    return parts.select(*keep, F.explode(F.sequence(F.col("_start"), last, interval(slide_s))).alias("window_end"))
 
 
 def _as_col(v) -> Column:

@@ -41,7 +41,7 @@ def hot_items_table_api(behavior: DataFrame, size="1 hour", slide="5 minutes",
                         page_view: str = PAGE_VIEW) -> DataFrame:
     """W4 + A2: the Table-API aggregate ``itemId, w.end as windowEnd, itemId.count as cnt``."""
     rows = behavior.select("itemId", "behavior", "ts").where(equals("behavior", page_view))
-    counts = sliding_counts(rows, ["itemId"], "ts", size, slide, method="native", count_col="itemId")
+    counts = sliding_counts(rows, ["itemId"], "ts", size, slide, count_col="itemId")
     return counts.select("itemId", F.col("window_end").alias("windowEnd"), "cnt")
 
 
@@ -49,7 +49,7 @@ def hot_items_table_api(behavior: DataFrame, size="1 hour", slide="5 minutes",
 # spread over the windows that hold it, and windows are ranked.
 RANKING_SQL = """
 WITH panes AS (
-  SELECT itemId AS item, window(ts, '{slide} seconds').end AS pane_end, count(*) AS views
+  SELECT itemId AS item, window(ts, '{slide} seconds').end AS pane_end, count(itemId) AS views
   FROM {view} WHERE behavior = '{page_view}' GROUP BY ALL
 ), spread AS (
   SELECT item, views, explode(sequence(pane_end, pane_end + INTERVAL '{reach}' SECOND, INTERVAL '{slide}' SECOND)) AS closes
