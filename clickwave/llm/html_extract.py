@@ -70,6 +70,9 @@ NOT_ARTICLE = frozenset((
     "search searchbox copyright disclaimer comment comments commentlist discussion disqus respond reply replies "
     "complementary contentinfo").split())
 
+#: Of these, the ones that mark an article element as a comment or a teaser.
+NOT_MAIN = frozenset("ad advert advertisement comment reply related recommended promo sponsored teaser".split())
+
 
 class Node:
     __slots__ = ("tag", "label", "kids", "up", "off", "links", "text")
@@ -168,7 +171,7 @@ def _look(tag: str, attrs: str) -> tuple[str, bool]:
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
         off = True
     marks = {w.lower() for k in ("class", "id", "role") for w in _WORDS.findall(found.get(k, ""))}
-    if marks & NOT_ARTICLE and tag not in ("html", "body", "article", "main"):
+    if marks & (NOT_MAIN if tag == "article" else NOT_ARTICLE) and tag not in ("html", "body", "main"):
         off = True
     if found.get("role", "").lower() == "main":
         return "main", off
@@ -294,21 +297,21 @@ def extract(page: str | None, wrapper: Node | None = None) -> str:
 
 
 def _holders(found: list[Node], tags: tuple[str, ...]) -> set[int]:
-    """Elements with such a tag that are not themselves in a part left out."""
-    out = set()
+    """Outermost elements with such a tag that hold text.  Those in a part left
+    out do not count, unless all are in parts that only their class or id
+    leaves out: then these are taken for the page's layout."""
+    clear, marked = set(), set()
     for leaf in found:
-        node, top = leaf.up, None
+        node, top, way = leaf.up, None, 0
         while node is not None:
-            if node.tag in tags or node.label in tags:
+            if (node.tag in tags or node.label in tags) and not node.off:
                 top = node
-            elif node.off and node.tag not in ("div", "section", "body"):
-                top = None
-            elif node.off and top is None:
-                break
+            if node.off:
+                way = max(way, 1 if top is not None and node.tag in ("div", "section") else 2)
             node = node.up
-        if top is not None and not top.off:
-            out.add(id(top))
-    return out
+        if top is not None and way < 2:
+            (marked if way else clear).add(id(top))
+    return clear or marked
 
 
 def _holds(node: Node, articles: set[int]) -> bool:

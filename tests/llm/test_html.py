@@ -42,6 +42,9 @@ def test_alignment_is_the_heaviest_ordered_matching():
     ("<div class='layout sidebar-left'><article><p>in</p></article></div><div class=sidebar>no</div>", "in"),
     ("<ul><li><a href=1>one</a><li><a href=2>two</a></ul><p>text with <a href=3>link</a> inside it", "text with link inside it"),
     ("<article><p>long " + "x " * 5000 + "</article>", "long " + "x " * 4999 + "x"),
+    ("<main><article class=post><p>in<article class=comment><p>no</article></article></main>", "in"),
+    ("<article><p>in</article><section class=related><article><p>no</article></section><aside><article>no</article></aside>", "in"),
+    ("<article class='has-sidebar'><p>in</article><article class=comment><p>no</article>", "in"),
     ("<p title='a>b'>q</p><p title=\"it's\">r</p>", "q r"), ("<div>" * 3000 + "deep", "deep")])
 def test_extract(source, text):
     assert X.extract(source) == text
