@@ -106,7 +106,8 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_
     recurs = (per_text.groupBy("leaf", "n", "kind")
               .agg(F.count(F.lit(1)).alias("texts"), F.min(F.struct(F.col("id").isNull(), "id", "c", "size")).alias("first"))
               .where(F.col("texts") >= min_docs)
-              .select("leaf", "n", "kind", F.col("first.c").alias("_c"), F.col("first.size").alias("_size")))
+              .select("leaf", "n", "kind", F.col("first.c").alias("_c"), F.col("first.size").alias("_size"))
+              .checkpoint())  # read back, it joins by an exchange of its own, whose hot templates Spark splits
     return (occurs.join(recurs, ["leaf", "n", "kind"])
             .where((F.col("c") != F.col("_c")) | (F.col("size") != F.col("_size")))
             .groupBy("c", "size").agg(F.collect_set("pos").alias("drop")))
