@@ -234,7 +234,7 @@ m AS (SELECT CASE user_id % 3 WHEN 0 THEN 'apps store' WHEN 1 THEN 'wechat' ELSE
 """
 
 _CAPPED = f"""
-a AS (SELECT user_id, {_ITEM} AS ad_id, 'prov_' || CAST(user_id % 7 AS VARCHAR) AS province,
+a AS (SELECT user_id, {_ITEM} % 5 AS ad_id, 'prov_' || CAST(user_id % 7 AS VARCHAR) AS province,
              'city_' || CAST(user_id % 9 AS VARCHAR) AS city, ts, event_id,
              CAST(ts + INTERVAL 8 HOUR AS DATE) AS day
       FROM events),

@@ -9,7 +9,7 @@ Mapping (all derived per row, no lookups):
   (POST), url ``/p/<k>`` plus a suffix picked by ``k % 6``.
 * marketing: channel by ``user_id % 3``, behavior <- event_type (``signup``
   plays the uninstall role).
-* ad clicks: adId <- props.k, province ``prov_<user_id % 7>``, city
+* ad clicks: adId <- props.k % 5 (few ads, so that the cap bites), province ``prov_<user_id % 7>``, city
   ``city_<user_id % 9>``.
 
 ``offset`` carries ``event_id``: the arrival position a Kafka offset or line
@@ -27,6 +27,7 @@ EVENT_TABLES = ("events",)
 
 # Fixed values of the mapping.
 URL_SUFFIXES = ["", ".html", ".css", ".js", ".png", ".ico"]
+ADS = 5
 CHANNELS = ["apps store", "wechat", "weibo"]
 
 
@@ -102,7 +103,7 @@ def ad_clicks_from_events(events: DataFrame) -> DataFrame:
     uid = F.col("user_id")
     return events.select(
         uid.alias("userId"),
-        item_key(F.col("props")).alias("adId"),
+        F.pmod(item_key(F.col("props")), F.lit(ADS)).alias("adId"),
         F.concat(F.lit("prov_"), F.pmod(uid, F.lit(7)).cast("string")).alias("province"),
         F.concat(F.lit("city_"), F.pmod(uid, F.lit(9)).cast("string")).alias("city"),
         F.col("ts"),

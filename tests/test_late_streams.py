@@ -201,7 +201,8 @@ def test_streams_read_tables_that_are_folders(spark, folder, name):
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
     want = con.execute(ORACLES[name]).fetchall()
     columns = [c[0] for c in con.description]
-    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, want)) and want
+    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, want))
+    assert want or name == "ad_click_alerts_stream"  # too few clicks at this scale for an alert
 
 
 def test_a_stream_without_files_is_an_error(spark):
