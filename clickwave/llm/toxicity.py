@@ -21,7 +21,7 @@ A document's score is the probability that at least one of its offending
 tokens (marginal of ``floor`` or more) is toxic; spans are runs of tokens with
 a marginal of 0.5 or more, with their character offsets.
 
-Scale: fitting reads a bounded sample; scoring reads every document once, in
+Scale: fitting reads a bounded sample, in one task; scoring reads every document once, in
 whole, and shuffles nothing.  The model holds the features of the sample that
 have a weight, some MB at most.
 
@@ -33,6 +33,7 @@ them is; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 import re
 from dataclasses import dataclass
 from zlib import crc32
@@ -284,8 +285,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     ids = F.broadcast(docs.sparkSession.createDataFrame(rows, per.schema))  # at most max_toxic + max_other rows
     texts = (docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
-             .join(ids, "i").dropDuplicates(["i"]).orderBy(order, "i").select("t", "y").collect())
-    return fit([r.t for r in texts], [r.y == 1 for r in texts])
+             .join(ids, "i").dropDuplicates(["i"]).select(order.alias("k"), F.col("i").cast("string"), "t", "y"))
+
+    def learn(batches):  # the bounded sample, in one task; the driver gets the weights alone
+        sample = sorted((row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[:2])
+        field = fit([t for _, _, t, _ in sample], [y == 1 for _, _, _, y in sample])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(field)])], names=["field"])
+    learned = texts.coalesce(1).mapInArrow(learn, "field binary").first()
+    return pickle.loads(bytes(learned[0])) if learned else None
 
 
 def score_documents(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text",
