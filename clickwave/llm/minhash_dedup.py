@@ -52,6 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickwave.llm.common import small_side
 from clickwave.llm.components import components
 from clickwave.session import checkpoint_dir
 
@@ -59,6 +60,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4  # rows of 16 bits: a band is a 64-bit key
 BLOCK = 500
+SMALL_IDS = 200_000
 LEAD_BITS = 8
 SLICE = 1 << LEAD_BITS
 CACHED_WORDS = 300_000
@@ -340,14 +342,22 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """The row of each component's smallest id (one row if it repeats), with
     the columns of ``docs``.  Rows without an id go if a row with an id has an
-    equal text, and stay otherwise."""
+    equal text, and stay otherwise.
+
+    Texts do not move for this: the ids that go or repeat are joined to the
+    rows, broadcast while there are at most ``SMALL_IDS`` of them.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    kept = (_assigned(docs, id_col, text_col, words, similarity, block)
-            .where(F.col("id") == F.col("component_id")).groupBy(F.col("id").alias("_id")).agg(F.min("fp").alias("_fp")))
+    per_id = (_assigned(docs, id_col, text_col, words, similarity, block).where(F.col("id").isNotNull())
+              .groupBy(F.col("id").alias("_id"))
+              .agg(F.min("component_id").alias("_component"), F.min("fp").alias("_fp"), F.count(F.lit(1)).alias("_rows")))
+    special = small_side(per_id.where((F.col("_component") != F.col("_id")) | (F.col("_rows") > 1))
+                         .select("_id", "_fp", (F.col("_component") == F.col("_id")).alias("_kept")), SMALL_IDS)
     rows = docs.select(row, F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("fp"))
-    named = (rows.join(kept, (F.col("id") == F.col("_id")) & (F.col("fp") == F.col("_fp")))
-             .dropDuplicates(["id"]).select("row"))
+    single = (rows.where(F.col("id").isNotNull()).join(special, F.col("id") == F.col("_id"), "left_anti").select("row"))
+    repeated = (rows.join(special.where("_kept"), (F.col("id") == F.col("_id")) & (F.col("fp") == F.col("_fp")))
+                .dropDuplicates(["id"]).select("row"))
     known = rows.where(F.col("id").isNotNull()).select(F.col("fp").alias("_known")).distinct()
     nameless = rows.where(F.col("id").isNull()).join(known, F.col("fp") == F.col("_known"), "left_anti").select("row")
-    return named.unionByName(nameless).select("row.*")
+    return single.unionByName(repeated).unionByName(nameless).select("row.*")
