@@ -102,23 +102,19 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, table: int, code: int) -> np.nd
     return ok & (np.minimum(own_a, own_b) == code)
 
 
-def _links(vectors, members, block, same: bool, table: int, code: int, cosine: float, hashing: dict):
+def _links(vectors, members, known, block, same: bool, table: int, code: int, cosine: float):
     """Links counted in one bucket (or pair of blocks): for each entry their
-    number, in members, and the smallest entry it is connected to here."""
+    number, in members, and the smallest entry it is connected to here.
+    ``known``: the codes of the entries."""
     n = len(vectors)
     count, root = np.zeros(n, np.int64), np.arange(n)
     left, right = (np.arange(n), None) if same else (np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max()))
-    known = None
     for k in range(0, len(left), 256):
         rows = left[k:k + 256]
         others = np.arange(rows[0] + 1, n) if right is None else right
         hit = vectors[rows] @ vectors[others].T >= cosine
         if right is None:
             hit &= others[None, :] > rows[:, None]
-        if not hit.any():
-            continue
-        if known is None:
-            known = codes(vectors, **hashing)
         i, j = np.nonzero(hit)
         i, j = rows[i], others[j]
         for c in range(0, len(i), 100_000):
@@ -169,54 +165,59 @@ def _hasher(hashing: dict, schema: pa.Schema):
                     pa.array(np.full(n * t * p, dim), pa.int32()),
                     pa.array(np.tile(np.repeat(np.arange(t), p), n), pa.int32()),
                     pa.array(code.reshape(-1), pa.int64()),
-                    rep.take(pa.array(at)), h.take(pa.array(at)), members.take(pa.array(at)), vectors.take(pa.array(at))],
-                    schema=schema)
+                    rep.take(pa.array(at)), h.take(pa.array(at)), members.take(pa.array(at)), vectors.take(pa.array(at)),
+                    pa.array(list(code.reshape(n, t * p))).take(pa.array(np.repeat(np.arange(n), t * p)))], schema=schema)
     return run
 
 
-def _verifier(cosine: float, hashing: dict, schema: pa.Schema):
-    def bucket(rows: pa.RecordBatch):
-        dim, table, code, i, j = (rows.column(k)[0].as_py() for k in range(5))
-        x = rows.column(9).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
-        x /= np.abs(x).max(1, keepdims=True)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        rep = rows.column(6).to_numpy()
-        order = np.argsort(rep, kind="stable")
-        x, rep = x[order], rep[order]
-        block = rows.column(5).to_numpy()[order]
-        if i != j and (block == block[0]).all():
-            return None
-        count, root = _links(x, rows.column(8).to_numpy()[order], block, i == j, table, code, cosine, hashing)
-        some = np.flatnonzero(count)
-        if not len(some):
-            return None
-        return pa.RecordBatch.from_arrays([
-            pa.array(rep[some]), rows.column(7).take(pa.array(order[some])), pa.array(count[some]), pa.array(rep[root[some]])],
-            schema=schema)
+def _verifier(cosine: float, tables: int, schema: pa.Schema):
+    """Links within buckets, from entries sorted by bucket."""
 
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-
-        def done():
-            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0] if len(held) > 1 else held[0]
-            held.clear()
-            return bucket(rows) if rows.num_rows > 1 else None
+    def verified(rows: pa.RecordBatch, keys: np.ndarray, cut: np.ndarray):
+        block, rep, h, members = (rows.column(k).to_numpy() for k in (5, 6, 7, 8))
+        flat = rows.column(9).flatten().to_numpy(zero_copy_only=False)
+        known = rows.column(10).flatten().to_numpy().reshape(len(rep), tables, -1)
+        ends = np.cumsum(keys[:, 0])
+        out = []
+        # vectors of one length follow each other, so they are one matrix
+        for dim in np.unique(keys[:, 0]):
+            at = np.flatnonzero(keys[:, 0] == dim)
+            x = flat[ends[at[0]] - dim:ends[at[-1]]].astype(float).reshape(-1, dim)
+            x /= np.abs(x).max(1, keepdims=True)
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            first = at[0]
+            for a, b in zip(cut[:-1], cut[1:]):
+                if b - a < 2 or not first <= a <= at[-1]:
+                    continue
+                v = x[a - first:b - first]
+                if b - a <= 256 and np.count_nonzero(v @ v.T >= cosine) <= b - a:
+                    continue  # none but the vectors themselves
+                _, table, code, i, j = keys[a]
+                if i != j and (block[a:b] == block[a]).all():
+                    continue
+                order = np.argsort(rep[a:b], kind="stable")
+                count, root = _links(v[order], members[a:b][order], known[a:b][order], block[a:b][order], i == j,
+                                     int(table), int(code), cosine)
+                some = np.flatnonzero(count)
+                if len(some):
+                    out.append((rep[a:b][order][some], h[a:b][order][some], count[some], rep[a:b][order][root[some]]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
-        last = None
+    def run(batches):
+        held = None  # the last bucket may go on in the next batch
         for batch in batches:
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             keys = np.stack([batch.column(k).to_numpy() for k in range(5)], 1)
-            cut = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]))
-            for a, b in zip(cut[:-1], cut[1:]):
-                if held and (last is None or (keys[a] != last).any()):
-                    out = done()
-                    if out is not None:
-                        yield out
-                held.append(batch.slice(a, b - a))
-                last = keys[a]
-        if held:
-            out = done()
-            if out is not None:
-                yield out
+            cut = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1))
+            last = int(cut[-1])
+            held = batch.slice(last)
+            if last:
+                yield from verified(batch.slice(0, last), keys[:last], cut)
+        if held is not None and held.num_rows > 1:
+            keys = np.stack([held.column(k).to_numpy() for k in range(5)], 1)
+            yield from verified(held, keys, np.array([0, len(keys)]))
     return run
 
 
@@ -232,7 +233,10 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists(v, lambda x: x != 0), F.lit(False))
-    rows = (df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = df.schema[vector_col].dataType
+    if kind != T.ArrayType(T.FloatType()):  # floats are exact as doubles, and half the size on the way
+        kind = T.ArrayType(T.DoubleType())
+    rows = (df.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("v"))
             .distinct().withColumn("fine", fine).withColumn("h", F.xxhash64("v")))
     # classes of equal vectors
     good = rows.where("fine").select("id", "v", "h")
@@ -240,7 +244,7 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     entry = T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("tab", T.IntegerType()),
                           T.StructField("code", T.LongType()), T.StructField("rep", T.LongType()),
                           T.StructField("h", T.LongType()), T.StructField("members", T.LongType()),
-                          T.StructField("v", T.ArrayType(T.DoubleType()))])
+                          T.StructField("v", kind), T.StructField("codes", T.ArrayType(T.LongType()))])
     entries = classes.select("rep", "h", "members", "v").mapInArrow(
         _hasher(hashing, to_arrow_schema(entry)), entry)
     # buckets over the block size, cut into blocks
@@ -253,11 +257,11 @@ def near_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
            .withColumn("mine", F.pmod(F.xxhash64("rep", "h", F.lit(SEED)), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select(*key, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                   F.col("mine").alias("block"), "rep", "h", "members", "v"))
+                   F.col("mine").alias("block"), "rep", "h", "members", "v", "codes"))
     part = key + ["i", "j"]
     found = T.StructType([T.StructField(c, T.LongType()) for c in ("rep", "h", "n", "root")])
     links = (cut.repartition(*[F.col(c) for c in part]).sortWithinPartitions(*part)
-             .mapInArrow(_verifier(cosine, hashing, to_arrow_schema(found)), found)
+             .mapInArrow(_verifier(cosine, tables, to_arrow_schema(found)), found)
              .groupBy("rep", "h", "root").agg(F.sum("n").alias("n")).checkpoint())
     # an id with several vectors joins their classes
     several = (good.join(classes.select("h", "v", "rep"), ["h", "v"]).groupBy("id").agg(F.collect_set("rep").alias("reps"))
