@@ -10,7 +10,10 @@ times; a line that still fits none but recurs as it is, is its own template.
 
 A template that occurs in at least ``min_docs`` different texts is recurring:
 its lines are dropped from all texts but one, that of its smallest document id
-(and texts equal to it).  Lines of fewer than ``min_tokens`` tokens stay.
+(and texts equal to it).  A line of at most ``depth`` tokens is its leaf's only
+line and so its own template.  In such a line, scripts written without spaces
+have only their digits masked, as a token may be a whole paragraph, and a line
+of nothing but variable tokens stands for itself.
 Equal texts count as one text, so copies of a document do not make its lines
 recur; near copies are the business of near-duplicate removal, but the lines
 that more than ``min_docs`` of them share are dropped here.
@@ -36,24 +39,29 @@ from pyspark.sql import functions as F
 from clickwave.llm.common import small_side
 from clickwave.session import checkpoint_dir
 
-DEPTH, MIN_TOKENS, MIN_DOCS = 3, 4, 5
+DEPTH, MIN_DOCS = 3, 5
 SIMILAR, ROUNDS = 0.7, 2
 SMALL_LEAVES = 100_000
 WILD = "<*>"
 #: A token with a digit, found only from the start of a token on.
 _VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
-def masked(line: Column) -> Column:
-    line = F.trim(F.regexp_replace(line, r"\s+", " "))
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _VARIABLE, WILD)).otherwise(line)
+def masked(line: Column, depth: int) -> Column:
+    """``line``, its white space reduced, with its variable tokens as wildcards."""
+    short = F.when(line.rlike(_UNSPACED), F.regexp_replace(line, "[0-9]+", WILD)).otherwise(F.regexp_replace(line, _VARIABLE, WILD))
+    return (F.when(~line.rlike("[0-9]"), line)
+            .when(F.size(F.split(line, " ", -1)) > depth, F.regexp_replace(line, _VARIABLE, WILD))
+            .when(short.rlike("[^<*> ]"), short).otherwise(line))
 
 
-def parsed_lines(texts: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``id, c, size, pos, tokens, n, leaf, f`` of every line that is long enough."""
+def parsed_lines(texts: DataFrame, depth: int) -> DataFrame:
+    """``id, c, size, pos, tokens, n, leaf, f`` of every line that is not blank."""
     lines = (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-             .withColumn("tokens", F.split(masked(F.col("line")), " ", -1)).drop("line")
-             .withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens))
+             .withColumn("line", F.trim(F.regexp_replace("line", r"\s+", " "))).where(F.col("line") != "")
+             .withColumn("tokens", F.split(masked(F.col("line"), depth), " ", -1)).drop("line")
+             .withColumn("n", F.size("tokens")))
     return (lines.withColumn("leaf", F.xxhash64(F.slice("tokens", 1, depth)))
             .withColumn("f", F.xxhash64("tokens")))
 
@@ -74,12 +82,12 @@ def _templates(lines: DataFrame, depth: int) -> DataFrame:
     return one.select(F.col("leaf").alias("_l"), F.col("n").alias("_n"), F.transform("t", lambda x: x["token"]).alias("template"))
 
 
-def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS,
-                    similar: float = SIMILAR, rounds: int = ROUNDS) -> DataFrame:
+def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR,
+                    rounds: int = ROUNDS) -> DataFrame:
     """``c, size, drop``: positions of the lines to drop from each text that
     loses any.  ``texts``: ``id, text`` and the text's hash and length ``c, size``."""
     checkpoint_dir(texts.sparkSession)
-    every = parsed_lines(texts, depth, min_tokens)
+    every = parsed_lines(texts, depth)
     leaves = (every.select("leaf", "n", "c").distinct().groupBy(F.col("leaf").alias("_l"), F.col("n").alias("_n"))
               .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs).drop("texts"))
     found = (every.join(small_side(leaves, SMALL_LEAVES), (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n")))
@@ -91,14 +99,14 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_
 
     same = (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n"))
     kinds = None
-    rest = lines
+    rest = lines.where(F.col("n") > depth)
     for k in range(rounds):
         tried = rest.join(_templates(rest, depth), same).withColumn(
             "fits", _agreement("tokens", "template", depth) >= F.ceil((F.col("n") - depth) * similar)).checkpoint()
         fit = tried.where("fits").select("leaf", "n", "f", F.lit(k).cast("long").alias("kind"))
         kinds = fit if kinds is None else kinds.unionByName(fit)
         rest = tried.where(~F.col("fits")).select("leaf", "n", "f", "tokens", "docs")
-    own = rest.where(F.col("docs") >= min_docs).select("leaf", "n", "f", F.col("f").alias("kind"))
+    own = rest.drop("tokens").unionByName(lines.where(F.col("n") <= depth).drop("tokens")).where(F.col("docs") >= min_docs).select("leaf", "n", "f", F.col("f").alias("kind"))
     kinds = kinds.unionByName(own)
 
     occurs = seen.join(kinds, ["leaf", "n", "f"])

@@ -174,6 +174,25 @@ def test_recurring_lines_match_the_tree_over_lists(spark):
     assert sum("equal copies" in t for t in kept) == 20 and sum("four texts" in t for t in kept) == 5
 
 
+def kept_lines(spark, rows):
+    """Texts that are left, as lists of lines, by id."""
+    return {r.doc_id: r.text.split("\n") for r in line_dedup.deduplicated_lines(documents(spark, rows)).collect()}
+
+
+def test_short_lines_recur_too(spark):
+    rng = random.Random(12)
+    lines = ["All rights reserved.", "Contact", "本站所有内容均受版权保护未经许可不得转载", "Page {} of", "目录 第{}页"]
+    rows = [(k, "\n".join([prose(rng, 12), "", *(x.format(k) for x in lines), f"在{1990 + k}年" + "东西南北中发"[k], str(k), f"{k} {k}%"]), "a")
+            for k in range(6)]
+    rows += [(100 + k, prose(rng, 9) + "\nOnly four", "a") for k in range(4)]
+    left = kept_lines(spark, rows)
+    assert left[0] == rows[0][1].split("\n")  # the text with the smallest id keeps them
+    for k in range(1, 6):
+        own = rows[k][1].split("\n")
+        assert left[k] == own[:2] + own[-3:]  # prose, blank line, a paragraph without spaces, numbers
+    assert all(left[100 + k][1:] == ["Only four"] for k in range(4))
+
+
 def test_stage_keeps_rows_and_columns(spark):
     df = documents(spark, lined(), clashing=True)
     out = line_dedup.without_recurring_lines(df)
