@@ -8,15 +8,16 @@ the positions after the leading ones agree, the others being variable fields
 of the template.  Lines that fit no template form the next one, ``rounds``
 times; a line that still fits none but recurs as it is, is its own template.
 
-A template that occurs in at least ``min_docs`` different texts is recurring:
-its lines are dropped from all texts but one, that of its smallest document id
+A template that occurs in at least ``min_docs`` different texts is recurring,
+and so is a line of ``long_tokens`` or more tokens that occurs as it is (masked,
+unless most of its tokens are variable) in ``long_docs``: its lines are dropped from all texts but one, that of its smallest document id
 (and texts equal to it).  A line of at most ``depth`` tokens is its leaf's only
 line and so its own template.  In such a line, scripts written without spaces
 have only their digits masked, as a token may be a whole paragraph, and a line
 of nothing but variable tokens stands for itself.
 Equal texts count as one text, so copies of a document do not make its lines
-recur; near copies are the business of near-duplicate removal, but the lines
-that more than ``min_docs`` of them share are dropped here.
+recur; near copies are the business of near-duplicate removal, but the long
+lines that they share, and others that ``min_docs`` of them share, are dropped here.
 
 Scale: leaves are counted by hashes of lines; only lines in leaves with enough
 texts (here a tenth of all) are compared, position by position, with map-side
@@ -40,6 +41,7 @@ from clickwave.llm.common import small_side
 from clickwave.session import checkpoint_dir
 
 DEPTH, MIN_DOCS = 3, 5
+LONG_TOKENS, LONG_DOCS = 50, 2
 SIMILAR, ROUNDS = 0.7, 2
 SMALL_LEAVES = 100_000
 WILD = "<*>"
@@ -56,14 +58,15 @@ def masked(line: Column, depth: int) -> Column:
             .when(short.rlike("[^<*> ]"), short).otherwise(line))
 
 
-def parsed_lines(texts: DataFrame, depth: int) -> DataFrame:
+def parsed_lines(texts: DataFrame, depth: int, long_tokens: int) -> DataFrame:
     """``id, c, size, pos, tokens, n, leaf, f`` of every line that is not blank."""
     lines = (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
              .withColumn("line", F.trim(F.regexp_replace("line", r"\s+", " "))).where(F.col("line") != "")
-             .withColumn("tokens", F.split(masked(F.col("line"), depth), " ", -1)).drop("line")
+             .withColumn("tokens", F.split(masked(F.col("line"), depth), " ", -1))
              .withColumn("n", F.size("tokens")))
+    loose = (F.col("n") >= long_tokens) & (2 * F.size(F.filter("tokens", lambda x: x == WILD)) > F.col("n"))
     return (lines.withColumn("leaf", F.xxhash64(F.slice("tokens", 1, depth)))
-            .withColumn("f", F.xxhash64("tokens")))
+            .withColumn("f", F.when(loose, F.xxhash64("line")).otherwise(F.xxhash64("tokens"))).drop("line"))
 
 
 def _agreement(tokens: str, template: str, depth: int) -> Column:
@@ -83,40 +86,45 @@ def _templates(lines: DataFrame, depth: int) -> DataFrame:
 
 
 def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR,
-                    rounds: int = ROUNDS) -> DataFrame:
+                    rounds: int = ROUNDS, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``c, size, drop``: positions of the lines to drop from each text that
     loses any.  ``texts``: ``id, text`` and the text's hash and length ``c, size``."""
     checkpoint_dir(texts.sparkSession)
-    every = parsed_lines(texts, depth)
+    every = parsed_lines(texts, depth, long_tokens)
+    needed = lambda n: F.when(F.col(n) >= long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
     leaves = (every.select("leaf", "n", "c").distinct().groupBy(F.col("leaf").alias("_l"), F.col("n").alias("_n"))
-              .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs).drop("texts"))
+              .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= needed("_n"))
+              .select("_l", "_n", (F.col("texts") >= min_docs).alias("many")))
     found = (every.join(small_side(leaves, SMALL_LEAVES), (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n")))
              .drop("_l", "_n").checkpoint())
     seen = found.select("leaf", "n", "f", "c", "size", "id", "pos")
-    lines = (found.select("leaf", "n", "f", "c", "tokens")
-             .groupBy("leaf", "n", "f", "c").agg(F.first("tokens").alias("tokens"))
-             .groupBy("leaf", "n", "f").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")))
+    lines = (found.select("leaf", "n", "f", "c", "tokens", "many")
+             .groupBy("leaf", "n", "f", "c").agg(F.first("tokens").alias("tokens"), F.first("many").alias("many"))
+             .groupBy("leaf", "n", "f").agg(F.first("tokens").alias("tokens"), F.first("many").alias("many"), F.count(F.lit(1)).alias("docs")))
 
     same = (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n"))
     kinds = None
-    rest = lines.where(F.col("n") > depth)
+    rest = lines.where("many").where(F.col("n") > depth).drop("many")
     for k in range(rounds):
         tried = rest.join(_templates(rest, depth), same).withColumn(
             "fits", _agreement("tokens", "template", depth) >= F.ceil((F.col("n") - depth) * similar)).checkpoint()
-        fit = tried.where("fits").select("leaf", "n", "f", F.lit(k).cast("long").alias("kind"))
+        fit = tried.where("fits").select("leaf", "n", "f", F.lit(k).cast("long").alias("kind"), F.lit(min_docs).alias("needed"))
         kinds = fit if kinds is None else kinds.unionByName(fit)
         rest = tried.where(~F.col("fits")).select("leaf", "n", "f", "tokens", "docs")
-    own = rest.drop("tokens").unionByName(lines.where(F.col("n") <= depth).drop("tokens")).where(F.col("docs") >= min_docs).select("leaf", "n", "f", F.col("f").alias("kind"))
+    # a line of its own kind, too, where that asks for fewer texts than its template
+    apart = lines.where(~F.col("many") | (F.col("n") <= depth) | (F.col("n") >= long_tokens))
+    own = (rest.where(F.col("n") < long_tokens).select("leaf", "n", "f", "docs").unionByName(apart.select("leaf", "n", "f", "docs"))
+           .where(F.col("docs") >= needed("n")).select("leaf", "n", "f", F.col("f").alias("kind"), needed("n").alias("needed")))
     kinds = kinds.unionByName(own)
 
     occurs = seen.join(kinds, ["leaf", "n", "f"])
-    per_text = occurs.groupBy("leaf", "n", "kind", "c", "size").agg(F.min("id").alias("id"))
-    recurs = (per_text.groupBy("leaf", "n", "kind")
+    per_text = occurs.groupBy("leaf", "n", "kind", "needed", "c", "size").agg(F.min("id").alias("id"))
+    recurs = (per_text.groupBy("leaf", "n", "kind", "needed")
               .agg(F.count(F.lit(1)).alias("texts"), F.min(F.struct(F.col("id").isNull(), "id", "c", "size")).alias("first"))
-              .where(F.col("texts") >= min_docs)
-              .select("leaf", "n", "kind", F.col("first.c").alias("_c"), F.col("first.size").alias("_size"))
+              .where(F.col("texts") >= F.col("needed"))
+              .select("leaf", "n", "kind", "needed", F.col("first.c").alias("_c"), F.col("first.size").alias("_size"))
               .checkpoint())  # read back, it joins by an exchange of its own, whose hot templates Spark splits
-    return (occurs.join(recurs, ["leaf", "n", "kind"])
+    return (occurs.join(recurs, ["leaf", "n", "kind", "needed"])
             .where((F.col("c") != F.col("_c")) | (F.col("size") != F.col("_size")))
             .groupBy("c", "size").agg(F.collect_set("pos").alias("drop")))
 

@@ -193,6 +193,21 @@ def test_short_lines_recur_too(spark):
     assert all(left[100 + k][1:] == ["Only four"] for k in range(4))
 
 
+def test_long_lines_recur_in_two_texts(spark):
+    rng = random.Random(13)
+    long, crowded, shorter = "in this one " + prose(rng, 50), "one of many " + prose(rng, 57), prose(rng, 49)
+    numbers = lambda k: " ".join(str(k * j) for j in range(60))
+    rows = [(k, f"{prose(rng, 8)}\n{long} on {k} of May\n{shorter}\n{numbers(k)}", "a") for k in (1, 2)]
+    # two of four texts of a template share a line: too few for the template, enough for the line
+    family = [crowded, crowded] + [crowded.rsplit(" ", 4)[0] + " " + prose(rng, 4) for _ in range(2)]
+    rows += [(10 + k, f"{prose(rng, 8)}\n{x}", "a") for k, x in enumerate(family)]
+    rows += [(20 + k, f"{prose(rng, 8)}\none of many {prose(rng, 57)}", "a") for k in range(3)]  # the same leaf
+    rows += [(30 + k, f"{prose(rng, 8)}\n{numbers(7)}", "a") for k in range(2)]
+    left = kept_lines(spark, rows)
+    dropped = {2: [1], 11: [1], 31: [1]}
+    assert left == {i: [x for p, x in enumerate(t.split("\n")) if p not in dropped.get(i, [])] for i, t, _ in rows}
+
+
 def test_stage_keeps_rows_and_columns(spark):
     df = documents(spark, lined(), clashing=True)
     out = line_dedup.without_recurring_lines(df)
