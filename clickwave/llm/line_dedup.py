@@ -6,7 +6,14 @@ wildcard, the first level is the number of tokens, the next ones the leading
 documents) forms a template; a line belongs to it if at least ``similar`` of
 the positions after the leading ones agree, the others being variable fields
 of the template.  Lines that fit no template form the next one, ``rounds``
-times; a line that still fits none but recurs as it is, is its own template.
+times.  Such a template can be a blend of several families; those still left
+are found around actual lines, in order of their documents: a line (the seed)
+and all lines that agree with it are a family if they have ``min_docs``
+documents, until no line of any leaf can be a seed.  To agree, a line must share
+with its seed at least one of the parts that its positions are cut into, one
+more than may differ; so lines meet by the hashes of their parts only, each
+part's first seed at a time, and lines without enough others at their parts
+are no seeds.
 
 A template that occurs in at least ``min_docs`` different texts is recurring,
 and so is a line of ``long_tokens`` or more tokens that occurs as it is (masked,
@@ -85,6 +92,47 @@ def _templates(lines: DataFrame, depth: int) -> DataFrame:
     return one.select(F.col("leaf").alias("_l"), F.col("n").alias("_n"), F.transform("t", lambda x: x["token"]).alias("template"))
 
 
+def _families(lines: DataFrame, depth: int, min_docs: int, similar: float) -> DataFrame:
+    """``leaf, n, f, kind``: the lines that belong to a family around a seed.
+    What is joined by a leaf, part or seed is read back first: so hot ones are split."""
+    line, part = ["leaf", "n", "f"], ["leaf", "n", "s", "key"]
+    free = F.col("n") - depth
+    leaves = lines.groupBy("leaf", "n").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d").checkpoint()
+    rest = (lines.join(leaves, ["leaf", "n"]).withColumn("least", F.ceil(free * similar).cast("int"))
+            .withColumn("seeds", F.lit(True)).checkpoint())
+    kinds = rest.limit(0).select(*line, F.lit(0).cast("long").alias("kind"))
+    while not rest.where("seeds").isEmpty():
+        parts = free - F.col("least") + 1
+        at = (rest.select(*line, "docs", "tokens", "seeds", free.alias("m"), parts.alias("parts"),
+                          F.explode(F.sequence(F.lit(0), parts - 1)).alias("s"))
+              .withColumn("low", F.floor(F.col("s") * F.col("m") / F.col("parts")).cast("int"))
+              .withColumn("high", F.floor((F.col("s") + 1) * F.col("m") / F.col("parts")).cast("int"))
+              .select(*line, "docs", "seeds", "s", F.xxhash64(F.slice("tokens", F.col("low") + depth + 1, F.col("high") - F.col("low"))).alias("key"))
+              .checkpoint())
+        total = at.groupBy(*part).agg(F.sum("docs").alias("total"), F.max("seeds").alias("any")).where("any").drop("any").checkpoint()
+        reach = (at.join(total, part).groupBy(*line, "docs", "seeds").agg(F.sum(F.col("total") - F.col("docs")).alias("others"))
+                 .select(*line, (F.col("seeds") & (F.col("others") + F.col("docs") >= min_docs)).alias("able")))
+        at = at.drop("seeds").join(reach, line).checkpoint()
+        first = at.where("able").groupBy(*part).agg(F.max(F.struct("docs", "f")).alias("top")).checkpoint()
+        near = at.join(first, part).checkpoint()  # lines at a part without a seed are done
+        chosen = (near.where("able").groupBy(*line).agg(F.min(F.col("top.f") == F.col("f")).alias("all")).where("all")
+                  .select("leaf", "n", F.col("f").alias("seed")).checkpoint())
+        meets = near.select(*line, F.col("top.f").alias("seed"), F.col("top.docs").alias("rank")).distinct().join(chosen, ["leaf", "n", "seed"])
+        whole = rest.select(*line, "tokens", "docs", "least")
+        fits = (meets.join(whole, line)
+                .join(rest.select("leaf", "n", F.col("f").alias("seed"), F.col("tokens").alias("template")), ["leaf", "n", "seed"])
+                .where(_agreement("tokens", "template", depth) >= F.col("least")).select(*line, "seed", "rank", "docs").checkpoint())
+        enough = fits.groupBy("leaf", "n", "seed").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d").checkpoint()
+        taken = (fits.join(enough, ["leaf", "n", "seed"]).groupBy(*line).agg(F.max(F.struct("rank", "seed")).alias("best"))
+                 .select(*line, F.xxhash64(F.col("best.seed"), F.lit("family")).alias("kind")).checkpoint())
+        kinds = kinds.unionByName(taken)
+        spent = chosen.select("leaf", "n", F.col("seed").alias("f"), F.lit(True).alias("spent"))
+        left = near.groupBy(*line).agg(F.max("able").alias("able"))
+        rest = (rest.drop("seeds").join(left, line).join(taken, line, "left_anti").join(spent, line, "left")
+                .withColumn("seeds", F.col("able") & F.col("spent").isNull()).drop("able", "spent").checkpoint())
+    return kinds
+
+
 def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR,
                     rounds: int = ROUNDS, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``c, size, drop``: positions of the lines to drop from each text that
@@ -111,10 +159,11 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
         fit = tried.where("fits").select("leaf", "n", "f", F.lit(k).cast("long").alias("kind"), F.lit(min_docs).alias("needed"))
         kinds = fit if kinds is None else kinds.unionByName(fit)
         rest = tried.where(~F.col("fits")).select("leaf", "n", "f", "tokens", "docs")
+    kinds = kinds.unionByName(_families(rest, depth, min_docs, similar).withColumn("needed", F.lit(min_docs)))
     # a line of its own kind, too, where that asks for fewer texts than its template
     apart = lines.where(~F.col("many") | (F.col("n") <= depth) | (F.col("n") >= long_tokens))
-    own = (rest.where(F.col("n") < long_tokens).select("leaf", "n", "f", "docs").unionByName(apart.select("leaf", "n", "f", "docs"))
-           .where(F.col("docs") >= needed("n")).select("leaf", "n", "f", F.col("f").alias("kind"), needed("n").alias("needed")))
+    own = (apart.where(F.col("docs") >= needed("n"))
+           .select("leaf", "n", "f", F.col("f").alias("kind"), needed("n").alias("needed")))
     kinds = kinds.unionByName(own)
 
     occurs = seen.join(kinds, ["leaf", "n", "f"])

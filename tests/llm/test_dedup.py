@@ -208,6 +208,21 @@ def test_long_lines_recur_in_two_texts(spark):
     assert left == {i: [x for p, x in enumerate(t.split("\n")) if p not in dropped.get(i, [])] for i, t, _ in rows}
 
 
+def test_families_of_a_mixed_leaf_are_all_found(spark):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("klmnopqrst") for _ in range(6))
+    rows = []
+    for family in range(7):  # with the same length and first three tokens; two of ten words vary
+        fixed = [word() for _ in range(8)]
+        rows += [(10 * family + k, f"{prose(rng, 8)}\nthis is the {' '.join(fixed[:5])} {word()} {' '.join(fixed[5:])} {word()}", "a") for k in range(6)]
+    rows += [(100 + k, "this is the " + " ".join(word() for _ in range(10)), "a") for k in range(40)]
+    few = " ".join(word() for _ in range(9))
+    rows += [(200 + k, f"this is the {few} {word()}", "a") for k in range(4)]
+    left = kept_lines(spark, rows)
+    assert sorted(i for i, x in left.items() if i < 100 and len(x) == 2) == [10 * k for k in range(7)]
+    assert all(left[i] == t.split("\n") for i, t, _ in rows if i >= 100)
+
+
 def test_stage_keeps_rows_and_columns(spark):
     df = documents(spark, lined(), clashing=True)
     out = line_dedup.without_recurring_lines(df)
