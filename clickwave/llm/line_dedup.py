@@ -51,6 +51,7 @@ DEPTH, MIN_DOCS = 3, 5
 LONG_TOKENS, LONG_DOCS = 50, 2
 SIMILAR, ROUNDS = 0.7, 2
 SMALL_LEAVES = 100_000
+SMALL_LINES = 20_000
 WILD = "<*>"
 #: A token with a digit, found only from the start of a token on.
 _VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
@@ -94,35 +95,40 @@ def _templates(lines: DataFrame, depth: int) -> DataFrame:
 
 def _families(lines: DataFrame, depth: int, min_docs: int, similar: float) -> DataFrame:
     """``leaf, n, f, kind``: the lines that belong to a family around a seed.
-    What is joined by a leaf, part or seed is read back first: so hot ones are split."""
+    What is joined by a leaf, part or seed is read back first, so hot ones are
+    split; up to ``SMALL_LINES`` lines need no such care."""
     line, part = ["leaf", "n", "f"], ["leaf", "n", "s", "key"]
     free = F.col("n") - depth
-    leaves = lines.groupBy("leaf", "n").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d").checkpoint()
+    leaves = lines.groupBy("leaf", "n").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d")
     rest = (lines.join(leaves, ["leaf", "n"]).withColumn("least", F.ceil(free * similar).cast("int"))
             .withColumn("seeds", F.lit(True)).checkpoint())
     kinds = rest.limit(0).select(*line, F.lit(0).cast("long").alias("kind"))
+    small = rest.limit(SMALL_LINES + 1).count() <= SMALL_LINES
+    back = lambda df: df if small else df.checkpoint()
     while not rest.where("seeds").isEmpty():
         parts = free - F.col("least") + 1
         at = (rest.select(*line, "docs", "tokens", "seeds", free.alias("m"), parts.alias("parts"),
                           F.explode(F.sequence(F.lit(0), parts - 1)).alias("s"))
               .withColumn("low", F.floor(F.col("s") * F.col("m") / F.col("parts")).cast("int"))
               .withColumn("high", F.floor((F.col("s") + 1) * F.col("m") / F.col("parts")).cast("int"))
-              .select(*line, "docs", "seeds", "s", F.xxhash64(F.slice("tokens", F.col("low") + depth + 1, F.col("high") - F.col("low"))).alias("key"))
-              .checkpoint())
-        total = at.groupBy(*part).agg(F.sum("docs").alias("total"), F.max("seeds").alias("any")).where("any").drop("any").checkpoint()
+              .select(*line, "docs", "seeds", "s", F.xxhash64(F.slice("tokens", F.col("low") + depth + 1, F.col("high") - F.col("low"))).alias("key")))
+        at = back(at)
+        total = back(at.groupBy(*part).agg(F.sum("docs").alias("total"), F.max("seeds").alias("any")).where("any").drop("any"))
         reach = (at.join(total, part).groupBy(*line, "docs", "seeds").agg(F.sum(F.col("total") - F.col("docs")).alias("others"))
                  .select(*line, (F.col("seeds") & (F.col("others") + F.col("docs") >= min_docs)).alias("able")))
         at = at.drop("seeds").join(reach, line).checkpoint()
-        first = at.where("able").groupBy(*part).agg(F.max(F.struct("docs", "f")).alias("top")).checkpoint()
+        if at.where("able").isEmpty():
+            break
+        first = back(at.where("able").groupBy(*part).agg(F.max(F.struct("docs", "f")).alias("top")))
         near = at.join(first, part).checkpoint()  # lines at a part without a seed are done
-        chosen = (near.where("able").groupBy(*line).agg(F.min(F.col("top.f") == F.col("f")).alias("all")).where("all")
-                  .select("leaf", "n", F.col("f").alias("seed")).checkpoint())
+        chosen = back(near.where("able").groupBy(*line).agg(F.min(F.col("top.f") == F.col("f")).alias("all")).where("all")
+                      .select("leaf", "n", F.col("f").alias("seed")))
         meets = near.select(*line, F.col("top.f").alias("seed"), F.col("top.docs").alias("rank")).distinct().join(chosen, ["leaf", "n", "seed"])
         whole = rest.select(*line, "tokens", "docs", "least")
         fits = (meets.join(whole, line)
                 .join(rest.select("leaf", "n", F.col("f").alias("seed"), F.col("tokens").alias("template")), ["leaf", "n", "seed"])
                 .where(_agreement("tokens", "template", depth) >= F.col("least")).select(*line, "seed", "rank", "docs").checkpoint())
-        enough = fits.groupBy("leaf", "n", "seed").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d").checkpoint()
+        enough = back(fits.groupBy("leaf", "n", "seed").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d"))
         taken = (fits.join(enough, ["leaf", "n", "seed"]).groupBy(*line).agg(F.max(F.struct("rank", "seed")).alias("best"))
                  .select(*line, F.xxhash64(F.col("best.seed"), F.lit("family")).alias("kind")).checkpoint())
         kinds = kinds.unionByName(taken)
