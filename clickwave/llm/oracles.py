@@ -161,3 +161,69 @@ SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_li
             ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda w, i: NOT list_contains(g.gone, i - 1)), chr(10)) END AS text
 FROM documents d LEFT JOIN g ON d.text = g.text
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f"""
+
+# the CRC-32 of a word: eight shifts of the polynomial for each of its bytes
+IMPORTANCE_RESAMPLING = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+dw AS (SELECT r, unnest(words) AS word FROM d),
+bytes AS (
+  SELECT word, list_transform(range(1, CAST(octet_length(encode(word)) AS BIGINT) + 1),
+                              lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT)) AS v
+  FROM (SELECT word FROM dw UNION SELECT word FROM b)),
+hashed AS (
+  SELECT word, (4294967295 - list_reduce(v, lambda c, x: list_reduce(range(8),
+      lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, xor(c, x)), 4294967295)) % 10000 AS bucket
+  FROM bytes),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN hashed USING (word) GROUP BY bucket),
+alls AS (SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) AS n FROM s),
+allt AS (SELECT CAST(coalesce(sum(n), 0) AS DOUBLE) AS n FROM t),
+g AS (
+  SELECT s.bucket, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (alls.n + 10000)
+                                        / ((CAST(s.n AS DOUBLE) + 1) * (allt.n + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), alls, allt),
+w AS (SELECT r, sum(gain) AS weight FROM dw JOIN hashed USING (word) JOIN g USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+              AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (r)),
+placed AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN
+         row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM placed"""
+
+FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+o AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM o"""

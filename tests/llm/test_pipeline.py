@@ -80,7 +80,7 @@ def test_registration():
 def test_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.execute(entry.oracle_sql()[name]).fetchall()
     columns = [c[0] for c in con.description]
