@@ -9,8 +9,8 @@ text writer commits the files; the empty line between two records is its line
 separator.
 
 Reading: every file is taken apart by the lengths its records state, so any
-bytes may stand in a payload; archives compressed record by record are read as
-well.  :func:`captures` joins request and metadata records to the response or
+bytes may stand in a payload; archives compressed as a whole or record by
+record are read as well.  :func:`captures` joins request and metadata records to the response or
 revisit that they are concurrent to, directly or through one another's
 capture, and gives one nested row per capture.  A revisit has no payload: its
 length, and the page that has it, come from the response with the same payload
@@ -104,8 +104,9 @@ def marked_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                          (F.col("_d").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))).alias("revisit"))
 
 
-def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES, **options) -> None:
-    """Write every page's records to archives below ``path``."""
+def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip", **options) -> None:
+    """Write every page's records to archives below ``path``, compressed
+    (``gzip``) or as they are (``none``)."""
     rows = marked_pages(pages, **options).select(F.monotonically_increasing_id().alias("row_id"), F.col("id").cast("string"),
                                                  "url", "html", "digest", "first_uri", "revisit")
 
@@ -126,7 +127,8 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
         if held:
             yield flush()
 
-    rows.mapInArrow(archives, "value string").write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 1).text(path)
+    writer = rows.mapInArrow(archives, "value string").write.option("maxRecordsPerFile", 1)
+    writer.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
 
 
 # ---------------------------------------------------------------- reading

@@ -36,11 +36,11 @@ def pages(spark, rows):
     return with_clashing(spark.createDataFrame(rows, "page_id long, url string, html string"))
 
 
-@pytest.mark.parametrize("archive_bytes,small", [(16_000_000, 20_000), (1000, 20_000), (1000, 0)])
-def test_round_trip(spark, tmpdir_fresh, monkeypatch, archive_bytes, small):
+@pytest.mark.parametrize("archive_bytes,small,compression", [(16_000_000, 20_000, "gzip"), (1000, 20_000, "none"), (1000, 0, "gzip")])
+def test_round_trip(spark, tmpdir_fresh, monkeypatch, archive_bytes, small, compression):
     monkeypatch.setattr(warc, "SMALL_PAYLOADS", small)  # 0: digests are dealt, not sent to all
     df = pages(spark, PAGES).repartition(3)
-    got = warc.archived_pages(df, folder=f"{tmpdir_fresh}/out", archive_bytes=archive_bytes)
+    got = warc.archived_pages(df, folder=f"{tmpdir_fresh}/out", archive_bytes=archive_bytes, compression=compression)
     assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert Counter(map(tuple, got.collect())) == plain(PAGES)
     files = [f for f in os.listdir(f"{tmpdir_fresh}/out") if f.startswith("part")]
