@@ -137,6 +137,10 @@ def q_uv_running_stream(spark, sf_dir):
     return streamed.uv_running_streamed(spark, sf_dir, PAGE_VIEW)
 
 
+def q_uv_count_stream(spark, sf_dir):
+    return streamed.uv_count_streamed(spark, sf_dir, PAGE_VIEW)
+
+
 def q_late_split_stream(spark, sf_dir):
     return streamed.late_split_streamed(spark, sf_dir)
 
@@ -191,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_capped_stream": q_ad_click_capped_stream,
     "ad_click_alerts_stream": q_ad_click_alerts_stream,
     "uv_running_stream": q_uv_running_stream,
+    "uv_count_stream": q_uv_count_stream,
     "late_split_stream": q_late_split_stream,
     "pv_hourly_stream": q_pv_hourly_stream,
     "uv_hourly_stream": q_uv_hourly_stream,
@@ -340,31 +345,12 @@ SELECT event_id, source, url, m.ts, arrival, watermark,
 FROM m JOIN f USING (event_id)""",
 }
 
-# Streams emit a window once the watermark (largest view time; Spark pushes the
-# filter below it) has passed its end; per-row streams equal the batch form.
-_VIEW_WM = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
-_KEPT_WM = "(SELECT max(ts) FROM events WHERE event_type IS DISTINCT FROM 'signup')"
-ORACLES["hot_items_stream"] = (
-    _ITEM_TOP5 + f"SELECT item_id, window_end, cnt, rnk AS rank FROM r WHERE rnk <= 5 AND window_end <= {_VIEW_WM}")
-ORACLES["hot_items_sql_stream"] = (
-    _ITEM_TOP5 + f"SELECT item_id, cnt, window_end, rnk AS row_num FROM r WHERE rnk <= 5 AND window_end <= {_VIEW_WM}")
-ORACLES["ad_click_capped_stream"] = ORACLES["ad_click_capped"]
-ORACLES["ad_click_alerts_stream"] = ORACLES["ad_click_alerts"]
-ORACLES["uv_running_stream"] = ORACLES["uv_running"]
-ORACLES["late_split_stream"] = ORACLES["late_split"]
-ORACLES["pv_hourly_stream"] = f"SELECT * FROM ({ORACLES['pv_hourly']}) WHERE window_end <= {_VIEW_WM}"
-ORACLES["uv_hourly_stream"] = f"SELECT * FROM ({ORACLES['uv_hourly_exact']}) WHERE window_end <= {_VIEW_WM}"
-# the cap's output (passed clicks and alerts) carries the watermark downstream
-ORACLES["ads_by_province_stream"] = f"""SELECT * FROM ({ORACLES['ads_by_province']})
-WHERE window_end <= (WITH {_CAPPED} SELECT max(ts) FROM r WHERE click_rank <= {AD_CAP + 1})"""
-# rankings are issued once the watermark (largest request time - 1 s) is past a window's end
-ORACLES["hot_pages_stream"] = f"""SELECT * FROM ({ORACLES['hot_pages_topn']})
-WHERE window_end < (WITH {_WEB} SELECT max(ts) - INTERVAL 1 SECOND FROM f)"""
-ORACLES["marketing_total_stream"] = f"SELECT * FROM ({ORACLES['marketing_total']}) WHERE window_end <= {_KEPT_WM}"
-# runs clipped to the window ends the watermark has passed (the last on the 5 s grid)
-_KEPT_UPTO = f"time_bucket(INTERVAL 5 SECOND, {_KEPT_WM})"
-ORACLES["marketing_by_channel_stream"] = f"""
-SELECT channel, behavior, window_end_from,
-       least(window_end_until, {_KEPT_UPTO} + INTERVAL 5 SECOND) AS window_end_until, cnt
-FROM ({ORACLES['marketing_by_channel']})
-WHERE window_end_from <= {_KEPT_UPTO}"""
+# Streams over the whole table give every window: those closed by the watermark,
+# and those read from the state at the end of the input.
+ORACLES.update({f"{name}_stream": ORACLES[name] for name in (
+    "hot_items_sql", "ad_click_capped", "ad_click_alerts", "uv_running", "late_split", "pv_hourly", "ads_by_province",
+    "marketing_total", "marketing_by_channel")})
+ORACLES["hot_items_stream"] = ORACLES["hot_items_topn"]
+ORACLES["uv_hourly_stream"] = ORACLES["uv_hourly_exact"]
+ORACLES["hot_pages_stream"] = ORACLES["hot_pages_topn"]
+ORACLES["uv_count_stream"] = f"SELECT window_end, uv FROM ({ORACLES['uv_hourly_exact']})"

@@ -10,11 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickwave.functions.predicates import equals, not_static_resource
 from clickwave.operators.ranking import top_n_by_count
-from clickwave.operators.windows import expand_runs, runs_from_panes
+from clickwave.operators.windows import expand_runs
 from clickwave.operators.scan import running_aggregate
 from clickwave.operators.timeutil import plus_seconds, seconds
 from clickwave.session import streaming_checkpoint
-from clickwave.streaming.tables import AppendLog, VersionedTable
+from clickwave.streaming.tables import AppendLog
 
 
 def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str = "memory",
@@ -36,83 +36,26 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
 
 
 class SlidingWindowWriter:
-    """Final sliding-window counts from pane-count updates (W2 + A1 on streams),
-    optionally ranked per window (T1 on streams).
-
-    Spark's streaming ``window(ts, size, slide)`` copies every row (or pane)
-    into ``size/slide`` windows of state; here the state is one row per live
-    pane.  Per micro-batch: upsert the updated panes, move the watermark to
-    the largest event time minus ``delay``, and emit every window end that
-    became final -- ``(previous watermark, watermark]`` on the slide grid --
-    from the run-length form of the stored panes.  Panes that can no longer
-    reach an unemitted window are dropped.
-    """
+    """Writes final sliding-window counts (``sliding_runs_stream``) as runs, or
+    as dense rows, optionally ranked per window (T1 on streams): the watermark
+    closes a window for all keys in one micro-batch, so its ranking is final."""
 
     def __init__(self, spark: SparkSession, base: str, keys: list[str], size, slide,
-                 delay="0 seconds", output: str = "dense", top: int | None = None,
-                 rank_col: str = "rank"):
+                 output: str = "dense", top: int | None = None, rank_col: str = "rank"):
         if output not in ("dense", "runs"):
             raise ValueError("output is 'dense' or 'runs'")
         if top is not None and (output != "dense" or len(keys) != 1):
             raise ValueError("ranking needs dense output over one key")
-        self.output, self.top, self.rank_col = output, top, rank_col
-        self.spark, self.base, self.keys = spark, base.rstrip("/"), list(keys)
-        self.size_s, self.slide_s, self.delay_s = seconds(size), seconds(slide), seconds(delay)
-        self.progress = VersionedTable(spark, f"{self.base}/progress", "emitted_upto_us bigint")
-        self.out = AppendLog(spark, f"{self.base}/windows")
-        self.panes: VersionedTable | None = None
+        self.keys, self.slide_s, self.output, self.top, self.rank_col = list(keys), seconds(slide), output, top, rank_col
+        self.out = AppendLog(spark, f"{base.rstrip('/')}/windows")
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        if self.panes is None:
-            fields = [f.simpleString() for f in batch.select(*self.keys, "pane_end", "cnt").schema.fields]
-            self.panes = VersionedTable(self.spark, f"{self.base}/panes", ", ".join(
-                f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields))
-            key_ddl = [f"`{f.split(':', 1)[0]}` {f.split(':', 1)[1]}" for f in fields[:len(self.keys)]]
-            tail = (["window_end_from timestamp", "window_end_until timestamp", "cnt bigint"]
-                    if self.output == "runs" else
-                    ["window_end timestamp", "cnt bigint"] + ([f"`{self.rank_col}` int"] if self.top else []))
-            self.out.schema = self.spark.createDataFrame([], ", ".join(key_ddl + tail)).schema
-        upd = batch.select(*self.keys, "pane_end", "cnt", "max_ts").persist()
-        try:
-            prev = self.progress.read(epoch).collect()
-            after_us = prev[0][0] if prev else None
-            top_us = upd.agg(F.unix_micros(F.max("max_ts"))).collect()[0][0]
-            step = self.slide_s * 1_000_000
-            upto_us = after_us
-            if top_us is not None:
-                cand = ((top_us - self.delay_s * 1_000_000) // step) * step
-                upto_us = cand if after_us is None else max(after_us, cand)
-            stored = self.panes.read(epoch)
-            panes = (stored.join(upd.select(*self.keys, "pane_end"), [*self.keys, "pane_end"], "left_anti")
-                     if self.keys else stored.join(upd.select("pane_end"), ["pane_end"], "left_anti"))
-            panes = panes.unionByName(upd.select(*self.keys, "pane_end", "cnt")).persist()
-            if upto_us is not None and (after_us is None or upto_us > after_us):
-                runs = runs_from_panes(panes, self.keys, self.size_s)
-                after = F.timestamp_micros(F.lit(after_us)) if after_us is not None else None
-                upto = F.timestamp_micros(F.lit(upto_us))
-                if self.output == "dense":
-                    final = expand_runs(runs, self.slide_s, after=after, upto=upto).select(
-                        *self.keys, "window_end", "cnt")
-                    if self.top is not None:
-                        # final windows are complete here, so their ranking is final too
-                        final = top_n_by_count(final, "window_end", self.keys[0], "cnt", self.top, self.rank_col)
-                    self.out.write(final, epoch)
-                else:
-                    # runs clipped to the window ends that became final in this batch
-                    lo = F.col("window_end_from") if after is None else \
-                        F.greatest(F.col("window_end_from"), plus_seconds(after, self.slide_s))
-                    hi = F.least(F.col("window_end_until"), plus_seconds(upto, self.slide_s))
-                    clipped = runs.select(*self.keys, lo.alias("window_end_from"), hi.alias("window_end_until"), "cnt")
-                    self.out.write(clipped.where(F.col("window_end_from") < F.col("window_end_until")), epoch)
-            if upto_us is not None:
-                alive = F.unix_micros(F.col("pane_end")) + F.lit((self.size_s - self.slide_s) * 1_000_000) > F.lit(upto_us)
-                self.panes.write(panes.where(alive), epoch)
-                self.progress.write(self.spark.createDataFrame([(int(upto_us),)], "emitted_upto_us bigint"), epoch)
-            else:
-                self.panes.write(panes, epoch)
-            panes.unpersist()
-        finally:
-            upd.unpersist()
+        rows = batch
+        if self.output == "dense":
+            rows = expand_runs(batch, self.slide_s).select(*self.keys, "window_end", "cnt")
+            if self.top is not None:
+                rows = top_n_by_count(rows, "window_end", self.keys[0], "cnt", self.top, self.rank_col)
+        self.out.write(rows, epoch)
 
     def result(self) -> DataFrame:
         return self.out.read_all()
@@ -167,53 +110,37 @@ class SqlTopNWriter:
 
 
 class RunningUvWriter:
-    """A8 + S7 on a stream of page views (``bitmap_views_stream``).
-
-    Per micro-batch: the first view of each (window, bitmap offset) in the
-    batch, minus offsets already emitted for that window, are the new
-    visitors; they are ranked in arrival order (bucketed scan) on top of the
-    count stored for the window, one row each.  The emitted rows, partitioned
-    by window end, are the seen set; the latest count per window is kept in a
-    small table standing in for the reference's external ``uv_count`` hash.
+    """A8 + S7 on a stream of first sightings (``bitmap_views_stream``).
+
+    Per micro-batch the new visitors of a window are ranked in arrival order
+    (bucketed scan) on top of its number before, the sum over its salts; one
+    row each.  The count table of the windows (``uv_count``) gets the new
+    number of each window; as it only grows, the largest is the latest.
     """
 
     def __init__(self, spark: SparkSession, base: str, bucket_seconds: int | None = None):
         self.spark = spark
-        self.base = base.rstrip("/")
-        self.counts = VersionedTable(spark, f"{base}/uv_count", "window_end timestamp, uv bigint")
-        # daily partitions: a batch of an in-order stream touches one or two
-        self.rows = AppendLog(spark, f"{base}/rows", partition_by=["window_day"])
+        base = base.rstrip("/")
+        self.counts = AppendLog(spark, f"{base}/uv_count")
+        self.rows = AppendLog(spark, f"{base}/rows")
         self.bucket_seconds = bucket_seconds
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
-        rows = None
         try:
-            firsts = (batch.groupBy("window_end", "_off")
-                      .agg(F.min(F.struct("ts", "offset")).alias("_f"))
-                      .select("window_end", "_off", "_f.ts", "_f.offset"))
-            seen = self.rows.read(before_epoch=epoch)
-            if seen is not None:
-                days = batch.select(F.to_date("window_end").alias("window_day")).distinct()
-                touched = firsts.select("window_end").distinct()
-                seen = (seen.join(days, "window_day", "left_semi")
-                        .join(touched, "window_end", "left_semi").select("window_end", "_off"))
-                firsts = firsts.join(seen, ["window_end", "_off"], "left_anti")
-            prev = self.counts.read(before_epoch=epoch)
-            ranked = running_aggregate(firsts, ["window_end"], ["ts", "offset"], "count", "_n",
+            before = (batch.where(F.col("before").isNotNull()).groupBy(F.col("window_end").alias("_w"))
+                      .agg(F.sum("before").alias("_before")))
+            firsts = batch.where(F.col("before").isNull()).drop("before")
+            ranked = running_aggregate(firsts, ["window_end"], ["ts", "offset", "off"], "count", "_n",
                                        bucket_seconds=self.bucket_seconds)
-            rows = (ranked.join(prev, "window_end", "left")
-                    .select(F.lit("uv").alias("key"), "window_end", "ts", "_off",
-                            (F.coalesce(F.col("uv"), F.lit(0)) + F.col("_n")).alias("uv_count"),
-                            F.to_date("window_end").alias("window_day"))
-                    .persist())
+            rows = (ranked.join(before, F.col("window_end") == F.col("_w"))
+                    .select(F.lit("uv").alias("key"), "window_end", "ts", (F.col("_before") + F.col("_n")).alias("uv_count")))
             self.rows.write(rows, epoch)
-            latest = rows.groupBy("window_end").agg(F.max("uv_count").alias("uv"))
-            self.counts.write(prev.join(latest, "window_end", "left_anti").unionByName(latest), epoch)
+            added = firsts.groupBy("window_end").agg(F.count(F.lit(1)).alias("_n"))
+            self.counts.write(added.join(before, F.col("window_end") == F.col("_w"))
+                              .select("window_end", (F.col("_before") + F.col("_n")).alias("uv")), epoch)
         finally:
             batch.unpersist()
-            if rows is not None:
-                rows.unpersist()
 
     def result(self) -> DataFrame:
         got = self.rows.read()
@@ -221,6 +148,13 @@ class RunningUvWriter:
             return self.spark.createDataFrame([], "key string, window_end timestamp, ts timestamp, uv_count bigint")
         return got.select("key", "window_end", "ts", "uv_count")
 
+    def uv_count(self) -> DataFrame:
+        """The count table, one row per window."""
+        got = self.counts.read()
+        if got is None:
+            return self.spark.createDataFrame([], "window_end timestamp, uv bigint")
+        return got.groupBy("window_end").agg(F.max("uv").alias("uv"))
+
 
 class LateSplitWriter:
     """R2 + R4 on a stream of log rows with ``source``, ``arrival`` and
@@ -267,93 +201,39 @@ class LateSplitWriter:
 
 class PageRankingWriter:
     """T2 + R3 + R10: page rankings issued when the watermark passes a window's
-    end and issued again when late rows change its counts, until the window
-    is ``lateness`` past its end.
-
-    Input: pane-count updates (``page_pane_updates``, update mode), so the
-    stream keeps one state row per (url, pane) rather than one per (url,
-    window).  Kept tables: live panes, the last issued ranking per window and
-    the watermark (largest event time minus out-of-orderness).  Per batch the
-    windows to rank are those already past the watermark that either contain
-    an updated pane or were passed by the watermark just now; their counts
-    come from the run-length form of the live panes.  Output: every issued
+    end and issued again when late rows come for it, until the window is
+    ``lateness`` past its end (``page_pane_updates``).
+
+    A micro-batch holds the lists of all salts of every window it issues, and
+    the lists of its last issue; both are merged by rank.  Output: every issued
     ranking (``rankings``) and its difference from the previous issue of the
-    same window (``changes``, op ``+``/``-``).
+    same window (``changes``, op ``+``/``-``).  A micro-batch has two epochs of
+    output: windows the watermark has passed, then those revised by its rows.
     """
 
-    def __init__(self, spark: SparkSession, base: str, top: int = 3, size="10 minutes",
-                 slide="5 seconds", lateness="1 minute", out_of_orderness="1 second"):
-        self.spark, self.top = spark, top
-        self.size_s, self.slide_s = seconds(size), seconds(slide)
-        self.lateness_s, self.ooo_s = seconds(lateness), seconds(out_of_orderness)
-        self.panes = VersionedTable(spark, f"{base}/panes", "url string, pane_end timestamp, cnt bigint")
-        self.issued = VersionedTable(spark, f"{base}/issued",
-                                     "url string, window_end timestamp, cnt bigint, rank int")
-        self.progress = VersionedTable(spark, f"{base}/progress", "watermark_us bigint")
+    def __init__(self, spark: SparkSession, base: str, top: int = 3):
+        self.top = top
         self.rankings = AppendLog(spark, f"{base}/rankings")
         self.changes = AppendLog(spark, f"{base}/changes")
+        self.out = self.rankings
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
-        step = self.slide_s * 1_000_000
-        upd = batch.select("url", "pane_end", "cnt", "max_ts").persist()
+        batch = batch.persist()
         try:
-            prev = self.progress.read(epoch).collect()
-            prev_wm = prev[0][0] if prev else None
-            top_us, low_pane_us = upd.agg(F.unix_micros(F.max("max_ts")),
-                                          F.unix_micros(F.min("pane_end"))).collect()[0]
-            wm = prev_wm
-            if top_us is not None:
-                cand = top_us - self.ooo_s * 1_000_000
-                wm = cand if wm is None else max(wm, cand)
-            panes = (self.panes.read(epoch).join(upd.select("url", "pane_end"), ["url", "pane_end"], "left_anti")
-                     .unionByName(upd.select("url", "pane_end", "cnt"))).persist()
-            if wm is None:
-                self.panes.write(panes, epoch)
-                return
-            upto = ((wm - 1) // step) * step                      # last window end before the watermark
-            starts = [v for v in (low_pane_us, None if prev_wm is None else -(-prev_wm // step) * step) if v is not None]
-            lo = min(starts) if starts else None
-            if lo is not None and upto >= lo:
-                counts = expand_runs(runs_from_panes(panes, ["url"], self.size_s), self.slide_s,
-                                     after=F.timestamp_micros(F.lit(lo - step)),
-                                     upto=F.timestamp_micros(F.lit(upto)))
-                touched = upd.select(F.explode(F.sequence(
-                    F.col("pane_end"), plus_seconds(F.col("pane_end"), self.size_s - self.slide_s),
-                    F.expr(f"INTERVAL '{self.slide_s}' SECOND"))).alias("window_end"))
-                if prev_wm is not None:
-                    # rows of this batch arrived under prev_wm: windows already past
-                    # end - 1 ms + lateness then are final and are not revised
-                    open_after = prev_wm - self.lateness_s * 1_000_000 + 1000
-                    touched = touched.where(F.unix_micros("window_end") > F.lit(open_after))
-                fresh = (counts.where(F.unix_micros("window_end") >= F.lit(prev_wm)).select("window_end")
-                         if prev_wm is not None else counts.select("window_end"))
-                due = touched.unionByName(fresh).distinct()
-                ranked = top_n_by_count(counts.join(due, "window_end", "left_semi"),
-                                        "window_end", "url", "cnt", self.top).persist()
-                self.rankings.write(ranked, epoch)
-                old = self.issued.read(epoch)
-                fired = ranked.select("window_end").distinct()
-                old_fired = old.join(fired, "window_end", "left_semi")
-                # first issues are plain inserts; only re-issued windows need a diff
-                issued_before = old.select("window_end").distinct()
-                first = ranked.join(issued_before, "window_end", "left_anti")
-                again = ranked.join(issued_before, "window_end", "left_semi")
-                self.changes.write(first.withColumn("op", F.lit("+"))
-                                   .unionByName(again.exceptAll(old_fired).withColumn("op", F.lit("+")))
-                                   .unionByName(old_fired.exceptAll(again).withColumn("op", F.lit("-"))), epoch)
-                issued = old.join(fired, "window_end", "left_anti").unionByName(ranked)
-                ranked.unpersist()
-            else:
-                issued = self.issued.read(epoch)
-            # a window is final once end - 1 ms + lateness <= watermark
-            keep_us = wm - self.lateness_s * 1_000_000 + 1000
-            self.issued.write(issued.where(F.unix_micros("window_end") > F.lit(keep_us)), epoch)
-            reach = F.unix_micros("pane_end") + F.lit((self.size_s - self.slide_s) * 1_000_000)
-            self.panes.write(panes.where(reach > F.lit(keep_us)), epoch)
-            self.progress.write(self.spark.createDataFrame([(int(wm),)], "watermark_us bigint"), epoch)
-            panes.unpersist()
+            for revised in (False, True):
+                lists = batch.where(F.col("revised") == F.lit(revised))
+                merged = lambda was: top_n_by_count(
+                    lists.where(F.col("was") == F.lit(was)).drop("was", "revised"), "window_end", "url", "cnt", self.top)
+                now, at = merged(False), 2 * epoch + revised
+                self.rankings.write(now, at)
+                added = now.withColumn("op", F.lit("+"))
+                if revised:  # a first issue has nothing before it
+                    before = merged(True)
+                    added = (now.exceptAll(before).withColumn("op", F.lit("+"))
+                             .unionByName(before.exceptAll(now).withColumn("op", F.lit("-"))))
+                self.changes.write(added, at)
         finally:
-            upd.unpersist()
+            batch.unpersist()
 
 
 def final_rankings(rankings: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwave.sources.events import read_table
@@ -19,6 +19,17 @@ def with_event_time(df: DataFrame, delay: str = "0 seconds", col: str = "ts") ->
     return df.withWatermark(col, delay)
 
 
+def rows_where(df: DataFrame, condition: Column, col: str = "ts") -> DataFrame:
+    """The rows that pass ``condition``, picked after the watermark.
+
+    Event time is moved by every row of the log, also by those that a job
+    leaves out.  Catalyst pushes a plain filter below the watermark, which then
+    sees the rows that pass only; a predicate on the event time itself stays
+    above it.  Rows without a time go as well.
+    """
+    return df.where(F.when(condition, F.col(col)) == F.col(col))
+
+
 def event_table_stream(spark: SparkSession, sf_dir: str, name: str = "events",
                        max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
     """A driver table as a stream; a micro-batch takes at most ``max_files``

@@ -1,10 +1,7 @@
-"""Versioned parquet tables for ``foreachBatch`` state and results.
+"""Output of ``foreachBatch`` writers, a folder per epoch.
 
-A micro-batch may run again after a failure.  Each epoch writes its own
-version folder ``v=<epoch>``, overwriting any half-written earlier attempt,
-and readers take the newest *committed* version below the current epoch, so
-a rerun sees exactly what the first attempt saw.  Paths go through the
-Hadoop FileSystem API and work on any shared store.
+A micro-batch may run again after a failure: it overwrites the folder of its
+epoch, and readers see committed folders only.  State is Spark's own.
 """
 
 from __future__ import annotations
@@ -12,46 +9,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_PREFIX = "v="
-
-
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: str, keep: int = 3):
-        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, p.getFileSystem(conf), p
-
-    def versions(self) -> list[int]:
-        jvm, fs, p = self._fs()
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith(_PREFIX) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[len(_PREFIX):]))
-        return sorted(out)
-
-    def read(self, before_epoch: int | None = None) -> DataFrame:
-        vs = [v for v in self.versions() if before_epoch is None or v < before_epoch]
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{_PREFIX}{vs[-1]}")
-
-    def write(self, df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{_PREFIX}{epoch}")
-        self._prune(epoch)
-
-    def _prune(self, epoch: int) -> None:
-        jvm, fs, _ = self._fs()
-        old = [v for v in self.versions() if v < epoch][: -self.keep or None]
-        for v in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{_PREFIX}{v}"), True)
-
 
 class AppendLog:
     """Per-epoch output folders ``epoch=<n>``; a rerun replaces its own epoch.

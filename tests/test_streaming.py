@@ -41,8 +41,7 @@ def behavior_dir(spark):
         lines.append(f"{r.user_id},{k},{k % 7},{beh},{secs}")
     d = tempfile.mkdtemp(prefix="clickwave-ub-")
     _write_files(d, lines, 6)
-    # a last page view two days ahead closes every window of the real rows;
-    # Spark pushes the jobs' filters below the watermark, so it must pass them
+    # a last page view two days ahead closes every window of the real rows
     last = max(int(l.rsplit(",", 1)[1]) for l in lines) + 2 * 86400
     p = f"{d}/part-9999.csv"
     with open(p, "w") as f:
@@ -138,7 +137,7 @@ def test_running_uv_stream_equals_batch(spark, behavior_dir, tmpdir_fresh):
     exp = traffic.unique_visitors_running(batch)
     assert got.count() == exp.count()
     assert _rows(got, "window_end", "ts", "uv_count") == _rows(exp, "window_end", "ts", "uv_count")
-    counts = writer.counts.read().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
+    counts = writer.uv_count().select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "uv")
     assert _rows(counts, "window_end", "uv") == _rows(traffic.unique_visitors(batch), "window_end", "uv")
 
 
@@ -162,7 +161,7 @@ def test_sliding_window_writer_equals_batch(spark, behavior_dir, tmpdir_fresh):
     stream = user_behavior_stream(spark, behavior_dir).select(
         "userId", "behavior", F.col("categoryId").cast("string").alias("channel"), "ts")
     writer = SlidingWindowWriter(spark, tmpdir_fresh, ["channel", "behavior"], "10 minutes", "30 seconds")
-    q = start_query(jobs.marketing_pane_updates(stream, slide="30 seconds", uninstall="cart"), "panes",
+    q = start_query(jobs.marketing_pane_updates(stream, size="10 minutes", slide="30 seconds", uninstall="cart"), "panes",
                     "update", foreach_batch=writer)
     q.awaitTermination(300)
     got = writer.result().select("channel", "behavior",
@@ -174,7 +173,7 @@ def test_sliding_window_writer_equals_batch(spark, behavior_dir, tmpdir_fresh):
     # the same as runs, split where micro-batches meet
     runs_writer = SlidingWindowWriter(spark, tmpdir_fresh + "/runs", ["channel", "behavior"], "10 minutes",
                                       "30 seconds", output="runs")
-    q = start_query(jobs.marketing_pane_updates(stream, slide="30 seconds", uninstall="cart"), "runs",
+    q = start_query(jobs.marketing_pane_updates(stream, size="10 minutes", slide="30 seconds", uninstall="cart"), "runs",
                     "update", foreach_batch=runs_writer)
     q.awaitTermination(300)
     dense = expand_runs(runs_writer.result(), "30 seconds").select(
