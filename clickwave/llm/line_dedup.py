@@ -2,23 +2,19 @@
 
 Lines are parsed by a tree of fixed depth: tokens that hold a digit become a
 wildcard, the first level is the number of tokens, the next ones the leading
-``depth`` tokens.  In every leaf, the most frequent token of each position (by
-documents) forms a template; a line belongs to it if at least ``similar`` of
-the positions after the leading ones agree, the others being variable fields
-of the template.  Lines that fit no template form the next one, ``rounds``
-times.  Such a template can be a blend of several families; those still left
-are found around actual lines, in order of their documents: a line (the seed)
-and all lines that agree with it are a family if they have ``min_docs``
-documents, until no line of any leaf can be a seed.  To agree, a line must share
-with its seed at least one of the parts that its positions are cut into, one
-more than may differ; so lines meet by the hashes of their parts only, each
-part's first seed at a time, and lines without enough others at their parts
-are no seeds.
+``depth`` tokens.  In every leaf, lines gather around leaders; a leader is the
+template of its family, and the positions at which its lines differ from it are
+the template's variable fields.  A line may differ from its leader in less than
+``1 - similar`` of the positions after the leading ones; these are cut into one
+part more than may differ, so the two must have a part in common.  The line
+with most texts (ties: largest hash) leads all lines that share a part with it;
+a line's leader is the one with most texts (ties: largest hash) among the
+leaders of its parts that agree with it, or the line itself.
 
 A template that occurs in at least ``min_docs`` different texts is recurring,
 and so is a line of ``long_tokens`` or more tokens that occurs as it is (masked,
-unless most of its tokens are variable) in ``long_docs``: its lines are dropped from all texts but one, that of its smallest document id
-(and texts equal to it).  A line of at most ``depth`` tokens is its leaf's only
+unless most of its tokens are variable) in ``long_docs``: its lines are dropped from all texts but one, that of its smallest
+document id (and texts equal to it).  A line of at most ``depth`` tokens is its leaf's only
 line and so its own template.  In such a line, scripts written without spaces
 have only their digits masked, as a token may be a whole paragraph, and a line
 of nothing but variable tokens stands for itself.
@@ -27,15 +23,18 @@ recur; near copies are the business of near-duplicate removal, but the long
 lines that they share, and others that ``min_docs`` of them share, are dropped here.
 
 Scale: leaves are counted by hashes of lines; only lines in leaves with enough
-texts (here a tenth of all) are compared, position by position, with map-side
-aggregation throughout; lines to drop are gathered per text, and documents are
-shuffled once, by a hash of their text, to join them.  No group is collected:
-a leaf, a template or a text that holds a third of all rows is only counted.
+texts (here a tenth of all) are compared, each with the leaders of its parts,
+in one pass whatever the data.  Leaders, families and leaves are found by
+map-side aggregation, and what is joined by a part, a leader or a template is
+read back from the shared folder, so that Spark splits hot ones; lines to drop
+are gathered per text, and documents are shuffled once, by a hash of their
+text, to join them.  No group is collected: a leaf, a template or a text that
+holds a third of all rows is only counted.
 
 Defined results: null text stays null, empty text stays empty; a text whose
 lines are all dropped becomes empty; repeated rows lose the same lines; rows
 without an id count, and keep a template only if no row with an id has it;
-ties between tokens go to the larger token; an empty table gives no rows;
+an empty table gives no rows;
 extra columns are kept by :func:`without_recurring_lines`.
 """
 
@@ -49,9 +48,8 @@ from clickwave.session import checkpoint_dir
 
 DEPTH, MIN_DOCS = 3, 5
 LONG_TOKENS, LONG_DOCS = 50, 2
-SIMILAR, ROUNDS = 0.7, 2
+SIMILAR = 0.7
 SMALL_LEAVES = 100_000
-SMALL_LINES = 20_000
 WILD = "<*>"
 #: A token with a digit, found only from the start of a token on.
 _VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*"
@@ -67,80 +65,55 @@ def masked(line: Column, depth: int) -> Column:
 
 
 def parsed_lines(texts: DataFrame, depth: int, long_tokens: int) -> DataFrame:
-    """``id, c, size, pos, tokens, n, leaf, f`` of every line that is not blank."""
-    lines = (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-             .withColumn("line", F.trim(F.regexp_replace("line", r"\s+", " "))).where(F.col("line") != "")
-             .withColumn("tokens", F.split(masked(F.col("line"), depth), " ", -1))
-             .withColumn("n", F.size("tokens")))
+    """``id, c, size, pos, line, n, leaf, f`` of every line that is not blank:
+    ``line`` is masked, ``n`` its tokens, ``f`` its hash (or that of the line as
+    it is, if it is long and most of its tokens are variable)."""
+    lines = (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
+             .withColumn("raw", F.trim(F.regexp_replace("raw", r"\s+", " "))).where(F.col("raw") != "")
+             .withColumn("line", masked(F.col("raw"), depth))
+             .withColumn("tokens", F.split("line", " ", -1)).withColumn("n", F.size("tokens")))
     loose = (F.col("n") >= long_tokens) & (2 * F.size(F.filter("tokens", lambda x: x == WILD)) > F.col("n"))
     return (lines.withColumn("leaf", F.xxhash64(F.slice("tokens", 1, depth)))
-            .withColumn("f", F.when(loose, F.xxhash64("line")).otherwise(F.xxhash64("tokens"))).drop("line"))
+            .withColumn("f", _order_hash(F.when(loose, F.col("raw")).otherwise(F.col("line")))).drop("raw", "tokens"))
 
 
-def _agreement(tokens: str, template: str, depth: int) -> Column:
-    """Positions after the leading ones at which line and template agree."""
-    same = F.zip_with(F.slice(tokens, depth + 1, F.size(tokens)), F.slice(template, depth + 1, F.size(template)),
-                      lambda a, b: F.when(a == b, 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda acc, x: acc + x)
+def _order_hash(line: Column) -> Column:
+    """60 bits of the MD5, which other systems have as well."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
 
 
-def _templates(lines: DataFrame, depth: int) -> DataFrame:
-    """``leaf, n, template``: the most frequent token of each position."""
-    at = (lines.select("leaf", "n", "docs", F.posexplode("tokens").alias("at", "token"))
-          .groupBy("leaf", "n", "at", "token").agg(F.sum("docs").alias("docs")))
-    mode = at.groupBy("leaf", "n", "at").agg(F.max(F.struct("docs", "token")).alias("m"))
-    one = mode.groupBy("leaf", "n").agg(F.sort_array(F.collect_list(F.struct("at", F.col("m.token").alias("token")))).alias("t"))
-    return one.select(F.col("leaf").alias("_l"), F.col("n").alias("_n"), F.transform("t", lambda x: x["token"]).alias("template"))
+def _agreement(line: str, template: str, depth: int) -> Column:
+    """Positions after the leading ones at which line and template agree."""
+    free = lambda c: F.slice(F.split(c, " ", -1), depth + 1, F.size(F.split(c, " ", -1)))
+    same = F.zip_with(free(line), free(template), lambda a, b: F.when(a == b, 1).otherwise(0))
+    return F.aggregate(same, F.lit(0), lambda acc, x: acc + x)
 
 
-def _families(lines: DataFrame, depth: int, min_docs: int, similar: float) -> DataFrame:
-    """``leaf, n, f, kind``: the lines that belong to a family around a seed.
-    What is joined by a leaf, part or seed is read back first, so hot ones are
-    split; up to ``SMALL_LINES`` lines need no such care."""
+def _families(lines: DataFrame, depth: int, similar: float) -> DataFrame:
+    """``leaf, n, f, kind``: every line with its leader's hash."""
     line, part = ["leaf", "n", "f"], ["leaf", "n", "s", "key"]
     free = F.col("n") - depth
-    leaves = lines.groupBy("leaf", "n").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d")
-    rest = (lines.join(leaves, ["leaf", "n"]).withColumn("least", F.ceil(free * similar).cast("int"))
-            .withColumn("seeds", F.lit(True)).checkpoint())
-    kinds = rest.limit(0).select(*line, F.lit(0).cast("long").alias("kind"))
-    small = rest.limit(SMALL_LINES + 1).count() <= SMALL_LINES
-    back = lambda df: df if small else df.checkpoint()
-    while not rest.where("seeds").isEmpty():
-        parts = free - F.col("least") + 1
-        at = (rest.select(*line, "docs", "tokens", "seeds", free.alias("m"), parts.alias("parts"),
-                          F.explode(F.sequence(F.lit(0), parts - 1)).alias("s"))
-              .withColumn("low", F.floor(F.col("s") * F.col("m") / F.col("parts")).cast("int"))
-              .withColumn("high", F.floor((F.col("s") + 1) * F.col("m") / F.col("parts")).cast("int"))
-              .select(*line, "docs", "seeds", "s", F.xxhash64(F.slice("tokens", F.col("low") + depth + 1, F.col("high") - F.col("low"))).alias("key")))
-        at = back(at)
-        total = back(at.groupBy(*part).agg(F.sum("docs").alias("total"), F.max("seeds").alias("any")).where("any").drop("any"))
-        reach = (at.join(total, part).groupBy(*line, "docs", "seeds").agg(F.sum(F.col("total") - F.col("docs")).alias("others"))
-                 .select(*line, (F.col("seeds") & (F.col("others") + F.col("docs") >= min_docs)).alias("able")))
-        at = at.drop("seeds").join(reach, line).checkpoint()
-        if at.where("able").isEmpty():
-            break
-        first = back(at.where("able").groupBy(*part).agg(F.max(F.struct("docs", "f")).alias("top")))
-        near = at.join(first, part).checkpoint()  # lines at a part without a seed are done
-        chosen = back(near.where("able").groupBy(*line).agg(F.min(F.col("top.f") == F.col("f")).alias("all")).where("all")
-                      .select("leaf", "n", F.col("f").alias("seed")))
-        meets = near.select(*line, F.col("top.f").alias("seed"), F.col("top.docs").alias("rank")).distinct().join(chosen, ["leaf", "n", "seed"])
-        whole = rest.select(*line, "tokens", "docs", "least")
-        fits = (meets.join(whole, line)
-                .join(rest.select("leaf", "n", F.col("f").alias("seed"), F.col("tokens").alias("template")), ["leaf", "n", "seed"])
-                .where(_agreement("tokens", "template", depth) >= F.col("least")).select(*line, "seed", "rank", "docs").checkpoint())
-        enough = back(fits.groupBy("leaf", "n", "seed").agg(F.sum("docs").alias("_d")).where(F.col("_d") >= min_docs).drop("_d"))
-        taken = (fits.join(enough, ["leaf", "n", "seed"]).groupBy(*line).agg(F.max(F.struct("rank", "seed")).alias("best"))
-                 .select(*line, F.xxhash64(F.col("best.seed"), F.lit("family")).alias("kind")).checkpoint())
-        kinds = kinds.unionByName(taken)
-        spent = chosen.select("leaf", "n", F.col("seed").alias("f"), F.lit(True).alias("spent"))
-        left = near.groupBy(*line).agg(F.max("able").alias("able"))
-        rest = (rest.drop("seeds").join(left, line).join(taken, line, "left_anti").join(spent, line, "left")
-                .withColumn("seeds", F.col("able") & F.col("spent").isNull()).drop("able", "spent").checkpoint())
-    return kinds
+    least = F.ceil(F.round(free * F.lit(similar), 9)).cast("int")
+    at = (lines.select(*line, "docs", "line", free.alias("m"), (free - least + 1).alias("parts"))
+          .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+          .withColumn("low", F.floor(F.col("s") * F.col("m") / F.col("parts")).cast("int"))
+          .withColumn("high", F.floor((F.col("s") + 1) * F.col("m") / F.col("parts")).cast("int"))
+          .select(*line, "docs", "s", F.xxhash64(F.slice(F.split("line", " ", -1), F.col("low") + depth + 1, F.col("high") - F.col("low"))).alias("key"))
+          .checkpoint())
+    leads = (at.groupBy(*part).agg(F.max(F.struct("docs", "f")).alias("top"), F.count(F.lit(1)).alias("_c"))
+             .where(F.col("_c") > 1).drop("_c").checkpoint())
+    meets = (at.join(leads, part).where(F.col("top.f") != F.col("f"))
+             .groupBy(*line, F.col("top.f").alias("leader")).agg(F.max("top.docs").alias("rank")).checkpoint())
+    templates = (lines.join(meets.select("leaf", "n", F.col("leader").alias("f")).distinct(), line)
+                 .select("leaf", "n", F.col("f").alias("leader"), F.col("line").alias("template")).checkpoint())
+    fits = (meets.join(templates, ["leaf", "n", "leader"]).join(lines.select(*line, "line"), line)
+            .where(_agreement("line", "template", depth) >= least))
+    best = fits.groupBy(*line).agg(F.max(F.struct("rank", "leader")).alias("best"))
+    return lines.select(*line).join(best, line, "left").select(*line, F.coalesce("best.leader", "f").alias("kind"))
 
 
 def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR,
-                    rounds: int = ROUNDS, long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS) -> DataFrame:
+                    long_tokens: int = LONG_TOKENS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``c, size, drop``: positions of the lines to drop from each text that
     loses any.  ``texts``: ``id, text`` and the text's hash and length ``c, size``."""
     checkpoint_dir(texts.sparkSession)
@@ -152,20 +125,11 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     found = (every.join(small_side(leaves, SMALL_LEAVES), (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n")))
              .drop("_l", "_n").checkpoint())
     seen = found.select("leaf", "n", "f", "c", "size", "id", "pos")
-    lines = (found.select("leaf", "n", "f", "c", "tokens", "many")
-             .groupBy("leaf", "n", "f", "c").agg(F.first("tokens").alias("tokens"), F.first("many").alias("many"))
-             .groupBy("leaf", "n", "f").agg(F.first("tokens").alias("tokens"), F.first("many").alias("many"), F.count(F.lit(1)).alias("docs")))
-
-    same = (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n"))
-    kinds = None
-    rest = lines.where("many").where(F.col("n") > depth).drop("many")
-    for k in range(rounds):
-        tried = rest.join(_templates(rest, depth), same).withColumn(
-            "fits", _agreement("tokens", "template", depth) >= F.ceil((F.col("n") - depth) * similar)).checkpoint()
-        fit = tried.where("fits").select("leaf", "n", "f", F.lit(k).cast("long").alias("kind"), F.lit(min_docs).alias("needed"))
-        kinds = fit if kinds is None else kinds.unionByName(fit)
-        rest = tried.where(~F.col("fits")).select("leaf", "n", "f", "tokens", "docs")
-    kinds = kinds.unionByName(_families(rest, depth, min_docs, similar).withColumn("needed", F.lit(min_docs)))
+    lines = (found.groupBy("leaf", "n", "f", "c").agg(F.first("line").alias("line"), F.first("many").alias("many"))
+             .groupBy("leaf", "n", "f").agg(F.first("line").alias("line"), F.first("many").alias("many"), F.count(F.lit(1)).alias("docs"))
+             .checkpoint())
+    kinds = (_families(lines.where("many").where(F.col("n") > depth).drop("many"), depth, similar)
+             .withColumn("needed", F.lit(min_docs)))
     # a line of its own kind, too, where that asks for fewer texts than its template
     apart = lines.where(~F.col("many") | (F.col("n") <= depth) | (F.col("n") >= long_tokens))
     own = (apart.where(F.col("docs") >= needed("n"))

@@ -118,41 +118,59 @@ SELECT t.doc_id, c.rep AS class_id, coalesce(m.component, c.rep) AS component_id
 FROM t JOIN c ON c.text = t.text LEFT JOIN m ON m.a = c.rep
 """
 
-#: Two rounds of templates, then lines that recur as they are.  (Texts of the
-#: same or of no id are told apart by a hash that SQL lacks: the tables must
-#: have distinct ids.)
+#: Lines around leaders, then short and long lines that recur as they are.
+#: (Texts of the same or of no id are told apart by a hash that SQL lacks: the
+#: tables must have distinct ids.)
 LINE_DEDUP = r"""
 WITH x AS MATERIALIZED (SELECT text, min(doc_id) AS id FROM documents WHERE length(text) > 0 GROUP BY text),
 a AS (SELECT text, id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM x),
 b AS (
-  SELECT text, id, pos, list_transform(string_split(trim(regexp_replace(line, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' '), ' '),
-                                       lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS tokens
-  FROM a),
-l AS MATERIALIZED (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM b WHERE len(tokens) >= 4),
-leaf AS (SELECT n, lead FROM l GROUP BY n, lead HAVING count(DISTINCT text) >= 5),
-seen AS MATERIALIZED (SELECT l.* FROM l JOIN leaf ON l.n = leaf.n AND l.lead = leaf.lead),
-d0 AS MATERIALIZED (SELECT n, lead, tokens, count(DISTINCT text) AS docs FROM seen GROUP BY ALL),
-p0 AS (SELECT n, lead, unnest(range(1, n + 1)) AS ix, unnest(tokens) AS token, docs FROM d0),
-v0 AS (SELECT n, lead, ix, token, sum(docs) AS docs FROM p0 GROUP BY ALL),
-m0 AS (SELECT n, lead, ix, token FROM v0 QUALIFY row_number() OVER (PARTITION BY n, lead, ix ORDER BY docs DESC, token DESC) = 1),
-t0 AS (SELECT n, lead, list(token ORDER BY ix) AS template FROM m0 GROUP BY n, lead),
-f0 AS MATERIALIZED (
-  SELECT d0.*, len(list_filter(range(4, d0.n + 1), lambda i: d0.tokens[i] = t0.template[i])) >= ceil((d0.n - 3)::DOUBLE * 0.7::DOUBLE) AS fits
-  FROM d0 JOIN t0 ON d0.n = t0.n AND d0.lead = t0.lead),
-d1 AS MATERIALIZED (SELECT n, lead, tokens, docs FROM f0 WHERE NOT fits),
-p1 AS (SELECT n, lead, unnest(range(1, n + 1)) AS ix, unnest(tokens) AS token, docs FROM d1),
-v1 AS (SELECT n, lead, ix, token, sum(docs) AS docs FROM p1 GROUP BY ALL),
-m1 AS (SELECT n, lead, ix, token FROM v1 QUALIFY row_number() OVER (PARTITION BY n, lead, ix ORDER BY docs DESC, token DESC) = 1),
-t1 AS (SELECT n, lead, list(token ORDER BY ix) AS template FROM m1 GROUP BY n, lead),
-f1 AS MATERIALIZED (
-  SELECT d1.*, len(list_filter(range(4, d1.n + 1), lambda i: d1.tokens[i] = t1.template[i])) >= ceil((d1.n - 3)::DOUBLE * 0.7::DOUBLE) AS fits
-  FROM d1 JOIN t1 ON d1.n = t1.n AND d1.lead = t1.lead),
+  SELECT text, id, pos, trim(regexp_replace(line, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS raw FROM a),
+w AS (
+  SELECT *, array_to_string(list_transform(string_split(raw, ' '), lambda v: CASE WHEN regexp_matches(v, '[0-9]') THEN '<*>' ELSE v END), ' ') AS wild
+  FROM b WHERE raw <> ''),
+v AS (
+  SELECT *, CASE WHEN regexp_matches(raw, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]')
+                 THEN regexp_replace(raw, '[0-9]+', '<*>', 'g') ELSE wild END AS short FROM w),
+k AS (
+  SELECT *, CASE WHEN len(string_split(raw, ' ')) > 3 THEN wild WHEN regexp_matches(short, '[^<*> ]') THEN short ELSE raw END AS line FROM v),
+l AS MATERIALIZED (
+  SELECT text, id, pos, string_split(line, ' ') AS tokens, len(string_split(line, ' ')) AS n, string_split(line, ' ')[1:3] AS lead,
+         CASE WHEN len(string_split(line, ' ')) >= 50 AND 2 * len(list_filter(string_split(line, ' '), lambda v: v = '<*>')) > len(string_split(line, ' '))
+              THEN raw ELSE line END AS ident FROM k),
+leaf AS (
+  SELECT n, lead, count(DISTINCT text) >= 5 AS many FROM l GROUP BY n, lead
+  HAVING count(DISTINCT text) >= CASE WHEN n >= 50 THEN 2 ELSE 5 END),
+seen AS MATERIALIZED (SELECT l.*, leaf.many FROM l JOIN leaf ON l.n = leaf.n AND l.lead = leaf.lead),
+lines AS MATERIALIZED (
+  SELECT n, lead, many, ident, any_value(tokens) AS tokens, count(DISTINCT text) AS docs,
+         CAST('0x' || substr(md5(ident), 1, 15) AS BIGINT) AS f, n - 3 AS m, CAST((7 * (n - 3) + 9) // 10 AS BIGINT) AS least
+  FROM seen GROUP BY n, lead, many, ident),
+p AS (SELECT *, unnest(range(m - least + 1)) AS s FROM lines WHERE many AND n > 3),
+cuts AS MATERIALIZED (
+  SELECT n, lead, ident, docs, f, s, tokens[CAST(4 + (s * m) // (m - least + 1) AS BIGINT):CAST(3 + ((s + 1) * m) // (m - least + 1) AS BIGINT)] AS part FROM p),
+leads AS (
+  SELECT n, lead, s, part, ident AS leader FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY n, lead, s, part ORDER BY docs DESC, f DESC) = 1),
+meets AS (
+  SELECT DISTINCT cuts.n, cuts.lead, cuts.ident, leads.leader
+  FROM cuts JOIN leads ON cuts.n = leads.n AND cuts.lead = leads.lead AND cuts.s = leads.s AND cuts.part = leads.part),
+fits AS (
+  SELECT meets.n, meets.lead, meets.ident, meets.leader, t.docs, t.f
+  FROM meets JOIN lines AS o ON o.n = meets.n AND o.lead = meets.lead AND o.ident = meets.ident
+       JOIN lines AS t ON t.n = meets.n AND t.lead = meets.lead AND t.ident = meets.leader
+  WHERE meets.ident <> meets.leader AND len(list_filter(range(4, o.n + 1), lambda i: o.tokens[i] = t.tokens[i])) >= o.least),
+best AS (
+  SELECT n, lead, ident, leader FROM fits QUALIFY row_number() OVER (PARTITION BY n, lead, ident ORDER BY docs DESC, f DESC) = 1),
 kinds AS (
-  SELECT n, lead, tokens, ['0'] AS kind FROM f0 WHERE fits
-  UNION ALL SELECT n, lead, tokens, ['1'] FROM f1 WHERE fits
-  UNION ALL SELECT n, lead, tokens, tokens FROM f1 WHERE NOT fits AND docs >= 5),
-o AS MATERIALIZED (SELECT seen.text, seen.id, seen.pos, kinds.n, kinds.lead, kinds.kind FROM seen JOIN kinds ON seen.tokens = kinds.tokens),
-r AS (SELECT n, lead, kind, arg_min(text, id) AS kept FROM o GROUP BY n, lead, kind HAVING count(DISTINCT text) >= 5),
+  SELECT lines.n, lines.lead, lines.ident, ['family', coalesce(best.leader, lines.ident)] AS kind, 5 AS needed
+  FROM lines LEFT JOIN best ON lines.n = best.n AND lines.lead = best.lead AND lines.ident = best.ident WHERE many AND lines.n > 3
+  UNION ALL SELECT n, lead, ident, ['own', ident], CASE WHEN n >= 50 THEN 2 ELSE 5 END FROM lines
+  WHERE (NOT many OR n <= 3 OR n >= 50) AND docs >= CASE WHEN n >= 50 THEN 2 ELSE 5 END),
+o AS MATERIALIZED (
+  SELECT seen.text, seen.id, seen.pos, kinds.n, kinds.lead, kinds.kind, kinds.needed
+  FROM seen JOIN kinds ON seen.n = kinds.n AND seen.lead = kinds.lead AND seen.ident = kinds.ident),
+r AS (SELECT n, lead, kind, arg_min(text, id) AS kept FROM o GROUP BY n, lead, kind, needed HAVING count(DISTINCT text) >= needed),
 g AS (
   SELECT o.text, list(DISTINCT o.pos) AS gone FROM o JOIN r ON o.n = r.n AND o.lead = r.lead AND o.kind = r.kind
   WHERE o.text <> r.kept GROUP BY o.text)

@@ -102,39 +102,52 @@ def test_connected_components(spark):
     assert all(got.get(n, n) == find(n) for n in root)
 
 
-def template_lines(rows, depth=3, min_tokens=4, min_docs=5, similar=0.7, rounds=2):
+def template_lines(rows, depth=3, min_docs=5, similar=0.7, long_tokens=50, long_docs=2):
     """The tree over lists: positions of recurring lines by text."""
+    import hashlib
     import math
     import re
+    unspaced = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff]")
     lines = {}
     for i, text, _ in rows:
-        for pos, line in enumerate((text or "").split("\n") if text else []):
-            line = re.sub(r"\s+", " ", line).strip(" ")
-            tokens = tuple("<*>" if False else re.sub(r"^[^\s0-9]*[0-9]\S*$", "<*>", t) for t in line.split(" "))
-            if len(tokens) >= min_tokens:
-                lines.setdefault(tokens, []).append((i, text, pos))
-    leaf = lambda t: (len(t), t[:depth])
+        for pos, raw in enumerate((text or "").split("\n") if text else []):
+            raw = re.sub(r"[ \t\n\x0b\f\r]+", " ", raw).strip(" ")
+            if not raw:
+                continue
+            wild = " ".join("<*>" if re.search("[0-9]", t) else t for t in raw.split(" "))
+            if len(raw.split(" ")) <= depth:
+                short = re.sub("[0-9]+", "<*>", raw) if unspaced.search(raw) else wild
+                wild = short if re.search("[^<*> ]", short) else raw
+            tokens = tuple(wild.split(" "))
+            loose = len(tokens) >= long_tokens and 2 * tokens.count("<*>") > len(tokens)
+            lines.setdefault((tokens, raw if loose else wild), []).append((i, text, pos))
+    leaf = lambda t: (len(t[0]), t[0][:depth])
+    size = lambda at: len({x for _, x, _ in at})
     texts = {}
     for t, at in lines.items():
         texts.setdefault(leaf(t), set()).update(x for _, x, _ in at)
-    rest = [t for t in lines if len(texts[leaf(t)]) >= min_docs]
-    docs = {t: len({x for _, x, _ in lines[t]}) for t in rest}
-    kinds = {}
-    for k in range(rounds):
-        votes = {}
-        for t in rest:
-            for p, token in enumerate(t):
-                votes.setdefault((leaf(t), p), Counter())[token] += docs[t]
-        mode = {at: max(c.items(), key=lambda x: (x[1], x[0].encode()))[0] for at, c in votes.items()}
-        fits = lambda t: sum(mode[leaf(t), p] == t[p] for p in range(depth, len(t))) >= math.ceil(round((len(t) - depth) * similar, 9))
-        kinds |= {t: (leaf(t), k) for t in rest if fits(t)}
-        rest = [t for t in rest if t not in kinds]
-    kinds |= {t: t for t in rest if docs[t] >= min_docs}
+    weight = {t: (size(at), int(hashlib.md5(t[1].encode()).hexdigest()[:15], 16)) for t, at in lines.items()}
+    kinds, leads, parts = [], {}, {}
+    for t in lines:
+        n, free = len(t[0]), t[0][depth:]
+        needed = min(long_docs, min_docs) if n >= long_tokens else min_docs
+        many = len(texts[leaf(t)]) >= min_docs
+        if (not many or n <= depth or n >= long_tokens) and weight[t][0] >= needed:
+            kinds.append((t, ("own", t), needed))
+        if many and n > depth:
+            least = math.ceil(round(len(free) * similar, 9))
+            k = len(free) - least + 1
+            parts[t] = least, [(leaf(t), s, free[s * len(free) // k:(s + 1) * len(free) // k]) for s in range(k)]
+            for p in parts[t][1]:
+                leads[p] = max(leads.get(p, t), t, key=weight.get)
+    for t, (least, keys) in parts.items():
+        near = [x for x in {leads[p] for p in keys} - {t} if sum(a == b for a, b in zip(t[0][depth:], x[0][depth:])) >= least]
+        kinds.append((t, ("family", max(near, key=weight.get, default=t)), min_docs))
     groups, drop = {}, {}
-    for t, kind in kinds.items():
-        groups.setdefault(kind, []).extend(lines[t])
-    for at in groups.values():
-        if len({x for _, x, _ in at}) >= min_docs:
+    for t, kind, needed in kinds:
+        groups.setdefault((kind, needed), []).extend(lines[t])
+    for (_, needed), at in groups.items():
+        if size(at) >= needed:
             kept = min(at, key=lambda x: (x[0] is None, x[0]))[1]
             for _, text, pos in at:
                 if text != kept:
