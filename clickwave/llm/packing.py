@@ -16,8 +16,8 @@ remainders, and hands the last tenth of a buffer on to the next one, so at
 most one sequence per task is left short.  Nothing is shuffled; memory is
 bounded by the buffer; a lost task is packed again from the same rows.
 
-Defined results: null or empty text is the end id alone; repeated rows are
-packed as documents of their own; a null id is carried; an empty table gives
+Defined results: null or empty text is the end id alone; the string of the
+vocabulary's added token is that token; repeated rows are packed as documents of their own; a null id is carried; an empty table gives
 no pieces; other columns are not read.
 """
 
@@ -133,7 +133,7 @@ def _packer(capacity: int, end_id: int, buffer_pieces: int, max_slack: int, voca
     def pack(batches):
         from pyspark import TaskContext
 
-        coder, end = byte_bpe(vocabulary), np.array([end_id], np.uint32)
+        coder, end = byte_bpe(vocabulary, added_tokens=True), np.array([end_id], np.uint32)
         next_id = TaskContext.get().partitionId() << 40
         waiting, rows = _Pieces(), []
 

@@ -10,8 +10,9 @@ length attention takes, and the offsets at which positions restart.
 Scale: each task packs its own rows in buffers of ``buffer_ids`` ids; nothing
 is shuffled and no id leaves its task but in a finished matrix.
 
-Defined results: null or empty text is the end id alone; repeated rows are
-documents of their own; null ids are carried; an empty table gives no matrix;
+Defined results: null or empty text is the end id alone; the string of the
+vocabulary's added token, whose id ends a document here, is ordinary text in
+one; repeated rows are documents of their own; null ids are carried; an empty table gives no matrix;
 other columns are not read.
 """
 

@@ -11,15 +11,36 @@ from clickwave.llm import packing, token_counts, token_output
 from tests.llm.fixtures import awkward, documents
 
 
-@pytest.fixture(scope="module")
-def reference_ids():
+def coder_ids(as_text):
     import public_tokenizers
     from tokenizers import Tokenizer
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
+    coder.encode_special_tokens = as_text
     return lambda text: coder.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def reference_ids():
+    return coder_ids(False)
+
+
+@pytest.fixture(scope="module")
+def text_ids():
+    """Ids with added tokens as ordinary text."""
+    return coder_ids(True)
+
+
+def test_added_tokens(reference_ids, text_ids):
+    from clickwave.llm.tokenizer import byte_bpe
+    mark, rng = "<|endoftext|>", random.Random(8)
+    texts = ["hello <|endoftext|> world", mark, mark * 3, f"  {mark}  x", f"a{mark}\n\n{mark}  ", "<|endoftext|", f"<{mark}>"]
+    texts += ["".join(rng.choice([mark, " ", "  ", "\n", "ab", "7", "é", "<|"]) for _ in range(12)) for _ in range(500)]
+    assert reference_ids(texts[0]) == [31373, 220, 50256, 995]
+    for t in texts:
+        assert byte_bpe(added_tokens=True).encode(t).tolist() == reference_ids(t)
+        assert byte_bpe().encode(t).tolist() == text_ids(t)
+
+
 def best_split(word, scores, byte_score):
     """Count of the best split, by the plain recurrence over one word."""
     best = [(0.0, 0)]
@@ -118,7 +139,7 @@ def test_best_fit_takes_the_tightest_row():
 
 
 @pytest.mark.parametrize("buffer_ids", [900, 4_000_000])
-def test_matrices_round_trip(spark, reference_ids, buffer_ids):
+def test_matrices_round_trip(spark, text_ids, buffer_ids):
     rows = awkward()
     packed = token_output.packed_matrices(documents(spark, rows, clashing=True), rows_per_matrix=3, buffer_ids=buffer_ids).cache()
     for m in packed.collect():
@@ -129,7 +150,7 @@ def test_matrices_round_trip(spark, reference_ids, buffer_ids):
     got = Counter((p.doc, p.start, bytes(p.ids)) for p in token_output.piece_ids(packed).collect())
     want = Counter()
     for i, text, _ in rows:
-        ids = np.array(reference_ids(text) + [token_output.END_ID], "<u2")
+        ids = np.array(text_ids(text) + [token_output.END_ID], "<u2")
         want.update((i, k, ids[k:k + 1024].tobytes()) for k in range(0, len(ids), 1024))
     assert got == want
 
