@@ -15,6 +15,8 @@ constant runs of window ends, without materialising every window.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,32 +52,66 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: int | str, sli
     many rows it has -- one extra shuffle of pane counts.  ``expand`` copies
     raw rows map-side and shuffles once; it wins when keys are sparse (about
     one row per key and pane) and loses by the density factor on hot keys.
-    ``native`` is Spark's ``window(ts, size, slide)``.
+    ``native`` is Spark's ``window(ts, size, slide)``.  Panes are as wide as the
+    greatest common divisor of size and slide, so neither needs to divide the
+    other.
     """
     size_s, slide_s = seconds(size), seconds(slide)
-    if method == "native" or size_s % slide_s:
+    if method == "native":
         w = F.window(F.col(ts), f"{size_s} seconds", f"{slide_s} seconds")
         return (df.groupBy(*keys, w.end.alias("window_end"))
                 .agg(_counter(count_col).alias(out)))
-    n = size_s // slide_s
+    pane_s = gcd(size_s, slide_s)  # the slide itself where it divides the size
     if method == "expand":
         # sparse keys: copy raw rows to their window ends map-side, one shuffle
         extra = [count_col] if count_col and count_col not in keys else []
-        rows = df.select(*keys, *extra, _window_ends(window_end(ts, slide_s), n, slide_s).alias("window_end"))
+        rows = _in_windows(df.select(*keys, *extra, window_end(ts, pane_s).alias("_pane_end")), size_s, slide_s, pane_s)
         return rows.groupBy(*keys, "window_end").agg(_counter(count_col).alias(out))
     if method != "pane":
         raise ValueError(f"unknown method {method}")
-    panes = (df.groupBy(*keys, window_end(ts, slide_s).alias("_pane_end"))
+    panes = (df.groupBy(*keys, window_end(ts, pane_s).alias("_pane_end"))
              .agg(_counter(count_col).alias("_c")))
-    if n == 1:
+    if size_s == slide_s:
         return panes.select(*keys, F.col("_pane_end").alias("window_end"), F.col("_c").alias(out))
-    spread = panes.select(*keys, "_c", _window_ends(F.col("_pane_end"), n, slide_s).alias("window_end"))
-    return spread.groupBy(*keys, "window_end").agg(F.sum("_c").alias(out))
+    return _in_windows(panes, size_s, slide_s, pane_s).groupBy(*keys, "window_end").agg(F.sum("_c").alias(out))
+
+
+def _in_windows(panes: DataFrame, size_s: int, slide_s: int, pane_s: int) -> DataFrame:
+    """``panes`` once for each window that contains them, ``_pane_end`` replaced
+    by ``window_end``.  Windows start on the slide grid: the last one starts at
+    or before the pane, the first one ends at or after it."""
+    pane = F.col("_pane_end")
+    last = plus_seconds(pane, size_s - pane_s)
+    if pane_s != slide_s:
+        last = plus_seconds(window_end(plus_seconds(pane, -pane_s), slide_s), size_s - slide_s)
+    rows = panes if size_s >= slide_s else panes.where(pane <= last)  # between two windows: in none
+    ends = F.sequence(last, pane, F.expr(f"INTERVAL '-{slide_s}' SECOND")) if pane_s != slide_s else F.sequence(pane, last, interval(slide_s))
+    return rows.withColumn("window_end", F.explode(ends)).drop("_pane_end")
+
+
+def sliding_distinct_sketch(df: DataFrame, ts: str, size: int | str, slide: int | str, col: str, out: str = "uv",
+                            lg_k: int = 12) -> DataFrame:
+    """A6/A7 on sliding windows: estimated number of distinct ``col`` per window.
+
+    Distinct counts of panes don't add up, their HyperLogLog sketches do: one
+    sketch per pane, built map-side, is merged into the windows that contain
+    it.  A window costs ``2 ** lg_k`` bytes a pane, however many values it has;
+    the relative standard error is about ``1.04 / sqrt(2 ** lg_k)``.
+    """
+    size_s, slide_s = seconds(size), seconds(slide)
+    pane_s = gcd(size_s, slide_s)
+    panes = df.groupBy(window_end(ts, pane_s).alias("_pane_end")).agg(F.hll_sketch_agg(col, lg_k).alias("_s"))
+    spread = _in_windows(panes, size_s, slide_s, pane_s)
+    return spread.groupBy("window_end").agg(F.hll_sketch_estimate(F.hll_union_agg("_s")).alias(out))
 
 
-def _window_ends(pane_end: Column, n: int, slide_s: int) -> Column:
-    """The ``n`` window ends containing a pane: ``pane_end + i * slide``."""
-    return F.explode(F.sequence(pane_end, plus_seconds(pane_end, (n - 1) * slide_s), interval(slide_s)))
+def sliding_distinct_count(df: DataFrame, ts: str, size: int | str, slide: int | str, col: str, out: str = "uv") -> DataFrame:
+    """Exact number of distinct ``col`` per sliding window: values are taken
+    once per pane first, then once per window."""
+    size_s, slide_s = seconds(size), seconds(slide)
+    pane_s = gcd(size_s, slide_s)
+    panes = df.where(F.col(col).isNotNull()).select(col, window_end(ts, pane_s).alias("_pane_end")).distinct()
+    return _in_windows(panes, size_s, slide_s, pane_s).groupBy("window_end").agg(F.count_distinct(col).alias(out))
 
 
 def sliding_count_runs(df: DataFrame, keys: list[str], ts: str, size: int | str,

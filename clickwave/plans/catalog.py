@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickwave.operators.timeutil import plus_seconds
+from clickwave.operators.windows import sliding_counts
 from clickwave.plans import ads, hot_items, hot_pages, marketing, streamed, traffic
 from clickwave.sources.events import (
     ad_clicks_from_events, marketing_from_events, read_table, user_behavior_from_events,
@@ -85,6 +86,18 @@ def q_uv_running(spark, sf_dir):
     return traffic.unique_visitors_running(_behavior(spark, sf_dir), PAGE_VIEW)
 
 
+def q_uv_sliding_sketch(spark, sf_dir):
+    r = traffic.unique_visitors_sliding(_behavior(spark, sf_dir), PAGE_VIEW)
+    return r.select("window_end", "uv", "within")
+
+
+def q_hot_items_uneven(spark, sf_dir):
+    """Windows of 10 minutes every 4: panes of 2 minutes."""
+    views = _behavior(spark, sf_dir).where(F.col("behavior") == PAGE_VIEW)
+    r = sliding_counts(views, ["itemId"], "ts", "10 minutes", "4 minutes")
+    return r.select(F.col("itemId").alias("item_id"), "window_end", "cnt")
+
+
 def q_marketing_by_channel(spark, sf_dir):
     ev = marketing_from_events(read_table(spark, sf_dir, "events"))
     return marketing.by_channel_runs(ev, UNINSTALL)
@@ -185,6 +198,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "uv_hourly_exact": q_uv_hourly_exact,
     "uv_hourly_bitmap": q_uv_hourly_bitmap,
     "uv_running": q_uv_running,
+    "uv_sliding_sketch": q_uv_sliding_sketch,
+    "hot_items_uneven": q_hot_items_uneven,
     "marketing_by_channel": q_marketing_by_channel,
     "marketing_total": q_marketing_total,
     "ad_click_capped": q_ad_click_capped,
@@ -345,6 +360,17 @@ SELECT event_id, source, url, m.ts, arrival, watermark,
 FROM m JOIN f USING (event_id)""",
 }
 
+ORACLES["uv_sliding_sketch"] = f"""
+WITH w AS (SELECT DISTINCT user_id, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE,
+                                                         time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 60 MINUTE, INTERVAL 5 MINUTE)) AS window_end
+           FROM events WHERE event_type = 'view')
+SELECT window_end, count(DISTINCT user_id) AS uv, true AS within FROM w GROUP BY window_end"""
+ORACLES["hot_items_uneven"] = f"""
+WITH v AS ({_VIEWS}),
+w AS (SELECT item_id, unnest(generate_series(time_bucket(INTERVAL 4 MINUTE, ts) + INTERVAL 10 MINUTE,
+                                             ts + INTERVAL 1 MICROSECOND, INTERVAL '-4' MINUTE)) AS window_end FROM v)
+SELECT item_id, window_end, count(*) AS cnt FROM w GROUP BY ALL"""
+
 # Streams over the whole table give every window: those closed by the watermark,
 # and those read from the state at the end of the input.
 ORACLES.update({f"{name}_stream": ORACLES[name] for name in (

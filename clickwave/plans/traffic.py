@@ -10,6 +10,8 @@ from clickwave.operators.aggregates import (
     bitmap_distinct_count, distinct_count, running_distinct_count, salted_count, tumbling_sum,
 )
 
+from clickwave.operators.windows import sliding_distinct_count, sliding_distinct_sketch
+
 PAGE_VIEW = "pv"
 HOUR = "1 hour"
 
@@ -51,3 +53,16 @@ def unique_visitors_running(behavior: DataFrame, page_view: str = PAGE_VIEW, siz
     rows = _views(behavior, page_view).select("userId", "ts")
     return running_distinct_count(rows, "ts", size, "userId", bucket_seconds=bucket_seconds).select(
         F.lit("uv").alias("key"), "window_end", "ts", "uv_count")
+
+
+def unique_visitors_sliding(behavior: DataFrame, page_view: str = PAGE_VIEW, size=HOUR, slide="5 minutes",
+                            lg_k: int = 12) -> DataFrame:
+    """Unique visitors per sliding window from merged sketches, beside the
+    exact number -> window_end, uv, uv_estimate, within: whether the two differ
+    by at most five standard errors and one visitor."""
+    views = _views(behavior, page_view)
+    exact = sliding_distinct_count(views, "ts", size, slide, "userId")
+    estimate = sliding_distinct_sketch(views, "ts", size, slide, "userId", "uv_estimate", lg_k)
+    bound = 5 * 1.04 / 2 ** (lg_k / 2) * F.col("uv") + 1
+    return (exact.join(estimate, "window_end")
+            .withColumn("within", F.abs(F.col("uv_estimate") - F.col("uv")) <= bound))
