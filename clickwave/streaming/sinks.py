@@ -222,9 +222,11 @@ class PageRankingWriter:
         try:
             for revised in (False, True):
                 lists = batch.where(F.col("revised") == F.lit(revised))
+                if lists.isEmpty():
+                    continue
                 merged = lambda was: top_n_by_count(
                     lists.where(F.col("was") == F.lit(was)).drop("was", "revised"), "window_end", "url", "cnt", self.top)
-                now, at = merged(False), 2 * epoch + revised
+                now, at = merged(False).persist(), 2 * epoch + revised
                 self.rankings.write(now, at)
                 added = now.withColumn("op", F.lit("+"))
                 if revised:  # a first issue has nothing before it
@@ -232,6 +234,7 @@ class PageRankingWriter:
                     added = (now.exceptAll(before).withColumn("op", F.lit("+"))
                              .unionByName(before.exceptAll(now).withColumn("op", F.lit("-"))))
                 self.changes.write(added, at)
+                now.unpersist()
         finally:
             batch.unpersist()
 
