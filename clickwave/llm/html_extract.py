@@ -1,29 +1,37 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
 A page is parsed into a tree of block elements with the text runs between them
-as leaves.  A few pages of each host are aligned with the smallest of them by
-simple tree matching (the heaviest order-preserving matching of children whose
-labels agree, top-down).  Leaves whose text is the same in (nearly) all of them
-are constant: they, and the elements above them, are the host's wrapper.  Every
-page of the host is then aligned with the wrapper; leaves that fall on a
-constant are template, all others are slots that hold content.
+as leaves.  The pages of a host are told apart by layout: the set of neighbours
+in the sequence of its container tags, articles left out.  Up to ``BASES`` pages
+of each layout are its bases, and *every* page of the layout is aligned with
+them by simple tree matching (the heaviest order-preserving matching of children
+whose labels agree, top-down).  A leaf of a base is constant if at least
+``AGREE`` of the pages that have a leaf in its place have the same text there,
+and these are at least ``PLACED`` of the layout's pages; inside an article all
+of at least ``ARTICLE_PAGES`` other pages must agree.  The constants, and the
+elements above them, are the layout's wrapper.  Every page is aligned with the
+wrappers of its layout; leaves that fall on a constant are template, all others
+are slots that hold content.
 
 Of the slots, those are left out that their elements mark as something other
 than the article: menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, hidden parts and reader comments.  If the page has an article
-(else a main) element, only slots inside it count; otherwise blocks that are
-mostly links are left out.  Inside an article a leaf counts as constant only if
-all of at least ``ARTICLE_PAGES`` other pages agree.
-
-Scale: of each host at most ``sample`` different pages (those with the
-smallest hash) meet in one task; they are chosen by their hashes alone, with a
-partial group limit, and pages themselves are not grouped.  Wrappers are small trees, joined to
-the pages: broadcast while there are at most ``SMALL_HOSTS`` of them, else by
-a sort-merge join whose hot hosts Spark splits.
+scripts, styles, hidden parts and reader comments.  A class name, id or role
+marks an element if all its words do, or say no more than a place or a shape
+(``cookie-notice``, ``AdBox``; not ``market-share`` or ``has-sidebar``).  If the
+page has an article (else a main) element, only slots inside it count; otherwise
+no name marks an element that holds most of the page's unlinked text.
+
+Scale: bases are chosen by a partial minimum over (layout, residue of the page's
+hash), short pages first; what pages agree on is counted per (layout, base,
+leaf), one narrow row a page, so a hot host is spread over all tasks and no
+group of pages meets in one.  Trees are kept as outlines with hashed texts.
+Bases and wrappers are joined to the pages: broadcast while there are at most
+``SMALL_LAYOUTS``, else by a sort-merge join whose hot layouts Spark splits.
 
 Defined results: null or empty html gives an empty text; a page with a null or
-host-less url is read without a wrapper; repeated rows are extracted alike and
-count once in a wrapper; an empty table gives no rows; no other column is read.
+host-less url, or alone in its layout, is read without a wrapper; repeated rows
+are extracted alike and count once in a wrapper; an empty table gives no rows;
+elements may be nested to any depth; no other column is read.
 """
 
 from __future__ import annotations
@@ -31,20 +39,23 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections.abc import Iterable
+from hashlib import blake2b
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickwave.llm.common import small_side
 
-SAMPLE = 8
-SMALL_HOSTS = 2000
-#: Share of the other pages that must agree, and how many for leaves of an article.
-AGREE, ARTICLE_PAGES = 0.75, 5
+BASES = 3
+#: Pages below this length are equally good bases; of longer ones the shortest.
+BASE_CHARS = 20_000
+SMALL_LAYOUTS = 2000
+#: Share of the pages with a leaf in the place that must agree, the least share
+#: of such pages, and the number of other pages for leaves of an article.
+AGREE, PLACED, ARTICLE_PAGES = 0.75, 0.4, 5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*+>"
@@ -70,23 +81,28 @@ NOT_ARTICLE = frozenset((
     "search searchbox copyright disclaimer comment comments commentlist discussion disqus respond reply replies "
     "complementary contentinfo").split())
 
-#: Of these, the ones that mark an article element as a comment or a teaser.
+#: Words that tell a place or a shape beside such a word, and nothing else.
+NEUTRAL = frozenset((
+    "area bar block box button buttons container content form group header heading icon icons inline inner item items left "
+    "link links list main mobile outer page panel post posts primary right row secondary section site slot sticky text "
+    "title top bottom unit user wrap wrapper").split())
+#: Of the marking words, the ones that mark an article element as a comment or a teaser.
 NOT_MAIN = frozenset("ad advert advertisement comment reply related recommended promo sponsored teaser".split())
 
 
 class Node:
-    __slots__ = ("tag", "label", "kids", "up", "off", "links", "text")
+    __slots__ = ("tag", "label", "kids", "up", "off", "links", "text", "key")
 
-    def __init__(self, tag: str, label: str, up: "Node | None", off: bool):
+    def __init__(self, tag: str, label: str, up: "Node | None", off: int):
         self.tag, self.label, self.up, self.off = tag, label, up, off
         self.kids: list[Node] = []
-        self.links, self.text = 0, ""
+        self.links, self.text, self.key = 0, "", ""
 
 
 def parse(page: str) -> Node:
     """The tree of block elements; leaves (tag ``#``) hold the text runs with
     their white space reduced, and how many of their characters are links."""
-    root = at = Node("", "", None, False)
+    root = at = Node("", "", None, 0)
     run: list[str] = []
     linked, in_link = 0, 0
 
@@ -94,8 +110,9 @@ def parse(page: str) -> Node:
         nonlocal linked
         text = " ".join(entities.unescape("".join(run)).split()) if run else ""
         if text:
-            leaf = Node("#", "#", at, False)
+            leaf = Node("#", "#", at, 0)
             leaf.text, leaf.links = text, min(linked, len(text))
+            leaf.key = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
             at.kids.append(leaf)
         run.clear()
         linked = 0
@@ -160,19 +177,27 @@ def parse(page: str) -> Node:
     return root
 
 
-def _look(tag: str, attrs: str) -> tuple[str, bool]:
-    """Label of an element, and whether its marks say that it is no content."""
+def _marks(name: str, words: frozenset[str]) -> bool:
+    """Whether a class name, id or role says that its element is one of ``words``."""
+    parts = {w.lower() for w in _WORDS.findall(name)}
+    return bool(parts & words) and parts <= words | NOT_ARTICLE | NEUTRAL
+
+
+def _look(tag: str, attrs: str) -> tuple[str, int]:
+    """Label of an element, and what says that it is no content: 2 for its tag
+    or that it is hidden, 1 for its names alone, 0 for nothing."""
+    off = 2 if tag in NOT_CONTENT else 0
     if not attrs or attrs.isspace():
-        return tag, tag in NOT_CONTENT
-    found, off = {}, tag in NOT_CONTENT
+        return tag, off
+    found = {}
     for name, a, b, c, bare in _ATTR.findall(attrs):
         found[(name or bare).lower()] = a or b or c
     style = found.get("style", "").replace(" ", "").lower()
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-        off = True
-    marks = {w.lower() for k in ("class", "id", "role") for w in _WORDS.findall(found.get(k, ""))}
-    if marks & (NOT_MAIN if tag == "article" else NOT_ARTICLE) and tag not in ("html", "body", "main"):
-        off = True
+        off = 2
+    if not off and tag not in ("html", "body", "main"):
+        words = NOT_MAIN if tag == "article" else NOT_ARTICLE
+        off = int(any(_marks(name, words) for k in ("class", "id", "role") for name in found.get(k, "").split()))
     if found.get("role", "").lower() == "main":
         return "main", off
     return f"{tag}.{found.get('class', '')}", off
@@ -188,38 +213,59 @@ def leaves(node: Node) -> list[Node]:
     return out
 
 
-def align(a: Node, b: Node, same_text: bool, depth: int = 0) -> tuple[int, list[tuple[Node, Node]]]:
+def align(a: Node, b: Node, same_text: bool) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching of two nodes whose labels agree: the weight of the
-    heaviest matching and its pairs of leaves.  Equal leaves weigh 2, other
-    pairs of leaves 1, or nothing with ``same_text``."""
-    if depth > 200:
-        return 1, []
+    heaviest matching and its pairs of leaves, last ones first.  Equal leaves
+    weigh 2, other pairs of leaves 1, or nothing with ``same_text``."""
+    open_, value = [_match(a, b, same_text)], None
+    while open_:  # each step asks for the pair of elements that it needs next
+        try:
+            pair = open_[-1].send(value)
+        except StopIteration as done:
+            open_.pop()
+            value = done.value
+        else:
+            open_.append(_match(*pair, same_text))
+            value = None
+    return value
+
+
+def _match(a: Node, b: Node, same_text: bool):
     x, y = a.kids, b.kids
+    # equal leaves at both ends weigh the most they can: they are matched right away
+    low, high = 0, min(len(x), len(y))
+    while low < high and x[low].tag == "#" == y[low].tag and x[low].key == y[low].key:
+        low += 1
+    tail, high = 0, high - low
+    while tail < high and x[-1 - tail].tag == "#" == y[-1 - tail].tag and x[-1 - tail].key == y[-1 - tail].key:
+        tail += 1
+    out = [(x[-1 - k], y[-1 - k]) for k in range(tail)]
+    head = [(x[k], y[k]) for k in reversed(range(low))]
+    x, y = x[low:len(x) - tail], y[low:len(y) - tail]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    pairs: dict[tuple[int, int], tuple[int, list]] = {}
+    pairs: dict[tuple[int, int], list] = {}
     for i, p in enumerate(x):
         row, above = best[i + 1], best[i]
         for j, q in enumerate(y):
             w = 0
             if p.label == q.label:
                 if p.tag == "#":
-                    w = 2 if p.text == q.text else 0 if same_text else 1
+                    w = 2 if p.key == q.key else 0 if same_text else 1
                     if w:
-                        pairs[i, j] = w, [(p, q)]
+                        pairs[i, j] = [(p, q)]
                 else:
-                    w, below = align(p, q, same_text, depth + 1)
-                    pairs[i, j] = w, below
+                    w, pairs[i, j] = yield p, q
             row[j + 1] = max(above[j + 1], row[j], above[j] + w)
-    i, j, out = len(x), len(y), []
+    i, j = len(x), len(y)
     while i and j:
         if best[i][j] == best[i - 1][j]:
             i -= 1
         elif best[i][j] == best[i][j - 1]:
             j -= 1
         else:
-            out += pairs[i - 1, j - 1][1]
+            out += pairs[i - 1, j - 1]
             i, j = i - 1, j - 1
-    return best[len(x)][len(y)] + 1, out
+    return best[len(x)][len(y)] + 2 * (low + tail) + 1, out + head
 
 
 def _inside(node: Node, tags: tuple[str, ...]) -> bool:
@@ -230,72 +276,144 @@ def _inside(node: Node, tags: tuple[str, ...]) -> bool:
     return False
 
 
-def induce(pages: list[str]) -> str:
-    """The wrapper of some pages of a host, as JSON; empty if there is none."""
+def outline(root: Node, keep: set[int] | None = None) -> str:
+    """The leaves (those numbered in ``keep``) and the elements above them, as a
+    JSON list of (depth, label) and (depth, "#", hashed text) in page order."""
+    rows, path, stack, n = [], [], [(root, 0)], -1
+    while stack:
+        node, depth = stack.pop()
+        del path[depth:]
+        if node.tag != "#":
+            path.append([node.label, False])
+            stack.extend((k, depth + 1) for k in reversed(node.kids))
+            continue
+        n += 1
+        if keep is not None and n not in keep:
+            continue
+        new = depth
+        while new and not path[new - 1][1]:
+            new -= 1
+        for k in range(new, depth):
+            rows.append([k, path[k][0]])
+            path[k][1] = True
+        rows.append([depth, "#", node.key])
+    return json.dumps(rows, ensure_ascii=False) if rows else ""
+
+
+def load_wrapper(text: str) -> Node:
+    path: list[Node] = []
+    for depth, label, *key in json.loads(text):
+        del path[depth:]
+        node = Node(label.split(".")[0], label, path[-1] if path else None, 0)
+        if key:
+            node.key = key[0]
+        if path:
+            path[-1].kids.append(node)
+        path.append(node)
+    return path[0]
+
+
+def agreement(base: Node, page: Node) -> tuple[list[int], list[int]]:
+    """Numbers of the leaves of ``base`` that have one of ``page`` in their
+    place, and of those with the same text there."""
+    number = {id(leaf): n for n, leaf in enumerate(leaves(base))}
+    pairs = align(base, page, False)[1]
+    return [number[id(p)] for p, _ in pairs], [number[id(p)] for p, q in pairs if p.key == q.key]
+
+
+def constants(base: Node, others: int, placed: dict[int, int], same: dict[int, int]) -> set[int]:
+    """Leaves of ``base`` on which the other pages of its layout agree."""
+    out = set()
+    for n, leaf in enumerate(leaves(base)):
+        at, equal = placed.get(n, 0), same.get(n, 0)
+        if _inside(leaf, ("article", "main")):
+            if equal == others >= ARTICLE_PAGES:
+                out.add(n)
+        elif equal >= max(1, AGREE * at) and at >= PLACED * others:
+            out.add(n)
+    return out
+
+
+def induce(pages: Iterable[str]) -> str:
+    """The wrapper that the smallest of some pages of a layout gives, as an
+    outline; empty if there is none."""
     trees = sorted((parse(p) for p in dict.fromkeys(pages) if p), key=lambda t: len(leaves(t)))
     if len(trees) < 2:
         return ""
-    base, others = trees[0], trees[1:]
-    agree: dict[int, int] = {}
-    for other in others:
-        for p, q in align(base, other, False)[1]:
-            if p.text == q.text:
-                agree[id(p)] = agree.get(id(p), 0) + 1
-
-    def keep(node):
-        if node.tag == "#":
-            n = agree.get(id(node), 0)
-            inner = _inside(node, ("article", "main"))
-            if n >= max(1, AGREE * len(others)) and (not inner or n == len(others) >= ARTICLE_PAGES):
-                return node.text
-            return None
-        kids = [k for k in map(keep, node.kids) if k is not None]
-        return [node.label, kids] if kids else None
-    tree = keep(base)
-    return json.dumps(tree, ensure_ascii=False) if tree else ""
+    placed: dict[int, int] = {}
+    same: dict[int, int] = {}
+    for page in trees[1:]:
+        for tally, found in zip((placed, same), agreement(trees[0], page)):
+            for n in found:
+                tally[n] = tally.get(n, 0) + 1
+    return outline(trees[0], constants(trees[0], len(trees) - 1, placed, same))
 
 
-def load_wrapper(text: str) -> Node:
-    def node(x, up):
-        if isinstance(x, str):
-            leaf = Node("#", "#", up, False)
-            leaf.text = x
-            return leaf
-        me = Node(x[0].split(".")[0], x[0], up, False)
-        me.kids = [node(k, me) for k in x[1]]
-        return me
-    return node(json.loads(text), None)
-
-
-def extract(page: str | None, wrapper: Node | None = None) -> str:
+def extract(page: str | None, *wrappers: Node) -> str:
     """Main text: the content slots in page order, joined by one space."""
     if not page:
         return ""
     root = parse(page)
-    template = {id(q) for _, q in align(wrapper, root, True)[1]} if wrapper is not None else set()
+    template = {id(q) for wrapper in wrappers for _, q in align(wrapper, root, True)[1]}
     found = leaves(root)
     articles = _holders(found, ("article",)) or _holders(found, ("main",))
-    out = []
+    spared = _with(found, articles) if articles else _most(found)
+    out, known = [], {}
     for leaf in found:
-        if id(leaf) in template:
-            continue
-        node, off, inside = leaf.up, False, False
-        while node is not None:
-            if id(node) in articles:
-                inside = True
-            if node.off or (node.tag == "header" and not inside and not _inside(node, ("article",))):
-                if not (node.tag in ("div", "section", "body", "main", "header") and _holds(node, articles)):
-                    off = True
-                    break
-            node = node.up
-        if off or (articles and not inside):
-            continue
-        if not articles and leaf.links > 0.5 * len(leaf.text):
-            continue
-        out.append(leaf.text)
+        if id(leaf) not in template and not _left_out(leaf.up, articles, spared, known):
+            out.append(leaf.text)
     return " ".join(out)
 
 
+def _left_out(node: Node, articles: set[int], spared: set[int], known: dict[int, tuple[bool, bool, bool]]) -> bool:
+    """Whether the elements around a leaf leave it out.  ``known`` tells of each
+    element: it or one above leaves out, is in a chosen article, in any article."""
+    way = []
+    while node is not None and id(node) not in known:
+        way.append(node)
+        node = node.up
+    off, inside, any_article = known[id(node)] if node is not None else (False, False, False)
+    for node in reversed(way):
+        inside = inside or id(node) in articles
+        any_article = any_article or node.tag == "article" or node.label == "article"
+        header = node.tag == "header" and not inside and not any_article
+        if node.off or header:
+            free = id(node) in spared and (
+                node.tag in ("div", "section", "body", "main", "header") if articles else node.off == 1)
+            off = off or not free
+        known[id(node)] = off, inside, any_article
+    return off or bool(articles and not inside)
+
+
+def _with(found: list[Node], articles: set[int]) -> set[int]:
+    """The chosen articles and all elements above them."""
+    out: set[int] = set()
+    for leaf in found:
+        node, under = leaf.up, False
+        while node is not None and id(node) not in out:
+            under = under or id(node) in articles
+            if under:
+                out.add(id(node))
+            node = node.up
+    return out
+
+
+def _most(found: list[Node]) -> set[int]:
+    """Elements that hold more than half of the page's unlinked text."""
+    own: dict[int, list] = {}
+    total = 0
+    for leaf in found:
+        n = len(leaf.text) - leaf.links
+        total += n
+        own.setdefault(id(leaf.up), [leaf.up, 0])[1] += n
+    held: dict[int, int] = {}
+    for node, n in own.values():
+        while node is not None and n:
+            held[id(node)] = held.get(id(node), 0) + n
+            node = node.up
+    return {k for k, n in held.items() if 2 * n > total}
+
+
 def _holders(found: list[Node], tags: tuple[str, ...]) -> set[int]:
     """Outermost elements with such a tag that hold text.  Those in a part left
     out do not count, unless all are in parts that only their class or id
@@ -314,61 +432,136 @@ def _holders(found: list[Node], tags: tuple[str, ...]) -> set[int]:
     return clear or marked
 
 
-def _holds(node: Node, articles: set[int]) -> bool:
-    stack = [node]
-    while stack:
-        node = stack.pop()
-        if id(node) in articles:
-            return True
-        stack.extend(k for k in node.kids if k.tag != "#")
-    return False
-
-
 def host_of(url: Column) -> Column:
     """Lower-cased host; null without one."""
     host = F.lower(F.regexp_extract(url, r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return F.when(host != "", host)
 
 
-def host_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
-    """``host, wrapper`` from at most ``sample`` different pages of each host."""
-    slim = (pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-            .where(F.col("host").isNotNull() & (F.length("html") > 0)).withColumn("h", F.xxhash64("html")))
-    first = W.partitionBy("host").orderBy("h")
-    few = (slim.select("host", "h").distinct().withColumn("n", F.row_number().over(first))
-           .where(F.col("n") <= sample).select(F.col("host").alias("_h"), F.col("h").alias("_x")))
-    few = (slim.join(small_side(few, sample * SMALL_HOSTS), (F.col("host") == F.col("_h")) & (F.col("h") == F.col("_x")))
-           .groupBy("host", "h").agg(F.first("html").alias("html")))  # one of equal pages, chosen before the shuffle
+_CONTAINER = (r"<(/?(?:div|section|nav|header|footer|aside|main|form)\b"
+              r"(?:[^>]*?\sclass\s*=\s*(?:\x22[^\x22>]*|'[^'>]*|[^\s>\x22']+))?)")
+
+
+def layout_of(page: Column) -> Column:
+    """Hash of the pairs of neighbours in the sequence of container tags (with
+    their classes), what lies between the first and the last article left out."""
+    low = F.lower(page)
+    outside = F.concat_ws("<", F.substring_index(low, "<article", 1),
+                          F.when(low.contains("</article"), F.substring_index(low, "</article", -1)))
+    tags = F.transform(F.regexp_extract_all(outside, F.lit(_CONTAINER), F.lit(1)),
+                       lambda t: F.regexp_replace(t, r"\s.*\sclass\s*=\s*|\sclass\s*=\s*", " "))
+    pairs = F.zip_with(F.concat(F.array(F.lit("")), tags), F.concat(tags, F.array(F.lit(""))), lambda x, y: F.concat_ws(">", x, y))
+    return F.xxhash64(F.array_sort(F.array_distinct(pairs)))
+
+
+def _pages_of_hosts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
+    return (pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+            .where(F.col("host").isNotNull() & (F.length("html") > 0))
+            .withColumn("layout", layout_of(F.col("html"))).withColumn("h", F.xxhash64("html")))
+
+
+def layout_bases(slim: DataFrame, bases: int = BASES) -> DataFrame:
+    """``host, layout, trees``: outlines of up to ``bases`` pages, by page hash."""
+    size = F.greatest(F.length("html"), F.lit(BASE_CHARS))
+    few = (slim.groupBy("host", "layout", F.pmod("h", F.lit(bases)).alias("part"))
+           .agg(F.min(F.struct(size.alias("size"), "h")).alias("least"))
+           .select(F.col("host").alias("_h"), F.col("layout").alias("_l"), F.col("least.h").alias("_x")))
+    few = slim.join(small_side(few, bases * SMALL_LAYOUTS),
+                    (F.col("host") == F.col("_h")) & (F.col("layout") == F.col("_l")) & (F.col("h") == F.col("_x")))
+    few = few.groupBy("host", "layout", "h").agg(F.first("html").alias("html"))  # one of equal pages
+
+    def outlines(batches):
+        for b in batches:
+            yield b.assign(tree=[outline(parse(x)) for x in b["html"]])[["host", "layout", "h", "tree"]]
+    few = few.mapInPandas(outlines, "host string, layout long, h long, tree string").where(F.col("tree") != "")
+    return few.groupBy("host", "layout").agg(F.collect_list(F.struct("h", "tree")).alias("trees"))
 
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": [key[0]], "wrapper": [induce(sorted(rows["html"]))]})
-    return few.groupBy("host").applyInPandas(one, "host string, wrapper string").where(F.col("wrapper") != "")
+
+class _Trees(dict):
+    """Trees of the outlines met last."""
+
+    def __missing__(self, text: str) -> Node:
+        if len(self) > 500:
+            self.clear()
+        tree = self[text] = load_wrapper(text)
+        return tree
+
+
+_FOUND = T.StructType([
+    T.StructField("host", T.StringType()), T.StructField("layout", T.LongType()), T.StructField("h", T.LongType()),
+    T.StructField("found", T.ArrayType(T.StructType([
+        T.StructField("base", T.LongType()), T.StructField("placed", T.ArrayType(T.IntegerType())),
+        T.StructField("same", T.ArrayType(T.IntegerType()))])))])
+
+
+def layout_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", bases: int = BASES) -> DataFrame:
+    """``host, layout, wrappers``: what all pages of a layout have in common
+    with each of its bases."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(_FOUND)
+    slim = _pages_of_hosts(pages, url_col, html_col)
+    based = layout_bases(slim, bases)
+    held = small_side(based, SMALL_LAYOUTS)
+    keys = ["host", "layout"]
+
+    def compare(batches):
+        known = _Trees()
+        for batch in batches:
+            found = []
+            for page, h, trees in zip(batch.column(2), batch.column(3), batch.column(4)):
+                root, h, mine = parse(page.as_py()), h.as_py(), []
+                for base in trees.as_py():
+                    if base["h"] != h:
+                        placed, same = agreement(known[base["tree"]], root)
+                        mine.append({"base": base["h"], "placed": placed, "same": same})
+                found.append(mine)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(found, arrow.field("found").type)], schema=arrow)
+    each = (slim.join(held, keys).select(*keys, "html", "h", "trees").mapInArrow(compare, _FOUND)
+            .groupBy(*keys, "h").agg(F.first("found").alias("found"))  # copies count once
+            .select(*keys, F.explode("found").alias("f")).select(*keys, "f.*"))
+    # leaf -1 counts the other pages themselves
+    votes = (each.select(*keys, "base", F.explode(F.concat(F.array(F.lit(-1)), "placed")).alias("leaf"), "same")
+             .withColumn("same", F.array_contains("same", F.col("leaf")).cast("int"))
+             .groupBy(*keys, "base", "leaf").agg(F.count(F.lit(1)).alias("placed"), F.sum("same").alias("same"))
+             .groupBy(*keys, "base").agg(F.collect_list(F.struct("leaf", "placed", "same")).alias("votes")))
+    trees = based.select(*keys, F.explode("trees").alias("t")).select(*keys, F.col("t.h").alias("base"), "t.tree")
+
+    def decide(batches):
+        for b in batches:
+            wrappers = []
+            for tree, found in zip(b["tree"], b["votes"]):
+                base = load_wrapper(tree)
+                placed = {v["leaf"]: v["placed"] for v in found}
+                keep = constants(base, placed.pop(-1), placed, {v["leaf"]: v["same"] for v in found})
+                wrappers.append(outline(base, keep))
+            yield b.assign(wrapper=wrappers)[["host", "layout", "wrapper"]]
+    return (votes.join(trees, [*keys, "base"]).select(*keys, "tree", "votes")
+            .mapInPandas(decide, "host string, layout long, wrapper string").where(F.col("wrapper") != "")
+            .groupBy(*keys).agg(F.collect_list("wrapper").alias("wrappers")))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              sample: int = SAMPLE) -> DataFrame:
+              bases: int = BASES) -> DataFrame:
     """One row per page: id, url, ``text``, ``n_chars``."""
-    wrappers = small_side(host_wrappers(pages, url_col, html_col, sample), SMALL_HOSTS).withColumnRenamed("host", "_h")
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    wrappers = small_side(layout_wrappers(pages, url_col, html_col, bases), SMALL_LAYOUTS).select(
+        F.col("host").alias("_h"), F.col("layout").alias("_l"), F.col("wrappers").alias("_w"))
     slim = pages.select(F.col(id_col), F.col(url_col), F.col(html_col).cast("string").alias("_html"),
-                        host_of(F.col(url_col)).alias("_host"))
-    joined = slim.join(wrappers, F.col("_host") == F.col("_h"), "left").select(id_col, url_col, "_html", "wrapper")
+                        host_of(F.col(url_col)).alias("_host"), layout_of(F.col(html_col).cast("string")).alias("_layout"))
+    joined = (slim.join(wrappers, (F.col("_host") == F.col("_h")) & (F.col("_layout") == F.col("_l")), "left")
+              .select(id_col, url_col, "_html", "_w"))
     schema = T.StructType([joined.schema[0], joined.schema[1], T.StructField("text", T.StringType()),
                            T.StructField("n_chars", T.LongType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        known: dict[str, Node] = {}
+        known = _Trees()
         for batch in batches:
-            texts = []
-            for page, wrapper in zip(batch.column(2), batch.column(3)):
-                w = wrapper.as_py()
-                if w and w not in known:
-                    if len(known) > 500:
-                        known.clear()
-                    known[w] = load_wrapper(w)
-                texts.append(extract(page.as_py(), known[w] if w else None))
+            texts = [extract(page.as_py(), *(known[w] for w in found.as_py() or ()))
+                     for page, found in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], schema=arrow)
