@@ -22,11 +22,16 @@ length do not meet; repeated rows (same id and vector) count once; an id with
 several vectors is a candidate (and a query) with each of them, and all rows
 with a query's id are its own; ties go to the smaller id; fewer than k
 candidates give all of them; an empty table gives no rows; other columns are
-not read.  Scores are exact while sums of products stay below 2**53.
+not read.  Scores are exact: vectors of a norm from ``WILD`` on, whose products
+doubles may not hold, are scored one by one in integers, and a score beyond a
+long is given (and ranked) as the nearest long.
 """
 
 from __future__ import annotations
 
+from heapq import nsmallest
+from operator import mul
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,6 +43,9 @@ K = 10
 BLOCK = 64
 CHUNK, QUERIES = 8192, 4096
 SAMPLE = 2000
+#: Products of vectors of a smaller norm, and their sums, stay below 2**52.
+WILD = 2.0 ** 26
+_LEAST = -(1 << 63)
 
 
 def finite(v: Column) -> Column:
@@ -47,7 +55,27 @@ def finite(v: Column) -> Column:
 
 
 def quantised(v: Column, scale: int = SCALE) -> Column:
-    return F.transform(v.cast("array<double>"), lambda x: F.floor(x * F.lit(float(scale))).cast("double"))
+    """Floors as doubles; from 2**53 on every double is an integer already."""
+    def floor(x):
+        y = x * F.lit(float(scale))
+        return F.when(F.abs(y) < F.lit(2.0 ** 53), F.floor(y).cast("double")).otherwise(y)
+    return F.transform(v.cast("array<double>"), floor)
+
+
+def wild(vectors: np.ndarray) -> np.ndarray:
+    """Which vectors are too long for products in doubles."""
+    return np.hypot.reduce(vectors, axis=1) >= WILD
+
+
+def search_wild(ids: np.ndarray, docs: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int = K):
+    """The k best ``(query number, id, score)`` of each query, in integers."""
+    found, ints = [], [[int(x) for x in v] for v in docs.tolist()]
+    for n, q in enumerate(queries.tolist()):
+        q = [int(x) for x in q]
+        score = ((sum(map(mul, v, q)), i) for v, i in zip(ints, ids.tolist()) if i != query_ids[n])
+        score = ((-min(max(s, _LEAST), -_LEAST - 1), i) for s, i in score)
+        found += [(n, i, -s) for s, i in nsmallest(k, score)]
+    return found
 
 
 def block_bounds(queries: np.ndarray, top: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -130,7 +158,11 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         for i, v in seed_rows:
             by_dim.setdefault(len(v), ([], []))[0].append(i)
             by_dim[len(v)][1].append(v)
-        held = {d: (np.array(i), np.array(v, float)) for d, (i, v) in by_dim.items()}
+        held = {}
+        for d, (i, v) in by_dim.items():
+            i, v = np.array(i), np.array(v, float)
+            tame = ~wild(v)
+            held[d] = i[tame], v[tame]
         for pdf in batches:
             floors = np.full(len(pdf), -np.inf)
             dims = pdf["q"].map(len).to_numpy()
@@ -140,7 +172,9 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
                 if len(ids) > k:
                     for c in range(0, len(at), 512):
                         part = at[c:c + 512]
-                        score = _matrix(pdf["q"].iloc[part]) @ docs.T
+                        asked = _matrix(pdf["q"].iloc[part])
+                        part, asked = part[~wild(asked)], asked[~wild(asked)]
+                        score = asked @ docs.T
                         score[ids[None, :] == pdf["qid"].to_numpy()[part][:, None]] = -np.inf
                         floors[part] = np.partition(score, -k, axis=1)[:, -k]
             yield pdf.assign(floor=floors)
@@ -154,10 +188,16 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
         out = []
         for d in np.intersect1d(left["v"].map(len), right["q"].map(len)):
             a, b = left[left["v"].map(len) == d], right[right["q"].map(len) == d]
-            qid = b["qid"].to_numpy()
-            i, ids, score, _ = search(a["id"].to_numpy(), _matrix(a["v"]), qid, _matrix(b["q"]),
-                                      b["floor"].to_numpy(float), k)
-            out.append(pd.DataFrame({"query_id": qid[i], "vec_id": ids, "score": score.astype(np.int64)}))
+            ids, vectors, qid, asked = a["id"].to_numpy(), _matrix(a["v"]), b["qid"].to_numpy(), _matrix(b["q"])
+            floor, odd, odd_q = b["floor"].to_numpy(float), wild(vectors), wild(asked)
+            if not odd.all() and not odd_q.all():
+                i, name, score, _ = search(ids[~odd], vectors[~odd], qid[~odd_q], asked[~odd_q], floor[~odd_q], k)
+                out.append(pd.DataFrame({"query_id": qid[~odd_q][i], "vec_id": name, "score": score.astype(np.int64)}))
+            for which, these in ((odd, ~odd_q), (np.ones(len(ids), bool), odd_q)):
+                if which.any() and these.any():
+                    some = search_wild(ids[which], vectors[which], qid[these], asked[these], k)
+                    out.append(pd.DataFrame({"query_id": [qid[these][n] for n, _, _ in some],
+                                             "vec_id": [i for _, i, _ in some], "score": [s for _, _, s in some]}, dtype="int64"))
         return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
     found = (docs.groupBy("chunk", "part").cogroup(asked.groupBy("chunk", "part"))
              .applyInPandas(cell, "query_id long, vec_id long, score long"))

@@ -84,6 +84,23 @@ def test_top_k_matches_all_pairs(spark, duck, chunk, queries):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("chunk, queries", [(8, 2), (8192, 4096)])
+def test_scores_beyond_doubles_and_longs(spark, chunk, queries):
+    rng = np.random.default_rng(6)
+    rows = [(k * 20, rng.normal(size=8).tolist()) for k in range(40)]
+    rows += [(10_000 + k * 50, (rng.normal(size=8) * 10.0 ** (4 + k % 5)).tolist()) for k in range(30)]
+    rows += [(20_000, [1e16] * 8), (20_100, [-1e20] * 8), (20_200, [1e16 + 2] * 7 + [-1.0]), (20_300, [3e38] * 8)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, label int")
+    got = topk_search.top_k(df, F.col("id") % 100 == 0, chunk=chunk, queries=queries, sample=30)
+    low, high = -(1 << 63), (1 << 63) - 1
+    ints = {i: [int(np.floor(x * 1024.0)) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in ints if i % 100 == 0):
+        score = sorted((-min(max(sum(a * b for a, b in zip(ints[q], v)), low), high), i) for i, v in ints.items() if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(score[:10])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_few_candidates_and_ties(spark):
     df = spark.createDataFrame([(k * 100, [1.0, -0.5], 0) for k in range(4)], SCHEMA)
     got = topk_search.top_k(df, F.col("id") % 100 == 0).where("query_id = 200").orderBy("rank").collect()
