@@ -27,8 +27,8 @@ have a weight, some MB at most.
 
 Defined results: null and empty texts score 0 and have no spans; without
 toxic labels every score is 0; a null id is never held out nor learned from;
-repeated rows score alike; repeated labels of an id count as toxic if one of
-them is; an empty table gives no rows; other columns are not read.
+repeated rows score alike; of several texts of an id the one with the smallest
+hash is learned from; repeated labels of an id count as toxic if one of them is; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -285,7 +285,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     ids = F.broadcast(docs.sparkSession.createDataFrame(rows, per.schema))  # at most max_toxic + max_other rows
     texts = (docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t"))
-             .join(ids, "i").dropDuplicates(["i"]).select(order.alias("k"), F.col("i").cast("string"), "t", "y"))
+             .join(ids, "i").groupBy("i", "y").agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t"))
+             .select(order.alias("k"), F.col("i").cast("string"), "t", "y"))
 
     def learn(batches):  # the bounded sample, in one task; the driver gets the weights alone
         sample = sorted((row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[:2])

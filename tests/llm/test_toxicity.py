@@ -90,6 +90,20 @@ def test_training_never_reads_held_out_labels(spark):
     assert toxicity.train(documents(spark, rows), labels) is None
 
 
+def test_ids_with_several_texts_give_one_model(spark):
+    rng = random.Random(4)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:200]
+    rows = [(i, prose(rng, 20) + (" lout" if i % 2 else ""), "a") for i in ids]
+    rows += [(i, prose(rng, 25), "a") for i in ids] + [(i, None, "a") for i in ids[:20]] + rows[:30]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    models = []
+    for parts in (1, 3, 7):
+        rng.shuffle(rows)
+        field = toxicity.train(documents(spark, rows).repartition(parts), labels)
+        models.append((field.weights, field.bias, field.start, tuple(field.move)) if field else None)
+    assert models[0] is not None and models[0] == models[1] == models[2]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_MID), reason="driver tables not present")
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
