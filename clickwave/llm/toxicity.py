@@ -49,7 +49,7 @@ LEAST_WEIGHT = 0.05
 FLOOR = 0.05
 CHANCE, RARE, IMPURE = 0.01, 0.005, 0.05
 STEPS, RATE, DECAY = 50, 0.4, 1e-4
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 _BLOCK = 64
 _WORD = re.compile(r"\w+")
 
