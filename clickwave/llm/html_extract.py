@@ -253,8 +253,14 @@ def _match(a: Node, b: Node, same_text: bool):
                     w = 2 if p.key == q.key else 0 if same_text else 1
                     if w:
                         pairs[i, j] = [(p, q)]
-                else:
+                elif len(p.kids) == 1 == len(q.kids) and p.kids[0].tag == "#" == q.kids[0].tag:
+                    f, g = p.kids[0], q.kids[0]  # most elements hold a single run of text
+                    w = 3 if f.key == g.key else 1 if same_text else 2
+                    pairs[i, j] = [(f, g)] if w > 1 else []
+                elif p.kids and q.kids:
                     w, pairs[i, j] = yield p, q
+                else:
+                    w, pairs[i, j] = 1, []
             row[j + 1] = max(above[j + 1], row[j], above[j] + w)
     i, j = len(x), len(y)
     while i and j:
@@ -438,20 +444,21 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-_CONTAINER = (r"<(/?(?:div|section|nav|header|footer|aside|main|form)\b"
+_CONTAINER = (r"(?i)<(/?(?:div|section|nav|header|footer|aside|main|form)\b"
               r"(?:[^>]*?\sclass\s*=\s*(?:\x22[^\x22>]*|'[^'>]*|[^\s>\x22']+))?)")
 
 
 def layout_of(page: Column) -> Column:
     """Hash of the pairs of neighbours in the sequence of container tags (with
     their classes), what lies between the first and the last article left out."""
-    low = F.lower(page)
-    outside = F.concat_ws("<", F.substring_index(low, "<article", 1),
-                          F.when(low.contains("</article"), F.substring_index(low, "</article", -1)))
-    tags = F.transform(F.regexp_extract_all(outside, F.lit(_CONTAINER), F.lit(1)),
-                       lambda t: F.regexp_replace(t, r"\s.*\sclass\s*=\s*|\sclass\s*=\s*", " "))
-    pairs = F.zip_with(F.concat(F.array(F.lit("")), tags), F.concat(tags, F.array(F.lit(""))), lambda x, y: F.concat_ws(">", x, y))
-    return F.xxhash64(F.array_sort(F.array_distinct(pairs)))
+    outside = F.concat_ws("<", F.substring_index(page, "<article", 1),
+                          F.when(page.contains("</article"), F.substring_index(page, "</article", -1)))
+    tags = F.concat_ws("<", F.regexp_extract_all(outside, F.lit(_CONTAINER), F.lit(1)))
+    tags = F.split(F.lower(F.regexp_replace(tags, r"(?i)\s[^<]*?\bclass\s*=\s*", " ")), "<")
+    # the array is bound to a name, so that it is made once
+    pairs = F.transform(F.array(tags), lambda t: F.array_sort(F.array_distinct(F.zip_with(
+        F.concat(F.array(F.lit("")), t), F.concat(t, F.array(F.lit(""))), lambda x, y: F.concat_ws(">", x, y)))))
+    return F.xxhash64(pairs)
 
 
 def _pages_of_hosts(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
