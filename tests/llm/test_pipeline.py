@@ -71,7 +71,7 @@ def test_empty_tables(spark, folder, tmp_path):
 
 def test_registration():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
