@@ -20,42 +20,54 @@ f AS (SELECT *, cap / weight <= lvl AS is_full FROM l),
 t AS (
   SELECT *, CASE WHEN is_full THEN cap::DOUBLE
                  ELSE least((max(CASE WHEN NOT is_full THEN lvl END) OVER ()) * weight, cap::DOUBLE) END AS target FROM f),
-t2 AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS times FROM t),
+k AS (
+  SELECT t.source, t.n_docs, t.source_size, t.target, length(bin(size)) AS grade, sum(size)::BIGINT AS words
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source GROUP BY ALL),
+kl AS (
+  SELECT *, (target - coalesce(sum(words * 3) OVER b, 0))
+            / nullif((sum(grade * words) OVER (PARTITION BY source) - coalesce(sum(grade * words) OVER b, 0))::DOUBLE, 0) AS lvl
+  FROM k WINDOW b AS (PARTITION BY source ORDER BY grade DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ke AS (
+  SELECT *, CASE WHEN words = 0 THEN 0.0 ELSE least(coalesce(
+              (max(CASE WHEN lvl * grade < 3 THEN lvl END) OVER (PARTITION BY source)) * grade, 3.0::DOUBLE), 3.0::DOUBLE) END AS times
+  FROM kl),
 p AS (
-  SELECT source, source_size, target, least(floor(times + 1e-12), 3)::BIGINT AS whole,
-         greatest(times - least(floor(times + 1e-12), 3)::BIGINT, 0.0) AS p,
-         greatest(target - least(floor(times + 1e-12), 3)::BIGINT * source_size, 0.0) AS rest,
+  SELECT source, grade, source_size, target, floor(times + 1e-12)::BIGINT AS whole,
+         greatest(times - floor(times + 1e-12)::BIGINT, 0.0::DOUBLE) AS p,
+         greatest(target - sum(floor(times + 1e-12)::BIGINT * words) OVER (PARTITION BY source), 0.0::DOUBLE) AS rest,
          greatest(1, least(ceil(n_docs / 200.0), 1048576))::BIGINT AS buckets
-  FROM t2),
+  FROM ke),
 d AS (
-  SELECT s.doc_id, s.source, s.size, s.u, p.source_size, p.target, p.whole, p.p, p.rest, floor(s.u * p.buckets)::BIGINT AS bucket
-  FROM s JOIN p ON s.source IS NOT DISTINCT FROM p.source),
-sums AS (SELECT source, rest, bucket, sum(size) AS words FROM d GROUP BY ALL),
+  SELECT *, floor(v * buckets)::BIGINT AS bucket FROM (
+    SELECT s.doc_id, s.source, s.size, p.source_size, p.target, p.whole, p.rest, p.buckets,
+           CASE WHEN p > 0 THEN u * (1 - p) / (u * (1 - p) + (1 - u) * p) END AS v
+    FROM s JOIN p ON s.source IS NOT DISTINCT FROM p.source AND length(bin(s.size)) = p.grade)),
+sums AS (SELECT source, target, rest, bucket, sum(size) AS words FROM d WHERE v IS NOT NULL GROUP BY ALL),
 upto AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY bucket) AS upto FROM sums),
 cuts AS (
-  SELECT source, min(bucket) AS cut, min_by(rest - upto + words, bucket) AS gap
+  SELECT source, min(bucket) AS cut, min(target) * 0.001::DOUBLE AS near, min_by(rest - upto + words, bucket) AS gap
   FROM upto WHERE upto > rest GROUP BY source),
 cut0 AS (
-  SELECT d.source, gap, doc_id, size, (u / (1 - u)) * ((1 - p) / p) AS odds, count(*) * size AS words
+  SELECT d.source, gap, near, doc_id, size, v, count(*) * size AS words
   FROM d JOIN cuts ON d.source IS NOT DISTINCT FROM cuts.source AND d.bucket = cuts.cut
-  WHERE p > 0 GROUP BY d.source, gap, doc_id, size, odds),
+  GROUP BY d.source, gap, near, doc_id, size, v),
 cut1 AS (
-  SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)) <= gap AS x FROM cut0),
+  SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY v, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)) <= gap AS x FROM cut0),
 cut2 AS (SELECT *, gap - coalesce(sum(words) FILTER (x) OVER (PARTITION BY source), 0) AS g FROM cut1),
 cut3 AS (
-  SELECT * EXCLUDE (x, g), x OR (words <= g AND coalesce(sum(words) FILTER (NOT x AND words <= g)
-    OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING), 0) <= g) AS x FROM cut2),
+  SELECT * EXCLUDE (x, g), x OR (words <= g AND coalesce(sum(words) FILTER (NOT x AND words <= g) OVER turn, 0) <= g
+    AND g - coalesce(sum(words) FILTER (NOT x AND words <= g) OVER turn, 0) + words > near) AS x FROM cut2 WINDOW turn AS (PARTITION BY source ORDER BY v, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
 cut4 AS (SELECT *, gap - coalesce(sum(words) FILTER (x) OVER (PARTITION BY source), 0) AS g FROM cut3),
 cut5 AS (
-  SELECT * EXCLUDE (x, g), x OR (words <= g AND coalesce(sum(words) FILTER (NOT x AND words <= g)
-    OVER (PARTITION BY source ORDER BY odds, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING), 0) <= g) AS x FROM cut4),
+  SELECT * EXCLUDE (x, g), x OR (words <= g AND coalesce(sum(words) FILTER (NOT x AND words <= g) OVER turn, 0) <= g
+    AND g - coalesce(sum(words) FILTER (NOT x AND words <= g) OVER turn, 0) + words > near) AS x FROM cut4 WINDOW turn AS (PARTITION BY source ORDER BY v, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
 cut6 AS (
   SELECT *, gap - coalesce(sum(words) FILTER (x) OVER (PARTITION BY source), 0) AS g,
-         row_number() OVER (PARTITION BY source ORDER BY x, words, odds, doc_id NULLS FIRST) AS least FROM cut5),
-chosen AS (SELECT source, doc_id, size FROM cut6 WHERE x OR (least = 1 AND words - g < g)),
+         row_number() OVER (PARTITION BY source ORDER BY x, words, v, doc_id NULLS FIRST) AS least FROM cut5),
+chosen AS (SELECT source, doc_id, size FROM cut6 WHERE x OR (least = 1 AND g > near AND words - g < g)),
 r AS (
   SELECT d.doc_id, d.source, d.size, d.source_size, d.target,
-         least(d.whole + CASE WHEN (cuts.cut IS NULL AND d.rest > 0) OR d.bucket < cuts.cut OR chosen.size IS NOT NULL
+         least(d.whole + CASE WHEN (cuts.cut IS NULL AND d.v IS NOT NULL AND d.rest > 0) OR d.bucket < cuts.cut OR chosen.size IS NOT NULL
                               THEN 1 ELSE 0 END, 3)::INTEGER AS copies
   FROM d LEFT JOIN cuts ON d.source IS NOT DISTINCT FROM cuts.source
   LEFT JOIN chosen ON d.bucket = cuts.cut AND d.source IS NOT DISTINCT FROM chosen.source

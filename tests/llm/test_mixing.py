@@ -77,6 +77,33 @@ def test_inclusion_is_unequal_by_source_and_even_within(spark):
     assert abs(taken["a"] / 12 - 100 * 5 / 7) < 1.5 and abs(taken["b"] / 12 - 100 * 2 / 7) < 1.5
 
 
+def test_inclusion_follows_the_odds_within_a_source(spark):
+    """Over many seeds, documents are taken as often as their expected copies
+    say: in proportion to the binary digits of their size, at most 3 times."""
+    sizes = (4, 9, 20, 40)
+    rows = [(k, "w " * sizes[k // 2 % 4], "ab"[k % 2]) for k in range(1200)]
+    words = sum(sizes) * 150
+    goal = targets({"a": words, "b": words})
+
+    def expected(target):
+        low, high = 0.0, 3.0
+        for _ in range(60):
+            mid = (low + high) / 2
+            total = sum(min(3, mid * len(f"{n:b}")) * n * 150 for n in sizes)
+            low, high = (mid, high) if total < target else (low, mid)
+        return {n: min(3, low * len(f"{n:b}")) for n in sizes}
+    want = {(s, n): e for s in "ab" for n, e in expected(goal[s]).items()}
+    df, seeds = documents(spark, rows).coalesce(1), 8
+    copies = defaultdict(int)
+    for seed in range(seeds):
+        for r in mixing.mix_sources(df, seed=str(seed)).collect():
+            copies[r.source, r.size] += r.copies
+            assert int(want[r.source, r.size] + 1e-9) <= r.copies <= int(want[r.source, r.size] + 1e-9) + 1
+    # 1200 draws each: four deviations are 0.06, and a few short ones fill the gaps
+    assert all(abs(copies[k] / (150 * seeds) - want[k]) < 0.08 for k in want)
+    assert want["a", 40] >= 1.9 * want["a", 4] and want["b", 40] >= 1.9 * want["b", 4]
+
+
 def test_sql(spark):
     df = documents(spark, awkward() + [(1000 + k, "w " * (1 + k % 40), "abcd"[k % 4]) for k in range(900)])
     con = duckdb.connect()
