@@ -25,16 +25,16 @@ proportion to its size:
 1. every member of a bucket against the bucket's smallest member;
 2. in buckets whose members are not all connected by then, members of
    different components against each other, each pair in the first band that
-   it shares and unless an earlier link has joined their components.  Pairs
-   whose signatures agree in less than ``similarity`` minus four standard
-   deviations are passed over.
+   it shares and unless an earlier link has joined their components; pairs
+   whose signatures agree most come first.
 
-So every pair that shares a band is verified, or already connected, or (with a
-probability below 1e-4 at the threshold) misjudged by its signature.
+So every pair that shares a band is verified or already connected.
 
 Scale: signatures are computed where documents are read.  Smallest members are
 found by map-side aggregation; texts move once for round 1; buckets of round 2
-over ``block`` members are cut into pairs of blocks.
+over ``block`` members are cut into pairs of blocks.  Connected copies have
+blocks of their own there, which meet the blocks of others only, so a text is
+sent in proportion to the blocks of documents it is not connected with.
 
 Defined results: null text is the empty text; texts without words are copies
 of equal texts only; repeated rows (same id and text) are one document; an id
@@ -210,7 +210,6 @@ def _cell_links(node, comp, block, bands, texts, band: int, split: bool, least:
             c = root[c]
         return c
     registers = bands.view(np.uint16).reshape(len(node), -1)
-    margin = least - 4 * (least * (1 - least) / registers.shape[1]) ** 0.5
     bags: dict[int, np.ndarray] = {}
 
     def bag(i):
@@ -227,8 +226,7 @@ def _cell_links(node, comp, block, bands, texts, band: int, split: bool, least:
             continue
         other = other[_first_shared(bands[other], bands[i]) == band]
         agree = (registers[other] == registers[i]).mean(1)
-        fit = agree >= margin
-        for j in other[fit][np.argsort(-agree[fit], kind="stable")]:
+        for j in other[np.argsort(-agree, kind="stable")]:
             x, y = find(int(comp[i])), find(int(comp[j]))
             if x != y and similar(bag(i), bag(int(j)), least):
                 root[max(x, y)] = min(x, y)
@@ -271,6 +269,30 @@ def _cell_verifier(n: int, least: float, schema: pa.Schema):
     return run
 
 
+def _cells_of_large_buckets(near: DataFrame, block: int) -> DataFrame:
+    """Members of buckets with more than ``block`` of them, in the pairs of
+    blocks (``i, j``) whose documents are to be compared.
+
+    A component with more than ``block`` members in a bucket has blocks of its
+    own, the others share some.  Blocks of the same component are never
+    paired: copies that are connected meet the outsiders, not each other.
+    """
+    per = near.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    large = per.where(F.col("c") > block).select("band", "key", "comp", F.ceil(F.col("c") / block).alias("own"))
+    shared = (per.where(F.col("c") <= block).groupBy("band", "key")
+              .agg(F.ceil(F.sum("c") / block).alias("common")))
+    part = F.when(F.col("own").isNotNull(), F.pmod(F.xxhash64("rep"), F.col("own"))).otherwise(
+        F.pmod(F.xxhash64("comp"), F.col("common")))
+    owner = F.when(F.col("own").isNotNull(), F.col("comp"))
+    placed = (near.join(large, ["band", "key", "comp"], "left").join(shared, ["band", "key"], "left")
+              .select("band", "key", "rep", "comp", owner.alias("owner"), F.xxhash64(owner, part).alias("block")))
+    blocks = placed.select("band", "key", F.col("owner").alias("_owner"), F.col("block").alias("_block")).distinct()
+    apart = F.col("owner").isNull() | F.col("_owner").isNull() | (F.col("owner") != F.col("_owner"))
+    return (placed.join(blocks, ["band", "key"]).where(apart)
+            .select("band", "key", F.least("block", "_block").alias("i"), F.greatest("block", "_block").alias("j"),
+                    "block", "rep", "comp"))
+
+
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                    similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
     """One row per document: id, ``class_id`` (smallest id with an equal
@@ -315,13 +337,12 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, words: int, similarit
               .select("rep", "band", "key", F.coalesce("component", "rep").alias("comp")))
     apart = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                               F.count(F.lit(1)).alias("n"))
-             .where(F.col("lo") < F.col("hi"))
-             .select("band", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    member = (placed.join(apart, ["band", "key"])
-              .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("band", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-                      F.col("mine").alias("block"), "rep", "comp"))
+             .where(F.col("lo") < F.col("hi")).select("band", "key", "n"))
+    near = placed.join(apart, ["band", "key"])
+    zero = F.lit(0).cast("long")
+    member = (near.where(F.col("n") <= block)
+              .select("band", "key", zero.alias("i"), zero.alias("j"), zero.alias("block"), "rep", "comp")
+              .unionByName(_cells_of_large_buckets(near.where(F.col("n") > block), block)))
     cells = (member.join(nodes.withColumnRenamed("rep", "_r"), F.col("rep") == F.col("_r"))
              .join(texts.select(F.col("id").alias("_i"), "text"), F.col("rep") == F.col("_i"))
              .select("band", "key", "i", "j", "block", "rep", "comp", "sig", "text")
@@ -329,9 +350,11 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, words: int, similarit
     second = cells.mapInArrow(_cell_verifier(words, similarity, arrow_pair), pair).distinct()
 
     named = slim.select("id", "fp").join(classes.select("fp", "rep"), "fp")
-    several = (named.groupBy("id").agg(F.collect_set("rep").alias("reps"))
-               .where(F.col("id").isNotNull() & (F.size("reps") > 1))
-               .select(F.explode("reps").alias("a"), F.array_min("reps").alias("b")))
+    # ids with several texts: each of their classes with the smallest
+    smallest = (named.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_id"))
+                .agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where(F.col("top") > F.col("b")))
+    several = (named.join(smallest, F.col("id") == F.col("_id")).where(F.col("rep") != F.col("b"))
+               .select(F.col("rep").alias("a"), "b").distinct())
     links = first.unionByName(second).unionByName(several).checkpoint()
     final = components(links)
     return (named.join(final, F.col("rep") == F.col("node"), "left")

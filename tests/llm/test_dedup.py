@@ -61,6 +61,28 @@ def test_components_match_all_pairs(spark, block):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_connected_copies_meet_outsiders_only(spark):
+    """Rows sent for a bucket grow with the copies, and no pair of different
+    components is left out."""
+    outside = 6
+    for copies, block in ((400, 20), (400, 500), (800, 20)):
+        rows = [(0, 7, k, 0 if k < copies else k) for k in range(copies + outside)]
+        near = spark.createDataFrame(rows, "band int, key long, rep long, comp long")
+        got = minhash_dedup._cells_of_large_buckets(near, block).collect()
+        cells = {}
+        for r in got:
+            cells.setdefault((r.i, r.j), []).append(r)
+        met = {(a.rep, b.rep) for (i, j), rs in cells.items() for a in rs for b in rs
+               if a.comp < b.comp and (i == j or a.block != b.block)}
+        assert met == {(a.rep, b.rep) for a in map(_Row, rows) for b in map(_Row, rows) if a.comp < b.comp}
+        assert len(got) <= 2 * copies + outside * (copies // block + 2)
+
+
+class _Row:
+    def __init__(self, row):
+        _, _, self.rep, self.comp = row
+
+
 def test_one_document_of_each_group_stays(spark):
     df = documents(spark, families(), clashing=True)
     decided = minhash_dedup.near_documents(df).collect()
