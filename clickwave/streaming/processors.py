@@ -4,6 +4,7 @@ rankings with revisions (T2, R3), new visitors (A7, A8)."""
 from __future__ import annotations
 
 import bisect
+import heapq
 import json
 import sys
 from collections.abc import Iterator
@@ -94,10 +95,14 @@ class ClickCapProcessor(StatefulProcessor):
 
 
 class ClickCapRowProcessor(StatefulProcessor):
-    """Row form of :class:`ClickCapProcessor` for ``transformWithState``.
+    """Row form of :class:`ClickCapProcessor` for ``transformWithState``, with
+    the reset day in the key.
 
     Keys usually have a handful of clicks per micro-batch; a loop over Rows
-    avoids building a pandas frame per key.  Same state, timer and output.
+    avoids building a pandas frame per key.  Same state, timer and output.  Of
+    a key's clicks only those that can still pass and the first one over the
+    cap matter: a bounded heap holds at most ``cap + 1`` of them, however many
+    a bot sends.
     """
 
     def __init__(self, cap: int, order: tuple[str, ...] = ("ts", "offset")):
@@ -110,25 +115,24 @@ class ClickCapRowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         from pyspark.sql import Row
-        batch = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
-        if not batch:
-            return
         st = self.state.get()
         clicks, sent, day_end = st if st is not None else (0, False, -1)
-        out = []
-        for r in batch:
-            de = r["_day_end"]
-            if de != day_end:
-                clicks, sent, day_end = 0, False, de
-                self.handle.registerTimer(int(de))
-            if clicks < self.cap:
-                clicks += 1
-                out.append(Row(**r.asDict(), kind="ok"))
-            elif not sent:
-                sent = True
-                out.append(Row(**r.asDict(), kind="alert"))
-        self.state.update((int(clicks), bool(sent), int(day_end)))
-        yield from out
+        room = self.cap - clicks + (not sent)
+        first = heapq.nsmallest(room, rows, key=lambda r: tuple(r[c] for c in self.order))
+        if not first:
+            for _ in rows:  # the cap was reached before: read past these clicks
+                pass
+            return
+        if st is None:
+            day_end = first[0]["_day_end"]
+            self.handle.registerTimer(int(day_end))
+        passed = first[:self.cap - clicks]
+        over = first[self.cap - clicks:]
+        self.state.update((int(clicks + len(passed)), bool(sent or over), int(day_end)))
+        for r in passed:
+            yield Row(**r.asDict(), kind="ok")
+        for r in over:
+            yield Row(**r.asDict(), kind="alert")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         st = self.state.get()

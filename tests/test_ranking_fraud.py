@@ -73,3 +73,55 @@ def test_the_cap_of_a_hundred_clicks(spark, tmpdir_fresh):
     assert counts["beijing", dt.datetime(2017, 11, 26, 2, 0)] == 100
     assert counts["jiangsu", dt.datetime(2017, 11, 26, 2, 0)] == 8
     assert max(n for (p, _), n in counts.items() if p == "beijing") == 100
+
+
+def test_a_bot_never_holds_more_clicks_than_the_cap_lets_pass():
+    import gc
+    import weakref
+
+    from clickwave.streaming.processors import ClickCapRowProcessor
+
+    class Click(dict):
+        alive = weakref.WeakSet()
+
+        def __init__(self, **fields):
+            super().__init__(fields)
+            self.alive.add(self)
+
+        __hash__ = object.__hash__
+        asDict = dict.copy
+
+    class Value:
+        now = None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+    class Handle:
+        timers = []
+
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    cap, most = 10, []
+
+    def clicks(times):
+        for t in times:
+            yield Click(ts=t, offset=t, _day_end=10**6)
+            most.append(len(Click.alive))
+
+    proc = ClickCapRowProcessor(cap)
+    proc.init(Handle())
+    gc.collect()
+    first = list(proc.handleInputRows(None, clicks(range(104, 100, -1)), None))
+    assert [(r.ts, r.kind) for r in first] == [(t, "ok") for t in range(101, 105)]
+    second = list(proc.handleInputRows(None, clicks(range(5000, 1000, -1)), None))
+    assert [(r.ts, r.kind) for r in second] == [(t, "ok") for t in range(1001, 1007)] + [(1007, "alert")]
+    assert not list(proc.handleInputRows(None, clicks(range(6000, 9000)), None))
+    assert Handle.timers == [10**6] and max(most) <= cap + 3
