@@ -137,34 +137,51 @@ CAPPED_FIELDS = [
 ]
 
 
+#: States that the keys of a day are dealt into, and the last event time a
+#: processor can be given (pandas counts nanoseconds).
+CAP_BUCKETS, LAST_TIME = 64, "2262-01-01"
+
+
 def capped_click_stream(clicks: DataFrame, cap: int = 100, keys=("userId", "adId"),
                         delay: str = "1 day", offset_hours: int = RESET_OFFSET_HOURS,
-                        form: str = "rows") -> DataFrame:
+                        form: str = "pandas", buckets: int = CAP_BUCKETS) -> DataFrame:
     """The click cap on a stream: rows tagged ``ok`` / ``alert`` by a stateful
     processor keyed by ``keys`` and reset day, so that a late click counts in
     its own day, whatever day came meanwhile.  A day's state goes when the
     watermark passes its end; a click later than ``delay`` is dropped.  Clicks
     without a time are rejects, not part of any day: see ``split_rejects``.
 
-    ``form="rows"`` (``transformWithState``) suits the usual handful of clicks
-    per key and micro-batch -- about twice as fast as ``form="pandas"``
-    (``transformWithStateInPandas``) on 100k keys with one click each.
+    ``form="pandas"`` (``transformWithStateInPandas``) deals the keys of a day
+    into ``buckets``, each with one state, and suits any number of keys;
+    ``form="rows"`` (``transformWithState``) keeps a state, a timer and an
+    output batch for each key and day, about a millisecond each, and suits few
+    keys.
     """
     _use_rocksdb(clicks.sparkSession)
     off = offset_hours * 3_600_000
-    src = with_event_time(clicks, delay)
-    if "offset" not in src.columns:
-        src = src.withColumn("offset", F.lit(0).cast("bigint"))
+    if "offset" not in clicks.columns:
+        clicks = clicks.withColumn("offset", F.lit(0).cast("bigint"))
     day_end = (F.floor((F.unix_millis(F.col("ts")) + F.lit(off)) / F.lit(DAY_MS)) + 1) * F.lit(DAY_MS) - F.lit(off)
-    rows = (src.where(F.col("ts").isNotNull()).withColumn("_day_end", day_end.cast("bigint"))
-            .select(*[f.name for f in CAPPED_FIELDS[:7]]))
-    grouped = rows.groupBy(*keys, "_day_end")
-    if form == "pandas":
-        return grouped.transformWithStateInPandas(
-            ClickCapProcessor(cap, columns=rows.columns), T.StructType(CAPPED_FIELDS),
-            "Append", "EventTime", eventTimeColumnName="ts")
-    return grouped.transformWithState(ClickCapRowProcessor(cap), T.StructType(CAPPED_FIELDS),
-                                      "Append", "EventTime", eventTimeColumnName="ts")
+    names = [f.name for f in CAPPED_FIELDS[:7]]
+    if form == "rows":
+        src = with_event_time(clicks, delay)
+        rows = src.where(F.col("ts").isNotNull()).withColumn("_day_end", day_end.cast("bigint")).select(*names)
+        return rows.groupBy(*keys, "_day_end").transformWithState(
+            ClickCapRowProcessor(cap), T.StructType(CAPPED_FIELDS), "Append", "EventTime", eventTimeColumnName="ts")
+    # pandas has no integers beside nulls: a bit of _nulls stands for each null, 0 for the number
+    longs = ["userId", "adId", "offset"]
+    nulls = sum((F.col(c).isNull().cast("int") * F.lit(1 << k) for k, c in enumerate(longs)), F.lit(0))
+    src = with_event_time(clicks.withColumn("_time", F.least("ts", F.lit(LAST_TIME).cast("timestamp"))), delay, "_time")
+    rows = (src.where(F.col("ts").isNotNull())
+            .select("_time", F.unix_micros("ts").alias("_us"), day_end.cast("bigint").alias("_day_end"), nulls.alias("_nulls"),
+                    F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket"),
+                    *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) if c in longs else F.col(c) for c in names if c not in ("ts", "_day_end")],
+                    *[F.col(c).isNull().alias(f"_no_{c}") for c in keys]))
+    out = rows.groupBy("_bucket", "_day_end").transformWithStateInPandas(
+        ClickCapProcessor(cap, (*keys, *(f"_no_{c}" for c in keys)), rows.columns),
+        T.StructType([*CAPPED_FIELDS, T.StructField("_nulls", T.IntegerType())]), "Append", "EventTime", eventTimeColumnName="ts")
+    bit = {c: F.col("_nulls").bitwiseAND(1 << k) for k, c in enumerate(longs)}
+    return out.select(*[F.when(bit[f.name] == 0, F.col(f.name)).alias(f.name) if f.name in bit else f.name for f in CAPPED_FIELDS])
 
 
 def ads_by_province_stream(tagged: DataFrame, size="1 hour", slide="5 minutes") -> DataFrame:

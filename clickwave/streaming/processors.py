@@ -7,6 +7,7 @@ import bisect
 import heapq
 import json
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,62 +33,110 @@ def _named(pdf: pd.DataFrame, columns: list[str] | None) -> pd.DataFrame:
 
 
 class ClickCapProcessor(StatefulProcessor):
-    """Per (user, ad): pass the first ``cap`` clicks of each reset day, emit
-    one ``alert`` row on the first click over the cap, drop the rest.
-
-    Input rows carry ``_day_end``: the epoch millisecond at which their reset
-    day ends.  State is (clicks passed, alert sent, day end); an event-time
-    timer at the day end clears it, so idle pairs leave no state behind.
-    Rows of a key inside one micro-batch are ordered by ``order`` (event
-    time, then arrival offset) before counting.
+    """Per ``keys`` tuple, as (user, ad): pass the first ``cap`` clicks of each
+    reset day, give one ``alert`` row for the first click over the cap, drop
+    the rest.  Their times come as ``_us``, microseconds, and leave as ``ts``.
+
+    A group is a bucket of key tuples and a reset day, ``_day_end`` the epoch
+    millisecond at which that day ends: state, timer and output batch cost a
+    group milliseconds, too much for a key that has a click or two.  Clicks of
+    a micro-batch are ordered by ``order`` before counting; of a key's clicks
+    only those that can still pass and the first one over the cap are held, so
+    a bot's clicks do not pile up.
+
+    The state is what each key has had, its passed clicks and its alert: one
+    value in a small bucket, in a large one chunks in a map, of which only
+    those that come are read.  An event-time timer at the day end clears it.
     """
 
-    def __init__(self, cap: int, order: tuple[str, ...] = ("ts", "offset"),
-                 columns: list[str] | None = None):
-        self.cap = int(cap)
-        self.order = list(order)
-        self.columns = columns
+    #: Counts kept as one value, chunks of a larger bucket, clicks held before they are sifted.
+    FEW, CHUNKS, HELD = 20_000, 256, 50_000
+
+    def __init__(self, cap: int, keys: tuple[str, ...], columns: list[str], order: tuple[str, ...] = ("_us", "offset")):
+        self.cap, self.keys, self.columns, self.order = int(cap), list(keys), list(columns), list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("cap", "clicks long, sent boolean, day_end long")
+        self.state = handle.getValueState("cap", "counts string, day_end long")
+        self.chunks = handle.getMapState("chunks", "chunk int", "counts string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = _named(pdf, self.columns)
-        pdf = pdf.sort_values([c for c in self.order if c in pdf.columns], kind="stable")
         st = self.state.get()
-        clicks, sent, day_end = st if st is not None else (0, False, -1)
-        kinds = np.full(len(pdf), "", dtype=object)
-        ends = pdf["_day_end"].to_numpy()
-        start = 0
-        while start < len(pdf):
-            de = ends[start]
-            stop = start + int(np.searchsorted(ends[start:], de, side="right"))
-            if de != day_end:
-                clicks, sent, day_end = 0, False, de
-                self.handle.registerTimer(int(de))
-            n = stop - start
-            rank = clicks + np.arange(1, n + 1)
-            seg = np.where(rank <= self.cap, "ok", "").astype(object)
-            over = np.flatnonzero(rank > self.cap)
-            if len(over) and not sent:
-                seg[over[0]] = "alert"
-                sent = True
-            kinds[start:stop] = seg
-            clicks = min(clicks + n, self.cap)
-            start = stop
-        self.state.update((int(clicks), bool(sent), int(day_end)))
-        out = pdf.assign(kind=kinds)
-        yield out[out["kind"] != ""]
+        few = {} if st is None else None if st[0] is None else self._counts(st[0])
+        chunks, held, size, most = {}, [], 0, self.HELD
+
+        def had(who):
+            return (self._chunk(chunks, who) if few is None else few).get(who, 0)
+
+        for pdf in rows:
+            held.append(_named(pdf, self.columns))
+            size += len(pdf)
+            if size > most:
+                held = [self._sifted(pd.concat(held, ignore_index=True), had)[0]]
+                size, most = len(held[0]), max(self.HELD, 2 * len(held[0]))
+        if not size:
+            return
+        out, new = self._sifted(pd.concat(held, ignore_index=True), had)
+        if new:
+            day_end = int(out["_day_end"].iloc[0])
+            if st is None:
+                self.handle.registerTimer(day_end)
+            self._store(new, few, chunks, day_end)
+            yield out.assign(ts=out["_us"].astype("datetime64[us]").dt.tz_localize("UTC"))
+
+    def _sifted(self, pdf: pd.DataFrame, had) -> tuple[pd.DataFrame, dict[tuple, int]]:
+        """The clicks that pass or alert, with their ``kind``, and the new counts of their keys."""
+        pdf = pdf.sort_values(self.order, kind="stable", ignore_index=True)
+        seen, kept, kinds = {}, [], []
+        for at, who in enumerate(zip(*(pdf[c].tolist() for c in self.keys))):
+            n = seen.get(who)
+            n = had(who) if n is None else n
+            seen[who] = n + 1
+            if n <= self.cap:
+                kept.append(at)
+                kinds.append("ok" if n < self.cap else "alert")
+        out = pdf.take(kept).assign(kind=kinds)
+        new = dict.fromkeys(zip(*(out[c].tolist() for c in self.keys)))
+        return out, {who: min(seen[who], self.cap + 1) for who in new}
+
+    @staticmethod
+    def _counts(text: str) -> dict[tuple, int]:
+        return {tuple(who): n for *who, n in json.loads(text)}
+
+    @staticmethod
+    def _text(counts: dict[tuple, int]) -> str:
+        return json.dumps([[*who, n] for who, n in counts.items()])
+
+    def _at(self, who: tuple) -> int:
+        return zlib.crc32(json.dumps(who).encode()) % self.CHUNKS
+
+    def _chunk(self, chunks: dict[int, dict], who: tuple) -> dict[tuple, int]:
+        """The counts of the chunk of ``who``, read once."""
+        at = self._at(who)
+        if at not in chunks:
+            held = self.chunks.getValue((at,))
+            chunks[at] = {} if held is None else self._counts(held[0])
+        return chunks[at]
+
+    def _store(self, new: dict[tuple, int], few: dict | None, chunks: dict[int, dict], day_end: int) -> None:
+        if few is not None:
+            few.update(new)
+            if len(few) <= self.FEW:
+                self.state.update((self._text(few), day_end))
+                return
+            self.state.update((None, day_end))
+            new = few
+        for who, n in new.items():
+            self._chunk(chunks, who)[who] = n
+        for at in {self._at(who) for who in new}:
+            self.chunks.updateValue((at,), (self._text(chunks[at]),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            _, _, day_end = self.state.get()
-            if day_end <= expiredTimerInfo.getExpiryTimeInMs():
-                self.state.clear()
+        st = self.state.get()
+        if st is not None and st[1] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+            if st[0] is None:
+                self.chunks.clear()
         return iter([])
 
     def close(self) -> None:
@@ -96,11 +145,9 @@ class ClickCapProcessor(StatefulProcessor):
 
 class ClickCapRowProcessor(StatefulProcessor):
     """Row form of :class:`ClickCapProcessor` for ``transformWithState``, with
-    the reset day in the key.
+    a state and a timer for each key and reset day; same output.
 
-    Keys usually have a handful of clicks per micro-batch; a loop over Rows
-    avoids building a pandas frame per key.  Same state, timer and output.  Of
-    a key's clicks only those that can still pass and the first one over the
+    A loop over Rows avoids building a pandas frame per key.  Of a key's clicks only those that can still pass and the first one over the
     cap matter: a bounded heap holds at most ``cap + 1`` of them, however many
     a bot sends.
     """

@@ -1,0 +1,102 @@
+"""The streaming click cap over many keys: a state for a bucket of keys and a day."""
+
+import datetime as dt
+import os
+import tempfile
+import uuid
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from clickwave.operators import cap_clicks
+from clickwave.streaming import jobs
+from clickwave.streaming.bounded import state_rows
+from clickwave.streaming.processors import ClickCapProcessor
+from clickwave.streaming.sinks import start_query
+
+SCHEMA = "userId long, adId long, province string, city string, ts timestamp, offset long"
+T0 = dt.datetime(2024, 1, 1, 3, tzinfo=dt.timezone.utc)
+BIG = 2**60 + 1
+
+
+def _stream(spark, batches):
+    d = tempfile.mkdtemp(prefix="clickwave-capped-")
+    for k, rows in enumerate(batches):
+        part = f"{d}/{k:03d}.parquet"
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{d}-{k}")
+        name = next(f for f in os.listdir(f"{d}-{k}") if f.endswith(".parquet"))
+        os.link(f"{d}-{k}/{name}", part)
+        os.utime(part, (1_000_000_000 + 10 * k,) * 2)
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1").parquet(d), d
+
+
+def _click(user, ad, minute, offset):
+    return (user, ad, f"p{offset}" if offset else None, None, T0 + dt.timedelta(minutes=minute), offset)
+
+
+@pytest.mark.parametrize("few", [20_000, 2])
+def test_many_keys_share_few_states(spark, monkeypatch, few):
+    monkeypatch.setattr(ClickCapProcessor, "FEW", few)
+    monkeypatch.setattr(ClickCapProcessor, "HELD", 7)
+    batches, offset = [], 0
+    for b in range(3):
+        rows = []
+        for user in (*range(40), None, 0, BIG, BIG + 1):
+            for ad in (1, None):
+                offset += 1
+                rows.append(_click(user, ad, b * 10 + offset % 7, None if offset % 5 == 0 else offset))
+        batches.append(rows)
+    stream, d = _stream(spark, batches)
+    check = tempfile.mkdtemp(prefix="clickwave-ck-")
+    q = start_query(jobs.capped_click_stream(stream, cap=2, buckets=4), f"cap{uuid.uuid4().hex[:6]}", "append", checkpoint=check)
+    q.awaitTermination(300)
+    got = spark.sql(f"select * from {q.name}")
+    # each micro-batch is later than the one before, so the batch job gives the same
+    want = cap_clicks(spark.createDataFrame([r for rows in batches for r in rows], SCHEMA), ["userId", "adId"], 2, order=["offset"])
+    cols = ["userId", "adId", "province", "city", "ts", "offset", "kind"]
+    as_text = lambda df: sorted(map(str, df.select(*cols).collect()))
+    assert as_text(got) == as_text(want) and got.where("kind = 'alert'").count() >= 84
+    held = state_rows(spark, check, variable="cap")
+    assert 0 < held.count() <= 4
+    assert held.where(F.col("counts").isNull()).count() == (4 if few == 2 else 0)
+
+
+def test_times_that_pandas_does_not_count(spark):
+    far = dt.datetime(2900, 1, 1, tzinfo=dt.timezone.utc)
+    stream, _ = _stream(spark, [[(1, 1, "p", "c", far + dt.timedelta(seconds=k), k) for k in range(4)]])
+    q = start_query(jobs.capped_click_stream(stream, cap=2), f"cap{uuid.uuid4().hex[:6]}", "append")
+    q.awaitTermination(300)
+    got = spark.sql(f"select offset, kind, date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS t from {q.name}").collect()
+    assert sorted(map(tuple, got)) == [(k, "alert" if k == 2 else "ok", f"2900-01-01 00:00:0{k}") for k in range(3)]
+
+
+def test_a_bot_holds_few_clicks(monkeypatch):
+    class Value:
+        now = None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        getMapState = lambda self, *a: None
+
+        def registerTimer(self, at):
+            pass
+
+    columns, most = ["userId", "_us", "offset", "_day_end"], []
+    monkeypatch.setattr(ClickCapProcessor, "HELD", 100)
+    proc = ClickCapProcessor(10, ("userId",), columns)
+    proc.init(Handle())
+    sift = proc._sifted
+    monkeypatch.setattr(proc, "_sifted", lambda pdf, had: most.append(len(pdf)) or sift(pdf, had))
+    clicks = (pd.DataFrame({"userId": 1, "_us": range(k, k - 50, -1), "offset": 0, "_day_end": 9}) for k in range(100_000, 0, -50))
+    out = pd.concat(proc.handleInputRows(None, clicks, None))
+    assert out["_us"].tolist() == list(range(1, 12)) and out["kind"].tolist() == ["ok"] * 10 + ["alert"]
+    assert max(most) <= 200
