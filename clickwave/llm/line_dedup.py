@@ -64,17 +64,36 @@ def masked(line: Column, depth: int) -> Column:
             .when(short.rlike("[^<*> ]"), short).otherwise(line))
 
 
-def parsed_lines(texts: DataFrame, depth: int, long_tokens: int) -> DataFrame:
-    """``id, c, size, pos, line, n, leaf, f`` of every line that is not blank:
-    ``line`` is masked, ``n`` its tokens, ``f`` its hash (or that of the line as
-    it is, if it is long and most of its tokens are variable)."""
-    lines = (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
-             .withColumn("raw", F.trim(F.regexp_replace("raw", r"\s+", " "))).where(F.col("raw") != "")
-             .withColumn("line", masked(F.col("raw"), depth))
-             .withColumn("tokens", F.split("line", " ", -1)).withColumn("n", F.size("tokens")))
+def _spaced(raw: Column) -> Column:
+    """``raw`` with its white space reduced; most lines have single spaces only."""
+    odd = raw.contains("  ")
+    for c in "\t\x0b\f\r":
+        odd = odd | raw.contains(c)
+    return F.trim(F.when(odd, F.regexp_replace(raw, r"\s+", " ")).otherwise(raw))
+
+
+def lines_by_leaf(texts: DataFrame, depth: int) -> DataFrame:
+    """``id, c, size, pos, raw, n, leaf`` of every line that is not blank:
+    ``raw`` is the line as it is, its white space reduced, ``n`` its tokens.
+
+    The leading tokens alone tell the leaf of a line of more than ``depth``
+    tokens, so the whole line is masked only where its leaf matters."""
+    raw, n = F.col("raw"), F.col("n")
+    lead = F.when(n > depth, F.substring_index("raw", " ", depth)).otherwise(raw)
+    lead = F.when(~lead.rlike("[0-9]"), lead).when(n > depth, F.regexp_replace(lead, _VARIABLE, WILD)).otherwise(masked(raw, depth))
+    return (texts.select("id", "c", "size", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
+            .withColumn("raw", _spaced(raw)).where(raw != "")
+            .withColumn("n", F.octet_length("raw") - F.octet_length(F.replace(raw, F.lit(" "), F.lit(""))) + 1)
+            .withColumn("leaf", F.xxhash64(F.slice(F.split(lead, " ", -1), 1, depth))))
+
+
+def parsed_lines(lines: DataFrame, depth: int, long_tokens: int) -> DataFrame:
+    """``lines_by_leaf`` with ``line`` and ``f`` for ``raw``: ``line`` is masked,
+    ``f`` its hash (or that of the line as it is, if it is long and most of its
+    tokens are variable)."""
+    lines = lines.withColumn("line", masked(F.col("raw"), depth)).withColumn("tokens", F.split("line", " ", -1))
     loose = (F.col("n") >= long_tokens) & (2 * F.size(F.filter("tokens", lambda x: x == WILD)) > F.col("n"))
-    return (lines.withColumn("leaf", F.xxhash64(F.slice("tokens", 1, depth)))
-            .withColumn("f", _order_hash(F.when(loose, F.col("raw")).otherwise(F.col("line")))).drop("raw", "tokens"))
+    return lines.withColumn("f", _order_hash(F.when(loose, F.col("raw")).otherwise(F.col("line")))).drop("raw", "tokens")
 
 
 def _order_hash(line: Column) -> Column:
@@ -117,13 +136,13 @@ def recurring_lines(texts: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DO
     """``c, size, drop``: positions of the lines to drop from each text that
     loses any.  ``texts``: ``id, text`` and the text's hash and length ``c, size``."""
     checkpoint_dir(texts.sparkSession)
-    every = parsed_lines(texts, depth, long_tokens)
+    every = lines_by_leaf(texts, depth)
     needed = lambda n: F.when(F.col(n) >= long_tokens, min(long_docs, min_docs)).otherwise(min_docs)
     leaves = (every.select("leaf", "n", "c").distinct().groupBy(F.col("leaf").alias("_l"), F.col("n").alias("_n"))
               .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= needed("_n"))
               .select("_l", "_n", (F.col("texts") >= min_docs).alias("many")))
-    found = (every.join(small_side(leaves, SMALL_LEAVES), (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n")))
-             .drop("_l", "_n").checkpoint())
+    found = every.join(small_side(leaves, SMALL_LEAVES), (F.col("leaf") == F.col("_l")) & (F.col("n") == F.col("_n")))
+    found = parsed_lines(found.drop("_l", "_n"), depth, long_tokens).checkpoint()
     seen = found.select("leaf", "n", "f", "c", "size", "id", "pos")
     lines = (found.groupBy("leaf", "n", "f", "c").agg(F.first("line").alias("line"), F.first("many").alias("many"))
              .groupBy("leaf", "n", "f").agg(F.first("line").alias("line"), F.first("many").alias("many"), F.count(F.lit(1)).alias("docs"))
