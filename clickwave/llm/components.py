@@ -5,7 +5,8 @@ neighbours (then the smaller ones) of each node to the smallest one it knows,
 until every node points at the smallest of its component.  Each round is two
 aggregations with map-side minima and two equi-joins, so a node with very many
 neighbours is never gathered; hot join keys are split by Spark.  Rounds are cut
-off by ``checkpoint()`` in the shared checkpoint folder.
+off by ``checkpoint()`` in the shared checkpoint folder.  A round has tasks for
+the edges that are left, as every task of a round writes files to each shuffle.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from clickwave.session import checkpoint_dir
 
 MAX_ROUNDS = 60
+ROWS_PER_TASK, LEAST_TASKS = 50_000, 8
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -35,13 +37,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = M
     if not mark[0]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        tasks = max(LEAST_TASKS, -(-mark[0] // ROWS_PER_TASK))
+        both = now.coalesce(tasks).select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         large = (_star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        small = _star(large)
-        now = (small.select(F.col("u"), F.col("m").alias("v"))
-               .unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-               .where(F.col("u") != F.col("v")).distinct().checkpoint())
+                 .coalesce(tasks))
+        now = (_star(large).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+               .where(F.col("u") != F.col("v")).coalesce(tasks).distinct().coalesce(tasks).checkpoint())
         before, mark = mark, _mark(now)
         if mark == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

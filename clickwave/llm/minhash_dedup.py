@@ -31,8 +31,10 @@ proportion to its size:
 So every pair that shares a band is verified or already connected.
 
 Scale: signatures are computed where documents are read.  Smallest members are
-found by map-side aggregation; texts move once for round 1; buckets of round 2
-over ``block`` members are cut into pairs of blocks.  Connected copies have
+found by map-side aggregation; buckets of one document go there, so that both
+rounds read back the others only.  Texts move once for each round: those of
+documents that share a bucket while these are at most ``SMALL_IDS``, else all.
+Buckets of round 2 over ``block`` members are cut into pairs of blocks.  Connected copies have
 blocks of their own there, which meet the blocks of others only, so a text is
 sent in proportion to the blocks of documents it is not connected with.
 
@@ -321,11 +323,15 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, words: int, similarit
     pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     arrow_pair = to_arrow_schema(pair)
 
-    # round 1: members of a bucket against its smallest
+    # buckets of one document go, and texts of documents that are in no other
     least = (bands.groupBy("band", "key").agg(F.min("rep").alias("b"), F.max("rep").alias("top"))
              .where(F.col("top") > F.col("b")).drop("top"))
-    pairs = (bands.join(least, ["band", "key"]).where(F.col("rep") != F.col("b"))
-             .select(F.col("rep").alias("a"), "b").distinct())
+    met = bands.join(least, ["band", "key"]).checkpoint()
+    meeting = small_side(met.select(F.col("rep").alias("_met")).distinct(), SMALL_IDS)
+    texts = texts.join(meeting, F.col("id") == F.col("_met"), "left_semi")
+
+    # round 1: members of a bucket against its smallest
+    pairs = met.where(F.col("rep") != F.col("b")).select(F.col("rep").alias("a"), "b").distinct()
     first = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
              .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
              .select("a", "b", "ta", "tb")
@@ -333,7 +339,7 @@ def _assigned(docs: DataFrame, id_col: str, text_col: str, words: int, similarit
 
     # round 2: what is still apart within a bucket
     comp = components(first)
-    placed = (bands.join(comp, F.col("rep") == F.col("node"), "left")
+    placed = (met.join(comp, F.col("rep") == F.col("node"), "left")
               .select("rep", "band", "key", F.coalesce("component", "rep").alias("comp")))
     apart = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                               F.count(F.lit(1)).alias("n"))
