@@ -21,7 +21,8 @@ A document's score is the probability that at least one of its offending
 tokens (marginal of ``floor`` or more) is toxic; spans are runs of tokens with
 a marginal of 0.5 or more, with their character offsets.
 
-Scale: fitting reads a bounded sample, in one task; scoring reads every document once, in
+Scale: fitting reads a bounded sample, in one task, which keeps its tokens as
+numbers (some 40 bytes each) and neither the texts nor their words; scoring reads every document once, in
 whole, and shuffles nothing.  The model holds the features of the sample that
 have a weight, some MB at most.
 
@@ -35,6 +36,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -51,6 +53,7 @@ CHANCE, RARE, IMPURE = 0.01, 0.005, 0.05
 STEPS, RATE, DECAY = 50, 0.4, 1e-4
 CACHED_WORDS = 100_000
 _BLOCK = 64
+_PIECE = 1024 * _BLOCK
 _WORD = re.compile(r"\w+")
 
 
@@ -71,60 +74,91 @@ class Field:
 
 
 
-def _scan(m: list[np.ndarray], r: float) -> np.ndarray:
-    """x[t] = (a x[t-1] + b) / (c x[t-1] + d) along the arrays ``m = a, b, c, d``, from ``r``."""
-    n = len(m[0])
+Maps = Callable[[int, int], list[np.ndarray]]
+
+
+def _columns(m: list[np.ndarray]) -> list[np.ndarray]:
+    """The maps ``m`` with a column for each block; the last one is filled with identities."""
+    blocks = -(-len(m[0]) // _BLOCK)
+    fill = blocks * _BLOCK - len(m[0])
+    return [np.ascontiguousarray(np.concatenate((x, np.full(fill, one))).reshape(blocks, _BLOCK).T)
+            for x, one in zip(m, (1.0, 0.0, 0.0, 1.0))]
+
+
+def _scan(maps: Maps, n: int, r: float) -> np.ndarray:
+    """x[t] = (a x[t-1] + b) / (c x[t-1] + d) for ``n`` tokens, from ``r``;
+    ``maps(i, j)`` gives ``a, b, c, d`` of the tokens from i to j."""
+    out = np.empty(n)
     if n <= _BLOCK:
-        out = np.empty(n)
+        m = maps(0, n)
         for t in range(n):
             r = (m[0][t] * r + m[1][t]) / (m[2][t] * r + m[3][t])
             out[t] = r
         return out
-    blocks = -(-n // _BLOCK)
-    fill = blocks * _BLOCK - n
-    rows = [np.ascontiguousarray(np.concatenate((x, np.full(fill, one))).reshape(blocks, _BLOCK).T)
-            for x, one in zip(m, (1.0, 0.0, 0.0, 1.0))]
-    a, b, c, d = (x[0] for x in rows)
-    for t in range(1, _BLOCK):  # one map for each block
-        e, f, g, h = (x[t] for x in rows)
-        a, b, c, d = e * a + f * c, e * b + f * d, g * a + h * c, g * b + h * d
-        top = np.maximum(np.maximum(a, b), np.maximum(c, d))
-        a, b, c, d = a / top, b / top, c / top, d / top
-    x = np.concatenate(([r], _scan([a, b, c, d], r)[:-1]))
-    out = np.empty((_BLOCK, blocks))
-    for t in range(_BLOCK):
-        x = (rows[0][t] * x + rows[1][t]) / (rows[2][t] * x + rows[3][t])
-        out[t] = x
-    return out.T.reshape(-1)[:n]
-
-
-def odds(emission: np.ndarray, first: np.ndarray, start: float, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    pieces = [(i, min(n, i + _PIECE)) for i in range(0, n, _PIECE)]
+    over = []  # one map for each block
+    for i, j in pieces:
+        rows = _columns(maps(i, j))
+        a, b, c, d = (x[0] for x in rows)
+        for t in range(1, _BLOCK):
+            e, f, g, h = (x[t] for x in rows)
+            a, b, c, d = e * a + f * c, e * b + f * d, g * a + h * c, g * b + h * d
+            top = np.maximum(np.maximum(a, b), np.maximum(c, d))
+            a, b, c, d = a / top, b / top, c / top, d / top
+        over.append((a, b, c, d))
+    over = [np.concatenate(x) for x in zip(*over)]
+    before = np.concatenate(([r], _scan(lambda i, j: [x[i:j] for x in over], len(over[0]), r)[:-1]))
+    for i, j in pieces:
+        rows = _columns(maps(i, j))
+        x = before[i // _BLOCK:-(-j // _BLOCK)]
+        part = np.empty((_BLOCK, len(x)))
+        for t in range(_BLOCK):
+            x = (rows[0][t] * x + rows[1][t]) / (rows[2][t] * x + rows[3][t])
+            part[t] = x
+        out[i:j] = part.T.reshape(-1)[:j - i]
+    return out
+
+
+def odds(emission: np.ndarray, first: np.ndarray, start: float, move: np.ndarray,
+         token: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward ratios of the toxic to the other state for tokens
-    in a row; ``first`` marks the first token of each document."""
-    e = np.exp(emission)
+    in a row; ``first`` marks the first token of each document.  With
+    ``token``, ``emission`` belongs to the words that it gives by number."""
+    e, n = np.exp(emission), len(first)
     ot, to, tt = np.exp(move)
-    one = np.ones_like(e)
-    forward = _scan([np.where(first, 0.0, e * tt), np.where(first, e * np.exp(start), e * ot),
-                     np.where(first, 0.0, to), one], 1.0)
-    last = np.append(first[1:], True)
-    after = np.append(e[1:], 1.0)
-    back = [np.where(last, 0.0, after * tt), np.where(last, 1.0, to), np.where(last, 0.0, after * ot), one]
-    backward = _scan([x[::-1] for x in back], 1.0)[::-1]
-    return forward, backward
-
-
-def _no_near_copies(docs: list[list[str]]) -> list[int]:
-    """Numbers of the documents without those that share a min-hash of their
-    word triples with an earlier one."""
-    seen, kept = set(), []
-    for i, words in enumerate(docs):
-        hashes = np.array([crc32(" ".join(words[k:k + 3]).encode("utf-8", "surrogatepass"))
-                           for k in range(max(1, len(words) - 2))], np.uint64)
+    begin = np.exp(start)
+
+    def of(i, j):
+        return e[i:j] if token is None else e[token[i:j]]
+
+    def ahead(i, j):
+        new, x = first[i:j], of(i, j)
+        return [np.where(new, 0.0, x * tt), np.where(new, x * begin, x * ot), np.where(new, 0.0, to), np.ones_like(x)]
+
+    def back(i, j):  # counted from the last token
+        i, j = n - j, n - i
+        last, after = first[i + 1:j + 1], of(i + 1, j + 1)
+        if j == n:
+            last, after = np.append(last, True), np.append(after, 1.0)
+        return [x[::-1] for x in (np.where(last, 0.0, after * tt), np.where(last, 1.0, to),
+                                  np.where(last, 0.0, after * ot), np.ones_like(after))]
+    return _scan(ahead, n, 1.0), _scan(back, n, 1.0)[::-1]
+
+
+def _no_near_copies(docs: Iterable[tuple[list[str], bool]]) -> Iterator[tuple[list[str], bool]]:
+    """The labelled documents without those that have no words or share a
+    min-hash of their word triples with an earlier one."""
+    seen = set()
+    for words, y in docs:
+        if not words:
+            continue
+        n = max(1, len(words) - 2)
+        hashes = np.fromiter((crc32(" ".join(words[k:k + 3]).encode("utf-8", "surrogatepass")) for k in range(n)),
+                             np.uint64, n)
         marks = {(k, int(((hashes * np.uint64(2 * k + 0x9E3779B1)) & np.uint64(0xFFFFFFFF)).min())) for k in range(6)}
         if not marks & seen:
-            kept.append(i)
+            yield words, y
         seen |= marks
-    return kept
 
 
 def _telling(toxic: list[np.ndarray], other: np.ndarray, n_other: int, tried: int) -> np.ndarray:
@@ -154,36 +188,71 @@ def _telling(toxic: list[np.ndarray], other: np.ndarray, n_other: int, tried: in
     return telling
 
 
-def fit(texts: list[str | None], toxic: list[bool], steps: int = STEPS) -> Field | None:
+def _expected(word: np.ndarray, token: np.ndarray, first: np.ndarray, start: float,
+              move: np.ndarray) -> tuple[np.ndarray, float, list[float]]:
+    """Expected numbers of toxic tokens, by word, and of toxic first tokens,
+    and of the moves other-toxic, toxic-other and toxic-toxic."""
+    forward, backward = odds(word, first, start, move, token)
+    by_word, firsts = np.zeros(len(word)), []
+    for i in range(0, len(token), _PIECE):
+        p = forward[i:i + _PIECE] * backward[i:i + _PIECE]
+        p = p / (1 + p)
+        np.add.at(by_word, token[i:i + _PIECE], p)
+        firsts.append(p[first[i:i + _PIECE]])
+    e, inner = np.exp(word), ~first[1:]
+    ot, to, tt = np.exp(move)
+    shares = np.empty(len(inner)), forward[:-1], backward[1:]  # the odds are used up, piece by piece
+    for i in range(0, len(inner), _PIECE):
+        j = min(len(inner), i + _PIECE)
+        # pairs: forward ratio before, move, emission, backward ratio after
+        f, b = forward[i:j], e[token[i + 1:j + 1]] * backward[i + 1:j + 1]
+        moves = ot * b, to * f, tt * f * b
+        total = 1 + moves[0] + moves[1] + moves[2]
+        for share, x in zip(shares, moves):
+            share[i:j] = x / total
+    pairs = [share[inner].sum() for share in shares]
+    return by_word, np.concatenate(firsts).sum(), pairs
+
+
+def fit(texts: Iterable[str | None], toxic: Iterable[bool], steps: int = STEPS) -> Field | None:
     """A field from labelled documents; None if nothing can be learned."""
-    docs = [[w.lower() for w in _WORD.findall(t or "")] for t in texts]
-    keep = [i for i in range(len(docs)) if docs[i]]
-    keep = [keep[k] for k in _no_near_copies([docs[i] for i in keep])]
-    docs, label = [docs[i] for i in keep], np.array([bool(toxic[i]) for i in keep], bool)
+    return fit_rows(zip(texts, toxic), steps)
+
+
+def fit_rows(rows: Iterable[tuple[str | None, bool]], steps: int = STEPS) -> Field | None:
+    """:func:`fit` from pairs of text and label.  They are read one by one and
+    kept as numbers of words; beside these a step holds three or four numbers a token."""
+    words: dict[str, int] = {}
+    ids, label = [], []
+    for doc, y in _no_near_copies(([w.lower() for w in _WORD.findall(t or "")], bool(y)) for t, y in rows):
+        ids.append(np.fromiter((words.setdefault(w, len(words)) for w in doc), np.int32, len(doc)))
+        label.append(y)
+    label = np.array(label, bool)
     if not label.any() or label.all():
         return None
-    words: dict[str, int] = {}
-    ids = [np.array([words.setdefault(w, len(words)) for w in d]) for d in docs]
     names: dict[str, int] = {}
-    table = [[names.setdefault(f, len(names)) for f in features(w)] for w in words]
-    of = np.repeat(np.arange(len(table)), [len(x) for x in table])
-    flat = np.concatenate(table)
+    flat = np.fromiter((names.setdefault(f, len(names)) for w in words for f in features(w)), np.int64)
+    many = np.fromiter((len(features(w)) for w in words), np.int64, len(words))
+    n_words = len(words)
+    del words
+    of = np.repeat(np.arange(n_words), many)
     n = len(names)
     found = np.zeros((2, n))  # documents with a feature: other, toxic
-    starts = np.searchsorted(of, np.arange(len(table) + 1))
+    starts = np.searchsorted(of, np.arange(n_words + 1))
     for d, y in zip(ids, label):
         found[int(y), np.unique(np.concatenate([flat[starts[w]:starts[w + 1]] for w in np.unique(d)]))] += 1
     telling = _telling([np.unique(np.concatenate([flat[starts[w]:starts[w + 1]] for w in np.unique(d)]))
                         for d, y in zip(ids, label) if y], found[0], int((~label).sum()), n)
-    marked = np.zeros(len(table), bool)
+    marked = np.zeros(n_words, bool)
     np.logical_or.at(marked, of, telling[flat])
-    use = [i for i in range(len(docs)) if not label[i] or marked[ids[i]].any()]
+    use = [i for i in range(len(ids)) if not label[i] or marked[ids[i]].any()]
     if not any(label[i] for i in use):
         return None
-    token = np.concatenate([ids[i] for i in use])
-    first = np.zeros(len(token), bool)
+    gold = np.concatenate([marked[ids[i]] & label[i] for i in use])
+    first = np.zeros(len(gold), bool)
     first[np.cumsum([0, *(len(ids[i]) for i in use)])[:-1]] = True
-    gold = marked[token] & np.repeat([label[i] for i in use], [len(ids[i]) for i in use])
+    token = np.concatenate([ids[i] for i in use])
+    del ids
 
     # ascent on the mean log-likelihood, with steps scaled by past gradients
     theta = np.zeros(n + 5)
@@ -193,20 +262,12 @@ def fit(texts: list[str | None], toxic: list[bool], steps: int = STEPS) -> Field
     pair = lambda a, b: np.array([np.sum(~a[:-1] & b[1:] & inner[1:]), np.sum(a[:-1] & ~b[1:] & inner[1:]),
                                   np.sum(a[:-1] & b[1:] & inner[1:])], float)
     gold_pairs, gold_first = pair(gold, gold), gold[first].sum()
-    gold_token = np.bincount(token, gold, len(table))
+    gold_token = np.bincount(token[gold], minlength=n_words).astype(float)
     for step in range(1, steps + 1):
-        word = np.clip(theta[n] + np.bincount(of, theta[flat], len(table)), -30, 30)
-        start, move = theta[n + 1], theta[n + 2:]
-        forward, backward = odds(word[token], first, start, move)
-        p = forward * backward
-        p = p / (1 + p)
-        # pairs: forward ratio before, move, emission, backward ratio after
-        f, b = forward[:-1], np.exp(word[token][1:]) * backward[1:]
-        ot, to, tt = np.exp(move)
-        total = 1 + ot * b + to * f + tt * f * b
-        pairs = [(x / total)[inner[1:]].sum() for x in (ot * b, to * f, tt * f * b)]
-        by_word = gold_token - np.bincount(token, p, len(table))
-        grad = np.concatenate((np.bincount(flat, by_word[of], n), [by_word.sum(), gold_first - p[first].sum()],
+        word = np.clip(theta[n] + np.bincount(of, theta[flat], n_words), -30, 30)
+        p_word, p_first, pairs = _expected(word, token, first, theta[n + 1], theta[n + 2:])
+        by_word = gold_token - p_word
+        grad = np.concatenate((np.bincount(flat, by_word[of], n), [by_word.sum(), gold_first - p_first],
                                gold_pairs - pairs)) / len(use) - DECAY * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         theta += RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-6)
@@ -289,10 +350,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .select(order.alias("k"), F.col("i").cast("string"), "t", "y"))
 
     def learn(batches):  # the bounded sample, in one task; the driver gets the weights alone
-        sample = sorted((row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[:2])
-        field = fit([t for _, _, t, _ in sample], [y == 1 for _, _, _, y in sample])
+        field = fit_rows((t.as_py(), y.as_py() == 1) for b in batches for t, y in zip(*b.columns))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(field)])], names=["field"])
-    learned = texts.coalesce(1).mapInArrow(learn, "field binary").first()
+    in_order = texts.coalesce(1).sortWithinPartitions("k", "i").select("t", "y")
+    learned = in_order.mapInArrow(learn, "field binary").first()
     return pickle.loads(bytes(learned[0])) if learned else None
 
 

@@ -4,6 +4,7 @@ import itertools
 import math
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -69,6 +70,36 @@ def test_nothing_to_learn():
     assert toxicity.fit([], []) is None
 
 
+def labelled(docs, words):
+    rng = random.Random(5)
+    vocabulary = prose(rng, 500).split()
+    return [(" ".join(rng.choices(vocabulary, k=words)) + (" grobian" if k % 4 == 0 else ""), k % 4 == 0)
+            for k in range(docs)]
+
+
+def test_fitting_keeps_neither_texts_nor_words():
+    peaks = []
+    for docs in (20, 100):
+        texts, toxic = zip(*labelled(docs, 2000))
+        tracemalloc.start()
+        assert toxicity.fit(texts, toxic, steps=1)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert (peaks[1] - peaks[0]) / (80 * 2000) < 100  # bytes a token
+
+
+def test_pieces_do_not_change_the_field(monkeypatch):
+    rows = list(labelled(40, 60))
+    fields = []
+    for piece in (toxicity._PIECE, toxicity._BLOCK, 5 * toxicity._BLOCK):
+        monkeypatch.setattr(toxicity, "_PIECE", piece)
+        fields.append(toxicity.fit_rows(iter(rows), steps=8))
+    assert len(fields[0].weights) > 1
+    for f in fields[1:]:
+        assert (f.weights, f.bias, f.start, tuple(f.move)) == (
+            fields[0].weights, fields[0].bias, fields[0].start, tuple(fields[0].move))
+
+
 def test_awkward_rows(spark, field):
     rows = awkward() + [(500, "you lout", "a")]
     got = toxicity.score_documents(documents(spark, rows, clashing=True), field).collect()
